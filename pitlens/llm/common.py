@@ -92,3 +92,19 @@ def gram_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
         np.cumsum(words * power[:-1], out=total[1:])
         at = np.arange(len(words) - n + 1)
         return mix((total[n:] - total[:-n]) * inverse[at] + np.uint64(seed))
+
+
+def utf8_slices(column) -> list[np.ndarray]:
+    """The UTF-8 bytes of each text of an Arrow string column, without copies; none for null."""
+    bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else [0]
+    data = column.buffers()[2] if len(column) else None
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64)

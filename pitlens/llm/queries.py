@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, sharding
+from . import bpe, minhash, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op5_minhash": minhash.op5_minhash,
     "op6_sharding": sharding.op6_sharding,
     "op9_mixing": mixing.op9_mixing,
 }
