@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, sharding
+from . import bpe, minhash, mixing, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_minhash": minhash.op5_minhash,
     "op6_sharding": sharding.op6_sharding,
+    "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
 }
 
