@@ -106,7 +106,7 @@ def shingle_sets(docs: DataFrame, picks: DataFrame, id_col: str, text_col: str,
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: `id_col`, n_shingles, class_id (hash of its set), component_id (smallest id linked with it, over any number
+    """One row per document: `id_col`, row_hash (of id and text), n_shingles, class_id (hash of its set), component_id (smallest id linked with it, over any number
     of links, itself included).
 
     Two documents are linked if 100 * intersection >= percent * union of their sets of `words`-word
@@ -150,7 +150,18 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     named = named.join(least, "root").select(F.col("node").alias("set"), "component_id")
     final = keep(classes.join(named, "set", "left").select("set", F.coalesce("component_id", "first_id").alias("component_id")), "components")
     out = made.join(final, "set", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("set").alias("class_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.col("k").alias("row_hash"), F.col("n").alias("n_shingles"), F.col("set").alias("class_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` whose id is that of their component, one of each; repeated rows count once. All columns stay."""
+    found = cluster(docs, id_col, text_col, words, percent)
+    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("row_hash").agg((F.count("*") > 1).alias("repeats"))
+    heads = keep(heads, "heads").withColumnRenamed("row_hash", "_head")
+    packed = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("_hash"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    once = packed.join(heads.where("not repeats"), F.col("_hash") == F.col("_head"), "left_semi")
+    again = packed.join(heads.where("repeats"), F.col("_hash") == F.col("_head"), "left_semi").dropDuplicates(["_hash"])
+    return once.union(again).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

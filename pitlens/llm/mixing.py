@@ -84,20 +84,32 @@ def thresholds(rows: DataFrame, plan: DataFrame, levels: tuple[int, ...] = LEVEL
     return state.drop("_rest")
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(docs[id_col].alias("_id"), docs[source_col].alias("source"), n_words(docs[text_col]).alias("size"), mix_hash(docs[id_col], docs[source_col]).alias("u"))
+
+
+def _copies() -> Column:
+    return F.col("copies") + (F.col("u") < F.col("threshold")).cast("long")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """One row per document: `id_col`, size (its words), source, source_size, target, copies (times it is taken), taken (words).
 
     Null and empty texts have size 0. A null source is one source, the last. Repeated rows share
     their hash and are taken alike. Other columns are left out; an empty table gives an empty one.
     """
-    rows = keep(
-        docs.select(docs[id_col].alias("_id"), docs[source_col].alias("source"), n_words(docs[text_col]).alias("size"), mix_hash(docs[id_col], docs[source_col]).alias("u")),
-        "mix-rows",
-    )
-    plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
-    found = thresholds(rows, plan).withColumnRenamed("source", "_s")
-    taken = F.col("copies") + (F.col("u") < F.col("threshold")).cast("long")
-    return rows.join(found, F.col("source").eqNullSafe(F.col("_s"))).select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.alias("copies"), (taken * F.col("size")).alias("taken"))
+    rows = keep(_rows(docs, id_col, text_col, source_col), "mix-rows")
+    found = thresholds(rows, targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights)).withColumnRenamed("source", "_s")
+    return rows.join(found, F.col("source").eqNullSafe(F.col("_s"))).select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", _copies().alias("copies"), (_copies() * F.col("size")).alias("taken"))
+
+
+def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it; all columns stay, whatever their names."""
+    rows = keep(_rows(docs, id_col, text_col, source_col), "mix-rows")
+    found = thresholds(rows, targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights)).withColumnRenamed("source", "_s")
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[source_col].alias("source"), mix_hash(docs[id_col], docs[source_col]).alias("u"))
+    taken = packed.join(found, F.col("source").eqNullSafe(F.col("_s"))).where(_copies() > 0)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), _copies().cast("int")))).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
