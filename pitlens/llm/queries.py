@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, ordinal, secrets, sharding, substring
+from . import bpe, langid, minhash, mixing, ordinal, perplexity, secrets, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_perplexity": perplexity.op2_perplexity,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_minhash": minhash.op5_minhash,
     "op6_sharding": sharding.op6_sharding,
+    "op7_langid": langid.op7_langid,
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_ordinal": ordinal.op10_ordinal,
