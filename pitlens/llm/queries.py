@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, minhash, mixing, ordinal, perplexity, secrets, sharding, substring
+from . import bpe, langid, minhash, mixing, mtree, ordinal, perplexity, secrets, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secrets.op1_secrets,
     "op2_perplexity": perplexity.op2_perplexity,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_mtree": mtree.op4_mtree,
     "op5_minhash": minhash.op5_minhash,
     "op6_sharding": sharding.op6_sharding,
     "op7_langid": langid.op7_langid,
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_mtree": mtree.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }
