@@ -83,12 +83,10 @@ class Model:
         """Text number, start, letters and language number of each word, by Viterbi over each text's words."""
         text, start, size, script, word, slot = words_of(texts)
         n, k = len(text), len(self.langs)
-        if not n:
-            return text, start, size, text
-        scores = np.zeros((n, k), np.float32)
-        if k:
-            bounds = np.searchsorted(word, np.arange(n))
-            scores = np.add.reduceat(self.trigrams[slot], bounds, axis=0) + np.where(self.allowed[script], 0, -1e4).astype(np.float32)
+        if not n or not k:
+            return text, start, size, np.zeros(n, np.int16)
+        bounds = np.searchsorted(word, np.arange(n))
+        scores = np.add.reduceat(self.trigrams[slot], bounds, axis=0) + np.where(self.allowed[script], 0, -1e4).astype(np.float32)
         count = np.bincount(text, minlength=len(texts))
         first = np.r_[0, np.cumsum(count)[:-1]]
         order = np.argsort(-count, kind="stable")
