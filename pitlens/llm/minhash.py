@@ -7,10 +7,12 @@ coordinate keeps its smallest value and equals that of another set with probabil
 similarity. Large sets are done after a round or so, which makes a sketch cost n + T log T.
 
 Documents of equal set are one class. Classes that share a band of ROWS coordinates are candidates;
-at similarity 0.8 a pair shares none of the 42 bands with probability 3e-6. In each bucket all members are first
-verified against one of them, drawn by hash; then, as most buckets lie within one component by now, what is left
-are pairs of different components in a bucket, and all of these are verified. So hot buckets of
-near copies cost a star, not all pairs, and no candidate link is skipped.
+at similarity 0.8 a pair shares none of the 42 bands with probability 3e-6. Shingles that no other
+candidate has can't be in any intersection, so a count of them bounds the similarity of every pair;
+most false candidates go by that. In each bucket all members are first verified against the one with
+fewest such shingles, the most central of a group of copies; then, as most buckets lie within one component by
+now, what is left are pairs of different components in a bucket, and all of these that the bounds
+admit are verified; the second bound is the count of bits of one set's bitmap that the other's lacks. So hot buckets of near copies cost a star, not all pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -19,13 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import gram_hashes, keep, lower_ascii, mix, read, signed, utf8_slices, word_hashes
 from .graph import components
 
 BANDS, ROWS = 42, 6
+#: 64-bit words of a set's bitmap.
+BITMAP = 32
 #: Hash values made at once while filling a sketch.
 _BLOCK = 4096
 
@@ -92,17 +96,22 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int
 
 
 def shingle_sets(docs: DataFrame, picks: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """set, items (sorted hashes), for `picks` (set, k)."""
+    """set, items (sorted hashes), bits (bitmap of the items), for `picks` (set, k)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items = [shingles(data, words) for data in utf8_slices(batch.column(1))]
             ends = np.cumsum([0, *map(len, items)]).astype(np.int32)
             flat = signed(np.concatenate(items)) if items else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["set", "items"])
+            bits = np.zeros((len(items), BITMAP * 64), bool)
+            for i, one in enumerate(items):
+                bits[i, one % np.uint64(BITMAP * 64)] = True
+            bits = np.packbits(bits, axis=1).view(np.int64).ravel() if len(items) else np.zeros(0, np.int64)
+            starts = pa.array(np.arange(len(items) + 1) * BITMAP, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.ListArray.from_arrays(starts, pa.array(bits))], ["set", "items", "bits"])
 
     texts = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("k"), docs[text_col].alias("text"))
-    return texts.join(picks, "k").select("set", "text").mapInArrow(run, "set long, items array<long>")
+    return texts.join(picks, "k").select("set", "text").mapInArrow(run, "set long, items array<long>, bits array<long>")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -118,12 +127,19 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     full = made.where("n > 0")
     classes = keep(full.groupBy("set").agg(F.min("id").alias("first_id"), F.min("k").alias("k"), F.first("n").alias("n")), "classes")
     members = full.dropDuplicates(["set"]).select("set", "n", F.explode("bands").alias("key"))
-    # xor with the key draws a member at random, alike for all who look
-    drawn = F.col("set").bitwiseXOR(F.col("key"))
-    live = keep(members.groupBy("key").agg(F.min(drawn).alias("lo"), F.max(drawn).alias("hi")).where("lo != hi").select("key", F.col("lo").bitwiseXOR(F.col("key")).alias("leader")), "buckets")
+    live = keep(members.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo != hi").select("key"), "buckets")
     members = keep(members.join(live, "key"), "members")
     picks = members.select("set").distinct().join(classes.select("set", "k"), "set")
     items = keep(shingle_sets(docs, picks, id_col, text_col, words), "sets")
+    # an item of one set only names that set by its largest owner
+    owners = items.select("set", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.max("set").alias("set"))
+    lone = keep(owners.where("c = 1").groupBy("set").agg(F.count("*").alias("lone")), "lone-items")
+    members = members.join(lone, "set", "left").withColumn("m", F.col("n") - F.coalesce("lone", F.lit(0))).where(100 * F.col("m") >= percent * F.col("n")).drop("lone")
+    members = keep(members, "bounded-members")
+    # fewest lone items first; xor with the key draws among equals
+    rank = (F.col("n") - F.col("m")) * (1 << 40) + F.col("set").bitwiseXOR(F.col("key")).bitwiseAND(F.lit((1 << 40) - 1))
+    leaders = members.groupBy("key").agg(F.min_by("set", rank).alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c")
+    members = keep(members.join(keep(leaders, "leaders"), "key"), "led-members")
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = keep(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
@@ -131,18 +147,30 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         common = F.size(F.array_intersect("x", "y"))
         return keep(both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct(), "links")
 
-    near = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    sizes = classes.select(F.col("set").alias("leader"), F.col("n").alias("leader_n"))
-    stars = members.where("set != leader").select("set", "n", "leader").distinct().join(sizes, "leader").where(near(F.col("n"), F.col("leader_n")))
+    def near(a: str, b: str) -> Column:
+        """Whether sets of a.n and b.n items, at most a.m and b.m of them shared with any, can be similar enough."""
+        most = F.least(f"{a}m", f"{b}m")
+        return 100 * most >= percent * (F.col(f"{a}n") + F.col(f"{b}n") - most)
+
+    def apart(a: str, b: str) -> Column:
+        """Items of set a that b can't have, by their bitmaps."""
+        return sum((F.bit_count(F.col(f"{a}bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}bits")[i]))) for i in range(BITMAP)), F.lit(0))
+
+    def close(a: str, b: str) -> Column:
+        most = F.least(F.col(f"{a}n") - apart(a, b), F.col(f"{b}n") - apart(b, a))
+        return 100 * most >= percent * (F.col(f"{a}n") + F.col(f"{b}n") - most)
+
+    sizes = members.where("set = leader").select("leader", F.col("n").alias("ln"), F.col("m").alias("lm")).distinct()
+    stars = members.where("set != leader").select("set", "n", "m", "leader").distinct().join(sizes, "leader").where(near("", "l"))
     links = linked(stars.select(F.col("set").alias("a"), F.col("leader").alias("b")))
     roots = keep(components(links), "roots")
     placed = members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     placed = keep(placed, "placed")
     mixed = keep(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "mixed")
-    placed = keep(placed.join(mixed, "key"), "mixed-members")
+    placed = keep(placed.join(mixed, "key").join(items.select("set", "bits").dropDuplicates(["set"]), "set"), "mixed-members")
     heads = placed.where("set = leader").select("key", F.col("root").alias("head"))
-    odd = placed.join(heads, "key").where("root != head").select("key", F.col("set").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-    rest = odd.join(placed.where("set != leader").select("key", F.col("set").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br")), "key").where((F.col("ar") != F.col("br")) & near(F.col("an"), F.col("bn")))
+    odd = placed.join(heads, "key").where("root != head").select("key", F.col("set").alias("a"), F.col("n").alias("an"), F.col("m").alias("am"), F.col("root").alias("ar"), F.col("bits").alias("abits"))
+    rest = odd.join(placed.where("set != leader").select("key", F.col("set").alias("b"), F.col("n").alias("bn"), F.col("m").alias("bm"), F.col("root").alias("br"), F.col("bits").alias("bbits")), "key").where((F.col("ar") != F.col("br")) & near("a", "b") & close("a", "b"))
     more = linked(rest.select("a", "b"))
     roots = keep(components(links.union(more)), "all-roots")
     named = roots.join(classes.withColumnRenamed("set", "node"), "node").select("node", "root", "first_id")
