@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import features, labels
+from . import features, labels, market
 
-MODULES = [features, labels]
+MODULES = [features, labels, market]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

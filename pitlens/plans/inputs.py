@@ -42,9 +42,27 @@ INPUTS = {
         concat('S', CAST(user_id % 100 AS STRING)) AS symbol, event_type AS source_name, value FROM {events}""",
     "days": """
       SELECT DISTINCT CAST(ts AS DATE) AS bar_date FROM {events} WHERE dayofmonth(CAST(ts AS DATE)) % 7 NOT IN (6, 0)""",
+    "prices_base": """
+      SELECT concat(CASE WHEN l_linenumber % 2 = 0 THEN ' s' ELSE 'S' END, CAST(l_suppkey AS STRING)) AS symbol, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice) AS open, max(l_extendedprice) + 1 AS high,
+        min(l_extendedprice) AS low, min(l_extendedprice) AS close, CAST(sum(l_quantity) AS BIGINT) AS volume, concat('base', CAST(l_linenumber % 2 AS STRING)) AS source_name, CAST(max(l_shipdate) AS TIMESTAMP) AS ingested_at
+      FROM {lineitem} WHERE l_orderkey % 3 <> 0 GROUP BY l_suppkey, CAST(l_shipdate AS DATE), l_linenumber % 2""",
+    "prices_preferred": """
+      SELECT concat('S', CAST(l_suppkey AS STRING)) AS symbol, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice) + 2 AS open, max(l_extendedprice) + 3 AS high,
+        min(l_extendedprice) AS low, min(l_extendedprice) + 1 AS close, CAST(sum(l_quantity) AS BIGINT) AS volume, 'preferred' AS source_name, CAST(max(l_shipdate) AS TIMESTAMP) AS ingested_at
+      FROM {lineitem} WHERE l_orderkey % 3 = 0 GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
+    "raw_bars": """
+      SELECT CASE WHEN l_orderkey % 97 = 0 THEN '  ' ELSE concat(' s', CAST(l_suppkey AS STRING)) END AS symbol, l_orderkey * 10 + l_linenumber AS bar_id, CAST(l_shipdate AS DATE) AS price_date, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_extendedprice END AS open,
+        CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice + l_quantity - 5 END AS high, l_extendedprice - l_tax * 100 AS low, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice - 1 END AS close,
+        CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS volume FROM {lineitem}""",
+    "candidates": """
+      SELECT s_suppkey, concat(' s', CAST(s_suppkey % 60 AS STRING)) AS symbol, concat(s_name, CASE s_suppkey % 9 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Holdings Corp' WHEN 2 THEN ' ETF Trust' WHEN 3 THEN ' Group Ltd ADR'
+        WHEN 4 THEN ' Warrant' WHEN 5 THEN ' Preferred' WHEN 6 THEN ' Units' WHEN 7 THEN ' Rights' ELSE ' Company' END) AS company_name, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE lpad(CAST(s_suppkey % 70 AS STRING), 10, '0') END AS cik,
+        CASE s_nationkey % 6 WHEN 0 THEN 'NasdaqGS' WHEN 1 THEN 'New York' WHEN 2 THEN 'OTCQX' WHEN 3 THEN ' nyse-american ' WHEN 4 THEN 'NYSE' ELSE NULL END AS exchange_raw,
+        CASE s_suppkey % 5 WHEN 0 THEN 'Common Stock' WHEN 1 THEN 'ETF' WHEN 2 THEN NULL ELSE 'Common Stock' END AS security_type_raw,
+        CASE WHEN s_suppkey % 2 = 0 THEN 'sec_tickers' ELSE 'nasdaq_listed' END AS source_name, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * (s_suppkey % 3) AS DATE) AS as_of_date, s_acctbal FROM {supplier}""",
+    "provider_symbols": """
+      SELECT p_partkey, concat(upper(substr(p_name, 1, 3)), CASE p_partkey % 9 WHEN 0 THEN '.B' WHEN 1 THEN '-W' WHEN 2 THEN '.RT' WHEN 3 THEN '$C' WHEN 4 THEN '-UN' WHEN 5 THEN '.PA' WHEN 6 THEN '' WHEN 7 THEN '/B' ELSE 'X ' END) AS symbol FROM {part}""",
 }
-#: Inputs built on other inputs.
-NEEDS = {k: [] for k in INPUTS}
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
