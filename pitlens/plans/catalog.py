@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import backtest, features, labels, market
+from . import backtest, company, features, labels, market
 
-MODULES = [features, labels, market, backtest]
+MODULES = [features, labels, market, backtest, company]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -60,6 +60,17 @@ INPUTS = {
         CASE s_nationkey % 6 WHEN 0 THEN 'NasdaqGS' WHEN 1 THEN 'New York' WHEN 2 THEN 'OTCQX' WHEN 3 THEN ' nyse-american ' WHEN 4 THEN 'NYSE' ELSE NULL END AS exchange_raw,
         CASE s_suppkey % 5 WHEN 0 THEN 'Common Stock' WHEN 1 THEN 'ETF' WHEN 2 THEN NULL ELSE 'Common Stock' END AS security_type_raw,
         CASE WHEN s_suppkey % 2 = 0 THEN 'sec_tickers' ELSE 'nasdaq_listed' END AS source_name, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * (s_suppkey % 3) AS DATE) AS as_of_date, s_acctbal FROM {supplier}""",
+    "filing_index": """
+      SELECT CAST(o_custkey % 50 + 1 AS STRING) AS cik, concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CASE o_orderstatus WHEN 'F' THEN '10-K' ELSE '10-Q' END AS form_type,
+        CAST(o_orderdate AS DATE) AS filing_date, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS accepted_at, o_orderkey FROM {orders}""",
+    "companies": """
+      SELECT lpad(CAST(s_suppkey % 50 + 1 AS STRING), 10, '0') AS cik, concat('CO:', CAST(min(s_suppkey) AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 50 <> 7 GROUP BY s_suppkey % 50""",
+    "facts": """
+      SELECT concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CAST(o_custkey % 50 + 1 AS STRING) AS cik, ' US-GAAP' AS taxonomy,
+        CASE o_orderkey % 8 WHEN 0 THEN 'Revenues' WHEN 1 THEN ' Assets ' WHEN 2 THEN 'StockholdersEquity' WHEN 3 THEN 'NetIncomeLoss' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'ProfitLoss' WHEN 6 THEN '' ELSE 'Other' END AS concept,
+        'USD' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, CAST(NULL AS DATE) AS period_start_date, ' ' AS frame, o_totalprice AS value_numeric, CAST(o_orderdate AS TIMESTAMP) AS ingested_at, o_orderkey FROM {orders}""",
+    "references": """
+      SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN 'value click' WHEN s_suppkey % 3 = 1 THEN 'view' ELSE 'and' END AS phrase FROM {supplier}""",
     "provider_symbols": """
       SELECT p_partkey, concat(upper(substr(p_name, 1, 3)), CASE p_partkey % 9 WHEN 0 THEN '.B' WHEN 1 THEN '-W' WHEN 2 THEN '.RT' WHEN 3 THEN '$C' WHEN 4 THEN '-UN' WHEN 5 THEN '.PA' WHEN 6 THEN '' WHEN 7 THEN '/B' ELSE 'X ' END) AS symbol FROM {part}""",
 }
@@ -70,4 +81,4 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ctes(*names: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', INPUTS[n])})" for n in names)
+    return "WITH " + ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', INPUTS[n])})" for n in names)
\ No newline at end of file
