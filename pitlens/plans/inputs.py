@@ -71,6 +71,10 @@ INPUTS = {
         'USD' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, CAST(NULL AS DATE) AS period_start_date, ' ' AS frame, o_totalprice AS value_numeric, CAST(o_orderdate AS TIMESTAMP) AS ingested_at, o_orderkey FROM {orders}""",
     "references": """
       SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN 'value click' WHEN s_suppkey % 3 = 1 THEN 'view' ELSE 'and' END AS phrase FROM {supplier}""",
+    "snapshots": """
+      SELECT concat('S', CAST(k AS STRING)) AS symbol, CASE WHEN k % 6 = 0 THEN NULL ELSE lpad(CAST(k % 80 AS STRING), 10, '0') END AS cik, concat('Company ', CAST(k % 80 AS STRING), CASE WHEN as_of_date >= DATE '2000-01-01' AND k % 4 = 0 THEN ' New' ELSE '' END) AS company_name,
+        CASE WHEN k % 5 = 0 AND as_of_date >= DATE '1998-01-01' THEN 'NYSE' WHEN k % 13 = 0 THEN 'OTC' ELSE 'NASDAQ' END AS exchange, CASE WHEN k % 7 = 0 AND as_of_date >= DATE '1999-01-01' THEN 'ADR' ELSE 'COMMON_STOCK' END AS security_type, as_of_date, ingested_at
+      FROM (SELECT o_custkey % 90 AS k, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS as_of_date, CAST(max(o_orderdate) AS TIMESTAMP) AS ingested_at FROM {orders} WHERE o_orderkey % 10 = o_custkey % 10 GROUP BY 1, 2) x""",
     "provider_symbols": """
       SELECT p_partkey, concat(upper(substr(p_name, 1, 3)), CASE p_partkey % 9 WHEN 0 THEN '.B' WHEN 1 THEN '-W' WHEN 2 THEN '.RT' WHEN 3 THEN '$C' WHEN 4 THEN '-UN' WHEN 5 THEN '.PA' WHEN 6 THEN '' WHEN 7 THEN '/B' ELSE 'X ' END) AS symbol FROM {part}""",
 }
