@@ -127,7 +127,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     full = made.where("n > 0")
     classes = keep(full.groupBy("set").agg(F.min("id").alias("first_id"), F.min("k").alias("k"), F.first("n").alias("n")), "classes")
     members = full.dropDuplicates(["set"]).select("set", "n", F.explode("bands").alias("key"))
-    live = keep(members.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo != hi").select("key"), "buckets")
+    live = keep(members.select("key").groupBy("key").count().where("count > 1").select("key"), "buckets")
     members = keep(members.join(live, "key"), "members")
     picks = members.select("set").distinct().join(classes.select("set", "k"), "set")
     items = keep(shingle_sets(docs, picks, id_col, text_col, words), "sets")
