@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import backtest, company, features, labels, market, universe
+from . import backtest, company, features, files, labels, market, universe
 
-MODULES = [features, labels, market, backtest, company, universe]
+MODULES = [features, labels, market, backtest, company, universe, files]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

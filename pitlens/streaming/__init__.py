@@ -1 +1 @@
-
+"""Incremental builds: watermarks over batches, and a stream of new files."""
