@@ -24,11 +24,12 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, rig
 
 
 def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str, left_known: str, right_time: str, right_known: str) -> DataFrame:
-    """The latest right row by (`right_time`, `right_known`) with both not later than the left row's times. Left rows without a match stay."""
+    """The latest right row by (`right_time`, `right_known`), then its other columns in their order, with both times not later than the left
+    row's. Left rows without a match stay."""
     payload = [c for c in right.columns if c != key]
     l, r = left.withColumn("_row", F.struct(*left.columns)), right
     cond = (l[key] == r[key]) & (r[right_time] <= l[left_time]) & (r[right_known] <= l[left_known])
-    best = l.join(r, cond).groupBy("_row").agg(F.max_by(F.struct(*(r[c] for c in payload)), F.struct(r[right_time], r[right_known])).alias("_right"))
+    best = l.join(r, cond).groupBy("_row").agg(F.max_by(F.struct(*(r[c] for c in payload)), F.struct(r[right_time], r[right_known], *(r[c] for c in payload if c not in (right_time, right_known)))).alias("_right"))
     return l.join(best.withColumnRenamed("_row", "_key"), F.col("_row").eqNullSafe(F.col("_key")), "left").select("_row.*", *(F.col("_right").getField(c).alias(f"r_{c}" if c in left.columns else c) for c in payload))
 
 

@@ -9,7 +9,7 @@ from ..operators import backtest as b
 from ..operators import features as f
 from ..operators import labels as l
 from ..operators import shorts as h
-from .features import BASE, TREND, places, rounded
+from .features import BASE, TREND, VOLATILITY, places, rounded
 from .inputs import ctes, frame
 from .labels import SPLIT, manifest
 
@@ -114,6 +114,10 @@ TEST = SIG + f""", fw AS (SELECT symbol, bar_date, lead(adj_close) OVER (PARTITI
 ts AS (SELECT * FROM (SELECT s.*, CASE WHEN raw IS NOT NULL THEN greatest(least(raw, 0.9), -0.9) END AS fwd_return_1d, CASE {_PART} END AS partition_name FROM sg s JOIN fw ON fw.symbol = s.symbol AND fw.bar_date = s.as_of_date) q WHERE partition_name IS NOT NULL)"""
 
 
+def _z(column: str) -> str:
+    return f"(({column} - avg({column}) OVER (PARTITION BY as_of_date)) / nullif(stddev_samp({column}) OVER (PARTITION BY as_of_date), 0))"
+
+
 def cross(f_: str, s_: str) -> str:
     return f"CASE WHEN {f_} IS NOT NULL AND {s_} IS NOT NULL THEN CAST({f_} > {s_} AS DOUBLE) END"
 
@@ -141,6 +145,9 @@ ORACLES = {
     "B8_signal_performance": f"{TEST} SELECT 'cross' AS backtest_name, partition_name, count(*) AS n_obs FROM ts WHERE fwd_return_1d IS NOT NULL GROUP BY partition_name",
     "B9_decile_long_short": f"{S1}, {_LS} SELECT as_of_date, {r('long', 'short')}, round(long - short, 6) + 0.0 AS long_short FROM dl",
     "B10_zscore_reversal": f"{S1}, {_LS}, x AS (SELECT short - long AS ls FROM dl) SELECT count(ls) AS days, round(avg(ls), 6) + 0.0 AS mean_ls, round(avg(ls) / nullif(stddev_samp(ls), 0), 6) + 0.0 AS sharpe_ls FROM x",
+    "B11_multifactor_alpha": sc(1) + f""", {BASE}, {VOLATILITY}, sv AS (SELECT symbol, trade_date, sum(short_volume) / nullif(sum(total_volume), 0) AS q FROM short_volume GROUP BY symbol, trade_date),
+mf AS (SELECT s.symbol, s.as_of_date, s.target_return, s.score AS a, v.volatility_20d AS b, sv.q AS c FROM scored s JOIN volatility v ON v.symbol = s.symbol AND v.as_of_date = s.as_of_date JOIN sv ON sv.symbol = s.symbol AND sv.trade_date = s.as_of_date WHERE s.score IS NOT NULL AND s.target_return IS NOT NULL AND v.volatility_20d IS NOT NULL AND sv.q IS NOT NULL),
+mz AS (SELECT symbol, as_of_date, target_return, {_z('c')} - {_z('a')} - {_z('b')} AS score FROM mf)""" + section("mz", 0.2) + f", {_LS} SELECT as_of_date, {r('long', 'short')}, round(long - short, 6) + 0.0 AS long_short FROM dl",
     "B12_alpha_weighted": f"{S1} SELECT as_of_date, round(sum(al * target_return) / nullif(sum(abs(al)), 0), 6) + 0.0 AS long_short FROM cs GROUP BY as_of_date",
     "B13_zscore_weighted_buckets": f"{S1}, x AS (SELECT as_of_date, sum(CASE WHEN down <= k THEN z * target_return END) / nullif(sum(CASE WHEN down <= k THEN abs(z) END), 0) AS long, sum(CASE WHEN up <= k THEN z * target_return END) / nullif(sum(CASE WHEN up <= k THEN abs(z) END), 0) AS short FROM cs GROUP BY as_of_date) SELECT as_of_date, {r('long', 'short')}, round(long - short, 6) + 0.0 AS long_short FROM x",
     "B14_ranker_portfolio": S1 + ", sd AS (SELECT *, CASE WHEN down <= k THEN 1 WHEN up <= k THEN -1 END AS side FROM cs), s2 AS (SELECT *, greatest(z * side, 0) AS part FROM sd WHERE side IS NOT NULL), book AS (SELECT as_of_date, symbol, target_return, side * part / (sum(part) OVER (PARTITION BY as_of_date, side) + 1e-9) AS weight FROM s2)" + turn("book") + f""", dd AS (SELECT b.as_of_date, count(*) AS selected_count, sum(weight * target_return) AS gross, avg(CASE WHEN weight * target_return > 0 THEN 1.0 ELSE 0.0 END) AS hit_rate FROM book b GROUP BY b.as_of_date), d2 AS (SELECT dd.*, turnover, gross - turnover * 10 / 10000 AS net FROM dd JOIN tv ON tv.as_of_date = dd.as_of_date) SELECT as_of_date, selected_count, {r('gross', 'hit_rate', 'turnover', 'net')} FROM d2""",

@@ -141,4 +141,12 @@ ORACLES = {
     "A6_news_daily": f"{NEWS}, x AS (SELECT instrument_id, effective_date, count(*) AS a, count(DISTINCT cluster_id) AS c FROM wi WHERE effective_date IS NOT NULL GROUP BY instrument_id, effective_date) SELECT effective_date, CAST(sum(a) AS BIGINT) AS articles, max(c) AS clusters FROM x GROUP BY effective_date",
     "N7_news_enrichment_placeholder": f"{NEWS} SELECT article_id, 'neutral' AS sentiment_label, 0.0::DOUBLE AS sentiment_score, 'none' AS model_name FROM id",
     "N8_news_links_calendar_day": f"{NEWS} SELECT instrument_id, CAST(published_at AS DATE) AS event_date, CAST(CAST(published_at AS DATE) + INTERVAL '1' DAY AS DATE) AS window_end, count(DISTINCT article_id) AS article_count, count(DISTINCT cluster_id) AS cluster_count FROM li GROUP BY ALL",
+    "F25_research_features_pit": NEWS.replace("WITH ", ctes("bars", "universe", "fundamentals", "short_volume") + ", ", 1) + f""",
+      {BASE.replace('FROM bars b', 'FROM (SELECT * FROM bars WHERE symbol IN (SELECT symbol FROM universe WHERE include_in_universe)) b')},
+      mv AS (SELECT *, greatest(coalesce(adj_close - prev, 0), 0) AS gain, greatest(coalesce(prev - adj_close, 0), 0) AS loss FROM base), st AS (SELECT *, avg(adj_close) {over(20)} AS a, avg(gain) {over(14)} AS g, avg(loss) {over(14)} AS l FROM mv),
+      te AS (SELECT *, adj_close / nullif(a, 0) - 1 AS close_to_sma_20, {RSI.format(g='g', l='l')} AS rsi_14 FROM st),
+      fu AS (SELECT * FROM (SELECT te.symbol, te.as_of_date, u.filing, u.revenue, row_number() OVER (PARTITION BY te.symbol, te.as_of_date ORDER BY u.effective_as_of_date DESC, u.available_at DESC, u.period_end_date DESC, u.filing DESC) AS k FROM te JOIN fundamentals u ON u.company_id = te.company_id AND u.effective_as_of_date <= te.as_of_date) q WHERE k = 1),
+      sv AS (SELECT symbol, trade_date, sum(short_volume) / nullif(sum(total_volume), 0) AS short_volume_ratio FROM short_volume GROUP BY symbol, trade_date), nw AS (SELECT instrument_id, effective_date, count(*) AS article_count FROM wi WHERE effective_date IS NOT NULL GROUP BY instrument_id, effective_date)
+      SELECT te.symbol, te.as_of_date, {r('close_to_sma_20', 'rsi_14')}, fu.filing, round(fu.revenue, 6) + 0.0 AS revenue, round(sv.short_volume_ratio, 9) + 0.0 AS short_volume_ratio, nw.article_count
+      FROM te LEFT JOIN fu ON fu.symbol = te.symbol AND fu.as_of_date = te.as_of_date LEFT JOIN sv ON sv.symbol = te.symbol AND sv.trade_date = te.as_of_date LEFT JOIN nw ON nw.instrument_id = te.instrument_id AND nw.effective_date = te.as_of_date""",
 }

@@ -9,8 +9,8 @@ from ..operators import features as f
 from .inputs import ctes, frame
 
 
-#: Prices are quotients of short decimals; nine places keep them clear of ties.
-PRICES = {"adj_close", "adj_open", "adj_high", "adj_low", "close", "latest_close"}
+#: Prices and ratios are quotients of short decimals; nine places keep them clear of ties.
+PRICES = {"adj_close", "adj_open", "adj_high", "adj_low", "close", "latest_close", "open", "high", "low", "short_interest_pct_float", "short_volume_ratio", "short_volume_ratio_20d_avg", "short_volume_20d_avg", "days_to_cover", "short_interest_change_pct"}
 
 
 def places(column: str) -> int:

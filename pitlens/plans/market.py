@@ -146,7 +146,7 @@ daily AS (SELECT symbol, trade_date AS as_of_date, sum(short_volume) AS short_vo
 rat AS (SELECT *, CASE WHEN total_volume > 0 THEN short_volume / total_volume END AS short_volume_ratio FROM daily),
 roll AS (SELECT *, {w20('short_volume')} AS short_volume_20d_avg, {w20('short_volume_ratio')} AS short_volume_ratio_20d_avg, {w20('short_volume_ratio', 'stddev_samp')} AS short_volume_ratio_20d_std FROM rat),
 si AS (SELECT * FROM (SELECT *, short_interest / nullif(avg_daily_volume, 0) AS days_to_cover, CAST(short_interest AS DOUBLE) / nullif(shares_float, 0) AS short_interest_pct_float, row_number() OVER (PARTITION BY symbol, settlement_date, source_file ORDER BY ingested_at DESC NULLS LAST) AS rk FROM short_interest) q WHERE rk = 1),
-jn AS (SELECT * FROM (SELECT d.*, s.short_interest, s.previous_short_interest, s.days_to_cover, row_number() OVER (PARTITION BY d.symbol, d.as_of_date ORDER BY s.settlement_date DESC NULLS LAST, s.ingested_at DESC NULLS LAST) AS rk FROM roll d LEFT JOIN si s ON s.symbol = d.symbol AND s.settlement_date <= d.as_of_date AND s.ingested_at <= d.max_source_available_at) q WHERE rk = 1),
+jn AS (SELECT * FROM (SELECT d.*, s.short_interest, s.previous_short_interest, s.days_to_cover, row_number() OVER (PARTITION BY d.symbol, d.as_of_date ORDER BY s.settlement_date DESC NULLS LAST, s.ingested_at DESC NULLS LAST, s.short_interest DESC NULLS LAST, s.previous_short_interest DESC NULLS LAST, s.avg_daily_volume DESC NULLS LAST) AS rk FROM roll d LEFT JOIN si s ON s.symbol = d.symbol AND s.settlement_date <= d.as_of_date AND s.ingested_at <= d.max_source_available_at) q WHERE rk = 1),
 zs AS (SELECT *, (days_to_cover - {w20('days_to_cover', keys="symbol, date_trunc('month', as_of_date)")}) / nullif({w20('days_to_cover', 'stddev_samp', "symbol, date_trunc('month', as_of_date)")}, 0) AS days_to_cover_zscore, (short_volume_ratio - short_volume_ratio_20d_avg) / nullif(short_volume_ratio_20d_std, 0) AS short_pressure_zscore,
   CAST(short_interest - previous_short_interest AS DOUBLE) / nullif(previous_short_interest, 0) AS short_interest_change_pct FROM jn),
 sf AS (SELECT *, CASE WHEN days_to_cover IS NOT NULL OR short_volume_ratio IS NOT NULL THEN coalesce(short_pressure_zscore, 0) + coalesce(days_to_cover_zscore, 0) END AS short_squeeze_score FROM zs)"""
@@ -184,10 +184,10 @@ ORACLES = {
     "C1_effective_prices": f"{EFFECTIVE} SELECT symbol, price_date, {r('close')}, volume, source_name FROM eff",
     "C2_best_available_source": f"{EFFECTIVE} SELECT symbol, price_date, close, volume, source_name FROM prices_preferred",
     "C3_filter_universe_prices": f"{EFFECTIVE} SELECT symbol, count(*) AS n, max(price_date) AS last_date FROM eff WHERE symbol IN (SELECT symbol FROM universe WHERE include_in_universe) GROUP BY symbol",
-    "C4_price_bars": f"{EFFECTIVE} SELECT i.instrument_id, e.symbol, price_date AS bar_date, open AS adj_open, high AS adj_high, low AS adj_low, close AS adj_close, volume, CAST(1.0 AS DOUBLE) AS adjustment_factor FROM eff e LEFT JOIN instruments i ON i.symbol = e.symbol",
+    "C4_price_bars": f"{EFFECTIVE} SELECT i.instrument_id, e.symbol, price_date AS bar_date, round(open, 9) + 0.0 AS adj_open, round(high, 9) + 0.0 AS adj_high, round(low, 9) + 0.0 AS adj_low, round(close, 9) + 0.0 AS adj_close, volume, CAST(1.0 AS DOUBLE) AS adjustment_factor FROM eff e LEFT JOIN instruments i ON i.symbol = e.symbol",
     "C5_price_quality_flags": f"{EFFECTIVE}, x AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY price_date), 0) - 1 AS ch FROM eff) SELECT symbol, price_date, 'extreme_return' AS flag FROM x WHERE abs(ch) > 0.8 UNION ALL SELECT symbol, price_date, 'close_not_positive' FROM x WHERE close <= 0 UNION ALL SELECT symbol, price_date, 'negative_volume' FROM x WHERE volume < 0 UNION ALL SELECT symbol, price_date, 'high_below_low' FROM x WHERE high < low",
     "C6_price_latest": f"{EFFECTIVE} SELECT symbol, max(price_date) AS latest_price_date, max_by(close, price_date) AS close, max_by(volume, price_date) AS volume, max_by(source_name, price_date) AS source_name FROM eff GROUP BY symbol",
-    "C7_price_history_compat": f"{EFFECTIVE} SELECT * FROM eff",
+    "C7_price_history_compat": f"{EFFECTIVE} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, source_name, ingested_at FROM eff",
     "C8_permanent_failures": f"{ctes('articles')} SELECT symbol FROM articles GROUP BY symbol HAVING count(*) >= 2 AND max(published_at) >= TIMESTAMP '2024-01-24 00:00:00' AND max(CASE WHEN source_name = 'error' THEN 'No Data found' ELSE 'timeout' END) = 'No Data found'",
     "U19_symbols_needing_refresh": f"{EFFECTIVE}, x AS (SELECT u.symbol, max(price_date) AS last_price_date FROM (SELECT DISTINCT symbol FROM universe) u LEFT JOIN eff e ON e.symbol = u.symbol GROUP BY u.symbol) SELECT * FROM x WHERE last_price_date IS NULL OR last_price_date < DATE '2001-10-15'",
     "U20_refresh_window": f"{_COUNTS}, st AS (SELECT max(price_date) AS last, max(CASE WHEN is_complete THEN price_date END) AS done, DATE '2001-11-09' AS e FROM pc), fr AS (SELECT *, CASE WHEN last > coalesce(done, DATE '1900-01-01') THEN last ELSE CAST(done + INTERVAL '1' DAY AS DATE) END AS f FROM st) SELECT CASE WHEN f > e THEN 'up_to_date' WHEN f = last THEN 'partial_latest' ELSE 'catch_up' END AS action, CASE WHEN f <= e THEN greatest(f, CAST(e - INTERVAL '30' DAY AS DATE)) END AS start_date, CASE WHEN f <= e THEN e END AS end_date FROM fr",
