@@ -36,4 +36,4 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_all_queries_are_named():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
-    assert len(catalog.QUERIES) > 190
+    assert len(catalog.QUERIES) > 180
