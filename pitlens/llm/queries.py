@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, minhash, mixing, mtree, ordinal, perplexity, secrets, sharding, substring
+from . import bpe, langid, minhash, mixing, mtree, oracles, ordinal, perplexity, secrets, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secrets.op1_secrets,
@@ -23,5 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_mtree": mtree.ORACLE,
+    "op5_minhash": oracles.NEAR_DUPLICATES,
+    "op8_substring": oracles.PASSAGES,
     "op9_mixing": mixing.ORACLE,
 }
