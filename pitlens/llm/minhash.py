@@ -184,11 +184,14 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose id is that of their component, one of each; repeated rows count once. All columns stay."""
     found = cluster(docs, id_col, text_col, words, percent)
-    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("row_hash").agg((F.count("*") > 1).alias("repeats"))
-    heads = keep(heads, "heads").withColumnRenamed("row_hash", "_head")
+    head = F.col(id_col).eqNullSafe(F.col("component_id"))
+    # what goes is far less than what stays
+    marked = found.groupBy("row_hash").agg(F.bool_or(head).alias("head"), F.count("*").alias("c")).where("not head or c > 1")
+    marked = keep(marked.select(F.col("row_hash").alias("_mark"), "head"), "marked")
     packed = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("_hash"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    once = packed.join(heads.where("not repeats"), F.col("_hash") == F.col("_head"), "left_semi")
-    again = packed.join(heads.where("repeats"), F.col("_hash") == F.col("_head"), "left_semi").dropDuplicates(["_hash"])
+    same = F.col("_hash") == F.col("_mark")
+    once = packed.join(marked, same, "left_anti")
+    again = packed.join(marked.where("head"), same, "left_semi").dropDuplicates(["_hash"])
     return once.union(again).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
