@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ from .common import read
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters after which a long text is cut at the next safe boundary.
 CHUNK = 50_000
-#: Texts of one output batch hold about so many characters.
-BATCH_CHARS = 4_000_000
+#: Texts of one output batch hold about so many bytes, or ids.
+BATCH_CHARS = 1_000_000
 _SAFE = re.compile(r"(?<=\S)(?=[ \n\t\r])|(?<=[A-Za-z])(?=[!-@])")
 
 
@@ -73,9 +74,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _slices([len(t or "") for t in texts], BATCH_CHARS):
-                ids = [encode_text(t, ranks, pattern, chunk) for t in texts[a:b]]
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for a, b in _slices(sizes, BATCH_CHARS):
+                ids = [encode_text(t, ranks, pattern, chunk) for t in batch.column(1).slice(a, b - a).to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), tokens], ["id", "token_ids"])
