@@ -1,12 +1,18 @@
-"""Quality rules: text counts, and perplexity under a modified Kneser-Ney model of each language.
+"""Quality rules: text counts, and perplexity under word pairs over a modified Kneser-Ney model of each language.
 
-The model is over trigrams of 64 symbols: case-folded letters, marks, and bins for letters beyond
+The spelling model is over trigrams of 64 symbols: case-folded letters, marks, and bins for letters beyond
 ASCII, so a language has at most 64**3 of them however large the corpus is. Spark counts them over
 all documents; the smoothed log probabilities and back-off weights are stored in arrays sorted by hash.
 A text is scored in blocks of BLOCK symbols, each under the language that fits it best, so a mixed text isn't
 noise. Its excess over the mean surprise of these languages, in standard errors for its length, is
 compared with a band of its own language, drawn around the median by the robust spread of all its
 documents; it is rejected above (noise) or below (repetition) the band.
+
+The spelling model is the base of a model of word pairs, which grows with the corpus: P(v after u) =
+(c(u, v) + PRIOR * spelling(v)) / (c(u) + PRIOR), c being counts over all other documents, of words told apart by
+all their letters. Its log ratio to the spelling model is a sum of terms of pairs and of terms of words, so each
+hash partition counts its share of both and adds its terms up by document. What a text gains by this, per
+symbol, is compared with a second band, and the text is rejected if it gains too little (word salad). Copies gain much, which is no fault.
 """
 
 from collections.abc import Iterator
@@ -16,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, keep, mix, read, utf8_slices, word_hashes
+from .common import gram_hashes, keep, mix, read, signed, utf8_slices, word_hashes
 
 SYMBOLS = 64
 _BITS = 6
@@ -26,6 +32,8 @@ UPPER, LOWER = 4.5, 6.0
 #: Standard deviation between texts of any length; least robust spread of the standardized excess.
 BETWEEN, LEAST_SPREAD = 0.01, 0.25
 MIN_WORDS, WINDOW, MAX_REPEAT = 10, 5, 20
+#: Pseudo count of the spelling model after each word; variance of the gain of one symbol; symbols in a hash partition.
+PRIOR, GAIN_VARIANCE, SHARE = 200.0, 1.0, 1 << 24
 
 
 def _table() -> np.ndarray:
@@ -44,9 +52,13 @@ _ASCII = _table()
 _MARKS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def symbols(text: str) -> np.ndarray:
     """Symbols of a text after two of the start, which is 0."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = code_points(text)
     out = np.zeros(len(codes) + 2, np.int32)
     out[2:] = np.where(codes < 128, _ASCII[np.minimum(codes, 127)], 46 + ((codes * np.uint32(2654435761)) >> np.uint32(16)) % 18)
     return out
@@ -152,8 +164,8 @@ def kneser_ney(gram: np.ndarray, count: np.ndarray) -> Model:
 class Mixture:
     """Models of several languages, the mean and variance of each one's surprise in its own texts."""
 
-    def __init__(self, models: dict[str, Model], mean: np.ndarray, variance: np.ndarray):
-        self.langs, self.models, self.mean, self.variance = list(models), list(models.values()), mean, variance
+    def __init__(self, models: dict[str, Model], mean: np.ndarray, variance: np.ndarray, n_symbols: int = 0):
+        self.langs, self.models, self.mean, self.variance, self.n_symbols = list(models), list(models.values()), mean, variance, n_symbols
 
     def tables(self) -> np.ndarray:
         """Surprise of all trigrams by language, looked up in the hash arrays."""
@@ -197,11 +209,139 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mi
         surprise = models[lang].surprise(gram)
         mean.append(np.average(surprise, weights=n))
         variance.append(np.average(surprise**2, weights=n) - mean[-1] ** 2)
-    return Mixture(models, np.array(mean), np.array(variance))
+    return Mixture(models, np.array(mean), np.array(variance), int(counts["n"].sum()))
+
+
+def pairs(text: str, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text: hashes, counts and spelling surprise (of the second word, once a pair) of its word pairs, hashes and counts of their first words."""
+    hashes, starts, _ = word_hashes(code_points(text))
+    if len(hashes) < 2:
+        none = np.zeros(0, np.uint64)
+        return none, none, none.astype(np.float32), none, none
+    logp = -np.add.reduceat(tables[:, grams(text)], starts, axis=1)[:, 1:]
+    base = -np.logaddexp.reduce(logp, axis=0) + np.log(len(logp))
+    pair, at, n = np.unique(gram_hashes(hashes, 2), return_index=True, return_counts=True)
+    first, times = np.unique(hashes[:-1], return_counts=True)
+    return pair, n, base[at], first, times
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length in one buffer: 6 bytes of hashes (the partition tells more), others byte by byte, which compresses well."""
+    out = []
+    for a in arrays:
+        if a.dtype == np.uint64:
+            out.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes())
+        else:
+            out.append(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes())
+    return b"".join(out)
+
+
+def _unpack(data: bytes, kinds: list) -> list[np.ndarray]:
+    data = np.frombuffer(data, np.uint8)
+    width = [6 if k == np.uint64 else np.dtype(k).itemsize for k in kinds]
+    n, out = len(data) // sum(width), []
+    for k, w in zip(kinds, width):
+        part, data = data[: n * w], data[n * w :]
+        if k == np.uint64:
+            whole = np.zeros((n, 8), np.uint8)
+            whole[:, :6] = part.reshape(n, 6)
+        else:
+            whole = np.ascontiguousarray(part.reshape(w, n).T)
+        out.append(whole.ravel().view(k))
+    return out
+
+
+_PAIR, _FIRST = [np.uint64, np.float16, np.uint16, np.uint32], [np.uint64, np.uint16, np.uint32]
+_SENT = "p int, kind int, batch long, size int, data binary"
+
+
+def gains(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """k (hash of id and text), gain and n: what word pairs gain on spelling in the texts with this hash, in nats, and their pairs.
+
+    Every batch of texts sends its hashes by partition; each partition counts its pairs and words over all batches, less
+    a document's own, and returns sums by document.
+    """
+    parts = max(1, -(-mixture.n_symbols // SHARE))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = mixture.tables() if mixture.models else None
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                found = [pairs(t or "", tables) if tables is not None else pairs("", None) for t in batch.column(1).to_pylist()]
+                words = np.array([int(f[1].sum()) for f in found], np.int64)
+                name = int(signed(mix(np.array([mix(keys.view(np.uint64)).sum(dtype=np.uint64)], np.uint64)))[0])
+                out = [(-1, 0, name, len(keys), keys.tobytes() + words.tobytes())]
+                for kind, (h, n, base) in enumerate(((0, 1, 2), (3, 4, None))):
+                    hashes, times = (np.concatenate([f[i] for f in found]) for i in (h, n))
+                    doc = np.repeat(np.arange(len(found), dtype=np.uint16), [len(f[h]) for f in found])
+                    part = (hashes >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)
+                    order = np.argsort(part, kind="stable")
+                    edge = np.searchsorted(part[order], np.arange(parts + 1))
+                    base = np.concatenate([f[base] for f in found]).astype(np.float16) if base is not None else None
+                    for p in range(parts):
+                        at = order[edge[p] : edge[p + 1]]
+                        if len(at):
+                            sent = [np.diff(doc[at], prepend=np.uint16(0)), times[at].astype(np.uint32)]
+                            out.append((p, kind, name, len(keys), _pack(hashes[at], *([base[at]] if base is not None else []), *sent)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["p", "kind", "batch", "size", "data"])
+
+    def add(table: pa.Table) -> pa.Table:
+        if not table.num_rows or table.column("p")[0].as_py() < 0:
+            return table
+        names, place = np.unique(table.column("batch").to_numpy(), return_inverse=True)
+        sizes = np.zeros(len(names), np.int64)
+        sizes[place] = table.column("size").to_numpy()
+        first = np.r_[0, np.cumsum(sizes)]
+        total = np.zeros(first[-1])
+        for kind, kinds in enumerate((_PAIR, _FIRST)):
+            rows = np.flatnonzero(table.column("kind").to_numpy() == kind)
+            if not len(rows):
+                continue
+            blocks = [_unpack(table.column("data")[int(r)].as_py(), kinds) for r in rows]
+            hashes = np.concatenate([b[0] for b in blocks])
+            times = np.concatenate([b[-1] for b in blocks])
+            doc = np.concatenate([np.cumsum(b[-2], dtype=np.int64) + first[place[r]] for r, b in zip(rows, blocks)])
+            order = np.argsort(hashes)
+            new = np.r_[True, np.diff(hashes[order]) != 0]
+            count = np.add.reduceat(times[order].astype(np.int64), np.flatnonzero(new))
+            others = np.empty(len(hashes))
+            others[order] = count[np.cumsum(new) - 1]
+            others -= times
+            if kind == 0:
+                base = np.concatenate([b[1] for b in blocks]).astype(float)
+                with np.errstate(divide="ignore"):
+                    term = np.logaddexp(np.log(others) + base, np.log(PRIOR))
+            else:
+                term = -np.log(others + PRIOR)
+            total += np.bincount(doc, term * times, len(total))
+        data = [total[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
+        n = len(names)
+        return pa.table([pa.array(np.zeros(n, np.int32)), pa.array(np.ones(n, np.int32)), pa.array(names), pa.array(sizes.astype(np.int32)), pa.array(data, pa.binary())], ["p", "kind", "batch", "size", "data"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        sums, keys, words = 0.0, [], []
+        for p, size, data in zip(*(table.column(c).to_pylist() for c in ("p", "size", "data"))):
+            if p < 0:
+                both = np.frombuffer(data, np.int64)
+                keys.append(both[:size]), words.append(both[size:])
+            else:
+                sums = sums + np.frombuffer(data, np.float32).astype(float)
+        # equal batches have one name, and their sums are already together
+        gain = np.zeros(len(keys[0])) + sums
+        return pa.table([keys[0], gain, np.sum(words, axis=0)], ["k", "gain", "n"])
+
+    rows = docs.select(F.xxhash64(docs[id_col], docs[text_col]).alias("k"), docs[text_col].alias("text"))
+    sent = rows.mapInArrow(send, _SENT)
+    spread = F.when(F.col("p") < 0, -1 - F.pmod("batch", F.lit(parts))).otherwise(F.col("p"))
+    sums = sent.withColumn("p", spread.cast("int")).groupBy("p").applyInArrow(add, _SENT)
+    return sums.groupBy("batch").applyInArrow(gather, "k long, gain double, n long").groupBy("k").agg(F.sum("gain").alias("gain"), F.sum("n").alias("n"))
 
 
 def rate(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: `id_col`, lang (null as empty), the counts of `rules`, perplexity, z (excess in standard errors; null without symbols)."""
+    """One row per document: `id_col`, lang (null as empty), the counts of `rules`, k (hash of id and text), length in symbols, perplexity of the
+    spelling, z (excess in standard errors; both null without symbols)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = mixture.tables() if mixture.models else None
@@ -210,34 +350,51 @@ def rate(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: st
             for data, text in zip(utf8_slices(batch.column(2)), batch.column(2).to_pylist()):
                 counts.append(rules(data))
                 if text:
-                    mean, over, variance = mixture.excess(tables, grams(text))
-                    scored.append((float(np.exp(mean)), over / (BETWEEN**2 + variance) ** 0.5))
+                    gram = grams(text)
+                    mean, over, variance = mixture.excess(tables, gram)
+                    scored.append((len(gram), float(np.exp(mean)), over / (BETWEEN**2 + variance) ** 0.5))
                 else:
-                    scored.append((None, None))
-            columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(5)] + [pa.array([x[i] for x in scored], pa.float64()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "lang", *NAMES, "perplexity", "z"])
+                    scored.append((0, None, None))
+            columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(5)] + [pa.array([x[i] for x in scored], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *columns], ["id", "lang", "k", *NAMES, "length", "perplexity", "z"])
 
-    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), docs[text_col].alias("text"))
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), docs[text_col].alias("text"), F.xxhash64(docs[id_col], docs[text_col]).alias("k"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, lang string, {', '.join(f'{n} long' for n in NAMES)}, perplexity double, z double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {kind}, lang string, k long, {', '.join(f'{n} long' for n in NAMES)}, length long, perplexity double, z double").withColumnRenamed("id", id_col)
 
 
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _band(rated: DataFrame, column: str, least: float) -> DataFrame:
+    """lang, middle and spread of a column, by median and median deviation, the latter of values at `least` or more from the median."""
+    middle = keep(rated.groupBy("lang").agg(F.percentile_approx(column, 0.5, 10000).alias("middle")), "medians")
+    spread = keep(rated.join(middle, "lang").where(F.col(column) - F.col("middle") >= least).groupBy("lang").agg(F.percentile_approx(F.abs(F.col(column) - F.col("middle")), 0.5, 10000).alias("mad")), "spreads")
+    return keep(middle.join(spread, "lang", "left").select("lang", F.col("middle").alias(f"{column}_middle"), F.greatest(F.col("mad") * 1.4826, F.lit(LEAST_SPREAD)).alias(f"{column}_spread")), "bands")
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", upper: float = UPPER, lower: float = LOWER) -> DataFrame:
-    """`rate` with base_failed, band_z (z less the language's median, over its spread) and kept.
+    """`rate` with base_failed, band_z (z less the language's median, over its spread), salad_z (the same of the gain it lacks) and kept;
+    perplexity is under the word pairs.
 
     Null and empty texts have zero counts and fail the base rules. A null language is a language of its
     own. Repeated rows are rated each; null ids are allowed; other columns are left out; an empty table gives an empty one.
     """
-    rated = keep(rate(docs, train(docs, text_col, lang_col), id_col, text_col, lang_col), "rated")
-    middle = keep(rated.groupBy("lang").agg(F.percentile_approx("z", 0.5, 10000).alias("middle")), "medians")
-    spread = keep(rated.join(middle, "lang").groupBy("lang").agg(F.percentile_approx(F.abs(F.col("z") - F.col("middle")), 0.5, 10000).alias("mad")), "spreads")
-    bands = middle.join(spread, "lang").select("lang", "middle", F.greatest(F.col("mad") * 1.4826, F.lit(LEAST_SPREAD)).alias("spread"))
+    mixture = train(docs, text_col, lang_col)
+    found = keep(gains(docs, mixture, id_col, text_col), "gains")
+    share = F.coalesce(F.try_divide("gain", "n"), F.lit(0.0)) * F.greatest(F.col("n_words") - 1, F.lit(0)) / F.col("length")
+    rated = rate(docs, mixture, id_col, text_col, lang_col).join(found, "k", "left").withColumn("per_symbol", F.when(F.col("length") > 0, share))
+    rated = keep(rated.drop("k", "gain", "n").withColumn("perplexity", F.col("perplexity") * F.exp(-F.col("per_symbol"))), "rated")
+    usual = keep(rated.groupBy("lang").agg(F.percentile_approx("per_symbol", 0.5, 10000).alias("usual")), "usual-gains")
+    lacking = (F.col("usual") - F.col("per_symbol")) / F.sqrt(BETWEEN**2 + F.try_divide(F.lit(GAIN_VARIANCE), F.col("length")))
+    rated = rated.join(usual, "lang", "left").withColumn("lacking", lacking).drop("usual", "per_symbol", "length")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    out = rated.join(keep(bands, "bands"), "lang", "left").withColumn("band_z", (F.col("z") - F.col("middle")) / F.col("spread")).withColumn("base_failed", failed)
-    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce((F.col("band_z") <= upper) & (F.col("band_z") >= -lower), F.lit(False))).drop("middle", "spread")
+    out = rated.withColumn("base_failed", failed)
+    # the gains of copies spread far below
+    for column, name, least in (("z", "band_z", float("-inf")), ("lacking", "salad_z", 0.0)):
+        out = out.join(_band(rated, column, least), "lang", "left").withColumn(name, (F.col(column) - F.col(f"{column}_middle")) / F.col(f"{column}_spread")).drop(f"{column}_middle", f"{column}_spread")
+    inside = (F.col("band_z") <= upper) & (F.col("band_z") >= -lower) & (F.col("salad_z") <= upper)
+    return out.drop("lacking").withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
 
 
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,49 @@ def test_perplexity_keeps_clean_and_rejects_noise(spark):
     assert got[got.quality == 0].kept.mean() < 0.5
 
 
+def test_gains_of_word_pairs_equal_brute_force(spark, small, monkeypatch):
+    monkeypatch.setattr(perplexity, "SHARE", 1 << 16)  # several partitions
+    texts = [(r["doc_id"], r["text"], r["lang"]) for r in small.limit(60).collect()] + [(1001, "Слово дело слово дело", "ru"), (1002, "Слово дело", "ru"), (1003, None, "ru"), (1004, "one", "en")]
+    df = spark.createDataFrame(texts + texts[:1], "doc_id long, text string, lang string")
+    mixture = perplexity.train(df)
+    assert mixture.n_symbols > 1 << 17
+    tables, n = mixture.tables(), len(mixture.models)
+    split = [words((t or "").lower()) for _, t, _ in texts + texts[:1]]
+    pair, first = collections.Counter(), collections.Counter()
+    for w in split:
+        pair.update(zip(w, w[1:])), first.update(w[:-1])
+    got = {r["doc_id"]: r for r in df.distinct().selectExpr("doc_id", "xxhash64(doc_id, text) AS k").join(perplexity.gains(df, mixture), "k").collect()}
+    for (i, t, _), w in zip(texts, split):
+        own, mine = collections.Counter(zip(w, w[1:])), collections.Counter(w[:-1])
+        start = [m.start() for m in WORD.finditer((t or "").lower())]
+        gram, base = perplexity.grams(t or ""), {}
+        for j in range(1, len(w)):
+            end = start[j + 1] if j + 1 < len(w) else len(gram)
+            base.setdefault((w[j - 1], w[j]), np.exp(-tables[:, gram[start[j] : end]].sum(axis=1, dtype=float)).sum() / n)
+        want = sum(c * np.log((pair[p] - c + perplexity.PRIOR * base[p]) / base[p] / (first[p[0]] - mine[p[0]] + perplexity.PRIOR)) for p, c in own.items())
+        times = 2 if i == texts[0][0] else 1
+        assert got[i]["n"] == times * max(len(w) - 1, 0)
+        assert got[i]["gain"] == pytest.approx(times * want, rel=0.01, abs=0.05 * max(len(w), 1))
+
+
+def test_perplexity_rejects_word_salad(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(400)]
+    after = rng.integers(0, 400, (400, 4))  # each word has four successors
+
+    def text():
+        w = [int(rng.integers(400))]
+        while len(w) < 200:
+            w.append(int(after[w[-1], rng.integers(4)]))
+        return [vocabulary[i] for i in w]
+
+    rows = [(i, " ".join(text() if i % 20 else rng.permutation(text())), "en") for i in range(1000)]
+    got = perplexity.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).toPandas()
+    salad = got.doc_id % 20 == 0
+    assert not got[salad].kept.any() and got[~salad].kept.mean() > 0.98
+    assert got[salad].perplexity.min() > got[~salad].perplexity.max()
+
+
 def test_bpe_equals_the_library(edge, small):
     enc = bpe.tokenizer(bpe.RANKS, bpe.public_tokenizers.PATTERN)
     assert isinstance(enc, tiktoken.Encoding)
