@@ -88,9 +88,18 @@ def directory(s, d):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+#: Order keys that share the JSON documents of a cik; no line holds more filings or facts.
+PAGE = 1 << 16
+
+
+def paged(df):
+    """`df` with the page of each row: a cik's filings and facts are split over documents, as older ones are in the feed."""
+    return df.withColumn("page", F.floor(F.col("o_orderkey") / PAGE))
+
+
 def submissions(s, d):
-    rows = frame(s, d, "filing_index").withColumn("j", F.struct(F.col("accession_number"), F.col("form_type"), F.col("filing_date").cast("string").alias("d"), F.date_format("accepted_at", "yyyy-MM-dd'T'HH:mm:ss").alias("a")))
-    rows = rows.groupBy("cik").agg(F.sort_array(F.collect_list("j")).alias("l"))
+    rows = paged(frame(s, d, "filing_index")).withColumn("j", F.struct(F.col("accession_number"), F.col("form_type"), F.col("filing_date").cast("string").alias("d"), F.date_format("accepted_at", "yyyy-MM-dd'T'HH:mm:ss").alias("a")))
+    rows = rows.groupBy("cik", "page").agg(F.sort_array(F.collect_list("j")).alias("l"))
     col = lambda name: F.transform("l", lambda x: F.coalesce(x[name], F.lit("")))
     recent = F.struct(col("accession_number").alias("accessionNumber"), col("form_type").alias("form"), col("d").alias("filingDate"), col("a").alias("acceptanceDateTime"), F.transform("l", lambda x: F.lit("doc.htm")).alias("primaryDocument"))
     path = scratch(s, "submissions")
@@ -99,9 +108,9 @@ def submissions(s, d):
 
 
 def company_facts(s, d):
-    rows = frame(s, d, "facts").where("trim(concept) != ''").select("cik", F.trim("concept").alias("concept"), F.struct(F.col("period_end_date").cast("string").alias("end"), F.col("value_numeric").cast("decimal(18,2)").cast("string").alias("val"), F.col("accession_number").alias("accn")).alias("f"))
-    units = rows.groupBy("cik", "concept").agg(F.collect_list("f").alias("fs")).select("cik", "concept", F.struct(F.create_map(F.lit("USD"), F.col("fs")).alias("units")).alias("u"))
-    concepts = units.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("concept", "u"))).alias("c"))
+    rows = paged(frame(s, d, "facts")).where("trim(concept) != ''").select("cik", "page", F.trim("concept").alias("concept"), F.struct(F.col("period_end_date").cast("string").alias("end"), F.col("value_numeric").cast("decimal(18,2)").cast("string").alias("val"), F.col("accession_number").alias("accn")).alias("f"))
+    units = rows.groupBy("cik", "page", "concept").agg(F.collect_list("f").alias("fs")).select("cik", "page", "concept", F.struct(F.create_map(F.lit("USD"), F.col("fs")).alias("units")).alias("u"))
+    concepts = units.groupBy("cik", "page").agg(F.map_from_entries(F.collect_list(F.struct("concept", "u"))).alias("c"))
     path = scratch(s, "facts")
     concepts.select(F.to_json(F.struct("cik", F.create_map(F.lit("us-gaap"), F.col("c")).alias("facts"))).alias("value")).write.text(path)
     return rounded(rd.explode_company_facts(s.read.text(path)).select("cik", "taxonomy", "concept", "unit", "accession_number", "period_end_date", "value_numeric"))
