@@ -24,7 +24,7 @@ STRONG = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24
 ASSIGN_LEAST = 6
 WEAK = {
     "weak_id": r"""(?i:access_?key(?:_?id)?|client_?id|account|username|user|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}""",
-    "weak_secret": r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])(?=[0-9+/_=-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{16,}=*|(?i:pwd|pass|auth|private_?key)["']?\x20*[:=]\x20*["']?[^\s"']{4,}""",
+    "weak_secret": r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}=*|(?i:pwd|pass|auth|private_?key)["']?\x20*[:=]\x20*["']?[^\s"']{4,}""",
     "endpoint": r"""[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s"'<>]+|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?(?![0-9.])""",
 }
 KINDS = [*STRONG, *WEAK]

@@ -68,6 +68,13 @@ def test_secrets_are_linked_within_scopes(spark):
     assert found == {1: ["weak_id", "weak_secret", "endpoint"], 2: [], 3: [], 4: [], 5: []}
 
 
+def test_secrets_may_start_with_a_long_run_of_one_class(spark):
+    texts = {1: f"user=bob1 {'abcDEFghij' * 6}7", 2: f"user=bob1 {'123456789-' * 6}x", 3: f"user=bob1 {'abcDEFghij' * 5000}7", 4: f"user=bob1 {'abcDEFghij' * 6}"}
+    rows = secrets.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    found = {r["row"]["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in rows}
+    assert found == {i: [("weak_id", 0, 9), ("weak_secret", 10, len(t))] if i < 4 else [] for i, t in texts.items()}
+
+
 def test_secrets_redacted(spark, edge):
     out = secrets.redact(edge)
     assert out.columns == edge.columns
