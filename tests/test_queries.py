@@ -23,7 +23,7 @@ def normal(df):
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]").astype(str)
-        df[c] = [None if v is None or v is pd.NaT or v != v or str(v) == "NaT" else repr(float(v)) if isinstance(v, float) else str(v) for v in df[c]]
+        df[c] = [None if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)) or str(v) == "NaT" else repr(float(v)) if isinstance(v, float) else str(v) for v in df[c]]
     return df.sort_values(list(df.columns), ignore_index=True)
 
 
