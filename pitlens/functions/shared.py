@@ -9,9 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the session names; a local one only where it names none."""
+    """A new path in the shared folder that the session names. A local session that names none gets a folder of its own; a cluster must name one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder by Spark's own file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
