@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import remove, scratch
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it again: cuts lineage, survives lost executors and gives
     the planner true sizes."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `keep` that no result reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            remove(table.sparkSession, folder)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -40,21 +38,6 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-_POWERS = np.ones(1, np.uint64)
-_INVERSE = np.ones(1, np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS, _INVERSE
-    if len(_POWERS) < n:
-        size = max(n, 2 * len(_POWERS), 1 << 12)
-        with np.errstate(over="ignore"):
-            _POWERS, _INVERSE = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (_BASE, _BASE_INVERSE))
-    return _POWERS[:n], _INVERSE[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     with np.errstate(over="ignore"):
@@ -72,26 +55,37 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, its start, its end): polynomial in the bytes modulo 2**64, then mixed."""
-    starts, ends = word_bounds(data)
-    power, inverse = _powers(len(data) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
-        return mix((total[ends] - total[starts]) * inverse[starts]), starts, ends
+def word_hashes(data: np.ndarray | bytes) -> np.ndarray:
+    """XXH3 of each word of UTF-8 bytes, in their order."""
+    words = bytes(data).split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def gram_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
-    """Hash of each run of n words, from the words' hashes."""
-    if len(words) < n:
-        return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(words) + 1)
+def _join(a: np.ndarray, b: np.ndarray, salt) -> np.ndarray:
     with np.errstate(over="ignore"):
-        total = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * power[:-1], out=total[1:])
-        at = np.arange(len(words) - n + 1)
-        return mix((total[n:] - total[:-n]) * inverse[at] + np.uint64(seed))
+        return mix(mix(a + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(3) + b + salt)
+
+
+def run_hashes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each run of `sizes` words (1 or more) from `starts`, from the words' hashes: two runs of the largest power of two cover it."""
+    out = np.zeros(len(starts), np.uint64)
+    level, span = words, 1
+    while len(starts):
+        here = (sizes >= span) & (sizes < 2 * span)
+        if here.any():
+            at, n = starts[here], sizes[here]
+            out[here] = _join(level[at], level[at + n - span], n.astype(np.uint64))
+        if span * 2 > sizes.max():
+            break
+        level = _join(level[:-span], level[span:], np.uint64(0))
+        span *= 2
+    return out
+
+
+def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n words, from the words' hashes."""
+    count = max(0, len(words) - n + 1)
+    return run_hashes(words, np.arange(count), np.full(count, n))
 
 
 def utf8_slices(column) -> list[np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import discard, keep
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,7 +20,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    done = keep(out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "large-star" if large else "small-star")
+    discard(least, edges)
+    return done
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,8 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     print_ = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     mark = print_(now)
     while mark[0]:
-        now = keep(_stars(keep(_stars(now, True), "large-star"), False), "small-star")
+        now = _stars(_stars(now, True), False)
         last, mark = mark, print_(now)
         if mark == last:
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out = keep(now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "roots")
+    discard(now)
+    return out

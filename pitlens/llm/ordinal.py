@@ -32,12 +32,12 @@ _LETTERS = np.where((_SHAPE == 97) | (_SHAPE == 65) | (_SHAPE == 48), _BYTES, 32
 def features(data: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(slot, value) of the features of UTF-8 bytes."""
     mask = np.uint64((1 << bits) - 1)
-    words = np.unique(word_hashes(lower_ascii(_LETTERS[data]))[0])
+    words = np.unique(word_hashes(lower_ascii(_LETTERS[data])))
     classes = _SHAPE[data]
     changed = np.ones(len(classes), bool)
     changed[1:] = classes[1:] != classes[:-1]
-    shapes, counts = np.unique(word_hashes(classes[changed])[0], return_counts=True)
-    tokens = word_hashes(data)[0]
+    shapes, counts = np.unique(word_hashes(classes[changed]), return_counts=True)
+    tokens = word_hashes(data)
     grams = gram_hashes(tokens, 3)
     repeats = int(10 * (1 - len(np.unique(grams)) / len(grams))) if len(grams) else 0
     length = min(20, int(np.log2(len(tokens) + 1)))

@@ -23,19 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _powers, gram_hashes, keep, mix, read, signed, utf8_slices, word_hashes
+from .common import discard, gram_hashes, keep, mix, read, run_hashes, signed, utf8_slices, word_hashes
 
 LENGTH = 35
 ANCHOR = 6
 
 
-def _sums(words: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(words) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(words * _powers(len(words) + 1)[0][:-1], out=total[1:])
-    return total
-
-
 def blocks(words: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the anchor, of the block's words and offsets, first window, number of windows less 1) of each block of a document."""
     if len(words) < length:
@@ -46,10 +39,8 @@ def blocks(words: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.
     at += np.arange(len(at))
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     more = np.diff(np.r_[first, len(at)]) - 1
-    total, inverse = _sums(words), _powers(len(words) + 1)[1]
     with np.errstate(over="ignore"):
-        content = (total[first + more + length] - total[first]) * inverse[first]
-        content = mix(mix(content) + (at[first] - first).astype(np.uint64) * np.uint64(1 << 20) + more.astype(np.uint64))
+        content = mix(run_hashes(words, first, more + length) + (at[first] - first).astype(np.uint64) * np.uint64(1 << 20) + more.astype(np.uint64))
     return grams[at[first]], content, first.astype(np.int32), more.astype(np.int32)
 
 
@@ -61,14 +52,10 @@ def _flat(parts: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _ranges(spans) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """First windows and numbers of further windows of each row of an array<struct<s, l>> column."""
-    for row in spans:
-        if row.is_valid:
-            inner = row.values
-            yield np.asarray(inner.field("s")), np.asarray(inner.field("l"))
-        else:
-            yield np.zeros(0, np.int32), np.zeros(0, np.int32)
+def _spans(rows, fields: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """The fields of each row of an array<struct> column as arrays, empty for null."""
+    for row in rows:
+        yield [np.asarray(row.values.field(f)) if row.is_valid else np.zeros(0, np.int32) for f in fields]
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -82,28 +69,26 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(word_hashes(data)[0], length, anchor) for data in utf8_slices(batch.column(1))]
+            found = [blocks(word_hashes(data), length, anchor) for data in utf8_slices(batch.column(1))]
             ends = np.cumsum([0, *(len(f[0]) for f in found)])
             cols = [_flat([f[i] for f in found], np.uint64 if i < 2 else np.int32) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *_lists(ends, signed(cols[0]), signed(cols[1]), cols[2], cols[3])], ["k", "a", "b", "s", "l"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w, k, s = [], [], []
-            for key, data, (first, more) in zip(batch.column(0).to_pylist(), utf8_slices(batch.column(1)), _ranges(batch.column(2))):
-                words = word_hashes(data)[0]
-                total, inverse = _sums(words), _powers(len(words) + 1)[1]
+            a, w, k, s = [], [], [], []
+            for key, data, (anchors, first, more) in zip(batch.column(0).to_pylist(), utf8_slices(batch.column(1)), _spans(batch.column(2), ("a", "s", "l"))):
                 starts = np.repeat(first, more + 1) + np.concatenate([np.arange(m + 1) for m in more])
-                with np.errstate(over="ignore"):
-                    w.append(mix((total[starts + length] - total[starts]) * inverse[starts] + np.uint64(5)))
+                w.append(run_hashes(word_hashes(data), starts, np.full(len(starts), length)))
+                a.append(np.repeat(anchors, more + 1))
                 k.append(np.full(len(starts), key, np.int64))
                 s.append(starts.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(_flat(w, np.uint64))), pa.array(_flat(k, np.int64)), pa.array(_flat(s, np.int32))], ["w", "k", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(_flat(a, np.int64)), pa.array(signed(_flat(w, np.uint64))), pa.array(_flat(k, np.int64)), pa.array(_flat(s, np.int32))], ["a", "w", "k", "s"])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, text = [], [], []
-            for data, (first, more) in zip(utf8_slices(batch.column(1)), _ranges(batch.column(2))):
+            for data, (first, more) in zip(utf8_slices(batch.column(1)), _spans(batch.column(2), ("s", "l"))):
                 words = data.tobytes().split()
                 n.append(len(words))
                 if len(first):
@@ -121,18 +106,20 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     multi = keep(found.select(F.explode("a").alias("a")).groupBy("a").count().where("count > 1").select("a"), "anchors")
     flat = found.select("k", F.explode(F.arrays_zip("a", "b", "s", "l")).alias("z")).select("k", "z.*")
     seeds = keep(flat.join(multi, "a"), "seeds")
-    kinds = seeds.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("k").alias("one"))
-    kinds = keep(kinds, "kinds")
+    discard(found, multi)
+    kinds = keep(seeds.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("k").alias("one")), "kinds")
     several = keep(kinds.groupBy("a").count().where("count > 1").select("a", F.lit(True).alias("several")), "several")
-    kinds = keep(kinds.join(several, "a", "left").where("n > 1 or several"), "open-kinds")
-    joined = seeds.join(kinds.drop("a"), "b")
+    open_kinds = keep(kinds.join(several, "a", "left").where("n > 1 or several"), "open-kinds")
+    joined = seeds.join(open_kinds, ["a", "b"])
     spans = F.collect_list(F.struct("s", "l"))
     whole = joined.where("n > 1").select("k", "s", "l")
-    asked = joined.where("several and k = one").groupBy("k").agg(spans.alias("spans"))
-    listed = keep(rows.join(asked, "k").select("k", "text", "spans").mapInArrow(windows, "w long, k long, s int"), "windows")
-    twice = keep(listed.groupBy("w").count().where("count > 1").select("w"), "repeated")
-    part = listed.join(twice, "w").select("k", "s", F.lit(0).alias("l"))
+    asked = joined.where("several and k = one").groupBy("k").agg(F.collect_list(F.struct("a", "s", "l")).alias("spans"))
+    # equal windows have equal anchors, so both hashes tell them apart
+    listed = keep(rows.join(asked, "k").select("k", "text", "spans").mapInArrow(windows, "a long, w long, k long, s int"), "windows")
+    twice = keep(listed.groupBy("a", "w").count().where("count > 1").select("a", "w"), "repeated")
+    part = listed.join(twice, ["a", "w"]).select("k", "s", F.lit(0).alias("l"))
     marks = keep(whole.union(part).groupBy("k").agg(spans.alias("spans")), "marks")
+    discard(seeds, kinds, several, open_kinds, listed, twice)
     kind = rows.schema["id"].dataType.simpleString()
     return rows.join(marks, "k", "left").select("id", "text", "spans").mapInArrow(remove, f"id {kind}, n_words long, n_removed long, text string").withColumnRenamed("id", id_col)
 
