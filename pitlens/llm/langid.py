@@ -6,7 +6,7 @@ candidates; its trigrams score them. The best path over the words pays a penalty
 language and labels spans; the language with most letters is the text's.
 """
 
-import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,6 @@ RANGES = [(0x0, "latin"), (0x250, "other"), (0x370, "greek"), (0x400, "cyrillic"
 SCRIPTS = list(dict.fromkeys(s for _, s in RANGES))
 _STARTS = np.array([a for a, _ in RANGES], np.uint32)
 _SCRIPT_OF = np.array([SCRIPTS.index(s) for _, s in RANGES], np.int8)
-_LETTER = re.compile(r"[^\W\d_]")
 #: Letters of a batch that are scored at once.
 _BATCH = 1_000_000
 
@@ -38,28 +37,34 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(joined).encode("utf-32-le", "surrogatepass"), np.uint32), ends
 
 
-def _is_letter(codes: np.ndarray) -> np.ndarray:
-    ascii_letter = (codes >= 97) & (codes <= 122)
+def _letters_and_marks(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the code points are letters (Unicode categories L), and combining marks (M)."""
     high = np.unique(codes[codes > 127])
-    letters = high[[bool(_LETTER.match(chr(c))) if not 0xD800 <= c < 0xE000 else False for c in high.tolist()]] if len(high) else high
-    return ascii_letter | np.isin(codes, letters)
+    kind = np.array([unicodedata.category(chr(c))[0] for c in high.tolist()], "U1")
+    ascii_letter = ((codes >= 97) & (codes <= 122)) | ((codes >= 65) & (codes <= 90))
+    return ascii_letter | np.isin(codes, high[kind == "L"]), np.isin(codes, high[kind == "M"])
 
 
 def words_of(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, ...]:
-    """Of the runs of letters in `texts`: text number, first code point in it, letters, script; and of each letter its word and its trigram's slot."""
+    """Of the words in `texts`, runs of letters and their marks: text number, first code point in it, length, letters, script; and of each letter or mark its word and its trigram's slot."""
     codes, ends = _codes(texts)
-    letter = _is_letter(codes)
-    at = np.flatnonzero(letter)
-    first = at[~letter[at - 1]] if len(at) else at
+    letter, mark = _letters_and_marks(codes)
+    # marks without a letter in their run make no word
+    part = letter | mark
+    run = np.cumsum(part & ~np.r_[False, part[:-1]])
+    part &= np.bincount(run, letter, minlength=run[-1] + 1 if len(run) else 0)[run] > 0
+    at = np.flatnonzero(part)
+    first = at[~part[at - 1]] if len(at) else at
     word = np.searchsorted(first, at, side="right") - 1
     size = np.bincount(word, minlength=len(first))
-    clean = np.where(letter, codes, 32).astype(np.uint64)
+    letters = np.bincount(word, letter[at], minlength=len(first)).astype(np.int64)
+    clean = np.where(part, codes, 32).astype(np.uint64)
     with np.errstate(over="ignore"):
         slot = (mix((clean[at - 1] << np.uint64(42)) | (clean[at] << np.uint64(21)) | clean[at + 1]) >> np.uint64(64 - bits)).astype(np.int32) if len(at) else at
     script = _SCRIPT_OF[np.searchsorted(_STARTS, codes[first], side="right") - 1] if len(first) else first
     text = np.searchsorted(ends, first, side="right")
     start = first - np.r_[0, ends][text] - 1
-    return text, start, size, script, word, slot
+    return text, start, size, letters, script, word, slot
 
 
 def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -79,12 +84,12 @@ class Model:
     def __init__(self, langs: list[str], trigrams: np.ndarray, allowed: np.ndarray, switch: float = SWITCH):
         self.langs, self.trigrams, self.allowed, self.switch = langs, trigrams, allowed, switch
 
-    def label(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text number, start, letters and language number of each word, by Viterbi over each text's words."""
-        text, start, size, script, word, slot = words_of(texts)
+    def label(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """Text number, start, length, letters and language number of each word, by Viterbi over each text's words."""
+        text, start, size, letters, script, word, slot = words_of(texts)
         n, k = len(text), len(self.langs)
         if not n or not k:
-            return text, start, size, np.zeros(n, np.int16)
+            return text, start, size, letters, np.zeros(n, np.int16)
         bounds = np.searchsorted(word, np.arange(n))
         scores = np.add.reduceat(self.trigrams[slot], bounds, axis=0) + np.where(self.allowed[script], 0, -1e4).astype(np.float32)
         count = np.bincount(text, minlength=len(texts))
@@ -111,7 +116,7 @@ class Model:
             now = first[:live] + step
             label[now] = state[:live]
             state[:live] = back[now, state[:live]]
-        return text, start, size, label
+        return text, start, size, letters, label
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> Model:
@@ -125,10 +130,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bits:
             for lang, part in frame.groupby("lang"):
                 texts = part["text"].tolist()
                 for a, b in chunks(texts):
-                    _, _, size, script, _, slot = words_of(texts[a:b], bits)
+                    _, _, _, letters, script, _, slot = words_of(texts[a:b], bits)
                     have = sums.setdefault(lang, np.zeros((1 << bits) + len(SCRIPTS), np.int64))
                     have[: 1 << bits] += np.bincount(slot, minlength=1 << bits)
-                    have[1 << bits :] += np.bincount(script, size, minlength=len(SCRIPTS)).astype(np.int64)
+                    have[1 << bits :] += np.bincount(script, letters, minlength=len(SCRIPTS)).astype(np.int64)
         for lang, have in sums.items():
             slots = np.flatnonzero(have)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slots), pa.string()), pa.array(slots, pa.int32()), pa.array(have[slots])], ["lang", "slot", "n"])
@@ -150,7 +155,7 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """One row per row of `docs`: `id_col`, lang_pred, score (share of the letters in spans of that language), spans array<struct<start, end, lang>>
     in code points of the lower-cased text, end exclusive.
 
-    `und` with score 0 and no spans where the text is null, has no letter, or nothing was learned.
+    `und` with score 0 and no spans where the text is null, has no letter (Unicode categories L; numbers like ½ or Ⅷ are none), or nothing was learned.
     Ties go to the smaller code. Repeated rows and null ids are kept; an empty table gives an empty one; other columns are left out.
     """
 
@@ -158,9 +163,9 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for batch in batches:
             every = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(every):
-                text, start, size, label = model.label(every[a:b])
+                text, start, size, count, label = model.label(every[a:b])
                 k = len(model.langs)
-                letters = np.bincount(text * max(1, k) + label, size, minlength=(b - a) * max(1, k)).reshape(b - a, -1) if k else np.zeros((b - a, 1))
+                letters = np.bincount(text * max(1, k) + label, count, minlength=(b - a) * max(1, k)).reshape(b - a, -1) if k else np.zeros((b - a, 1))
                 total, top = letters.sum(axis=1), letters.argmax(axis=1)
                 new = np.ones(len(text), bool)
                 new[1:] = (text[1:] != text[:-1]) | (label[1:] != label[:-1])
