@@ -62,6 +62,24 @@ class Model:
         return _sigmoid(np.asarray(score)[:, None] - self.thresholds[None, :])
 
 
+def likelihood(params: np.ndarray, grade: np.ndarray, row: np.ndarray, slot: np.ndarray, value: np.ndarray, grades: int, decay: float) -> tuple[float, np.ndarray]:
+    """Mean log-likelihood less weight decay, and its gradient. `params`: a weight for each slot, the first threshold, log gaps between thresholds."""
+    used, n = len(params) - grades + 1, len(grade)
+    w, gaps = params[:used], np.exp(params[used + 1 :])
+    theta = params[used] + np.concatenate([[0], np.cumsum(gaps)])
+    f = np.bincount(row, value * w[slot], minlength=n)
+    cdf = np.column_stack([np.zeros(n), _sigmoid(theta[None, :] - f[:, None]), np.ones(n)])
+    at = np.arange(n)
+    p = np.maximum(cdf[at, grade + 1] - cdf[at, grade], 1e-9)
+    slope = cdf * (1 - cdf)
+    by_f = -(slope[at, grade + 1] - slope[at, grade]) / p / n
+    by_theta = np.array([np.where(grade == k, slope[:, k + 1], 0) - np.where(grade == k + 1, slope[:, k + 1], 0) for k in range(grades - 1)]) / p / n
+    by_theta = by_theta.sum(axis=1)
+    shrink = decay / max(1, used) ** 0.5
+    gradient = np.concatenate([np.bincount(slot, value * by_f[row], minlength=used) - shrink * w, [by_theta.sum()], gaps * by_theta[::-1].cumsum()[::-1][1:]])
+    return float(np.log(p).mean() - shrink * (w * w).sum() / 2), gradient
+
+
 def fit(grade: np.ndarray, row: np.ndarray, slot: np.ndarray, value: np.ndarray, grades: int = GRADES, bits: int = BITS, steps: int = 300, rate: float = 0.1, decay: float = 1e-3, rare: int = 5, least_z: float = 4.5) -> Model:
     """Maximum likelihood with weight decay by full-batch Adam. Features in fewer than `rare` rows get no weight, nor do
     those whose rows' mean grade lies within `least_z` standard errors of the general mean. Without rows, or with one grade only, all documents pass."""
@@ -72,24 +90,13 @@ def fit(grade: np.ndarray, row: np.ndarray, slot: np.ndarray, value: np.ndarray,
     common = (apart & (seen >= rare))[slot]
     row, value = row[common], value[common].astype(np.float64)
     used, slot = np.unique(slot[common], return_inverse=True)
-    n, w = len(grade), np.zeros(len(used))
     share = np.clip(np.array([(grade <= k).mean() for k in range(grades - 1)]), 1e-3, 1 - 1e-3)
     theta = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
-    params = np.concatenate([w, theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))])
+    params = np.concatenate([np.zeros(len(used)), theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))])
     m, v = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, steps + 1):
-        w, first, gaps = params[: len(used)], params[len(used)], np.exp(params[len(used) + 1 :])
-        theta = first + np.concatenate([[0], np.cumsum(gaps)])
-        f = np.bincount(row, value * w[slot], minlength=n)
-        cdf = np.column_stack([np.zeros(n), _sigmoid(theta[None, :] - f[:, None]), np.ones(n)])
-        at = np.arange(n)
-        p = np.maximum(cdf[at, grade + 1] - cdf[at, grade], 1e-9)
-        slope = cdf * (1 - cdf)
-        df = -(slope[at, grade + 1] - slope[at, grade]) / p / n  # of log-likelihood by f
-        by_theta = np.array([np.where(grade == k, slope[:, k + 1], 0) - np.where(grade == k + 1, slope[:, k + 1], 0) for k in range(grades - 1)]) / p / n
-        by_theta = by_theta.sum(axis=1)
-        grad = np.concatenate([np.bincount(slot, value * df[row], minlength=len(used)) - decay * w / len(used) ** 0.5, [by_theta.sum()], gaps * by_theta[::-1].cumsum()[::-1][1:]])
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        gradient = likelihood(params, grade, row, slot, value, grades, decay)[1]
+        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         params = params + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(1 << bits, np.float32)
     weights[used] = params[: len(used)]
@@ -99,7 +106,7 @@ def fit(grade: np.ndarray, row: np.ndarray, slot: np.ndarray, value: np.ndarray,
 
 def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELED) -> Model:
     """Fit on the documents that `grades` (`id_col`, grade int from 0) names, at most `most` ids, those of smallest hash. Null grades and ids
-    are left out; an id with several grades counts with the lowest."""
+    are left out; an id with several grades counts with the lowest, one with several texts with the first of them."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +119,8 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(most)
     texts = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("text"))
     # `most` rows of an id and a grade
-    sample = texts.join(F.broadcast(chosen), "_id").select("grade", "text").mapInArrow(extract, "grade int, slots array<int>, values array<float>").toArrow()
+    one = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "grade").agg(F.min("text").alias("text"))
+    sample = one.select("grade", "text").mapInArrow(extract, "grade int, slots array<int>, values array<float>").toArrow()
     lists = sample.column("slots").combine_chunks()
     sizes = np.asarray(lists.value_lengths()) if len(lists) else np.zeros(0, int)
     flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.asarray(c.flatten()) for c in sample.column(name).chunks)])
@@ -137,8 +145,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", select_grade: i
             above = model.above(f)
             yield pd.DataFrame({"_expected": above.sum(axis=1), "_tail": above[:, select_grade - 1]})
 
-    rated = docs.withColumn("_rated", rate(F.col(text_col)))
-    return rated.withColumns({"_expected": F.col("_rated._expected"), "_tail": F.col("_rated._tail")}).drop("_rated").withColumn("_selected", F.col("_tail") >= select_p)
+    made = {"_expected", "_tail", "_selected"}
+    rated = docs.select(F.struct(*(docs[c] for c in docs.columns if c not in made)).alias("row"), rate(docs[text_col]).alias("rated"))
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in made]
+    return rated.select(*columns, F.col("rated._expected").alias("_expected"), F.col("rated._tail").alias("_tail"), (F.col("rated._tail") >= select_p).alias("_selected"))
 
 
 def grade_column(quality: Column, toxic: Column) -> Column:
