@@ -2,22 +2,23 @@
 
 Each task builds one tokenizer from the rank file and encodes whole texts in Arrow batches. A long text is
 cut first at safe boundaries, places that end a token whatever stands around them: between a
-non-space and the white space that follows, or between an ASCII letter and a following ASCII
-digit or punctuation mark. No token of the splitting pattern crosses them and none looks over
-them, so the ids equal those of the uncut text while memory per call stays bounded.
+non-space and the white space that follows, or between a letter and a following mark, number or other character
+that is neither letter nor space. No token of the splitting pattern crosses them and none looks over
+them, so the ids equal those of the uncut text while memory per call stays bounded by CHUNK and the
+longest run without a boundary; a run of one kind of characters is one match of the pattern and can't be cut.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHUNK = 50_000
 #: Texts of one output batch hold about so many bytes, or ids.
 BATCH_CHARS = 1_000_000
-_SAFE = re.compile(r"(?<=\S)(?=[ \n\t\r])|(?<=[A-Za-z])(?=[!-@])")
+_SAFE = regex.compile(r"(?<=\S)(?=[ \n\t\r])|(?<=\p{L})(?=[^\p{L}\s])")
 
 
 @functools.lru_cache(maxsize=4)
