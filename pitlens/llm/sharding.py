@@ -5,7 +5,7 @@ several bundles by id, all others over a fixed number of bundles by text hash. S
 summed by Spark; their number has a bound that doesn't depend on the input, so the greedy placement
 runs on them alone: largest first, each item goes to the shard whose residual capacity has the highest
 dot product with the item's demand. The bundles of one group are one item, so equal texts share a
-shard, unless the group holds over WHOLE of a shard's capacity; then each bundle is an item.
+shard; only a group that no shard has room for is split, and each of its bundles is placed like an item.
 """
 
 from __future__ import annotations
@@ -19,23 +19,32 @@ from .common import keep, n_words, read
 SHARDS = 8
 #: Bundles of light groups; also, a group with over 1/BUNDLES of all bytes or rows is heavy.
 BUNDLES = 2048
-#: A group is split between shards beyond this part of a shard's capacity.
-WHOLE = 0.25
 DIMENSIONS = ("size", "tokens", "rows")
 
 
-def place(demand: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each row of `demand` (bundles x dimensions): first the largest; each where the dot product of its demand
-    with the residual capacity is highest, among the shards it fits, or among all if it fits none."""
+def place(demand: np.ndarray, item: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each row of `demand` (bundles x dimensions); rows of one `item` (numbers from 0) go together. First the largest item; each where the
+    dot product of its demand with the residual capacity is highest, among the shards it fits. One that fits none is split: its
+    rows are placed one by one, in any shard if they fit none."""
     share = demand / np.maximum(demand.sum(axis=0), 1)
+    whole = np.column_stack([np.bincount(item, share[:, d]) for d in range(demand.shape[1])]) if len(item) else share
     room = np.full((shards, demand.shape[1]), 1 / shards)
     out = np.zeros(len(demand), np.int32)
-    for i in np.lexsort((np.arange(len(demand)), -share.max(axis=1))):
-        fits = (room >= share[i] - 1e-12).all(axis=1)
-        gain = room @ share[i]
-        gain[~fits] -= 1e6 * bool(fits.any())
-        out[i] = int(gain.argmax())
-        room[out[i]] -= share[i]
+
+    def put(rows: np.ndarray, need: np.ndarray, forced: bool) -> bool:
+        fits = (room >= need - 1e-12).all(axis=1)
+        if not fits.any() and not forced:
+            return False
+        to = int(np.where(fits | ~fits.any(), room @ need, -np.inf).argmax())
+        out[rows] = to
+        room[to] -= need
+        return True
+
+    rows_of = np.split(np.argsort(item, kind="stable"), np.cumsum(np.bincount(item))[:-1]) if len(item) else []
+    for i in np.lexsort((np.arange(len(whole)), -whole.max(axis=1))):
+        if not put(rows_of[i], whole[i], len(rows_of[i]) == 1):
+            for row in rows_of[i]:
+                put(row, share[row], True)
     return out
 
 
@@ -72,10 +81,7 @@ def shard(docs: DataFrame, n_shards: int = SHARDS, bundles: int = BUNDLES, id_co
     sums = dealt.groupBy("bundle").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).toPandas().sort_values("bundle", ignore_index=True)
     demand = sums[list(DIMENSIONS)]
     group = sums["bundle"].str.replace(r"^(h-.*)-\d+$", r"\1", regex=True)
-    whole = (demand.groupby(group).transform("sum") / demand.sum().clip(lower=1)).max(axis=1) <= WHOLE / n_shards
-    item = group.where(whole, sums["bundle"])
-    items = demand.groupby(item).sum()
-    sums["shard"] = item.map(dict(zip(items.index, place(items.to_numpy(float), n_shards))))
+    sums["shard"] = place(demand.to_numpy(float), group.astype("category").cat.codes.to_numpy().astype(int), n_shards)
     sums["first"] = sums.groupby("shard")["rows"].cumsum() - sums["rows"]
     plan = spark.createDataFrame(list(sums[["bundle", "shard", "first"]].itertuples(index=False, name=None)), "bundle string, shard int, first long")
     order = Window.partitionBy("bundle").orderBy("_id", "_group")
