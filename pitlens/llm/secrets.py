@@ -3,17 +3,19 @@
 Strong patterns report on their own. Weak candidates are parts of a credential: an identifier
 (account, client id), a secret (random-looking string, short key) and an endpoint (URL, address).
 Alone they are noise, so each is reported only if complementary parts lie in the same scope: a weak secret
-with an identifier, a weak identifier with a secret, an endpoint with both. A scope is a stretch of
-text without a blank line, and parts in it are linked up to GAP characters apart. The link is an interval join
-on (document, stretch of BUCKET characters): as parts of one kind do not overlap, a stretch
-holds a bounded number of them, so the join grows with the text and not with the square of its parts.
+with an identifier, a weak identifier with a secret, an endpoint with both. A scope is the interval of
+text between two blank lines, however long.
+
+Texts are scanned once, into a table of spans. The interval join of parts with scopes runs on the text's own axis:
+blank lines and parts are sorted by position, so that each part knows the number of its scope, and what a scope
+holds is gathered by (document, scope). No pairs of parts are made.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keep, read
@@ -31,8 +33,6 @@ KINDS = [*STRONG, *WEAK]
 IDENTIFIERS, SECRETS = ("access", "weak_id"), ("assign", "hex", "weak_secret")
 #: What separates scopes.
 BLANK = r"\n\s*\n"
-GAP = 300
-BUCKET = 512
 _SPAN = "array<struct<start:long,rank:int,end:long,kind:string>>"
 
 
@@ -92,45 +92,56 @@ def find(text: Column, kind: str) -> Column:
     return F.transform(found, lambda m: F.struct(m["start"], F.lit(KINDS.index(kind)).alias("rank"), m["end"], F.lit(kind).alias("kind"))).cast(_SPAN)
 
 
-def linked(texts: DataFrame) -> DataFrame:
-    """k, more: weak spans whose complementary parts are near, for rows (k, text)."""
-    with_id = texts.where(F.col("text").rlike(STRONG["access"]) | F.col("text").rlike(WEAK["weak_id"]))
-    spans = F.concat(*(find(F.col("text"), kind) for kind in KINDS))
-    # blank lines bound the scopes
-    blank = F.transform(matches(F.col("text"), BLANK), lambda m: F.struct(m["start"], F.lit(-1).alias("rank"), m["start"].alias("end"), F.lit("blank").alias("kind"))).cast(_SPAN)
-    parts = with_id.select("k", F.explode(F.concat(spans, blank)).alias("p")).select("k", "p.*").distinct()
-    near = parts.select("*", F.explode(F.sequence(F.floor((F.col("start") - GAP) / BUCKET), F.floor((F.col("end") + GAP) / BUCKET))).alias("bucket"))
-    weak, other = near.where(F.col("kind").isin(*WEAK)).alias("w"), near.alias("p")
-    overlap = (F.col("p.start") < F.col("w.end")) & (F.col("p.end") > F.col("w.start"))
-    same = (F.col("w.k") == F.col("p.k")) & (F.col("w.bucket") == F.col("p.bucket"))
-    weak = weak.join(other.where(F.col("p.kind").isin(*STRONG)), same & overlap, "left_anti")
-    weak = keep(weak, "weak-parts").alias("w")
-    other = near.where(~F.col("kind").isin(*WEAK)).unionByName(weak.toDF(*near.columns)).alias("p")
-    close = (F.col("p.start") < F.col("w.end") + GAP) & (F.col("p.end") > F.col("w.start") - GAP) & ((F.col("p.rank") != F.col("w.rank")) | (F.col("p.start") != F.col("w.start")))
-    pairs = weak.join(other, same & close).select("w.k", "w.start", "w.rank", "w.end", "w.kind", F.col("p.start").alias("ps"), F.col("p.end").alias("pe"), F.col("p.kind").alias("pk"))
-    # the nearest blank lines on both sides bound the scope
-    pairs = keep(pairs.distinct(), "part-pairs")
-    span = ["k", "start", "rank", "end", "kind"]
-    bounds = pairs.where("pk = 'blank'").groupBy(*span).agg(F.max(F.when(F.col("ps") <= F.col("start"), F.col("ps"))).alias("lo"), F.min(F.when(F.col("ps") >= F.col("end"), F.col("ps"))).alias("hi"))
-    scoped = pairs.where("pk != 'blank'").join(bounds, span, "left").where((F.col("ps") >= F.coalesce("lo", F.lit(0))) & (F.col("pe") <= F.coalesce("hi", F.col("pe"))))
-    has = scoped.groupBy(*span).agg(F.max(F.col("pk").isin(*IDENTIFIERS)).alias("identifier"), F.max(F.col("pk").isin(*SECRETS)).alias("secret"))
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """k (hash of id and text), id, base (spans of the strong kinds), parts (all kinds and the starts of blank lines; null in texts without an identifier),
+    written: one row per row of `docs`, by one scan."""
+    text = docs[text_col]
+    base = F.array_sort(F.concat(*(find(text, kind) for kind in STRONG)))
+    blank = F.transform(matches(text, BLANK), lambda m: F.struct(m["start"], F.lit(-1).alias("rank"), m["start"].alias("end"), F.lit("blank").alias("kind"))).cast(_SPAN)
+    has_id = text.rlike(STRONG["access"]) | text.rlike(WEAK["weak_id"])
+    weak = F.when(has_id, F.concat(*(find(text, kind) for kind in WEAK), blank))
+    return keep(docs.select(F.xxhash64(docs[id_col], text).alias("k"), docs[id_col].alias("id"), base.alias("base"), weak.alias("parts")), "secret-spans")
+
+
+def linked(found: DataFrame) -> DataFrame:
+    """k, more: weak spans that complementary parts of their scope complete, for the rows of `spans`."""
+    parts = found.where("parts is not null").select("k", F.explode(F.concat("base", "parts")).alias("p")).select("k", "p.*").distinct()
+    axis = Window.partitionBy("k").orderBy("start")
+    strong = F.col("kind").isin(*STRONG)
+    placed = parts.withColumns(
+        {
+            "scope": F.count(F.when(F.col("kind") == "blank", 1)).over(axis),
+            # spans of strong kinds that reach over this start, or start before this end
+            "before": F.max(F.when(strong, F.col("end"))).over(axis.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+            "after": F.min(F.when(strong, F.col("start"))).over(axis.rangeBetween(Window.currentRow, Window.unboundedFollowing)),
+        }
+    ).where("kind != 'blank'")
+    inside = (F.col("before") > F.col("start")) | (F.col("after") < F.col("end"))
+    placed = placed.where(strong | ~F.coalesce(inside, F.lit(False)))
+    scope = Window.partitionBy("k", "scope")
+    placed = placed.withColumns({"identifier": F.max(F.col("kind").isin(*IDENTIFIERS)).over(scope), "secret": F.max(F.col("kind").isin(*SECRETS)).over(scope)})
     whole = F.when(F.col("kind") == "weak_secret", F.col("identifier")).when(F.col("kind") == "weak_id", F.col("secret")).otherwise(F.col("identifier") & F.col("secret"))
-    return has.where(whole).groupBy("k").agg(F.collect_list(F.struct("start", "rank", "end", "kind")).cast(_SPAN).alias("more"))
+    return placed.where(F.col("kind").isin(*WEAK) & whole).groupBy("k").agg(F.collect_list(F.struct("start", "rank", "end", "kind")).cast(_SPAN).alias("more"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: row (all its columns, whatever their names, as one struct), base and spans, both arrays of
-    (start, rank, end, kind) by start, then kind: the strong kinds, and those with the linked weak parts.
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """k, id, base and spans of each row of `docs`: the strong kinds, and those with the linked weak parts; both arrays of (start, rank, end, kind) by start, then kind.
 
     Null and empty texts have no spans. Repeated rows and null ids are scanned like others; an
     empty table gives an empty one.
     """
-    k = F.xxhash64(docs[id_col], docs[text_col])
-    more = keep(linked(docs.select(k.alias("k"), docs[text_col].alias("text"))), "linked-parts")
-    base = F.array_sort(F.concat(*(find(docs[text_col], kind) for kind in STRONG)))
-    found = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), k.alias("k"), base.alias("base"))
+    found = spans(docs, id_col, text_col)
+    more = keep(linked(found), "linked-parts")
+    every = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPAN))))
+    return found.join(more, "k", "left").select("k", "id", "base", every.alias("spans"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of `docs`: row (all its columns, whatever their names, as one struct), base and spans as in `found_spans`."""
+    found = found_spans(docs, id_col, text_col).where(F.size("spans") > 0).select("k", "base", "spans").dropDuplicates(["k"])
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64(docs[id_col], docs[text_col]).alias("k"))
     none = F.array().cast(_SPAN)
-    return found.join(more, "k", "left").select("row", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
+    return rows.join(keep(found, "texts-with-spans"), "k", "left").select("row", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -158,10 +169,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = found_spans(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
-        F.col("row.doc_id").alias("doc_id"),
+        F.col("id").alias("doc_id"),
         *(count(kind).alias(f"n_{kind}") for kind in STRONG),
         F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
