@@ -3,16 +3,17 @@
 Inner products become distances: with one more coordinate, sqrt(M**2 - |x|**2) for candidates and 0 for
 queries, |q' - x'|**2 = |q|**2 + M**2 - 2 q.x, a Euclidean metric in which the nearest is the best.
 
-The tree has three levels. The root's routing objects are PIVOTS vectors drawn by hash. Each vector belongs to its
-nearest; a pivot's vectors are dealt over pages of about PAGE. In a page, leaves around further routing
-objects hold about LEAF vectors, and every node stores its covering radius and its distance to its
-parent, every entry its distance to the leaf's centre. The search of a query prunes by the triangle
-inequality: a pivot by its radius, a leaf first by its stored parent distance, without computing its
-own, then by its radius, an entry by its stored parent distance. Leaves are visited best first.
-
-A first pass over one page near each query gives a lower bound of its k-th score, a second visits all
-pages of the pivots that may hold better ones. Queries go in blocks, so no task holds more than a page and a
-block, and pages answer with scores over the bound only.
+The tree has a root, nodes, leaves and entries. The routing objects of nodes and leaves are vectors drawn by hash, at most LEAVES;
+each leaf belongs to the nearest node's, each vector to the nearest leaf of its nearest node. Every
+entry stores its distance to its leaf, every leaf its covering radius and its distance to its node, every node its
+radius. These are computed once, when vectors are placed. Leaves of one node are bundled into pages of up to PAGE
+entries, the unit that a task holds; a larger leaf is dealt over several pages.
+
+A query prunes by the triangle inequality: a node by its radius, a leaf first by the stored distance
+to its node, without computing its own, then by its radius, an entry by its stored distance to the leaf. Leaves are
+visited best first. A first pass over the page of the nearest leaf gives a lower bound of the query's k-th score, a second visits
+the other pages with leaves in reach of it, and pages answer with scores of at least the bound. Only pages that
+a query is routed to are read, each once for every BLOCK of its queries.
 """
 
 from collections.abc import Iterator
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import keep, read
+from .common import discard, keep, read
 
-PIVOTS = 32
-PAGE = 4096
-LEAF = 64
-BLOCK = 2048
+NODES = 32
+#: Routing objects of leaves at most, and entries of a leaf where there are fewer.
+LEAVES, LEAF = 4096, 64
+PAGE = BLOCK = 16384
 #: Rounds in which each query picks its own next leaf; later ones go through the leaves together.
 BEST_FIRST = 4
 #: Slack of bounds against rounding; scores are integers.
@@ -48,60 +49,97 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T, 0))
 
 
+class Tree:
+    """Routing objects, their parents and, once vectors are placed, covering radii and pages. Vectors are lifted; `most` is M**2."""
+
+    def __init__(self, drawn: np.ndarray, most: float, n_nodes: int = NODES):
+        self.leaves, self.nodes, self.most = drawn, drawn[:n_nodes], most
+        near = _distance(drawn, self.nodes)
+        self.parent = near.argmin(axis=1)
+        self.to_parent = near[np.arange(len(drawn)), self.parent]
+        self.children = [np.flatnonzero(self.parent == i) for i in range(len(self.nodes))]
+
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf of each lifted vector, its distance to the leaf and to the node."""
+        near = _distance(x, self.nodes)
+        node = near.argmin(axis=1)
+        leaf, apart = np.zeros(len(x), np.int32), np.zeros(len(x))
+        for i in np.unique(node):
+            at = np.flatnonzero(node == i)
+            far = _distance(x[at], self.leaves[self.children[i]])
+            best = far.argmin(axis=1)
+            leaf[at], apart[at] = self.children[i][best], far[np.arange(len(at)), best]
+        return leaf, apart, near[np.arange(len(x)), node]
+
+    def close(self, count: np.ndarray, radius: np.ndarray, node_radius: np.ndarray, page: int) -> None:
+        """Take in the entries and radii of the leaves and nodes; bundle leaves into pages."""
+        self.radius, self.node_radius = radius, node_radius
+        self.first_page, self.pages, used = np.zeros(len(count), int), np.ones(len(count), int), 0
+        for children in self.children:
+            room = 0
+            for leaf in children:
+                if count[leaf] > room:
+                    self.first_page[leaf], self.pages[leaf] = used, max(1, -(-count[leaf] // page))
+                    used += self.pages[leaf]
+                    room = page - count[leaf] if self.pages[leaf] == 1 else 0
+                else:
+                    self.first_page[leaf] = used - 1
+                    room -= count[leaf]
+        self.count = count
+
+    def reachable(self, q: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Whether each leaf may hold something within `reach` of each lifted query; their distances where computed, else inf; distances computed."""
+        to_node = _distance(q, self.nodes)
+        open_node = (to_node - self.node_radius[None, :] <= reach[:, None])[:, self.parent]
+        need = open_node & (np.abs(to_node[:, self.parent] - self.to_parent[None, :]) - self.radius[None, :] <= reach[:, None]) & (self.count > 0)[None, :]
+        far = np.full(need.shape, np.inf)
+        rows, leaves = need.any(axis=1), need.any(axis=0)
+        far[np.ix_(rows, leaves)] = _distance(q[rows], self.leaves[leaves])
+        far[~need] = np.inf
+        return far - self.radius[None, :] <= reach[:, None], far, int(rows.sum() * leaves.sum()) + to_node.size
+
+
+def _reach(norm: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Distance that a score of `bound` means; inf where nothing bounds."""
+    return np.sqrt(np.maximum(norm - 2 * bound, 0)) * (1 + EPS) + EPS
+
+
 class Page:
-    """A node of the tree with its leaves."""
-
-    def __init__(self, ids: np.ndarray, x: np.ndarray, pivot: np.ndarray, most: float):
-        lifted = _lift(x, most)
-        centres = lifted[:: max(1, -(-len(x) // max(1, len(x) // LEAF)))]
-        near = _distance(lifted, centres)
-        leaf = near.argmin(axis=1)
-        apart = near[np.arange(len(x)), leaf]
+    """The entries of a page by leaf and distance."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, apart: np.ndarray, tree: Tree):
         order = np.lexsort((apart, leaf))
-        self.ids, self.x, self.apart = ids[order], x[order], apart[order]
-        used, self.first = np.unique(leaf[order], return_index=True)
+        self.ids, self.x, self.apart, self.tree = ids[order], x[order], apart[order], tree
+        self.leaf, self.first = np.unique(leaf[order], return_index=True)
         self.last = np.r_[self.first[1:], len(x)]
-        self.centres = centres[used]
-        self.radius = self.apart[self.last - 1]
-        self.to_pivot = _distance(self.centres, pivot[None, :])[:, 0]
-        self.pivot, self.most = pivot, most
-
-    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row of the query, id, score) of the k best candidates of each query with a score of at least its `bound`."""
-        norm = (q * q).sum(axis=1) + self.most
-        lifted = np.column_stack([q, np.zeros(len(q))])
+
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(row of the query, id, score) of the k best candidates of each query with a score of at least its `bound`, and the products computed."""
+        norm = (q * q).sum(axis=1) + self.tree.most
+        bound, products = bound.copy(), 0
         scores = np.full((len(q), k), -np.inf)
         ids = np.full((len(q), k), np.iinfo(np.int64).max)
-        bound = bound.copy()
-        reach = lambda: np.sqrt(np.maximum(norm - 2 * bound, 0)) * (1 + EPS) + EPS  # noqa: E731  inf where nothing bounds
-        to_pivot = _distance(lifted, self.pivot[None, :])[:, 0]
-        # stored parent distances first: leaves out of reach by them need no distance of their own
-        least = np.maximum(np.abs(to_pivot[:, None] - self.to_pivot[None, :]) - self.radius[None, :], 0)
-        need = least <= reach()[:, None]
-        centre = np.full(need.shape, np.inf)
-        rows, leaves = need.any(axis=1), need.any(axis=0)
-        if rows.any():
-            centre[np.ix_(rows, leaves)] = _distance(lifted[rows], self.centres[leaves])
-            least = np.where(need, np.maximum(centre - self.radius[None, :], least), np.inf)
-        else:
-            least[:] = np.inf
+        centre = _distance(np.column_stack([q, np.zeros(len(q))]), self.tree.leaves[self.leaf])
+        least = centre - self.tree.radius[None, self.leaf]
 
         def visit(at: np.ndarray, leaf: int) -> None:
+            nonlocal products
             a, b = self.first[leaf], self.last[leaf]
-            far = reach()[at]
-            lo = np.searchsorted(self.apart[a:b], (centre[at, leaf] - far).min(), side="left")
-            hi = np.searchsorted(self.apart[a:b], (centre[at, leaf] + far).max(), side="right")
+            far = _reach(norm, bound)[at]
+            lo = a + np.searchsorted(self.apart[a:b], (centre[at, leaf] - far).min(), side="left")
+            hi = a + np.searchsorted(self.apart[a:b], (centre[at, leaf] + far).max(), side="right")
             if lo >= hi:
                 return
-            found = q[at] @ self.x[a + lo : a + hi].T
-            found[query_ids[at][:, None] == self.ids[None, a + lo : a + hi]] = -np.inf
+            products += len(at) * (hi - lo)
+            found = q[at] @ self.x[lo:hi].T
+            found[query_ids[at][:, None] == self.ids[None, lo:hi]] = -np.inf
             found[found < bound[at][:, None]] = -np.inf
             better = np.flatnonzero(np.isfinite(found).any(axis=1))
             if not len(better):
                 return
             at = at[better]
             both = np.concatenate([scores[at], found[better]], axis=1)
-            names = np.concatenate([ids[at], np.broadcast_to(self.ids[a + lo : a + hi], (len(at), hi - lo))], axis=1)
+            names = np.concatenate([ids[at], np.broadcast_to(self.ids[lo:hi], (len(at), hi - lo))], axis=1)
             names[~np.isfinite(both)] = np.iinfo(np.int64).max
             best = np.lexsort((names, -both), axis=-1)[:, :k]
             scores[at], ids[at] = np.take_along_axis(both, best, axis=1), np.take_along_axis(names, best, axis=1)
@@ -112,16 +150,16 @@ class Page:
         done = np.zeros(least.shape, bool)
         for step in range(min(BEST_FIRST, least.shape[1])):
             leaf = order[:, step]
-            active = np.flatnonzero(least[every, leaf] <= reach())
+            active = np.flatnonzero(least[every, leaf] <= _reach(norm, bound))
             done[active, leaf[active]] = True
             for one in np.unique(leaf[active]):
                 visit(active[leaf[active] == one], one)
-        for one in np.argsort(np.where(np.isfinite(least), least, 1e300).mean(axis=0)):
-            at = np.flatnonzero((least[:, one] <= reach()) & np.isfinite(least[:, one]) & ~done[:, one])
+        for one in np.argsort(least.mean(axis=0)):
+            at = np.flatnonzero((least[:, one] <= _reach(norm, bound)) & ~done[:, one])
             if len(at):
                 visit(at, one)
         row, col = np.nonzero(np.isfinite(scores))
-        return row, ids[row, col], scores[row, col]
+        return row, ids[row, col], scores[row, col], products
 
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -131,7 +169,7 @@ def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> Da
     return vectors.where(vectors[id_col].isNotNull() & v.isNotNull() & finite).select(vectors[id_col].cast("long").alias("id"), F.transform(v, lambda e: F.floor(F.lit(scale) * e.cast("double"))).alias("x"))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 64.0) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 64.0, page: int = PAGE, block: int = BLOCK) -> DataFrame:
     """query_id, rank (from 1), `id_col`, score: for each row of `queries` (same columns) its `k` candidates among `vectors` of highest inner
     product of floor(scale * component), ties to the smaller id; all, if there are fewer.
 
@@ -150,8 +188,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     dim, most = max(1, have["dim"], ask["dim"]), float(have["most"])
     if max(most, float(ask["most"])) >= 2**52:
         raise ValueError("scores of these vectors aren't exact in 64-bit floats")
-    drawn = rows.orderBy(F.xxhash64("id"), "id", "x").limit(PIVOTS).collect()
-    pivots = _lift(np.array([np.pad(r["x"], (0, dim - len(r["x"]))) for r in drawn], float), most)
+    # at most LEAVES rows
+    drawn = rows.orderBy(F.xxhash64("id"), "id", "x").limit(min(LEAVES, max(NODES, have["n"] // LEAF))).collect()
+    tree = Tree(_lift(np.array([np.pad(r["x"], (0, dim - len(r["x"]))) for r in drawn], float), most), most)
 
     def dense(lists) -> np.ndarray:
         sizes = np.asarray(lists.value_lengths())
@@ -162,62 +201,72 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = dense(batch.column(1))
-            near = _distance(_lift(x.astype(float), most), pivots)
-            to = near.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(to, pa.int32()), pa.array(near[np.arange(len(x)), to], pa.float64())], ["id", "x", "pivot", "apart"])
-
-    placed = keep(rows.mapInArrow(assign, "id long, x binary, pivot int, apart double"), "vectors")
-    # one row for each of PIVOTS pivots
-    nodes = placed.groupBy("pivot").agg(F.max("apart").alias("radius"), F.ceil(F.count("*") / PAGE).cast("int").alias("pages")).orderBy("pivot").collect()
-    blocks = -(-ask["n"] // BLOCK)
-    at = [n["pivot"] for n in nodes]
-    radius, pages = np.array([n["radius"] for n in nodes]), [n["pages"] for n in nodes]
-    paged = F.pmod(F.xxhash64("id", F.lit(7)), F.element_at(F.create_map(*(F.lit(v) for n in nodes for v in (n["pivot"], n["pages"]))), F.col("pivot"))).cast("int")
-    stored = placed.select("id", "x", "pivot", paged.alias("page"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+            leaf, apart, up = tree.place(_lift(x.astype(float), most))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(leaf, pa.int32()), pa.array(apart), pa.array(up)], ["id", "x", "leaf", "apart", "up"])
+
+    placed = keep(rows.mapInArrow(assign, "id long, x binary, leaf int, apart double, up double"), "vectors")
+    # at most LEAVES rows
+    stats = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.max("apart").alias("radius"), F.max("up").alias("up")).toPandas()
+    count, radius, node_radius = np.zeros(len(tree.leaves), int), np.zeros(len(tree.leaves)), np.zeros(len(tree.nodes))
+    count[stats["leaf"]], radius[stats["leaf"]] = stats["n"], stats["radius"]
+    np.maximum.at(node_radius, tree.parent[stats["leaf"]], stats["up"].to_numpy())
+    tree.close(count, radius, node_radius, page)
+    plan = spark.createDataFrame([(int(i), int(tree.first_page[i]), int(tree.pages[i])) for i in np.flatnonzero(count)], "leaf int, first int, pages int")
+    paged = F.col("first") + F.pmod(F.xxhash64("id", F.lit(7)), F.col("pages")).cast("int")
+    # the plan has at most LEAVES rows
+    stored = keep(placed.join(F.broadcast(plan), "leaf").select("id", "x", "leaf", "apart", paged.alias("page")), "entries")
+    discard(placed)
 
     def route(first: bool):
-        """Pages of each query: one of its nearest pivot, or all of those within reach of its bound."""
+        """Pages of each query: that of its nearest leaf, or the others with a leaf within reach of its bound."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(-1, dim) if not first else dense(batch.column(1))
-                q = np.column_stack([x.astype(float), np.zeros(len(x))])
-                near = _distance(q, pivots[at])
-                if first:
-                    to = near.argmin(axis=1)
-                    row, node, page = np.arange(len(x)), to, np.zeros(len(x), int)
-                    bound = np.full(len(x), -np.inf)
-                else:
-                    bound = np.asarray(batch.column(2))
-                    reach = np.sqrt(np.maximum((q * q).sum(axis=1) + most - 2 * bound, 0)) * (1 + EPS) + EPS
-                    row, node = np.nonzero(near - radius[None, :] <= reach[:, None])
-                    count = np.array(pages)[node]
-                    page = np.concatenate([np.zeros(0, int), *(np.arange(c) for c in count)])
-                    row, node = np.repeat(row, count), np.repeat(node, count)
-                texts = [v.tobytes() for v in x]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array([texts[i] for i in row], pa.binary()), pa.array(bound[row]), pa.array(np.array(at)[node], pa.int32()), pa.array(page, pa.int32())], ["id", "x", "bound", "pivot", "page"])
+            for whole in batches:
+                for start in range(0, whole.num_rows, 2048):
+                    batch = whole.slice(start, 2048)
+                    x = dense(batch.column(1)) if first else np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(-1, dim)
+                    q = np.column_stack([x.astype(float), np.zeros(len(x))])
+                    if first:
+                        bound = np.full(len(x), -np.inf)
+                        far = tree.reachable(q, np.full(len(x), np.inf))[1]
+                        row, page_of = np.arange(len(x)), tree.first_page[far.argmin(axis=1)]
+                        home = page_of
+                    else:
+                        bound, home = np.asarray(batch.column(2)), np.asarray(batch.column(3))
+                        near = tree.reachable(q, _reach((q * q).sum(axis=1) + most, bound))[0]
+                        row, leaf = np.nonzero(near)
+                        n = tree.pages[leaf]
+                        row, page_of = np.repeat(row, n), np.repeat(tree.first_page[leaf], n) + np.concatenate([np.zeros(0, int), *(np.arange(c) for c in n)])
+                        both = np.unique(np.column_stack([row, page_of]), axis=0).astype(int)
+                        row, page_of = both[both[:, 1] != home[both[:, 0]]].T
+                    texts = [v.tobytes() for v in x]
+                    columns = [batch.column(0).take(pa.array(row)), pa.array([texts[i] for i in row], pa.binary()), pa.array(bound[row]), pa.array(home[row], pa.int32()), pa.array(page_of, pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "x", "bound", "home", "page"])
 
         return run
 
-    routed = "id long, x binary, bound double, pivot int, page int"
-    key = ["pivot", "page", "block"]
-    blocked = lambda df: df.withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(blocks)).cast("int"))
-
-    def answer(keys: tuple, entries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(entries) or not len(block):
+    def answer(key: tuple, entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(entries) or not len(asked):
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype("int64")
-        page = Page(entries["id"].to_numpy(), _matrix(entries["x"], dim), pivots[keys[0]], most)
-        row, ids, scores = page.search(block["id"].to_numpy(), _matrix(block["x"], dim), k, block["bound"].to_numpy())
-        return pd.DataFrame({"query_id": block["id"].to_numpy()[row], "id": ids, "score": scores.astype(np.int64)})
-
-    def visit(entries: DataFrame, block: DataFrame) -> DataFrame:
-        return entries.groupBy(*key).cogroup(block.groupBy(*key)).applyInPandas(answer, "query_id long, id long, score long")
-
-    first = keep(blocked(asked.mapInArrow(route(True), routed)), "queries")
-    near = visit(stored.where("page = 0"), first)
+        held = Page(entries["id"].to_numpy(), _matrix(entries["x"], dim), entries["leaf"].to_numpy(), entries["apart"].to_numpy(), tree)
+        row, ids, scores, _ = held.search(asked["id"].to_numpy(), _matrix(asked["x"], dim), k, asked["bound"].to_numpy())
+        return pd.DataFrame({"query_id": asked["id"].to_numpy()[row], "id": ids, "score": scores.astype(np.int64)})
+
+    def visit(routed: DataFrame) -> DataFrame:
+        """Answers of the pages, each joined with its blocks of queries only."""
+        blocks = routed.groupBy("page").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        blocks = keep(blocks, "blocks")
+        dealt = routed.join(blocks, "page").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
+        held = stored.join(blocks, "page").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        key = ["page", "block"]
+        return held.drop("blocks").groupBy(*key).cogroup(dealt.drop("blocks").groupBy(*key)).applyInPandas(answer, "query_id long, id long, score long")
+
+    routed = "id long, x binary, bound double, home int, page int"
+    first = keep(asked.mapInArrow(route(True), routed), "queries")
+    near = keep(visit(first), "near")
     bounds = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
-    second = first.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "x", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))).alias("bound"))
-    found = visit(stored, blocked(keep(second, "bounds").mapInArrow(route(False), routed)))
+    second = first.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "x", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))).alias("bound"), "home")
+    found = near.union(visit(keep(second.mapInArrow(route(False), routed), "routed")))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
 
