@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from pitlens.llm import bpe, graph, langid, minhash, mixing, mtree, ordinal, perplexity, queries, secrets, sharding, substring
+from pitlens.llm import bpe, common, graph, langid, minhash, mixing, mtree, ordinal, perplexity, queries, secrets, sharding, substring
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, k string, kept string"
@@ -198,6 +198,31 @@ def test_mtree(spark):
     assert mtree.search(few, few.where("vec_id = 0")).count() == 4
 
 
+def test_mtree_prunes_by_stored_bounds():
+    rng = np.random.default_rng(8)
+    centres = rng.integers(-400, 400, (40, 6))
+    x = (centres[rng.integers(0, 40, 6000)] + rng.integers(-6, 7, (6000, 6))).astype(float)
+    most = float((x * x).sum(axis=1).max())
+    lifted = mtree._lift(x, most)
+    tree = mtree.Tree(lifted[:120], most, 12)
+    leaf, apart, up = tree.place(lifted)
+    count, radius, node_radius = np.bincount(leaf, minlength=120), np.zeros(120), np.zeros(12)
+    np.maximum.at(radius, leaf, apart), np.maximum.at(node_radius, tree.parent[leaf], up)
+    tree.close(count, radius, node_radius, 500)
+    pages = np.zeros(tree.first_page.max() + tree.pages.max(), int)
+    for i in np.flatnonzero((tree.pages == 1) & (count > 0)):
+        pages[tree.first_page[i]] += count[i]
+    assert pages.max() <= 500 and (tree.pages >= count / 500).all()
+    ids, q = np.arange(6000), x[:50]
+    row, found, score, products = mtree.Page(ids, x, leaf, apart, tree).search(np.arange(50), q, 5, np.full(50, -np.inf))
+    for i in range(50):
+        best = sorted((-int(q[i] @ x[j]), j) for j in range(6000) if j != i)[:5]
+        assert sorted(zip(-score[row == i].astype(int), found[row == i])) == best
+    assert products < 0.5 * 50 * 6000
+    near, _, computed = tree.reachable(np.column_stack([q, np.zeros(50)]), mtree._reach((q * q).sum(axis=1) + most, np.array([score[row == i].min() for i in range(50)])))
+    assert near.mean() < 0.5 and computed < 50 * (12 + 120)
+
+
 def brute_clusters(rows, n, percent):
     """Sizes and components of rows (id, text) by all pairs."""
     sets = []
@@ -241,6 +266,64 @@ def test_minhash_finds_chains_of_near_copies(spark):
     assert got == brute_clusters(rows, 4, 80)
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_that_collide_modulo_powers_of_two_stay_apart(spark):
+    x, y = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, f"{x} {y} {x}"), (4, f"{y} {x} {y}"), (5, f"{x} q w e r {y} q w e r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collections.Counter(tuple(r) for r in substring.dedup(df).collect()) == brute_passages(rows)
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.cluster(df, words=4).collect())
+    assert got == brute_clusters(rows, 4, 80)
+    assert [perplexity.rules(np.frombuffer(t.encode(), np.uint8)) for _, t in rows] == [brute_rules(t) for _, t in rows]
+
+
+def test_run_hashes_tell_runs_apart():
+    rng = np.random.default_rng(6)
+    w = rng.integers(0, 4, 300).astype(np.uint64)
+    starts, sizes = rng.integers(0, 200, 4000), rng.integers(1, 90, 4000)
+    found = common.run_hashes(w, starts, sizes)
+    runs = [tuple(w[a : a + n].tolist()) for a, n in zip(starts, sizes)]
+    assert len(set(found.tolist())) == len(set(runs)) == len(set(zip(found.tolist(), runs)))
+
+
+@pytest.mark.parametrize("slots", [13, 17])
+def test_minhash_of_a_template_family(spark, slots, monkeypatch):
+    """Texts of one template whose slots hold shared values, at similarities around and under the threshold, beside a cluster of near copies."""
+    rng, pairs = np.random.default_rng(slots), []
+    base = [f"t{i}" for i in range(600)]
+    rows = []
+    for i in range(250):
+        w = list(base)
+        for j in range(slots):
+            w[5 + j * 40 % 590] = f"v{j}_{rng.integers(30)}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join([*base[:300], f"x{i}", *base[300:]])) for i in range(100)]
+    across = minhash.across
+    monkeypatch.setattr(minhash, "across", lambda *a: pairs.append(found := across(*a)) or found)
+    monkeypatch.setattr(minhash, "discard", lambda *a: None)
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.cluster(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect())
+    assert got == brute_clusters(rows, 4, 80)
+    assert pairs[0].count() < 4000  # of 61,075
+
+
+def test_minhash_makes_no_pairs_of_a_family_under_the_threshold(spark, monkeypatch):
+    rows = []
+    for i in range(3000):
+        w = [f"t{j}" for j in range(140)]
+        for j in (10, 40, 70, 100):
+            w[j] = f"z{i}_{j}"
+        rows.append((i, " ".join(w)))
+    pairs, across = [], minhash.across
+    monkeypatch.setattr(minhash, "across", lambda *a: pairs.append(across(*a)) or pairs[0])
+    monkeypatch.setattr(minhash, "discard", lambda *a: None)
+    got = minhash.cluster(spark.createDataFrame(rows, "doc_id long, text string"), words=4).where("doc_id != component_id").count()
+    assert got == 0 and pairs[0].count() == 0
+
+
 def test_sketch_fills_every_coordinate_and_estimates():
     rng = np.random.default_rng(7)
     for n in (1, 3, 50, 5000):
@@ -288,6 +371,48 @@ def test_sharding_splits_a_hot_group(spark):
     assert out.groupby("bundle").size().max() < 100
 
 
+def test_sharding_keeps_groups_whole_where_they_fit(spark):
+    df = spark.range(1000).selectExpr("id as doc_id", "case when id < 100 then 'hot copy' when id < 150 then 'd efghi' else concat('text ', id % 700) end as text")
+    out = sharding.shard(df).toPandas()
+    assert out.groupby(["text_crc32", "size"]).shard.nunique().max() == 1
+    for column in ("size", "rows"):
+        sums = out.assign(rows=1).groupby("shard")[column].sum()
+        assert sums.max() < 1.03 * sums.mean()
+
+
+def test_placement_equals_a_plain_loop():
+    rng = np.random.default_rng(9)
+    for n_items in (0, 1, 5, 60):
+        demand = rng.integers(1, 50, (3 * n_items, 3)).astype(float)
+        item = np.repeat(np.arange(n_items), 3)
+        share = [[x / max(1, t) for x, t in zip(row, demand.sum(axis=0))] for row in demand.tolist()]
+        room, want = [[1 / 4] * 3 for _ in range(4)], {}
+
+        def put(need, forced):
+            fit = [s for s in range(4) if all(r >= n - 1e-12 for r, n in zip(room[s], need))] or (list(range(4)) if forced else [])
+            if fit:
+                s = max(fit, key=lambda s: (round(sum(r * n for r, n in zip(room[s], need)), 15), -s))
+                room[s] = [r - n for r, n in zip(room[s], need)]
+                return s
+
+        need = {i: [sum(share[j][d] for j in range(3 * i, 3 * i + 3)) for d in range(3)] for i in range(n_items)}
+        for i in sorted(need, key=lambda i: (-max(need[i]), i)):
+            s = put(need[i], False)
+            for j in range(3 * i, 3 * i + 3):
+                want[j] = put(share[j], True) if s is None else s
+        got = sharding.place(demand, item, 4)
+        assert got.tolist() == [want[j] for j in range(3 * n_items)]
+
+
+def test_langid_knows_letters_and_marks(spark):
+    docs = spark.createDataFrame([(1, "हिन्दी में लिखा हुआ पाठ", "hi"), (2, "plain english words here", "en")], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    texts = ["½ 12 ²", "① Ⅷ", "123 !?", "\u0301 \u0301", "हिन्दी", "word"]
+    rows = langid.detect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [(r["lang_pred"], r["score"]) for r in sorted(rows)] == [("und", 0.0)] * 4 + [("hi", 1.0), ("en", 1.0)]
+    assert len(langid.words_of(["हिन्दी में"])[0]) == 2
+
+
 def test_langid(spark, edge):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.op7_langid(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
@@ -374,6 +499,29 @@ def test_ordinal(spark, edge):
     assert ordinal.train(docs, bad).weights.sum() == 0
 
 
+def test_ordinal_gradient_equals_finite_differences():
+    rng = np.random.default_rng(10)
+    n, used, grades = 40, 6, 4
+    grade, row, slot, value = rng.integers(0, grades, n), np.repeat(np.arange(n), 3), rng.integers(0, used, 3 * n), rng.normal(size=3 * n)
+    params = rng.normal(size=used + grades - 1) * 0.5
+    at = lambda p: ordinal.likelihood(p, grade, row, slot, value, grades, 1e-2)[0]
+    theta = np.cumsum(np.r_[params[used], np.exp(params[used + 1 :])])
+    f = [sum(v * params[s] for r, s, v in zip(row, slot, value) if r == i) for i in range(n)]
+    cdf = lambda i, k: 0 if k < 0 else 1 if k == grades - 1 else 1 / (1 + np.exp(f[i] - theta[k]))
+    plain = np.mean([np.log(cdf(i, g) - cdf(i, g - 1)) for i, g in enumerate(grade)]) - 1e-2 / used**0.5 * (params[:used] ** 2).sum() / 2
+    assert at(params) == pytest.approx(plain)
+    steps = 1e-6 * np.eye(len(params))
+    want = [(at(params + d) - at(params - d)) / 2e-6 for d in steps]
+    assert ordinal.likelihood(params, grade, row, slot, value, grades, 1e-2)[1] == pytest.approx(want, abs=1e-6)
+
+
+def test_ordinal_keeps_clashing_columns_and_one_text_an_id(spark):
+    df = spark.createDataFrame([(1, "good text", 5, "x")] * 3, "doc_id long, text string, _rated int, rated string")
+    out = ordinal.score(df, ordinal.train(df, spark.createDataFrame([(1, 2), (1, 1)], "doc_id long, grade int")))
+    assert out.columns == ["doc_id", "text", "_rated", "rated", "_expected", "_tail", "_selected"]
+    assert {r["_rated"] for r in out.collect()} == {5}
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.01").toPandas()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").toPandas().set_index("doc_id")
