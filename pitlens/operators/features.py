@@ -51,9 +51,11 @@ def rsi(gain: Column, loss: Column) -> Column:
     return F.when((gain == 0) & (loss == 0), 50.0).when(loss == 0, 100.0).otherwise(100 - 100 / (1 + ratio(gain, loss)))
 
 
-def momentum(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """F1-F6. Returns are null where the earlier close is null or 0."""
-    base = enrich_instrument(bars, instruments).withColumns({"_rn": F.row_number().over(_all()), "_prev": _lag(1)})
+def _numbered(bars: DataFrame, instruments: DataFrame) -> DataFrame:
+    return enrich_instrument(bars, instruments).withColumns({"_rn": F.row_number().over(_all()), "_prev": _lag(1)})
+
+
+def _momentum(base: DataFrame) -> DataFrame:
     change = F.col("adj_close") - F.col("_prev")
     base = base.withColumns({"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0)), "_r20": ratio(_close(), _lag(20)) - 1})
     base = base.withColumns({"_gain": F.when(change.isNotNull(), F.col("_gain")), "_loss": F.when(change.isNotNull(), F.col("_loss"))})
@@ -69,12 +71,10 @@ def momentum(bars: DataFrame, instruments: DataFrame) -> DataFrame:
         "stoch_k_14": _warm(14, 100 * (_close() - low) / spread),
         "distance_from_252d_high": _warm(252, ratio(_close(), F.max("adj_close").over(_w(252))) - 1),
     }
-    return base.withColumns(out).select(*KEYS, "adj_close", *MOMENTUM)
+    return base.withColumns(out)
 
 
-def trend(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """F7-F12. The exponential averages are simple ones of 12 and 26 rows, close_to_sma is a plain ratio and the slope a return."""
-    base = enrich_instrument(bars, instruments).withColumn("_rn", F.row_number().over(_all()))
+def _trend(base: DataFrame) -> DataFrame:
     mean = {n: F.avg("adj_close").over(_w(n)) for n in (12, 20, 26, 50, 200)}
     base = base.withColumns({"_line": mean[12] - mean[26]} | {f"_sma{n}": m for n, m in mean.items()})
     base = base.withColumn("_signal", F.avg("_line").over(_w(9)))
@@ -91,35 +91,54 @@ def trend(bars: DataFrame, instruments: DataFrame) -> DataFrame:
         "slope_50d": ratio(_close(), _lag(50)) - 1,
         "trend_strength": _warm(200, F.when((_close() > s20) & (s20 > s50) & (s50 > s200), 1.0).when((_close() < s20) & (s20 < s50) & (s50 < s200), -1.0).otherwise(0.0)),
     }
-    return base.withColumns(out).select(*KEYS, "adj_close", *TREND)
+    return base.withColumns(out)
 
 
-def volatility(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """F13-F18. Bars without open, high or low go before rows are numbered."""
-    base = enrich_instrument(bars, instruments).where("adj_open is not null and adj_high is not null and adj_low is not null")
-    base = base.withColumns({"_rn": F.row_number().over(_all()), "_prev": _lag(1)})
-    o, h, lo, prev = F.col("adj_open"), F.col("adj_high"), F.col("adj_low"), F.coalesce("_prev", "adj_close")
+def _volatility(base: DataFrame, rn: str, prev: str, by: list[str]) -> DataFrame:
+    """The windows run within `by`, where rows are numbered by `rn` and `prev` is the close before."""
+    over = lambda n: trailing(by, "as_of_date", n)
+    keep = lambda n, value: warm(F.col(rn), n, value)
+    o, h, lo, before, last = F.col("adj_open"), F.col("adj_high"), F.col("adj_low"), F.col(prev), F.coalesce(prev, "adj_close")
     hl, co = F.when((h > 0) & (lo > 0), F.ln(h / lo)), F.when((_close() > 0) & (o > 0), F.ln(_close() / o))
     base = base.withColumns(
         {
-            "_tr": F.greatest(h - lo, F.abs(h - prev), F.abs(lo - prev)),
-            "_log": F.when((_close() > 0) & (F.col("_prev") > 0), F.ln(_close() / F.col("_prev"))),
+            "_tr": F.greatest(h - lo, F.abs(h - last), F.abs(lo - last)),
+            "_log": F.when((_close() > 0) & (before > 0), F.ln(_close() / before)),
             "_hl2": hl * hl,
             "_gk": 0.5 * hl * hl - (2 * math.log(2) - 1) * co * co,
         }
     )
-    std, gk, mean, spread = F.stddev_samp("_log"), F.avg("_gk").over(_w(20)), F.avg("adj_close").over(_w(20)), F.stddev_samp("adj_close").over(_w(20))
-    out = {"atr_14": _warm(14, F.avg("_tr").over(_w(14)))}
+    std, gk, mean, spread = F.stddev_samp("_log"), F.avg("_gk").over(over(20)), F.avg("adj_close").over(over(20)), F.stddev_samp("adj_close").over(over(20))
+    out = {"atr_14": keep(14, F.avg("_tr").over(over(14)))}
     out |= {"atr_pct_14": ratio(out["atr_14"], _close())}
-    out |= {f"volatility_{n}d": _warm(n + 1, std.over(_w(n))) for n in (5, 10, 20, 60)}
+    out |= {f"volatility_{n}d": keep(n + 1, std.over(over(n))) for n in (5, 10, 20, 60)}
     out |= {
         "realized_vol_20d": out["volatility_20d"] * YEAR,
-        "parkinson_vol_20d": _warm(20, F.sqrt(F.avg("_hl2").over(_w(20)) / (4 * math.log(2))) * YEAR),
-        "garman_klass_vol_20d": _warm(20, F.when(gk >= 0, F.sqrt(gk) * YEAR)),
-        "bollinger_zscore_20": _warm(20, ratio(_close() - mean, spread)),
-        "bollinger_bandwidth_20": _warm(20, ratio(4 * spread, mean)),
+        "parkinson_vol_20d": keep(20, F.sqrt(F.avg("_hl2").over(over(20)) / (4 * math.log(2))) * YEAR),
+        "garman_klass_vol_20d": keep(20, F.when(gk >= 0, F.sqrt(gk) * YEAR)),
+        "bollinger_zscore_20": keep(20, ratio(_close() - mean, spread)),
+        "bollinger_bandwidth_20": keep(20, ratio(4 * spread, mean)),
     }
-    return base.withColumns(out).select(*KEYS, "adj_close", *VOLATILITY)
+    return base.withColumns(out)
+
+
+def _complete() -> Column:
+    return F.col("adj_open").isNotNull() & F.col("adj_high").isNotNull() & F.col("adj_low").isNotNull()
+
+
+def momentum(bars: DataFrame, instruments: DataFrame) -> DataFrame:
+    """F1-F6. Returns are null where the earlier close is null or 0."""
+    return _momentum(_numbered(bars, instruments)).select(*KEYS, "adj_close", *MOMENTUM)
+
+
+def trend(bars: DataFrame, instruments: DataFrame) -> DataFrame:
+    """F7-F12. The exponential averages are simple ones of 12 and 26 rows, close_to_sma is a plain ratio and the slope a return."""
+    return _trend(_numbered(bars, instruments)).select(*KEYS, "adj_close", *TREND)
+
+
+def volatility(bars: DataFrame, instruments: DataFrame) -> DataFrame:
+    """F13-F18. Bars without open, high or low go before rows are numbered."""
+    return _volatility(_numbered(bars.where(_complete()), instruments), "_rn", "_prev", ["symbol"]).select(*KEYS, "adj_close", *VOLATILITY)
 
 
 def mean_reversion_pack(bars: DataFrame) -> DataFrame:
@@ -169,9 +188,25 @@ def technical_features(bars: DataFrame, instruments: DataFrame, allowed: DataFra
 def research_features(momentum_rows: DataFrame, trend_rows: DataFrame, volatility_rows: DataFrame, shorts: DataFrame | None = None) -> DataFrame:
     """Momentum is the master; the others are left-joined on (symbol, as_of_date), one row each. Columns that `shorts` lacks come as nulls."""
     key = ["symbol", "as_of_date"]
-    out = momentum_rows.join(trend_rows.select(*key, *TREND), key, "left").join(volatility_rows.select(*key, *VOLATILITY), key, "left")
+    return with_shorts(momentum_rows.join(trend_rows.select(*key, *TREND), key, "left").join(volatility_rows.select(*key, *VOLATILITY), key, "left"), shorts)
+
+
+def with_shorts(out: DataFrame, shorts: DataFrame | None) -> DataFrame:
+    """Short columns of one row per (symbol, as_of_date) added, nulls where there are none."""
+    key = ["symbol", "as_of_date"]
     wanted = ["short_volume_ratio", "short_interest", "days_to_cover"]
     if shorts is None:
         return out.withColumns({c: F.lit(None).cast("double") for c in wanted})
     have = [F.col(c).cast("double").alias(c) if c in shorts.columns else F.lit(None).cast("double").alias(c) for c in wanted]
     return out.join(shorts.select(*key, *have).dropDuplicates(key), key, "left")
+
+
+def research_features_daily(bars: DataFrame, instruments: DataFrame, shorts: DataFrame | None = None) -> DataFrame:
+    """F24 from bars of one row per (symbol, date), in one shuffle of them: momentum, trend and volatility on the same rows. The windows of
+    volatility run over the bars with open, high and low apart from the others, as if these weren't there; their own volatility is null."""
+    base = _numbered(bars, instruments).withColumn("_full", _complete())
+    by = ["symbol", "_full"]
+    base = base.withColumns({"_vn": F.row_number().over(ordered(by, "as_of_date")), "_vprev": F.lag("adj_close").over(ordered(by, "as_of_date"))})
+    out = _volatility(_trend(_momentum(base)), "_vn", "_vprev", by)
+    out = out.select(*KEYS, "adj_close", *MOMENTUM, *TREND, *(F.when(F.col("_full"), F.col(c)).alias(c) for c in VOLATILITY))
+    return with_shorts(out, shorts)

@@ -102,7 +102,7 @@ def on_bars(make):
 
 def research_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars, names = frame(spark, sf_dir, "bars"), frame(spark, sf_dir, "instruments")
-    return f.research_features(f.momentum(bars, names), f.trend(bars, names), f.volatility(bars, names))
+    return f.research_features_daily(bars, names)
 
 
 def technical(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ QUERIES = {name: group_query(*spec) for name, spec in GROUPS.items()} | {
     "F22_trend_pack": on_bars(f.trend_pack),
     "F23_technical_features": technical,
     "F24_research_features_daily": lambda s, d: rounded(research_features(s, d)),
-    "J2_join_feature_groups": lambda s, d: rounded(research_features(s, d).select(*SHORT_KEYS, "rsi_14", "sma_50", "volatility_20d")),
+    "J2_join_feature_groups": lambda s, d: rounded(f.research_features(*(make(frame(s, d, "bars"), frame(s, d, "instruments")) for make in (f.momentum, f.trend, f.volatility))).select(*SHORT_KEYS, "rsi_14", "sma_50", "volatility_20d")),
 }
 _FULL = f"{BARS},\n{MOMENTUM},\n{TREND},\n{VOLATILITY}"
 _JOINED = "momentum m LEFT JOIN trend t ON m.symbol = t.symbol AND m.as_of_date = t.as_of_date LEFT JOIN volatility v ON m.symbol = v.symbol AND m.as_of_date = v.as_of_date"
