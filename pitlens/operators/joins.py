@@ -98,22 +98,17 @@ def overlap_floor(rows: DataFrame, watermark: DataFrame, time: str, days: int) -
     return rows.crossJoin(F.broadcast(watermark.limit(1))).where(F.col("watermark").isNull() | (F.to_date(time) >= floor)).drop("watermark")
 
 
-def _gram(n: int):
-    return lambda i: F.array_join(F.slice("w", i, n), " ")
-
-
-def alias_text_match(articles: DataFrame, references: DataFrame, max_words: int = 4) -> DataFrame:
-    """Articles (raw_id, title) with references (symbol, phrase) whose phrase stands in the title as whole words.
-    The title's word n-grams are joined by equality, so no title meets every phrase. Phrases have at most `max_words` words."""
-    clean = F.trim(F.regexp_replace(F.upper("title"), "[^A-Z0-9]+", " "))
-    words = articles.select("raw_id", F.filter(F.split(clean, " "), lambda w: w != "").alias("w"))
-    grams = None
-    for n in range(1, max_words + 1):
-        at = F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1)))
-        part = words.where(F.size("w") >= n).select("raw_id", F.explode(F.transform(at, _gram(n))).alias("gram"))
-        grams = part if grams is None else grams.union(part)
-    phrases = references.select("symbol", F.trim(F.regexp_replace(F.upper("phrase"), "[^A-Z0-9]+", " ")).alias("gram")).where("gram != ''").distinct()
-    return grams.distinct().join(phrases, "gram").select("raw_id", "symbol", F.col("gram").alias("matched_text"))
+def alias_text_match(articles: DataFrame, references: DataFrame) -> DataFrame:
+    """Articles (raw_id, title) with references (symbol, phrase) whose phrase stands in the title as whole words, however many.
+    The title's runs of words, up to the longest phrase, are joined by equality, so no title meets every phrase; titles are read once."""
+    clean = lambda c: F.trim(F.regexp_replace(F.upper(c), "[^A-Z0-9]+", " "))
+    phrases = references.select("symbol", clean("phrase").alias("gram")).where("gram != ''").distinct()
+    longest = phrases.agg(F.max(F.size(F.split("gram", " "))).alias("_most"))
+    words = articles.select("raw_id", F.filter(F.split(clean("title"), " "), lambda w: w != "").alias("w")).where(F.size("w") > 0)
+    words = words.crossJoin(F.broadcast(longest)).where("_most is not null")
+    run = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.col("_most"), F.size("w") - i + 1)), lambda n: F.array_join(F.slice("w", i, n), " "))
+    grams = words.select("raw_id", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.size("w")), run)))).alias("gram")).distinct()
+    return grams.join(phrases, "gram").select("raw_id", "symbol", F.col("gram").alias("matched_text"))
 
 
 def merge_features_outer(technical: DataFrame, shorts: DataFrame, news: DataFrame, fundamentals: DataFrame) -> DataFrame:
