@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -19,6 +19,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read again, for results that are used several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder by Spark's own file systems."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

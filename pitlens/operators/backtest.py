@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.shared import stored
 from ..functions.windows import ordered, ratio
 
 MIN_NAMES = 50
@@ -122,12 +123,17 @@ def zscore_weighted_buckets(rows: DataFrame, share: float = 0.05, min_names: int
 
 
 def _turnover(book: DataFrame) -> DataFrame:
-    """as_of_date, turnover: sum over symbols of the change in weight from the last date with a book, exits included."""
+    """as_of_date, turnover: sum over symbols of the change in weight from the last date with a book, exits included.
+
+    Each position adds its change from the symbol's position of the date before, and, unless the symbol stays, its exit at the next date."""
     days = book.select("as_of_date").distinct().withColumn("_i", F.row_number().over(Window.orderBy("as_of_date")))
-    b = book.join(days, "as_of_date").select("_i", "symbol", "weight")
-    before = b.select((F.col("_i") + 1).alias("_i"), "symbol", F.col("weight").alias("_w"))
-    moved = b.join(before, ["_i", "symbol"], "full_outer").groupBy("_i").agg(F.sum(F.abs(F.coalesce("weight", F.lit(0.0)) - F.coalesce("_w", F.lit(0.0)))).alias("turnover"))
-    return days.join(moved, "_i").select("as_of_date", "turnover")
+    w = Window.partitionBy("symbol").orderBy("_i")
+    near = lambda i, weight: F.when(i, weight).otherwise(0.0)
+    enter = F.abs(F.col("weight") - near(F.coalesce(F.lag("_i").over(w) == F.col("_i") - 1, F.lit(False)), F.lag("weight").over(w)))
+    leave = near(~F.coalesce(F.lead("_i").over(w) == F.col("_i") + 1, F.lit(False)), F.abs("weight"))
+    moves = book.select("as_of_date", "symbol", F.coalesce("weight", F.lit(0.0)).alias("weight")).join(days, "as_of_date").select("_i", enter.alias("enter"), leave.alias("leave"))
+    each = moves.select(F.explode(F.array(F.struct("_i", F.col("enter").alias("v")), F.struct((F.col("_i") + 1).alias("_i"), F.col("leave").alias("v")))).alias("m")).select("m.*")
+    return days.join(each.groupBy("_i").agg(F.sum("v").alias("turnover")), "_i").select("as_of_date", "turnover")
 
 
 def ranker_book(rows: DataFrame, share: float = 0.05, min_names: int = MIN_NAMES) -> DataFrame:
@@ -140,6 +146,7 @@ def ranker_book(rows: DataFrame, share: float = 0.05, min_names: int = MIN_NAMES
 
 def ranker_portfolio(book: DataFrame, bps: float = 10.0) -> DataFrame:
     """B14, daily: positions, gross, turnover against the previous book, net and hit rate."""
+    book = stored(book.select("as_of_date", "symbol", "weight", "target_return"), "book")
     pnl = F.col("weight") * F.col("target_return")
     daily = book.groupBy("as_of_date").agg(F.count("*").alias("selected_count"), F.sum(pnl).alias("gross"), F.avg((pnl > 0).cast("double")).alias("hit_rate"))
     return daily.join(_turnover(book), "as_of_date").withColumn("net", F.col("gross") - F.col("turnover") * (bps / 10000))
@@ -159,6 +166,7 @@ def long_only_next_day(rows: DataFrame, share: float = 0.05, min_price: float =
     x = cross_section(rows.withColumn("target_return", F.greatest(F.least("target_return", F.lit(cap)), F.lit(-cap))), min_names)
     x = x.where(F.col("_down") <= _bucket(share, True))
     book = x.withColumn("weight", 1 / F.count("*").over(Window.partitionBy("as_of_date"))).select("as_of_date", "symbol", "target_return", "weight")
+    book = stored(book, "book")
     daily = book.groupBy("as_of_date").agg(F.sum(F.col("weight") * F.col("target_return")).alias("gross"), F.count("*").alias("names")).join(_turnover(book), "as_of_date")
     return compound(daily.withColumn("net", F.col("gross") - F.col("turnover") * (bps / 10000)))
 
