@@ -49,10 +49,6 @@ def windows(s, d):
     return n.news_event_windows(links(s, d), frame(s, d, "days"))
 
 
-def requests(s):
-    return s.sql("select concat('CO:', cast(id % 40 as string)) as company_id, case when id % 2 = 0 then '10-K' else '10-Q' end as form_type, timestamp'1998-06-01 00:00:00' + make_interval(0, 0, 0, cast(id as int) * 5) as as_of from range(200)")
-
-
 def research_pit(s, d):
     technical = f.technical_features(frame(s, d, "bars"), frame(s, d, "instruments"), frame(s, d, "universe").where("include_in_universe"))
     funds = frame(s, d, "fundamentals").select("company_id", "effective_as_of_date", "available_at", "period_end_date", "filing", "revenue")
@@ -85,7 +81,7 @@ QUERIES = {
     "A5_ttm_sum": lambda s, d: rounded(ttm(s, d).select("company_id", "period_end_date", "revenue", "assets", "equity")),
     "E9_missing_fundamentals": lambda s, d: e.missing_fundamentals(symbols(s, d), frame(s, d, "companies")),
     "E10_statement_mapping": lambda s, d: rounded(statements(s, d)),
-    "E11_latest_filing_asof": lambda s, d: e.latest_filing_asof(requests(s), filings(s, d).where("company_id is not null")).select("company_id", "form_type", "as_of", "available_at"),
+    "E11_latest_filing_asof": lambda s, d: e.latest_filing_asof(frame(s, d, "requests"), filings(s, d).where("company_id is not null")).select("o_orderkey", "company_id", "form_type", "as_of", "available_at"),
     "E12_fundamental_ratios": lambda s, d: rounded(e.fundamental_ratios(base(s, d)).select("company_id", "period_end_date", "net_margin", "debt_to_equity", "return_on_assets")),
     "N1_news_candidates": lambda s, d: candidates(s, d),
     "N2_news_identity": lambda s, d: n.news_identity(frame(s, d, "articles")).select("raw_id", "article_id", "cluster_id"),
@@ -116,7 +112,7 @@ id AS (SELECT raw_id, published_at, 'NEWS:' || substr(sha1(source_name || '|' ||
 li AS (SELECT id.*, ca.symbol, ca.match_score, i.instrument_id, CASE WHEN CAST(published_at AS TIME) < TIME '09:30:00' THEN CAST(published_at AS DATE) ELSE CAST(CAST(published_at AS DATE) + INTERVAL '1' DAY AS DATE) END AS d0 FROM id JOIN ca ON ca.raw_id = id.raw_id JOIN instruments i ON i.symbol = ca.symbol),
 ef AS (SELECT d, (SELECT min(bar_date) FROM days WHERE bar_date >= q.d) AS effective_date FROM (SELECT DISTINCT d0 AS d FROM li) q), nx AS (SELECT bar_date, lead(bar_date) OVER (ORDER BY bar_date) AS window_end FROM days),
 wi AS (SELECT li.*, ef.effective_date, nx.window_end FROM li LEFT JOIN ef ON ef.d = li.d0 LEFT JOIN nx ON nx.bar_date = ef.effective_date)"""
-_REQ = "rq AS (SELECT 'CO:' || CAST(i % 40 AS VARCHAR) AS company_id, CASE WHEN i % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form_type, TIMESTAMP '1998-06-01 00:00:00' + INTERVAL '1' DAY * (i * 5) AS as_of FROM range(200) t(i))"
+_REQ = ctes("requests").removeprefix("WITH ")
 ORACLES = {
     "E1_sec_filings": f"{FACTS} SELECT filing_id, cik, accession_number, company_id, available_at FROM fil",
     "E2_cik_company_map": f"{ctes('companies')} SELECT * FROM companies",
@@ -130,7 +126,7 @@ ORACLES = {
     "A5_ttm_sum": f"{FACTS} SELECT company_id, period_end_date, {r('revenue')}, round(nullif(assets, -1), 6) + 0.0 AS assets, round(nullif(equity, -1), 6) + 0.0 AS equity FROM tt",
     "E9_missing_fundamentals": f"{ctes('candidates', 'companies')}, x AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY s_acctbal > 1000 DESC, CASE WHEN regexp_matches(symbol, '[^A-Z0-9]') THEN 1 ELSE 0 END, length(symbol), symbol) AS k FROM candidates WHERE cik IS NOT NULL AND cik NOT IN (SELECT cik FROM companies)) SELECT cik, symbol FROM x WHERE k = 1",
     "E10_statement_mapping": f"{ctes('fundamentals')} SELECT company_id, period_end_date, round(coalesce(assets, equity), 6) + 0.0 AS assets, round(revenue, 6) + 0.0 AS revenue, CAST(NULL AS DOUBLE) AS net_income FROM fundamentals",
-    "E11_latest_filing_asof": f"{FACTS}, {_REQ} SELECT company_id, form_type, as_of, (SELECT max(available_at) FROM fil WHERE fil.company_id = rq.company_id AND fil.form_type = rq.form_type AND fil.available_at <= rq.as_of) AS available_at FROM rq",
+    "E11_latest_filing_asof": f"{FACTS}, {_REQ} SELECT o_orderkey, company_id, form_type, as_of, (SELECT max(available_at) FROM fil WHERE fil.company_id = requests.company_id AND fil.form_type = requests.form_type AND fil.available_at <= requests.as_of) AS available_at FROM requests",
     "E12_fundamental_ratios": f"{FACTS} SELECT company_id, period_end_date, round(net_income / nullif(revenue, 0), 6) + 0.0 AS net_margin, round(liabilities / nullif(equity, 0), 6) + 0.0 AS debt_to_equity, round(net_income / nullif(assets, 0), 6) + 0.0 AS return_on_assets FROM bs",
     "N1_news_candidates": f"{NEWS} SELECT * FROM ca",
     "N2_news_identity": f"{NEWS} SELECT raw_id, article_id, cluster_id FROM id",

@@ -16,7 +16,7 @@ INPUTS = {
       FROM (SELECT l_suppkey, l_shipdate, l_quantity, l_extendedprice / l_quantity AS p FROM {lineitem}) x GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
     "instruments": """
       SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, concat('INST:', CAST(s_suppkey AS STRING)) AS instrument_id,
-        concat('CO:', CAST(s_suppkey % 40 AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 11 <> 0""",
+        concat('CO:', CAST(s_suppkey AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 11 <> 0""",
     "universe": """
       SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, s_acctbal > 1000 AS include_in_universe FROM {supplier}""",
     "short_volume": """
@@ -30,10 +30,10 @@ INPUTS = {
         CASE WHEN o_orderstatus = 'F' THEN 'regular' ELSE 'otc' END AS source_market, concat('si', o_orderstatus) AS source_file, CAST(max(o_orderdate) AS TIMESTAMP) AS ingested_at
       FROM {orders} GROUP BY o_custkey % 100, CAST(date_trunc('month', o_orderdate) AS DATE), o_orderstatus""",
     "fundamentals": """
-      SELECT concat('CO:', CAST(o_custkey % 40 AS STRING)) AS company_id, CAST(o_orderdate AS DATE) AS effective_as_of_date, CAST(o_orderdate AS TIMESTAMP) AS available_at,
+      SELECT concat('CO:', CAST(o_custkey AS STRING)) AS company_id, CAST(o_orderdate AS DATE) AS effective_as_of_date, CAST(o_orderdate AS TIMESTAMP) AS available_at,
         CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, o_orderkey AS filing, o_totalprice AS revenue, o_totalprice * 0.1 AS net_income,
         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice * 3 END AS assets, o_totalprice * 1.5 AS equity
-      FROM {orders} WHERE o_orderkey % 7 = 0""",
+      FROM {orders}""",
     "memberships": """
       SELECT concat('S', CAST(o_custkey % 100 AS STRING)) AS symbol, CAST(min(o_orderdate) AS DATE) AS effective_from,
         CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS effective_to FROM {orders} WHERE o_custkey % 5 <> 0 GROUP BY o_custkey % 100, o_custkey % 3, o_orderpriority""",
@@ -61,20 +61,22 @@ INPUTS = {
         CASE s_suppkey % 5 WHEN 0 THEN 'Common Stock' WHEN 1 THEN 'ETF' WHEN 2 THEN NULL ELSE 'Common Stock' END AS security_type_raw,
         CASE WHEN s_suppkey % 2 = 0 THEN 'sec_tickers' ELSE 'nasdaq_listed' END AS source_name, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * (s_suppkey % 3) AS DATE) AS as_of_date, s_acctbal FROM {supplier}""",
     "filing_index": """
-      SELECT CAST(o_custkey % 50 + 1 AS STRING) AS cik, concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CASE o_orderstatus WHEN 'F' THEN '10-K' ELSE '10-Q' END AS form_type,
+      SELECT CAST(o_custkey + 1 AS STRING) AS cik, concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CASE o_orderstatus WHEN 'F' THEN '10-K' ELSE '10-Q' END AS form_type,
         CAST(o_orderdate AS DATE) AS filing_date, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS accepted_at, o_orderkey FROM {orders}""",
     "companies": """
-      SELECT lpad(CAST(s_suppkey % 50 + 1 AS STRING), 10, '0') AS cik, concat('CO:', CAST(min(s_suppkey) AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 50 <> 7 GROUP BY s_suppkey % 50""",
+      SELECT lpad(CAST(s_suppkey + 1 AS STRING), 10, '0') AS cik, concat('CO:', CAST(s_suppkey AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 50 <> 7""",
     "facts": """
-      SELECT concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CAST(o_custkey % 50 + 1 AS STRING) AS cik, ' US-GAAP' AS taxonomy,
+      SELECT concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CAST(o_custkey + 1 AS STRING) AS cik, ' US-GAAP' AS taxonomy,
         CASE o_orderkey % 8 WHEN 0 THEN 'Revenues' WHEN 1 THEN ' Assets ' WHEN 2 THEN 'StockholdersEquity' WHEN 3 THEN 'NetIncomeLoss' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'ProfitLoss' WHEN 6 THEN '' ELSE 'Other' END AS concept,
         'USD' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, CAST(NULL AS DATE) AS period_start_date, ' ' AS frame, o_totalprice AS value_numeric, CAST(o_orderdate AS TIMESTAMP) AS ingested_at, o_orderkey FROM {orders}""",
     "references": """
       SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN 'value click' WHEN s_suppkey % 3 = 1 THEN 'view' ELSE 'and' END AS phrase FROM {supplier}""",
     "snapshots": """
-      SELECT concat('S', CAST(k AS STRING)) AS symbol, CASE WHEN k % 6 = 0 THEN NULL ELSE lpad(CAST(k % 80 AS STRING), 10, '0') END AS cik, concat('Company ', CAST(k % 80 AS STRING), CASE WHEN as_of_date >= DATE '2000-01-01' AND k % 4 = 0 THEN ' New' ELSE '' END) AS company_name,
+      SELECT concat('S', CAST(k AS STRING)) AS symbol, CASE WHEN k % 6 = 0 THEN NULL ELSE lpad(CAST(k - k % 2 AS STRING), 10, '0') END AS cik, concat('Company ', CAST(k - k % 2 AS STRING), CASE WHEN as_of_date >= DATE '2000-01-01' AND k % 4 = 0 THEN ' New' ELSE '' END) AS company_name,
         CASE WHEN k % 5 = 0 AND as_of_date >= DATE '1998-01-01' THEN 'NYSE' WHEN k % 13 = 0 THEN 'OTC' ELSE 'NASDAQ' END AS exchange, CASE WHEN k % 7 = 0 AND as_of_date >= DATE '1999-01-01' THEN 'ADR' ELSE 'COMMON_STOCK' END AS security_type, as_of_date, ingested_at
-      FROM (SELECT o_custkey % 90 AS k, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS as_of_date, CAST(max(o_orderdate) AS TIMESTAMP) AS ingested_at FROM {orders} WHERE o_orderkey % 10 = o_custkey % 10 GROUP BY 1, 2) x""",
+      FROM (SELECT o_custkey AS k, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS as_of_date, CAST(max(o_orderdate) AS TIMESTAMP) AS ingested_at FROM {orders} GROUP BY 1, 2) x""",
+    "requests": """
+      SELECT o_orderkey, concat('CO:', CAST(o_custkey AS STRING)) AS company_id, CASE WHEN o_orderkey % 2 = 0 THEN '10-K' ELSE '10-Q' END AS form_type, CAST(CAST(o_orderdate AS DATE) + INTERVAL '30' DAY AS TIMESTAMP) AS as_of FROM {orders}""",
     "provider_symbols": """
       SELECT p_partkey, concat(upper(substr(p_name, 1, 3)), CASE p_partkey % 9 WHEN 0 THEN '.B' WHEN 1 THEN '-W' WHEN 2 THEN '.RT' WHEN 3 THEN '$C' WHEN 4 THEN '-UN' WHEN 5 THEN '.PA' WHEN 6 THEN '' WHEN 7 THEN '/B' ELSE 'X ' END) AS symbol FROM {part}""",
 }

@@ -56,10 +56,6 @@ def bitemporal(s, d):
     return j.asof_bitemporal(left, right, "symbol", "trade_date", "max_available", "settlement_date", "ingested_at").select("symbol", "trade_date", "settlement_date", "ingested_at", "short_interest")
 
 
-def small_left(s, d):
-    return frame(s, d, "bars").where("day(bar_date) = 1")
-
-
 QUERIES = {
     "L1_return_labels": lambda s, d: rounded(l.return_labels(frame(s, d, "bars"))),
     "L2_volatility_labels_forward": lambda s, d: rounded(l.forward_volatility(frame(s, d, "bars"))),
@@ -79,7 +75,7 @@ QUERIES = {
     "J6_interval_membership": lambda s, d: j.interval_membership(dated(s, d), frame(s, d, "memberships"), "symbol", "as_of_date").select("symbol", "as_of_date"),
     "J7_self_range_ttm": lambda s, d: j.trailing_self(frame(s, d, "fundamentals"), "company_id", "period_end_date", "available_at").groupBy("a.filing").agg(F.count("*").alias("n"), F.min("b.period_end_date").alias("first_period")),
     "J8_next_trading_day": lambda s, d: j.next_trading_day(frame(s, d, "articles"), frame(s, d, "days"), "published_at").select("raw_id", "effective_date"),
-    "J9_best_identity_lateral": lambda s, d: j.best_identity(small_left(s, d).select("symbol", "bar_date"), frame(s, d, "memberships"), "symbol", "bar_date", [F.col("h_effective_to").isNull().desc(), F.col("h_effective_from").desc_nulls_last(), F.col("h_effective_to").desc_nulls_last()]).select("symbol", "bar_date", F.col("h_effective_from").alias("effective_from")),
+    "J9_best_identity_lateral": lambda s, d: j.best_identity(frame(s, d, "bars").select("symbol", "bar_date"), frame(s, d, "memberships"), "symbol", "bar_date", [F.col("h_effective_to").isNull().desc(), F.col("h_effective_from").desc_nulls_last(), F.col("h_effective_to").desc_nulls_last()]).select("symbol", "bar_date", F.col("h_effective_from").alias("effective_from")),
     "J10_anti_missing": lambda s, d: j.anti_missing(frame(s, d, "instruments"), frame(s, d, "fundamentals").where("revenue > 400000"), ["company_id"]).select("symbol", "company_id"),
     "J11_not_exists_insert": lambda s, d: j.not_exists_insert(frame(s, d, "memberships").where("effective_from < date'1996-01-01'"), frame(s, d, "memberships"), ["symbol", "effective_to"]).groupBy("symbol").agg(F.count("*").alias("n")),
     "J12_semi_allowed": lambda s, d: j.semi_allowed(frame(s, d, "bars"), frame(s, d, "universe")).groupBy("symbol").agg(F.count("*").alias("n")),
@@ -88,7 +84,7 @@ QUERIES = {
     "J15_alias_text_match": lambda s, d: j.alias_text_match(frame(s, d, "articles"), frame(s, d, "instruments").select("symbol", F.col("symbol").alias("phrase"))).select("raw_id", "symbol", "matched_text"),
     "J16_merge_features_outer": lambda s, d: rounded(
         j.merge_features_outer(
-            f.enrich_instrument(frame(s, d, "bars"), frame(s, d, "instruments")).where("instrument_id is not null and day(as_of_date) < 20").select("instrument_id", "as_of_date", "symbol", "company_id", "adj_close"),
+            f.enrich_instrument(frame(s, d, "bars"), frame(s, d, "instruments")).where("instrument_id is not null").select("instrument_id", "as_of_date", "symbol", "company_id", "adj_close"),
             frame(s, d, "short_volume").where("short_volume > 20").join(frame(s, d, "instruments"), "symbol").groupBy("instrument_id", F.col("trade_date").alias("as_of_date"), "symbol", "company_id").agg(F.max("short_volume").alias("short_volume")),
             frame(s, d, "articles").join(frame(s, d, "instruments"), "symbol").groupBy("instrument_id", F.to_date("published_at").alias("as_of_date"), "symbol", F.lit("").alias("company_id")).agg(F.count("*").alias("news_count")),
             frame(s, d, "fundamentals").groupBy("company_id", F.col("effective_as_of_date").alias("as_of_date")).agg(F.max("revenue").alias("revenue")),
@@ -113,7 +109,7 @@ ORACLES = {
     "J6_interval_membership": f"{ctes('bars', 'memberships')} SELECT symbol, bar_date AS as_of_date FROM bars b WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.symbol = b.symbol AND m.effective_from <= b.bar_date AND b.bar_date < coalesce(m.effective_to, DATE '9999-12-31'))",
     "J7_self_range_ttm": f"{ctes('fundamentals')} SELECT a.filing, count(*) AS n, min(b.period_end_date) AS first_period FROM fundamentals a JOIN fundamentals b ON a.company_id = b.company_id AND b.available_at <= a.available_at AND b.period_end_date <= a.period_end_date AND b.period_end_date > a.period_end_date - INTERVAL '370' DAY GROUP BY a.filing",
     "J8_next_trading_day": f"{ctes('articles', 'days')}, x AS (SELECT raw_id, CASE WHEN CAST(published_at AS TIME) < TIME '09:30:00' THEN CAST(published_at AS DATE) ELSE CAST(CAST(published_at AS DATE) + INTERVAL '1' DAY AS DATE) END AS d FROM articles) SELECT raw_id, (SELECT min(bar_date) FROM days WHERE bar_date >= x.d) AS effective_date FROM x",
-    "J9_best_identity_lateral": f"{ctes('bars', 'memberships')}, x AS (SELECT b.symbol, b.bar_date, m.effective_from, row_number() OVER (PARTITION BY b.symbol, b.bar_date ORDER BY CASE WHEN m.effective_to IS NULL THEN 0 ELSE 1 END, m.effective_from DESC NULLS LAST, m.effective_to DESC NULLS LAST) AS rk FROM bars b LEFT JOIN memberships m ON b.symbol = m.symbol AND m.effective_from <= b.bar_date AND b.bar_date <= coalesce(m.effective_to, DATE '9999-12-31') WHERE dayofmonth(b.bar_date) = 1) SELECT symbol, bar_date, effective_from FROM x WHERE rk = 1",
+    "J9_best_identity_lateral": f"{ctes('bars', 'memberships')}, x AS (SELECT b.symbol, b.bar_date, m.effective_from, row_number() OVER (PARTITION BY b.symbol, b.bar_date ORDER BY CASE WHEN m.effective_to IS NULL THEN 0 ELSE 1 END, m.effective_from DESC NULLS LAST, m.effective_to DESC NULLS LAST) AS rk FROM bars b LEFT JOIN memberships m ON b.symbol = m.symbol AND m.effective_from <= b.bar_date AND b.bar_date <= coalesce(m.effective_to, DATE '9999-12-31')) SELECT symbol, bar_date, effective_from FROM x WHERE rk = 1",
     "J10_anti_missing": f"{ctes('instruments', 'fundamentals')} SELECT symbol, company_id FROM instruments i WHERE NOT EXISTS (SELECT 1 FROM fundamentals u WHERE u.company_id = i.company_id AND u.revenue > 400000)",
     "J11_not_exists_insert": f"{ctes('memberships')} SELECT symbol, count(*) AS n FROM memberships m WHERE NOT EXISTS (SELECT 1 FROM memberships e WHERE e.effective_from < DATE '1996-01-01' AND e.symbol IS NOT DISTINCT FROM m.symbol AND e.effective_to IS NOT DISTINCT FROM m.effective_to) GROUP BY symbol",
     "J12_semi_allowed": f"{ctes('bars', 'universe')} SELECT symbol, count(*) AS n FROM bars WHERE symbol IN (SELECT symbol FROM universe WHERE include_in_universe) GROUP BY symbol",
@@ -121,7 +117,7 @@ ORACLES = {
     "J14_overlap_floor_cross": f"{ctes('articles')} SELECT raw_id FROM articles WHERE CAST(published_at AS DATE) >= (SELECT CAST(CAST(max(published_at) AS DATE) - INTERVAL '7' DAY AS DATE) FROM articles)",
     "J15_alias_text_match": f"{ctes('articles', 'instruments')} SELECT a.raw_id, i.symbol, i.symbol AS matched_text FROM articles a JOIN instruments i ON contains(concat(' ', trim(regexp_replace(upper(a.title), '[^A-Z0-9]+', ' ', 'g')), ' '), concat(' ', i.symbol, ' '))",
     "J16_merge_features_outer": f"""{ctes('bars', 'instruments', 'short_volume', 'articles', 'fundamentals')},
-      t AS (SELECT i.instrument_id, b.bar_date AS as_of_date, b.symbol, i.company_id, b.adj_close FROM bars b JOIN instruments i ON b.symbol = i.symbol WHERE dayofmonth(b.bar_date) < 20),
+      t AS (SELECT i.instrument_id, b.bar_date AS as_of_date, b.symbol, i.company_id, b.adj_close FROM bars b JOIN instruments i ON b.symbol = i.symbol),
       h AS (SELECT i.instrument_id, v.trade_date AS as_of_date, v.symbol, i.company_id, max(v.short_volume) AS short_volume FROM short_volume v JOIN instruments i ON v.symbol = i.symbol WHERE v.short_volume > 20 GROUP BY ALL),
       n AS (SELECT i.instrument_id, CAST(a.published_at AS DATE) AS as_of_date, a.symbol, count(*) AS news_count FROM articles a JOIN instruments i ON a.symbol = i.symbol GROUP BY ALL),
       u AS (SELECT company_id, effective_as_of_date AS as_of_date, max(revenue) AS revenue FROM fundamentals GROUP BY ALL),
