@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import latest, ordered, ratio
+from ..functions.windows import latest, ordered
 from .joins import semi_allowed
 
 
@@ -35,11 +35,20 @@ def price_bars(prices: DataFrame, instruments: DataFrame, adjustment: float = 1.
 
 
 def price_quality_flags(prices: DataFrame, most: float = 0.8) -> DataFrame:
-    """A row per flaw: close_not_positive, negative_volume, high_below_low, extreme_return (beyond `most` in size)."""
-    change = ratio(F.col("close"), F.lag("close").over(ordered(["symbol"], "price_date"))) - 1
-    flaws = {"close_not_positive": F.col("close") <= 0, "negative_volume": F.col("volume") < 0, "high_below_low": F.col("high") < F.col("low"), "extreme_return": F.abs(F.col("_change")) > most}
-    rows = prices.withColumn("_change", change)
-    return rows.select("symbol", "price_date", F.explode(F.filter(F.array(*(F.when(c, name) for name, c in flaws.items())), lambda x: x.isNotNull())).alias("flag"))
+    """A row per flaw with flag_type and flag_value: close_nonpositive, volume_negative, and raw_return_abs_gt_80pct, the size of a return beyond `most`
+    from a positive close."""
+    before = F.lag("close").over(ordered(["symbol"], "price_date"))
+    rows = prices.withColumn("_change", F.when(before > 0, F.abs(F.col("close") / before - 1)))
+    flaws = {"close_nonpositive": (F.col("close") <= 0, "close"), "volume_negative": (F.col("volume") < 0, "volume"), "raw_return_abs_gt_80pct": (F.col("_change") > most, "_change")}
+    found = F.array(*(F.when(c, F.struct(F.lit(name).alias("flag_type"), F.col(value).cast("double").alias("flag_value"))) for name, (c, value) in flaws.items()))
+    return rows.select("symbol", "price_date", "source_name", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("symbol", "price_date", "f.*", "source_name")
+
+
+def bar_flags(bars: DataFrame) -> DataFrame:
+    """C5, the checks of single bars: high_below_low and negative_volume, with the value true."""
+    flaws = {"high_below_low": F.col("high") < F.col("low"), "negative_volume": F.col("volume") < 0}
+    found = F.filter(F.array(*(F.when(c, name) for name, c in flaws.items())), lambda x: x.isNotNull())
+    return bars.select("symbol", "price_date", F.explode(found).alias("flag_type"), F.lit("true").alias("flag_value"), "source_name")
 
 
 def price_latest(prices: DataFrame, symbols: list[str] | None = None) -> DataFrame:

@@ -163,13 +163,28 @@ def enrich_from_filings(listings: DataFrame, filings: DataFrame) -> tuple[DataFr
 
 
 def instrument_master(prices: DataFrame, known: DataFrame, active_days: int = 30) -> DataFrame:
-    """One instrument per symbol, with its old id or a new one from the symbol's md5, active if traded in the last days of the data."""
-    spans = prices.groupBy("symbol").agg(F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date"))
+    """One instrument per symbol, with its old ids or new ones from the symbol's md5, old venue, type and share class or the usual ones. Active if traded in
+    the last days of the data, else as it was, or not. `known` may lack any column but symbol."""
+    spans = prices.groupBy(F.upper(F.trim("symbol")).alias("symbol")).agg(F.min("price_date").alias("first_date"), F.max("price_date").alias("last_date"))
     newest = spans.agg(F.max("last_date").alias("_max"))
-    old = known.select("symbol", F.col("instrument_id").alias("_old")).dropDuplicates(["symbol"])
+    kinds = {"instrument_id": "string", "company_id": "string", "exchange": "string", "security_type": "string", "share_class": "string", "is_active": "boolean"}
+    have = [(F.col(c) if c in known.columns else F.lit(None).cast(t)).alias(f"_{c}") for c, t in kinds.items()]
+    old = latest(known.select(F.upper(F.trim("symbol")).alias("symbol"), *have), ["symbol"], F.col("_instrument_id").asc_nulls_last())
     rows = spans.join(old, "symbol", "left").crossJoin(F.broadcast(newest))
-    new = F.concat(F.lit("INST:"), F.substring(F.md5(F.col("symbol").cast("binary")), 1, 12))
-    return rows.select("symbol", F.coalesce("_old", new).alias("instrument_id"), "first_date", "last_date", (F.col("last_date") >= F.date_sub("_max", active_days)).alias("is_active"))
+    made = F.substring(F.md5(F.col("symbol").cast("binary")), 1, 16)
+    usual = {"instrument_id": F.concat(F.lit("INST:"), made), "company_id": F.concat(F.lit("COMP:"), made), "exchange": F.lit("UNKNOWN"), "security_type": F.lit("COMMON_STOCK"), "share_class": F.lit("ORDINARY")}
+    active = (F.col("last_date") >= F.date_sub("_max", active_days)) | F.coalesce("_is_active", F.lit(False))
+    return rows.select("symbol", *(F.coalesce(f"_{c}", value).alias(c) for c, value in usual.items()), "first_date", "last_date", active.alias("is_active"))
+
+
+def ticker_history(master: DataFrame) -> DataFrame:
+    """The open ticker of each instrument, valid from its first price."""
+    return master.select("instrument_id", "symbol", "exchange", F.col("first_date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+
+
+def identifier_map(master: DataFrame) -> DataFrame:
+    """The ticker as primary identifier of each instrument."""
+    return master.select("instrument_id", F.lit("ticker").alias("identifier_type"), F.col("symbol").alias("identifier_value"), F.lit(True).alias("is_primary"))
 
 
 def membership_bootstrap(prices: DataFrame, min_close: float, min_volume: float) -> DataFrame:

@@ -29,7 +29,7 @@ def written(s, df, name, header=None, by=None, sep=","):
 
 
 def stooq(s, d):
-    li = table(s, d, "lineitem").where("l_orderkey % 5 = 0")
+    li = table(s, d, "lineitem")
     kinds = F.when(F.col("l_suppkey") % 3 == 0, "nasdaq stocks").when(F.col("l_suppkey") % 3 == 1, "nyse etfs").otherwise("other")
     rows = li.groupBy(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"), F.lit(".us")).alias("<TICKER>"), F.when(F.col("l_linenumber") == 7, "W").otherwise("D").alias("<PER>"), F.date_format("l_shipdate", "yyyyMMdd").alias("<DATE>"), kinds.alias("group"))
     rows = rows.agg(F.max("l_extendedprice").alias("<OPEN>"), F.max("l_extendedprice").alias("<HIGH>"), F.min("l_extendedprice").alias("<LOW>"), F.min("l_extendedprice").alias("<CLOSE>"), F.sum("l_quantity").alias("<VOL>"))
@@ -72,7 +72,7 @@ def short_volume(s, d):
 
 
 def short_interest(s, d):
-    rows = frame(s, d, "short_interest").where("source_file = 'siF'").select(F.col("symbol").alias("Symbol Code"), F.col("settlement_date").alias("settlementDate"), F.col("short_interest").alias("Current Short Position Quantity"), F.col("avg_daily_volume").alias("Average Daily Volume Quantity"))
+    rows = frame(s, d, "short_interest").select(F.col("symbol").alias("Symbol Code"), F.col("settlement_date").alias("settlementDate"), F.col("short_interest").alias("Current Short Position Quantity"), F.col("avg_daily_volume").alias("Average Daily Volume Quantity"))
     path = scratch(s, "interest")
     rows.write.csv(f"{path}/fnsq20240131", header=True, sep="|")
     return rounded(rd.read_short_interest(s, path, "|", r"(\d{8})/[^/]*$").select("symbol", "settlement_date", "short_interest", "avg_daily_volume", "source_market", "source_date"))
@@ -167,23 +167,29 @@ def exported(s, d):
     return s.read.csv(path, header=True, schema="symbol string, price_date date, close double, volume long")
 
 
+def normalized_csv(s, d):
+    path = scratch(s, "normalized")
+    sk.export_normalized_prices(s, stooq(s, d), path, ["S3", "S4", "S5", "S6"])
+    return rounded(s.read.csv(path, header=True, schema="symbol string, price_date date, open double, high double, low double, close double, volume long, source_name string, asset_class string, venue_group string"))
+
+
 def counter(s, d):
     seen = frame(s, d, "articles").select("symbol", F.col("source_name").alias("reason"), F.col("published_at").alias("seen_at"))
-    old = seen.where("seen_at < timestamp'2024-01-10 00:00:00'").groupBy("symbol", "reason").agg(F.count("*").alias("failure_count"), F.max("seen_at").alias("last_seen_at"))
+    old = seen.where("seen_at < timestamp'2024-01-10 00:00:00'").groupBy("symbol", "reason").agg(F.count("*").alias("failure_count"), F.min("seen_at").alias("first_seen_at"), F.max("seen_at").alias("last_seen_at"))
     return sk.merge_counter(old, seen.where("seen_at >= timestamp'2024-01-28 00:00:00'"), ["symbol", "reason"])
 
 
 def stream(s, d):
-    """The upsert K3 of event files, each handed over once although the stream runs twice."""
+    """Event files upserted by event (K3) as they come: rows of the second run replace those of the first, and a file is handed over once although the stream runs twice."""
     src, out, mark = scratch(s, "stream-in"), scratch(s, "stream-out"), scratch(s, "stream-mark")
     events = table(s, d, "events").select("event_id", "user_id", "value")
-    events.where("event_id % 2 = 0").write.parquet(src)
+    apply = lambda df, epoch: sk.upsert_batch(df, out, ["event_id"])
     schema = "event_id long, user_id long, value double"
-    apply = lambda df, epoch: df.dropDuplicates(["event_id"]).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out)
+    events.where("event_id % 2 = 0").write.parquet(src)
     inc.new_files_stream(s, src, schema, mark, apply)
-    events.where("event_id % 2 = 1").write.mode("append").parquet(src)
+    events.where("event_id % 2 = 1 or event_id % 3 = 0").withColumn("value", F.lit(-1.0)).write.mode("append").parquet(src)
     inc.new_files_stream(s, src, schema, mark, apply)
-    return s.read.parquet(out).groupBy("user_id").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"))
+    return s.read.parquet(out).groupBy("user_id").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"), F.count(F.when(F.col("value") == -1, 1)).alias("late"))
 
 
 STATE = "select timestamp'2024-01-20 12:00:00' as watermark"
@@ -213,12 +219,12 @@ QUERIES = {
     "K5_replace_months": months,
     "K6_export_csv": exported,
     "K7_merge_counter": counter,
-    "K8_export_normalized_price_csv": lambda s, d: rounded(sk.export_normalized_prices(s, stooq(s, d), ["S3", "S4", "S5", "S6"]).drop("source_path")),
+    "K8_export_normalized_price_csv": normalized_csv,
     "W1_incremental_watermark": lambda s, d: (lambda x, st: inc.incremental_rows(x, st, "published_at", 2).crossJoin(inc.advance_watermark(x, st, "published_at")).select("raw_id", "watermark"))(frame(s, d, "articles"), s.sql(STATE)),
     "W2_new_files_stream": stream,
 }
 _ST = """st AS (SELECT upper(concat('s', CAST(l_suppkey AS VARCHAR))) AS symbol, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice) AS open, max(l_extendedprice) AS high, min(l_extendedprice) AS low, min(l_extendedprice) AS close, CAST(sum(l_quantity) AS BIGINT) AS volume,
-  CASE l_suppkey % 3 WHEN 0 THEN 'STOCK' WHEN 1 THEN 'ETF' ELSE 'UNKNOWN' END AS asset_class, CASE l_suppkey % 3 WHEN 0 THEN 'NASDAQ STOCKS' WHEN 1 THEN 'NYSE ETFS' ELSE 'UNKNOWN' END AS venue_group FROM lineitem WHERE l_orderkey % 5 = 0 AND l_linenumber <> 7 GROUP BY l_suppkey, CAST(l_shipdate AS DATE))"""
+  CASE l_suppkey % 3 WHEN 0 THEN 'STOCK' WHEN 1 THEN 'ETF' ELSE 'UNKNOWN' END AS asset_class, CASE l_suppkey % 3 WHEN 0 THEN 'NASDAQ STOCKS' WHEN 1 THEN 'NYSE ETFS' ELSE 'UNKNOWN' END AS venue_group FROM lineitem WHERE l_linenumber <> 7 GROUP BY l_suppkey, CAST(l_shipdate AS DATE))"""
 _SV = "sv AS (SELECT symbol, trade_date, sum(short_volume) AS a, sum(short_exempt_volume) AS b, sum(total_volume) AS t, dayofyear(trade_date) % 4 AS g FROM short_volume GROUP BY symbol, trade_date)"
 _DIRTYPE = "CASE WHEN contains(' ' || upper(company_name) || ' ', ' ETF') THEN 'ETF' WHEN contains(' ' || upper(company_name) || ' ', ' ADR') THEN 'ADR' WHEN contains(upper(company_name), 'PREFERRED') THEN 'PREFERRED' WHEN contains(upper(company_name), 'WARRANT') THEN 'WARRANT' WHEN contains(' ' || upper(company_name), ' RIGHT') THEN 'RIGHT' WHEN contains(' ' || upper(company_name), ' UNIT') THEN 'UNIT' ELSE 'COMMON_STOCK' END"
 ORACLES = {
@@ -228,7 +234,7 @@ ORACLES = {
     "S4_read_yahoo_jsonl": f"{ctes('prices_preferred')} SELECT symbol, price_date, round(close, 9) + 0.0 AS close, volume, 'r1' AS run_id, '2024-01-31' AS run_date FROM prices_preferred WHERE volume <= 30",
     "S5_read_daily_short_volume": f"{ctes('short_volume')}, {_SV} SELECT trade_date, symbol, a AS short_volume, CASE WHEN g > 0 THEN b END AS short_exempt_volume, t AS total_volume, 'Q' AS market_code, CASE g WHEN 0 THEN DATE '2024-01-15' WHEN 1 THEN DATE '2024-02-15' WHEN 2 THEN DATE '2024-03-15' ELSE DATE '2024-04-15' END AS publication_date FROM sv",
     "S6_load_only_new_files": f"{ctes('short_volume')}, {_SV} SELECT CASE g WHEN 0 THEN DATE '2024-01-15' WHEN 2 THEN DATE '2024-03-15' ELSE DATE '2024-04-15' END AS publication_date, count(*) AS n FROM sv WHERE g <> 1 GROUP BY 1",
-    "S7_read_short_interest": f"{ctes('short_interest')} SELECT symbol, settlement_date, CAST(short_interest AS DOUBLE) AS short_interest, avg_daily_volume, 'regular' AS source_market, DATE '2024-01-31' AS source_date FROM short_interest WHERE source_file = 'siF'",
+    "S7_read_short_interest": f"{ctes('short_interest')} SELECT symbol, settlement_date, CAST(short_interest AS DOUBLE) AS short_interest, avg_daily_volume, 'regular' AS source_market, DATE '2024-01-31' AS source_date FROM short_interest",
     "S8_read_symbol_directory": f"{ctes('candidates')}, x AS (SELECT *, upper(trim(symbol)) AS sy FROM candidates) SELECT sy AS symbol, company_name, CAST(NULL AS VARCHAR) AS cik, 'NASDAQ' AS exchange_raw, CASE WHEN s_suppkey % 3 = 0 THEN 'ETF' ELSE {_DIRTYPE} END AS security_type_raw, 'nasdaqlisted' AS source_name, DATE '2024-01-31' AS as_of_date FROM x UNION ALL SELECT sy, company_name, NULL, CASE WHEN s_suppkey % 2 = 0 THEN 'NYSE' ELSE 'Q' END, {_DIRTYPE}, 'otherlisted', DATE '2024-01-31' FROM x UNION ALL SELECT sy, company_name, lpad(CAST(s_suppkey AS VARCHAR), 10, '0'), NULL, NULL, 'sec', DATE '2024-01-31' FROM x",
     "S9_stage_symbol_snapshots": f"{ctes('candidates')} SELECT DISTINCT {', '.join(rd.SNAPSHOT_KEY)} FROM candidates WHERE source_name <> 'sec_tickers'",
     "S10_explode_submissions": f"{ctes('filing_index')} SELECT lpad(cik, 10, '0') AS cik, form_type, filing_date, accepted_at, accession_number, concat('https://www.sec.gov/Archives/edgar/data/', cik, '/', replace(accession_number, '-', ''), '/doc.htm') AS filing_url FROM filing_index",
@@ -245,8 +251,8 @@ ORACLES = {
     "K4_replace_window": f"{EFFECTIVE} SELECT symbol, price_date, CASE WHEN price_date < DATE '2000-06-01' THEN round(close, 9) + 0.0 ELSE 2.0::DOUBLE END AS close FROM eff",
     "K5_replace_months": f"{EFFECTIVE} SELECT symbol, price_date, CASE WHEN price_date >= DATE '2001-01-01' THEN -1 ELSE volume END AS volume, CAST(date_trunc('month', price_date) AS DATE) AS month_start FROM eff",
     "K6_export_csv": f"{EFFECTIVE} SELECT symbol, price_date, close, volume FROM eff WHERE volume > 10 AND price_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31'",
-    "K7_merge_counter": f"{ctes('articles')}, x AS (SELECT symbol, source_name AS reason, count(*) FILTER (WHERE published_at < TIMESTAMP '2024-01-10 00:00:00') AS a, bool_or(published_at >= TIMESTAMP '2024-01-28 00:00:00') AS b, max(CASE WHEN published_at < TIMESTAMP '2024-01-10 00:00:00' THEN published_at END) AS la, max(CASE WHEN published_at >= TIMESTAMP '2024-01-28 00:00:00' THEN published_at END) AS lb FROM articles GROUP BY symbol, source_name) SELECT symbol, reason, a + CASE WHEN b THEN 1 ELSE 0 END AS failure_count, coalesce(lb, la) AS last_seen_at FROM x WHERE a > 0 OR b",
-    "K8_export_normalized_price_csv": f"WITH {_ST} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, asset_class, venue_group FROM st WHERE asset_class <> 'ETF' AND symbol IN ('S3', 'S4', 'S5', 'S6')",
+    "K7_merge_counter": f"{ctes('articles')} SELECT symbol, source_name AS reason, count(*) AS failure_count, min(published_at) AS first_seen_at, max(published_at) AS last_seen_at FROM articles WHERE published_at < TIMESTAMP '2024-01-10 00:00:00' OR published_at >= TIMESTAMP '2024-01-28 00:00:00' GROUP BY symbol, source_name",
+    "K8_export_normalized_price_csv": f"WITH {_ST} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, 'stooq' AS source_name, asset_class, venue_group FROM st WHERE asset_class <> 'ETF' AND symbol IN ('S3', 'S4', 'S5', 'S6')",
     "W1_incremental_watermark": f"{ctes('articles')} SELECT raw_id, (SELECT max(published_at) FROM articles) AS watermark FROM articles WHERE published_at > TIMESTAMP '2024-01-18 12:00:00'",
-    "W2_new_files_stream": "SELECT user_id, count(*) AS n, count(DISTINCT event_id) AS events FROM events GROUP BY user_id",
+    "W2_new_files_stream": "SELECT user_id, count(DISTINCT event_id) AS n, count(DISTINCT event_id) AS events, count(DISTINCT CASE WHEN event_id % 2 = 1 OR event_id % 3 = 0 OR value = -1 THEN event_id END) AS late FROM events GROUP BY user_id",
 }

@@ -94,6 +94,7 @@ QUERIES = {
     "C3_filter_universe_prices": on_effective(lambda x, u: p.filter_universe_prices(x, u).groupBy("symbol").agg(F.count("*").alias("n"), F.max("price_date").alias("last_date")), "universe"),
     "C4_price_bars": on_effective(lambda x, i: p.price_bars(x, i), "instruments"),
     "C5_price_quality_flags": on_effective(lambda x: p.price_quality_flags(x)),
+    "C5_bar_flags": one(lambda x: p.bar_flags(x.withColumn("source_name", F.lit("raw"))), "raw_bars"),
     "C6_price_latest": on_effective(lambda x: p.price_latest(x)),
     "C7_price_history_compat": on_effective(lambda x: p.price_history_compat(x)),
     "C8_permanent_failures": lambda s, d: p.permanent_failures(failures(s, d), "2024-01-31"),
@@ -185,7 +186,8 @@ ORACLES = {
     "C2_best_available_source": f"{EFFECTIVE} SELECT symbol, price_date, close, volume, source_name FROM prices_preferred",
     "C3_filter_universe_prices": f"{EFFECTIVE} SELECT symbol, count(*) AS n, max(price_date) AS last_date FROM eff WHERE symbol IN (SELECT symbol FROM universe WHERE include_in_universe) GROUP BY symbol",
     "C4_price_bars": f"{EFFECTIVE} SELECT i.instrument_id, e.symbol, price_date AS bar_date, round(open, 9) + 0.0 AS adj_open, round(high, 9) + 0.0 AS adj_high, round(low, 9) + 0.0 AS adj_low, round(close, 9) + 0.0 AS adj_close, volume, CAST(1.0 AS DOUBLE) AS adjustment_factor FROM eff e LEFT JOIN instruments i ON i.symbol = e.symbol",
-    "C5_price_quality_flags": f"{EFFECTIVE}, x AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY price_date), 0) - 1 AS ch FROM eff) SELECT symbol, price_date, 'extreme_return' AS flag FROM x WHERE abs(ch) > 0.8 UNION ALL SELECT symbol, price_date, 'close_not_positive' FROM x WHERE close <= 0 UNION ALL SELECT symbol, price_date, 'negative_volume' FROM x WHERE volume < 0 UNION ALL SELECT symbol, price_date, 'high_below_low' FROM x WHERE high < low",
+    "C5_price_quality_flags": f"{EFFECTIVE}, x AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY price_date) AS prev FROM eff) SELECT symbol, price_date, 'raw_return_abs_gt_80pct' AS flag_type, round(abs(close / nullif(prev, 0) - 1), 6) + 0.0 AS flag_value, source_name FROM x WHERE prev > 0 AND abs(close / nullif(prev, 0) - 1) > 0.8 UNION ALL SELECT symbol, price_date, 'close_nonpositive', round(CAST(close AS DOUBLE), 6) + 0.0, source_name FROM x WHERE close <= 0 UNION ALL SELECT symbol, price_date, 'volume_negative', round(CAST(volume AS DOUBLE), 6) + 0.0, source_name FROM x WHERE volume < 0",
+    "C5_bar_flags": f"{ctes('raw_bars')} SELECT symbol, price_date, 'high_below_low' AS flag_type, 'true' AS flag_value, 'raw' AS source_name FROM raw_bars WHERE high < low UNION ALL SELECT symbol, price_date, 'negative_volume', 'true', 'raw' FROM raw_bars WHERE volume < 0",
     "C6_price_latest": f"{EFFECTIVE} SELECT symbol, max(price_date) AS latest_price_date, max_by(close, price_date) AS close, max_by(volume, price_date) AS volume, max_by(source_name, price_date) AS source_name FROM eff GROUP BY symbol",
     "C7_price_history_compat": f"{EFFECTIVE} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, source_name, ingested_at FROM eff",
     "C8_permanent_failures": f"{ctes('articles')} SELECT symbol FROM articles GROUP BY symbol HAVING count(*) >= 2 AND max(published_at) >= TIMESTAMP '2024-01-24 00:00:00' AND max(CASE WHEN source_name = 'error' THEN 'No Data found' ELSE 'timeout' END) = 'No Data found'",

@@ -35,6 +35,10 @@ def enriched(part):
     return lambda s, d: u.enrich_from_filings(frame(s, d, "snapshots").select("symbol", "cik", "company_name").distinct(), filings(s, d))[part]
 
 
+def master(s, d):
+    return u.instrument_master(effective(s, d), frame(s, d, "instruments").withColumn("is_active", F.col("instrument_id").endswith("1")))
+
+
 FLOORS = dict(min_price=1000, min_dollar_volume=20000, min_volume=5, max_volatility=1.2)
 QUERIES = {
     "U1_market_universe": lambda s, d: market(s, d).select("symbol", "company_name", "cik", "exchange_normalized", "is_etf", "is_adr", "is_common_stock", "exclusion_reason", "include_in_universe"),
@@ -51,7 +55,10 @@ QUERIES = {
     "U11_snapshot_diff_events": lambda s, d: u.snapshot_diff_events(observed(s, d)),
     "U12_event_history_append": events,
     "U13_enrich_listing_from_filings": enriched(0),
-    "U14_instrument_master": lambda s, d: u.instrument_master(effective(s, d), frame(s, d, "instruments")),
+    "U13_name_events": enriched(1),
+    "U14_instrument_master": master,
+    "U14_ticker_history": lambda s, d: u.ticker_history(master(s, d)),
+    "U14_identifier_map": lambda s, d: u.identifier_map(master(s, d)),
     "U15_membership_bootstrap": lambda s, d: u.membership_bootstrap(effective(s, d), 5000, 10),
     "U17_research_universe_quality_20d": lambda s, d: u.quality_universe(vols(s, d), **FLOORS),
     "U18_whitelist_20d_pit": lambda s, d: u.whitelist_pit(u.quality_universe(vols(s, d), **FLOORS), frame(s, d, "memberships")),
@@ -76,6 +83,7 @@ _ELIG = "CASE WHEN exchange NOT IN ('NASDAQ', 'NYSE') THEN 'EXCLUDED_EXCHANGE' W
 _DIFF = f"""{HISTORY}, pr AS (SELECT as_of_date, lead(as_of_date) OVER (ORDER BY as_of_date) AS next_date FROM dy), df AS (SELECT DISTINCT c.symbol, c.cik, c.as_of_date AS current_date, p.next_date, CASE WHEN n.cik IS NULL THEN 'POSSIBLE_DISAPPEARANCE' WHEN upper(c.company_name) <> upper(n.company_name) THEN 'POSSIBLE_COMPANY_NAME_CHANGE' WHEN c.exchange <> n.exchange THEN 'POSSIBLE_EXCHANGE_CHANGE' WHEN c.security_type <> n.security_type THEN 'POSSIBLE_SECURITY_TYPE_CHANGE' END AS event_type
   FROM snapshots c JOIN pr p ON p.as_of_date = c.as_of_date AND p.next_date IS NOT NULL LEFT JOIN snapshots n ON n.symbol = c.symbol AND n.as_of_date = p.next_date)"""
 _QUAL = f"{ctes('bars', 'instruments', 'memberships')}, {BASE}, {VOLATILITY}, qu AS (SELECT DISTINCT symbol, as_of_date FROM volatility WHERE adj_close >= 1000 AND adj_close * volume >= 20000 AND volume >= 5 AND volatility_20d <= 1.2)"
+_MASTER = f"{EFFECTIVE}, sp AS (SELECT symbol, min(price_date) AS first_date, max(price_date) AS last_date FROM eff GROUP BY symbol), im AS (SELECT sp.symbol, coalesce(i.instrument_id, 'INST:' || substr(md5(sp.symbol), 1, 16)) AS instrument_id, coalesce(i.company_id, 'COMP:' || substr(md5(sp.symbol), 1, 16)) AS company_id, 'UNKNOWN' AS exchange, 'COMMON_STOCK' AS security_type, 'ORDINARY' AS share_class, first_date, last_date, CASE WHEN last_date >= (SELECT max(last_date) FROM sp) - INTERVAL '30' DAY THEN true ELSE coalesce(i.is_active, false) END AS is_active FROM sp LEFT JOIN (SELECT *, instrument_id LIKE '%1' AS is_active FROM instruments) i ON i.symbol = sp.symbol)"
 ORACLES = {
     "U1_market_universe": f"{MARKET} SELECT symbol, company_name, cik, exchange AS exchange_normalized, is_etf, is_adr, is_common_stock, exclusion_reason, exclusion_reason IS NULL AS include_in_universe FROM mu",
     "A3_universe_evidence": f"{MARKET} SELECT symbol, is_preferred, is_warrant, is_right, is_unit, source_count FROM mu",
@@ -91,7 +99,10 @@ ORACLES = {
     "U11_snapshot_diff_events": f"{_DIFF} SELECT * FROM df WHERE event_type IS NOT NULL",
     "U12_event_history_append": f"{_DIFF} SELECT 'EVT:' || md5(symbol || '|' || event_type || '|' || CAST(next_date AS VARCHAR) || '|' || coalesce(cik, '') || '|') AS event_id, symbol, event_type, next_date AS event_date FROM df WHERE event_type IS NOT NULL",
     "U13_enrich_listing_from_filings": f"{HISTORY} SELECT DISTINCT s.symbol, coalesce(s.cik, substr(i.instrument_id, 6, 9)) AS cik, s.company_name FROM snapshots s LEFT JOIN instruments i ON i.symbol = s.symbol",
-    "U14_instrument_master": f"{EFFECTIVE}, sp AS (SELECT symbol, min(price_date) AS first_date, max(price_date) AS last_date FROM eff GROUP BY symbol) SELECT sp.symbol, coalesce(i.instrument_id, 'INST:' || substr(md5(sp.symbol), 1, 12)) AS instrument_id, first_date, last_date, last_date >= (SELECT max(last_date) FROM sp) - INTERVAL '30' DAY AS is_active FROM sp LEFT JOIN instruments i ON i.symbol = sp.symbol",
+    "U13_name_events": f"{HISTORY}, x AS (SELECT DISTINCT s.symbol, s.company_name AS old_value, 'Company ' || substr(s.symbol, 2, 9) AS new_value FROM snapshots s JOIN instruments i ON i.symbol = s.symbol) SELECT symbol, 'NAME_DIFFERENCE' AS event_type, old_value, new_value FROM x WHERE trim(regexp_replace(regexp_replace(upper(old_value), '[^A-Z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) <> upper(new_value)",
+    "U14_instrument_master": f"{_MASTER} SELECT * FROM im",
+    "U14_ticker_history": f"{_MASTER} SELECT instrument_id, symbol, exchange, first_date AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM im",
+    "U14_identifier_map": f"{_MASTER} SELECT instrument_id, 'ticker' AS identifier_type, symbol AS identifier_value, true AS is_primary FROM im",
     "U15_membership_bootstrap": f"{EFFECTIVE} SELECT symbol, min(price_date) AS effective_from, CAST(NULL AS DATE) AS effective_to FROM eff WHERE close >= 5000 AND volume >= 10 GROUP BY symbol",
     "U17_research_universe_quality_20d": f"{_QUAL} SELECT * FROM qu",
     "U18_whitelist_20d_pit": f"{_QUAL} SELECT * FROM qu WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.symbol = qu.symbol AND m.effective_from <= qu.as_of_date AND qu.as_of_date < coalesce(m.effective_to, DATE '9999-12-31'))",

@@ -1,16 +1,19 @@
-"""Writers. Tables are parquet folders; a rewrite goes to a new folder first, as Spark can't overwrite what it reads."""
+"""Writers. Tables are parquet folders."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import stored
+from ..functions.windows import latest
 from .readers import read_stooq_bars
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """K1: the whole table anew."""
-    df.write.mode("overwrite").parquet(path)
+    """K1: the whole table anew. The rows are written beside it first, as `df` may read what it replaces."""
+    stored(df, "replacement").write.mode("overwrite").parquet(path)
 
 
 def append_dedup(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -46,13 +49,27 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def merge_counter(existing: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
-    """K7: counts raised by 1 and last_seen_at renewed where the key was seen, new keys with 1, others unchanged."""
-    new = seen.groupBy(*keys).agg(F.max("seen_at").alias("_seen"))
+    """K7: counts raised by the failures seen of the key, one for each row, and last_seen_at renewed; new keys start with their number and first_seen_at;
+    others are unchanged."""
+    new = seen.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("seen_at").alias("_first"), F.max("seen_at").alias("_last"))
     out = existing.join(new, keys, "full_outer")
-    return out.select(*keys, (F.coalesce("failure_count", F.lit(0)) + F.col("_seen").isNotNull().cast("long")).alias("failure_count"), F.coalesce("_seen", "last_seen_at").alias("last_seen_at"))
-
-
-def export_normalized_prices(spark, path: str, symbols: list[str], etfs: bool = False) -> DataFrame:
-    """K8: rows of S1 for a symbol list, without ETFs unless asked for."""
-    rows = read_stooq_bars(spark, path).where(F.col("symbol").isin(symbols))
-    return rows if etfs else rows.where("asset_class != 'ETF'")
+    count = F.coalesce("failure_count", F.lit(0)) + F.coalesce("_n", F.lit(0))
+    return out.select(*keys, count.alias("failure_count"), F.coalesce("first_seen_at", "_first").alias("first_seen_at"), F.coalesce("_last", "last_seen_at").alias("last_seen_at"))
+
+
+def upsert_batch(batch: DataFrame, path: str, keys: list[str]) -> None:
+    """K3 as a step of a stream: the folder's rows with the batch's in place of those of equal key, one of each key. A batch handed over again changes nothing."""
+    spark = batch.sparkSession
+    one = latest(batch, keys)
+    try:
+        old = spark.read.schema(one.schema).parquet(path)
+    except AnalysisException:  # no table yet
+        old = one.limit(0)
+    replace_table(upsert_by_key(old, one, keys), path)
+
+
+def export_normalized_prices(spark, source: str, path: str, symbols: list[str], etfs: bool = False) -> None:
+    """K8: rows of S1 for a symbol list, without ETFs unless asked for, as CSV with header in the columns of S2 and then class and venue."""
+    rows = read_stooq_bars(spark, source).where(F.col("symbol").isin(symbols))
+    rows = rows if etfs else rows.where("asset_class != 'ETF'")
+    rows.select("symbol", "price_date", "open", "high", "low", "close", "volume", F.lit("stooq").alias("source_name"), "asset_class", "venue_group").write.csv(path, header=True)

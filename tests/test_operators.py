@@ -1,6 +1,7 @@
 """Single rules on rows made by hand, and invariants."""
 
 import datetime as dt
+import hashlib
 import math
 
 import pytest
@@ -205,5 +206,51 @@ def test_ratios_of_zero(spark):
 
 
 def test_price_flags(spark):
-    df = spark.createDataFrame([("A", D(2024, 1, 1), 1.0, 2.0, 10.0, 5), ("A", D(2024, 1, 2), 3.0, 2.0, 20.0, -1)], "symbol string, price_date date, low double, high double, close double, volume long")
-    assert sorted(r.flag for r in prices.price_quality_flags(df).collect()) == ["extreme_return", "high_below_low", "negative_volume"]
+    rows = [("A", D(2024, 1, 1), 1.0, 2.0, 10.0, 5), ("A", D(2024, 1, 2), 3.0, 2.0, 20.0, -1), ("A", D(2024, 1, 3), 1.0, 2.0, -1.0, 5), ("A", D(2024, 1, 4), 1.0, 2.0, 9.0, 5)]
+    df = spark.createDataFrame(rows, "symbol string, price_date date, low double, high double, close double, volume long").withColumn("source_name", F.lit("x"))
+    got = [(r.price_date.day, r.flag_type, r.flag_value) for r in prices.price_quality_flags(df).collect()]
+    # the return on the fourth day has no positive close before it
+    assert sorted(got) == [(2, "raw_return_abs_gt_80pct", 1.0), (2, "volume_negative", -1.0), (3, "close_nonpositive", -1.0), (3, "raw_return_abs_gt_80pct", 1.05)]
+    assert sorted((r.price_date.day, r.flag_type) for r in prices.bar_flags(df).collect()) == [(2, "high_below_low"), (2, "negative_volume")]
+
+
+def test_counter_counts_every_failure(spark):
+    time = dt.datetime
+    old = spark.createDataFrame([("A", 2, time(2024, 1, 1), time(2024, 1, 2)), ("C", 1, time(2024, 1, 1), time(2024, 1, 1))], "k string, failure_count long, first_seen_at timestamp, last_seen_at timestamp")
+    seen = spark.createDataFrame([("A", time(2024, 1, d)) for d in (5, 6, 7)] + [("B", time(2024, 1, 4))], "k string, seen_at timestamp")
+    got = {r.k: (r.failure_count, r.first_seen_at.day, r.last_seen_at.day) for r in sinks.merge_counter(old, seen, ["k"]).collect()}
+    assert got == {"A": (5, 1, 7), "B": (1, 4, 4), "C": (1, 1, 1)}
+
+
+def test_a_batch_handed_over_again_changes_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    rows = lambda *x: spark.createDataFrame(list(x), "id long, v string")
+    for batch in (rows((1, "a"), (2, "a")), rows((2, "b"), (3, "b"), (3, "b")), rows((2, "b"), (3, "b"), (3, "b"))):
+        sinks.upsert_batch(batch, path, ["id"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_aliases_of_many_words_match(spark):
+    articles = spark.createDataFrame([(1, "The Very Long Company Name of America rises"), (2, None), (3, "  ")], "raw_id long, title string")
+    refs = spark.createDataFrame([("VLC", ["very long company name of america", "long company"])], "symbol string, aliases array<string>")
+    assert [(r.raw_id, r.symbol, r.matched_text, r.match_score) for r in news.news_candidates(articles, refs).collect()] == [(1, "VLC", "VERY LONG COMPANY NAME OF AMERICA", 0.9)]
+    assert news.news_candidates(articles, refs.limit(0)).count() == 0
+
+
+def test_instruments_keep_what_is_known(spark):
+    df = spark.createDataFrame([(" a", D(2024, 1, 1)), ("A", D(2024, 3, 1)), ("B", D(2024, 1, 5)), ("C", D(2024, 1, 6))], "symbol string, price_date date")
+    known = spark.createDataFrame([("b", "INST:9", "NYSE", True), ("C", "INST:8", None, None)], "symbol string, instrument_id string, exchange string, is_active boolean")
+    master = universe.instrument_master(df, known)
+    got = {r.symbol: (r.instrument_id, r.exchange, r.is_active) for r in master.collect()}
+    assert got == {"A": ("INST:" + hashlib.md5(b"A").hexdigest()[:16], "UNKNOWN", True), "B": ("INST:9", "NYSE", True), "C": ("INST:8", "UNKNOWN", False)}
+    assert {(r.symbol, r.valid_from.day, r.valid_to) for r in universe.ticker_history(master).collect()} == {("A", 1, None), ("B", 5, None), ("C", 6, None)}
+    assert {(r.identifier_type, r.identifier_value) for r in universe.identifier_map(master).collect()} == {("ticker", x) for x in "ABC"}
+
+
+def test_daily_features_in_one_pass_equal_the_joined_groups(spark):
+    rows = [("A", D(2024, 1, 1) + dt.timedelta(i), 10.0 + i % 7, 12.0 + i % 5, None if i % 4 == 0 else 9.0, 11.0 + i % 3, 5) for i in range(90)]
+    df = spark.createDataFrame(rows, "symbol string, bar_date date, adj_open double, adj_high double, adj_low double, adj_close double, volume long")
+    names = spark.createDataFrame([("A", "I", "C")], "symbol string, instrument_id string, company_id string")
+    one = features.research_features_daily(df, names).orderBy("as_of_date").collect()
+    joined = features.research_features(*(f(df, names) for f in (features.momentum, features.trend, features.volatility))).orderBy("as_of_date").collect()
+    assert [r.asDict() for r in one] == [r.asDict() for r in joined] and one[80].volatility_20d is None and one[81].volatility_20d is not None

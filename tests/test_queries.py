@@ -18,12 +18,21 @@ def duck():
     return con
 
 
+def plain(v):
+    """A value as text: missing ones alike, whole numbers alike whatever their type."""
+    if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)) or str(v) == "NaT":
+        return None
+    if isinstance(v, float):
+        return str(int(v)) if v.is_integer() else repr(float(v))
+    return str(v)
+
+
 def normal(df):
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
         if str(df[c].dtype).startswith("datetime"):
             df[c] = df[c].astype("datetime64[us]").astype(str)
-        df[c] = [None if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)) or str(v) == "NaT" else repr(float(v)) if isinstance(v, float) else str(v) for v in df[c]]
+        df[c] = pd.Series([plain(v) for v in df[c]], dtype=object)
     return df.sort_values(list(df.columns), ignore_index=True)
 
 
