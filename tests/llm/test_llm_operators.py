@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pitlens.llm import bpe, common, graph, langid, minhash, mixing, mtree, ordinal, perplexity, queries, secrets, sharding, substring
@@ -537,5 +538,71 @@ def test_pipeline(spark):
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
 
 
+def redacted(text, spans):
+    out, at = "", 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out, at = out + text[at:start] + "[SECRET]", end
+        at = max(at, end)
+    return text if text is None else out + text[at:]
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = ordinal.train(docs, ordinal.label_grades(labels))
+    kept = []
+    for r in docs.collect():
+        slots, values = ordinal.features(np.frombuffer((r["text"] or "").encode(), np.uint8))
+        if 1 / (1 + np.exp(model.thresholds[1] - float(model.weights[slots] @ values))) >= 0.5:
+            kept.append(r)
+    components = {i for i, _, c in brute_clusters([(r["doc_id"], r["text"]) for r in kept], 5, 80) if i == c}
+    kept = [r for r in kept if r["doc_id"] in components]
+    spans = {r["row"]["doc_id"]: [(x["start"], x["end"]) for x in r["spans"]] for r in secrets.scan(docs).collect()}
+    kept = [(r["doc_id"], r["source"], redacted(r["text"], spans[r["doc_id"]])) for r in kept]
+    sizes = collections.Counter()
+    for _, source, text in kept:
+        sizes[source] += len(words(text))
+    order = sorted(sizes, key=lambda x: (x is None, x))
+    weight = {x: (5, 2, 1)[i % 3] for i, x in enumerate(order)}
+    capped, target = set(), {}
+    while True:
+        free, left = [x for x in order if x not in capped], sum(sizes.values()) - sum(3 * sizes[x] for x in capped)
+        target = {x: 3 * sizes[x] if x in capped else left * weight[x] / sum(weight[y] for y in free) for x in order}
+        over = {x for x in free if target[x] > 3 * sizes[x]}
+        if not over:
+            break
+        capped |= over
+    enc = bpe.tokenizer(bpe.RANKS, bpe.public_tokenizers.PATTERN)
+    want = collections.Counter()
+    for source in order:
+        copies = min(3, int(target[source] // sizes[source])) if sizes[source] else 0
+        rest = target[source] - copies * sizes[source]
+        hashed = sorted((int(hashlib.md5(f"{i}\x1f{source}".encode()).hexdigest()[:8], 16), i, text) for i, s, text in kept if s == source)
+        for _, i, text in hashed:
+            rest -= len(words(text))
+            times = copies + (rest >= 0)
+            if times:
+                want[i, tuple(enc.encode_ordinary(text or ""))] += times
+    got = collections.Counter((r["doc_id"], tuple(r["token_ids"])) for r in corpus_pipeline.run(spark, SF).collect())
+    assert got == want and len(got) > 50
+
+
+def test_pipeline_stages_on_odd_rows(spark, edge):
+    """Nulls in any column, empty and long texts, repeated rows, clashing names, empty tables."""
+    clash = edge.withColumns({"row": F.lit("r"), "set": F.lit(1), "_hash": F.lit("h"), "spans": F.lit("s"), "size": F.lit(2), "copies": F.lit(3), "u": F.lit(4)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clash, SF)
+        assert out.columns == clash.columns and stage(spark, clash.limit(0), SF).count() == 0
+        rows = out.collect()
+        assert {(r["row"], r["set"], r["_hash"], r["spans"], r["size"], r["copies"], r["u"]) for r in rows} <= {("r", 1, "h", "s", 2, 3, 4)}
+        ids = collections.Counter(r["doc_id"] for r in rows)
+        if name.startswith("MinHash"):
+            assert ids == collections.Counter([1, 2, 3, 5, 7, 8, None])
+        elif not name.startswith("mixing"):
+            assert ids == collections.Counter(r[0] for r in ROWS)
+    out = corpus_pipeline.STAGES[-1][1](spark, clash, SF).collect()
+    assert sorted(r["n_tokens"] for r in out)[:2] == [0, 0] and len(out) == len(ROWS)
+
+
 def test_every_query_is_registered():
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
