@@ -25,12 +25,23 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, rig
 
 def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str, left_known: str, right_time: str, right_known: str) -> DataFrame:
     """The latest right row by (`right_time`, `right_known`), then its other columns in their order, with both times not later than the left
-    row's. Left rows without a match stay."""
+    row's. Left rows without a match stay.
+
+    Along the axis of knowledge the latest right row known by then is carried. It is the answer unless its own time is still to come; only such left
+    rows are paired with the key's right rows.
+    """
     payload = [c for c in right.columns if c != key]
-    l, r = left.withColumn("_row", F.struct(*left.columns)), right
-    cond = (l[key] == r[key]) & (r[right_time] <= l[left_time]) & (r[right_known] <= l[left_known])
-    best = l.join(r, cond).groupBy("_row").agg(F.max_by(F.struct(*(r[c] for c in payload)), F.struct(r[right_time], r[right_known], *(r[c] for c in payload if c not in (right_time, right_known)))).alias("_right"))
-    return l.join(best.withColumnRenamed("_row", "_key"), F.col("_row").eqNullSafe(F.col("_key")), "left").select("_row.*", *(F.col("_right").getField(c).alias(f"r_{c}" if c in left.columns else c) for c in payload))
+    rank = F.struct(F.col(right_time).alias("_time"), F.col(right_known).alias("_since"), *(F.col(c).alias(f"_o{i}") for i, c in enumerate(payload)))
+    facts = right.where(F.col(right_time).isNotNull() & F.col(right_known).isNotNull()).select(F.col(key).alias("_key"), F.col(right_known).cast("timestamp").alias("_known"), rank.alias("_right"))
+    rows = left.select(F.col(key).alias("_key"), F.col(left_known).cast("timestamp").alias("_known"), F.col(left_time).alias("_at"), F.struct(*left.columns).alias("_left"))
+    w = Window.partitionBy("_key").orderBy(F.col("_known").asc_nulls_first(), F.col("_left").isNotNull().asc())
+    carried = rows.unionByName(facts, allowMissingColumns=True).withColumns({"_best": F.max("_right").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(w)}).where("_left is not null")
+    ahead = F.coalesce(F.col("_best._time") > F.col("_at"), F.lit(False))
+    ready = carried.where(~ahead).select("_left", F.when(F.col("_at").isNotNull() & F.col("_key").isNotNull(), F.col("_best")).alias("_best"))
+    a, b = carried.where(ahead).drop("_right", "_best").alias("a"), facts.alias("b")
+    cond = (F.col("a._key") == F.col("b._key")) & (F.col("b._known") <= F.col("a._known")) & (F.col("b._right._time") <= F.col("a._at"))
+    paired = a.join(b, cond, "left").groupBy("a._key", "a._n").agg(F.first("a._left").alias("_left"), F.max("b._right").alias("_best")).select("_left", "_best")
+    return ready.union(paired).select("_left.*", *(F.col(f"_best._o{i}").alias(f"r_{c}" if c in left.columns else c) for i, c in enumerate(payload)))
 
 
 def interval_membership(left: DataFrame, intervals: DataFrame, key: str, date: str) -> DataFrame:
