@@ -67,12 +67,17 @@ def _snapshots(rows: DataFrame) -> DataFrame:
     return rows.select("as_of_date").distinct().withColumn("snapshot", F.row_number().over(Window.orderBy("as_of_date")))
 
 
+def listing_identity() -> Column:
+    """The CIK, else symbol and clean name."""
+    return F.coalesce(F.concat(F.lit("CIK:"), "cik"), F.concat(F.lit("SYM:"), "symbol", F.lit("|"), F.coalesce(normalize_company_name(F.col("company_name")), F.lit(""))))
+
+
 def listing_history(observations: DataFrame, grace: int = 2) -> DataFrame:
     """Listing versions [effective_from, effective_to). The identity is the CIK, else symbol and name. A version ends where ticker, venue or type
     changes, or at the `grace`-th snapshot in a row without the identity; a later sighting opens a new one. Observations of one identity and date
     follow each other in symbol, exchange, type order."""
     days = _snapshots(observations)
-    rows = observations.withColumn("identity", F.coalesce(F.concat(F.lit("CIK:"), "cik"), F.concat(F.lit("SYM:"), "symbol", F.lit("|"), F.coalesce(normalize_company_name(F.col("company_name")), F.lit("")))))
+    rows = observations.withColumn("identity", listing_identity())
     rows = rows.join(days, "as_of_date")
     order = ["as_of_date", "symbol", "exchange", "security_type"]
     w = Window.partitionBy("identity").orderBy(*(F.col(c).asc_nulls_first() for c in order))
@@ -99,41 +104,72 @@ def consecutive_missing(observations: DataFrame) -> DataFrame:
     return last.crossJoin(F.broadcast(days.agg(F.max("snapshot").alias("_all")))).select("symbol", "exchange", "security_type", (F.col("_all") - F.col("_last")).alias("missing_snapshots"))
 
 
-def universe_history(listings: DataFrame, include_adr: bool = False, rule_version: str = "v1") -> DataFrame:
-    """U8: eligibility of listing versions, consecutive ones of equal decision joined."""
+def eligibility(include_adr: bool = False) -> Column:
+    """The first rule that a listing's exchange and security_type meet (U8)."""
     kind = F.upper(F.trim(F.coalesce("security_type", F.lit(""))))
     reason = F.when(~F.upper(F.trim(F.coalesce("exchange", F.lit("")))).isin(*ALLOWED_VENUES), "EXCLUDED_EXCHANGE").when(kind.isin("ETF", "ETN", "FUND"), "EXCLUDED_FUND_LIKE").when(kind.isin("PREFERRED", "PREFERRED_STOCK"), "EXCLUDED_PREFERRED").when(kind.isin("WARRANT", "RIGHT", "UNIT"), "EXCLUDED_DERIVATIVE_LIKE")
     if not include_adr:
         reason = reason.when(kind.isin("ADR", "ADS"), "EXCLUDED_ADR")
-    reason = reason.when(kind.isin("COMMON", "COMMON_STOCK", ""), "INCLUDED_COMMON_STOCK").otherwise("EXCLUDED_UNKNOWN_SECURITY_TYPE")
-    rows = listings.withColumns({"eligible_reason": reason, "rule_version": F.lit(rule_version)}).withColumn("eligible_flag", F.col("eligible_reason").startswith("INCLUDED"))
+    return reason.when(kind.isin("COMMON", "COMMON_STOCK", ""), "INCLUDED_COMMON_STOCK").otherwise("EXCLUDED_UNKNOWN_SECURITY_TYPE")
+
+
+def universe_history(listings: DataFrame, include_adr: bool = False, rule_version: str = "v1") -> DataFrame:
+    """U8: eligibility of listing versions, consecutive ones of equal decision joined."""
+    rows = listings.withColumns({"eligible_reason": eligibility(include_adr), "rule_version": F.lit(rule_version)}).withColumn("eligible_flag", F.col("eligible_reason").startswith("INCLUDED"))
     w = Window.partitionBy("identity").orderBy("version")
     fresh = ~F.col("eligible_reason").eqNullSafe(F.lag("eligible_reason").over(w)) | ~F.col("effective_from").eqNullSafe(F.lag("effective_to").over(w))
     rows = rows.withColumn("_run", F.sum(fresh.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy("identity", "_run", "eligible_flag", "eligible_reason", "rule_version").agg(F.min("effective_from").alias("effective_from"), F.max_by("effective_to", "version").alias("effective_to")).drop("_run")
 
 
+#: Legal forms that aliases go without.
+ALIAS_FORMS = ("INC", "CORPORATION", "CORP", "LTD", "PLC", "SA", "ADR", "ADS")
+
+
 def reference_history(observations: DataFrame) -> DataFrame:
-    """Name versions of each symbol, a new one where the clean name changes."""
-    rows = observations.withColumn("name", normalize_company_name(F.col("company_name"))).groupBy("symbol", "as_of_date").agg(F.min("name").alias("name"))
-    w = Window.partitionBy("symbol").orderBy("as_of_date")
-    rows = rows.withColumn("_fresh", (~F.col("name").eqNullSafe(F.lag("name").over(w)) | (F.row_number().over(w) == 1)).cast("int"))
-    rows = rows.withColumn("version", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = rows.groupBy("symbol", "version", "name").agg(F.min("as_of_date").alias("effective_from"))
-    return out.withColumn("effective_to", F.lead("effective_from").over(Window.partitionBy("symbol").orderBy("version")))
-
-
-def membership_history(observations: DataFrame, listings: DataFrame, universe: DataFrame) -> DataFrame:
-    """One membership row per symbol and snapshot: status from the universe, company from the preferred listing version that holds the date
-    (open first, newest), else the observation's CIK, else the symbol."""
-    rows = observations.groupBy("symbol", "as_of_date").agg(F.max("cik").alias("cik"))
-    h = listings.select("symbol", "identity", "effective_from", "effective_to")
-    found = best_identity(rows, h, "symbol", "as_of_date", [F.col("h_effective_to").isNull().desc(), F.col("h_effective_from").desc_nulls_last(), F.col("h_identity").asc_nulls_last()])
-    u = universe.select("symbol", F.col("include_in_universe").alias("_in"))
-    found = found.join(u, "symbol", "left")
-    status = F.when(F.col("_in"), "ACTIVE").otherwise("EXCLUDED")
-    reason = F.when(F.col("_in").isNull(), "not_in_universe").when(~F.col("_in"), "excluded_by_rule").otherwise("included")
-    return found.select("symbol", F.coalesce("h_identity", F.concat(F.lit("CIK:"), "cik"), F.concat(F.lit("SYM:"), "symbol")).alias("company_id"), F.col("as_of_date").alias("effective_from"), F.col("as_of_date").alias("effective_to"), status.alias("membership_status"), reason.alias("reason"))
+    """Symbol references of each listing identity (U6) with their aliases as JSON, the clean name and, if it differs, the name without legal forms. A new version
+    opens where symbol, CIK, clean name or venue change, and ends the one before. Observations of one identity and date follow each other in symbol, exchange order."""
+    order = ["as_of_date", "symbol", "exchange", "security_type"]
+    rows = observations.withColumns({"identity": listing_identity(), "company_name_clean": normalize_company_name(F.col("company_name"))})
+    w = Window.partitionBy("identity").orderBy(*(F.col(c).asc_nulls_first() for c in order))
+    fresh = F.row_number().over(w) == 1
+    for c in ("symbol", "cik", "company_name_clean", "exchange"):
+        fresh = fresh | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+    rows = rows.withColumn("_fresh", fresh.cast("int")).withColumn("version", F.sum("_fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = rows.groupBy("identity", "version", "symbol", "cik", "company_name_clean", "exchange").agg(F.min("as_of_date").alias("effective_from"))
+    name = F.col("company_name_clean")
+    aliases = F.array_distinct(F.filter(F.array(name, strip_company_suffixes(name, suffixes=ALIAS_FORMS)), lambda a: a != ""))
+    made = F.concat(F.lit("SYMREF:"), F.sha1(F.concat_ws("|", "identity", "symbol", F.col("effective_from").cast("string")).cast("binary")))
+    spans = spans.withColumns({"symbol_reference_id": made, "aliases_json": F.to_json(aliases), "effective_to": F.lead("effective_from").over(Window.partitionBy("identity").orderBy("version"))})
+    return spans.withColumn("is_active", F.col("effective_to").isNull())
+
+
+#: Kinds of identifiers, the best first.
+IDENTIFIERS = ("company_id", "cik", "listing_id")
+
+
+def membership_history(eligible: DataFrame, references: DataFrame, listings: DataFrame) -> DataFrame:
+    """One membership row per row of `eligible` (symbol, effective_from, effective_to, eligible_flag, eligible_reason). Its instrument is the first there is of the
+    company, then the CIK, then the listing, each its own, that of the best reference, that of the best listing; else the symbol. The best holds the
+    start in its closed interval, has a company, a CIK, a listing, and is the newest. All three frames may lack any of IDENTIFIERS; rows without symbol or start go.
+    Of rows that differ only in identifiers, one with a company stays, the first by instrument."""
+
+    def tidy(df: DataFrame, *more: str) -> DataFrame:
+        text = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in df.columns else F.lit(None).cast("string")
+        return df.select(F.upper(F.trim("symbol")).alias("symbol"), *(text(c).alias(c) for c in IDENTIFIERS), "effective_from", "effective_to", *more)
+
+    rows = tidy(eligible, "eligible_flag", "eligible_reason").where("symbol != '' and effective_from is not null")
+    prefer = [*(F.col(f"h_{c}").isNotNull().desc() for c in IDENTIFIERS), *(F.col(f"h_effective_{e}").desc_nulls_last() for e in ("from", "to")), *(F.col(f"h_{c}").asc_nulls_last() for c in IDENTIFIERS)]
+    for source, history in (("reference", references), ("listing", listings)):
+        h = tidy(history).withColumn("effective_from", F.coalesce("effective_from", F.lit("0001-01-01").cast("date")))
+        rows = best_identity(rows, h, "symbol", "effective_from", prefer).select(*rows.columns, *(F.col(f"h_{c}").alias(f"_{source}_{c}") for c in IDENTIFIERS))
+    chain = {c: [c, f"_reference_{c}", f"_listing_{c}"] for c in IDENTIFIERS}
+    active = F.coalesce("eligible_flag", F.lit(False))
+    rows = rows.select(
+        F.coalesce(*(x for c in IDENTIFIERS for x in chain[c]), "symbol").alias("instrument_id"), F.coalesce(*chain["company_id"]).alias("company_id"), "symbol", "effective_from", "effective_to",
+        F.when(active, "ACTIVE").otherwise("INACTIVE").alias("membership_status"), F.coalesce("eligible_reason", F.when(active, "OBSERVED_IN_MARKET_UNIVERSE_HISTORY").otherwise("NOT_ELIGIBLE_IN_MARKET_UNIVERSE_HISTORY")).alias("reason"),
+    )
+    return latest(rows, ["symbol", "effective_from", "effective_to", "membership_status", "reason"], F.col("company_id").isNotNull().desc(), F.col("instrument_id").asc())
 
 
 def snapshot_diff_events(observations: DataFrame) -> DataFrame:
@@ -146,14 +182,45 @@ def snapshot_diff_events(observations: DataFrame) -> DataFrame:
     return rows.withColumn("event_type", event).where("event_type is not null").select("symbol", "cik", F.col("as_of_date").alias("current_date"), "next_date", "event_type").distinct()
 
 
-def event_history_append(existing: DataFrame, events: DataFrame) -> DataFrame:
-    """Existing events and new ones (symbol, event_type, event_date, old_value, new_value) whose md5 id isn't there."""
-    parts = ("symbol", "event_type", "event_date", "old_value", "new_value")
-    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts))
-    new = events.withColumn("event_id", F.concat(F.lit("EVT:"), F.md5(text.cast("binary")))).dropDuplicates(["event_id"])
+EVENT_PARTS = ("symbol", "event_type", "event_date", "old_value", "new_value", "source_name")
+
+
+def _text(*columns: str) -> Column:
+    return F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+
+
+def event_history_append(existing: DataFrame | None, events: DataFrame, prefix: str = "NASDAQ_DAILY_LIST:") -> DataFrame:
+    """Existing events and new ones (EVENT_PARTS) of a date whose md5 id isn't there."""
+    new = events.where("event_date is not null").withColumn("event_id", F.concat(F.lit(prefix), F.md5(_text(*EVENT_PARTS).cast("binary")))).dropDuplicates(["event_id"])
     return existing.unionByName(not_exists_insert(existing, new, ["event_id"]).select(*existing.columns)) if existing is not None else new
 
 
+AUDIT_KEY = ["entity_type", "entity_key", "action_type", "source_name", "old_value", "new_value"]
+
+
+def audit_append(existing: DataFrame | None, audit: DataFrame) -> DataFrame:
+    """Existing audit rows and the new ones whose AUDIT_KEY, nulls equal, isn't there."""
+    new = audit.dropDuplicates(AUDIT_KEY)
+    return existing.unionByName(not_exists_insert(existing, new, AUDIT_KEY).select(*existing.columns)) if existing is not None else new
+
+
+def _audit(rows: DataFrame, entity: str, key: Column, parts: Column, source: Column, old: Column, new: Column, evidence: str, confidence: str) -> DataFrame:
+    made = F.concat(F.lit("AUDIT:"), F.md5(parts.cast("binary")))
+    return rows.select(made.alias("audit_id"), F.lit(entity).alias("entity_type"), key.alias("entity_key"), F.lit("INSERT").alias("action_type"), source.alias("source_name"), F.lit(evidence).alias("evidence_type"), F.lit(confidence).alias("confidence_level"), old.alias("old_value"), new.alias("new_value"))
+
+
+def event_audit(events: DataFrame, evidence: str = "DAILY_LIST", confidence: str = "MEDIUM") -> DataFrame:
+    """An audit row of each event of a date."""
+    key = _text("symbol", "event_type", "event_date")
+    return _audit(events.where("event_date is not null"), "listing_event_history", key, _text(*EVENT_PARTS), F.col("source_name"), F.col("old_value"), F.col("new_value"), evidence, confidence)
+
+
+def observation_audit(observations: DataFrame) -> DataFrame:
+    """An audit row of each observation (listing_id, symbol, exchange_raw, effective_from)."""
+    parts = _text("listing_id", "symbol", "exchange_raw", "effective_from")
+    return _audit(observations, "market_universe_history", F.col("listing_id"), parts, F.lit("nasdaq_symbol_directory_snapshot"), F.lit(None).cast("string"), F.col("symbol"), "DIRECT_SOURCE_FILE", "HIGH")
+
+
 def enrich_from_filings(listings: DataFrame, filings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Listings with a missing CIK filled from filings (symbol, cik, company_name) of the symbol, and events where the names differ."""
     best = latest(filings.where("symbol is not null"), ["symbol"], F.col("cik").asc_nulls_last(), F.col("company_name").asc_nulls_last()).select("symbol", F.col("cik").alias("_cik"), F.col("company_name").alias("_name"))

@@ -75,8 +75,8 @@ QUERIES = {
     "E4_sec_fact_dedup": lambda s, d: rounded(e.sec_fact_dedup(frame(s, d, "facts")).groupBy("cik", "concept", "period_end_date").agg(F.count("*").alias("n"), F.max("ingested_at").alias("ingested_at"))),
     "E5_sec_fact_normalized": lambda s, d: facts(s, d).groupBy("company_id", "cik", "concept").agg(F.count("*").alias("n"), F.max("available_at").alias("available_at")),
     "E6_impacted_months": lambda s, d: e.impacted_months(frame(s, d, "facts"), s.sql("select timestamp'2001-03-15 00:00:00' as watermark"), "ingested_at", "period_end_date", 3),
-    "A4_pivot_concepts": lambda s, d: rounded(e.pivot_concepts(facts(s, d).where("concept != 'other'")).groupBy("company_id").agg(*(F.max(m).alias(m) for m in MEASURES[:5]))),
-    "E7_fundamental_base": lambda s, d: rounded(base(s, d).select("company_id", "period_end_date", *MEASURES[:5])),
+    "A4_pivot_concepts": lambda s, d: rounded(e.pivot_concepts(facts(s, d).where("concept != 'other'")).groupBy("company_id").agg(*(F.max(m).alias(m) for m in MEASURES))),
+    "E7_fundamental_base": lambda s, d: rounded(base(s, d).select("company_id", "period_end_date", *MEASURES)),
     "E8_fundamental_ttm": lambda s, d: rounded(ttm(s, d).select("company_id", "period_end_date", "revenue", "net_income")),
     "A5_ttm_sum": lambda s, d: rounded(ttm(s, d).select("company_id", "period_end_date", "revenue", "assets", "equity")),
     "E9_missing_fundamentals": lambda s, d: e.missing_fundamentals(symbols(s, d), frame(s, d, "companies")),
@@ -102,8 +102,9 @@ d0 AS (SELECT accession_number, lpad(cik, 10, '0') AS cik, nullif(lower(trim(con
 dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accession_number, cik, concept, period_end_date ORDER BY ingested_at DESC NULLS LAST, value_numeric, o_orderkey) AS k FROM d0 WHERE concept IS NOT NULL) q WHERE k = 1),
 fn AS (SELECT dd.*, coalesce(c.company_id, bf.company_id, 'CIK:' || dd.cik) AS company_id, coalesce(bf.available_at, dd.ingested_at) AS available_at FROM dd LEFT JOIN companies c ON c.cik = dd.cik LEFT JOIN bf ON bf.accession_number = dd.accession_number),
 pv AS (SELECT company_id, cik, period_end_date, available_at, max(CASE WHEN concept = 'revenues' THEN value_numeric END) AS revenue, max(CASE WHEN concept IN ('netincomeloss', 'profitloss') THEN value_numeric END) AS net_income, max(CASE WHEN concept = 'assets' THEN value_numeric END) AS assets,
-  max(CASE WHEN concept = 'liabilities' THEN value_numeric END) AS liabilities, max(CASE WHEN concept = 'stockholdersequity' THEN value_numeric END) AS equity FROM fn WHERE concept <> 'other' GROUP BY company_id, cik, period_end_date, available_at),
-bs AS (SELECT * FROM (SELECT company_id, cik, period_end_date, available_at, revenue, net_income, assets, coalesce(liabilities, assets - equity) AS liabilities, equity, row_number() OVER (PARTITION BY company_id, period_end_date ORDER BY available_at DESC NULLS LAST, cik) AS k FROM pv) q WHERE k = 1),
+  max(CASE WHEN concept = 'liabilities' THEN value_numeric END) AS liabilities, max(CASE WHEN concept = 'stockholdersequity' THEN value_numeric END) AS equity, max(CASE WHEN concept = 'netcashprovidedbyusedinoperatingactivities' THEN value_numeric END) AS operating_cash_flow,
+  max(CASE WHEN concept = 'entitycommonstocksharesoutstanding' THEN value_numeric END) AS shares_outstanding FROM fn WHERE concept <> 'other' GROUP BY company_id, cik, period_end_date, available_at),
+bs AS (SELECT * FROM (SELECT company_id, cik, period_end_date, available_at, revenue, net_income, assets, coalesce(liabilities, assets - equity) AS liabilities, equity, operating_cash_flow, shares_outstanding, row_number() OVER (PARTITION BY company_id, period_end_date ORDER BY available_at DESC NULLS LAST, cik) AS k FROM pv) q WHERE k = 1),
 tt AS (SELECT a.company_id, a.cik, a.period_end_date, a.available_at, sum(b.revenue) AS revenue, sum(b.net_income) AS net_income, max_by(coalesce(b.assets, -1), b.period_end_date) AS assets, max_by(coalesce(b.equity, -1), b.period_end_date) AS equity FROM bs a JOIN bs b ON a.company_id = b.company_id AND b.available_at <= a.available_at AND b.period_end_date <= a.period_end_date AND b.period_end_date > a.period_end_date - INTERVAL '370' DAY GROUP BY a.company_id, a.cik, a.period_end_date, a.available_at)"""
 NEWS = ctes("articles", "references", "instruments", "days").replace("references AS", "refs AS", 1) + """,
 ti AS (SELECT *, ' ' || trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) || ' ' AS t FROM articles), ph AS (SELECT symbol, symbol AS p, 'symbol' AS match_type, 1.0::DOUBLE AS match_score FROM refs UNION ALL SELECT symbol, upper(phrase), 'alias', CASE WHEN length(phrase) >= 8 THEN 0.9::DOUBLE ELSE 0.75::DOUBLE END FROM refs WHERE length(phrase) >= 4),
@@ -120,8 +121,8 @@ ORACLES = {
     "E4_sec_fact_dedup": f"{FACTS} SELECT cik, concept, period_end_date, count(*) AS n, max(ingested_at) AS ingested_at FROM dd GROUP BY cik, concept, period_end_date",
     "E5_sec_fact_normalized": f"{FACTS} SELECT company_id, cik, concept, count(*) AS n, max(available_at) AS available_at FROM fn GROUP BY company_id, cik, concept",
     "E6_impacted_months": f"{ctes('facts')} SELECT DISTINCT period_end_date AS month_start FROM facts WHERE ingested_at > TIMESTAMP '2001-03-15 00:00:00' OR period_end_date >= (SELECT max(period_end_date) - INTERVAL '2' MONTH FROM facts)",
-    "A4_pivot_concepts": f"{FACTS} SELECT company_id, {', '.join(f'round(max({m}), 6) + 0.0 AS {m}' for m in MEASURES[:5])} FROM pv GROUP BY company_id",
-    "E7_fundamental_base": f"{FACTS} SELECT company_id, period_end_date, {r(*MEASURES[:5])} FROM bs",
+    "A4_pivot_concepts": f"{FACTS} SELECT company_id, {', '.join(f'round(max({m}), 6) + 0.0 AS {m}' for m in MEASURES)} FROM pv GROUP BY company_id",
+    "E7_fundamental_base": f"{FACTS} SELECT company_id, period_end_date, {r(*MEASURES)} FROM bs",
     "E8_fundamental_ttm": f"{FACTS} SELECT company_id, period_end_date, {r('revenue', 'net_income')} FROM tt",
     "A5_ttm_sum": f"{FACTS} SELECT company_id, period_end_date, {r('revenue')}, round(nullif(assets, -1), 6) + 0.0 AS assets, round(nullif(equity, -1), 6) + 0.0 AS equity FROM tt",
     "E9_missing_fundamentals": f"{ctes('candidates', 'companies')}, x AS (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY s_acctbal > 1000 DESC, CASE WHEN regexp_matches(symbol, '[^A-Z0-9]') THEN 1 ELSE 0 END, length(symbol), symbol) AS k FROM candidates WHERE cik IS NOT NULL AND cik NOT IN (SELECT cik FROM companies)) SELECT cik, symbol FROM x WHERE k = 1",

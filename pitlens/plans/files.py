@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.shared import scratch
+from ..operators import universe as u
 from ..sources import readers as rd
 from ..sources import sinks as sk
 from ..streaming import incremental as inc
@@ -41,7 +42,7 @@ def stooq_rows(s, d):
 
 
 def prices_csv(s, d):
-    return written(s, frame(s, d, "prices_preferred").select("symbol", "price_date", "open", "high", "low", "close", "volume", "source_name"), "prices", True)
+    return written(s, frame(s, d, "prices_loaded").select("symbol", "price_date", "open", "high", "low", "close", "volume", "source_name"), "prices", True)
 
 
 def price_any(s, d):
@@ -51,11 +52,33 @@ def price_any(s, d):
 
 def yahoo(s, d):
     path = scratch(s, "yahoo")
-    base = frame(s, d, "prices_preferred").withColumnRenamed("ingested_at", "fetched_at")
-    base.select("symbol", "price_date", "open", "high", "low", "close", "volume", "source_name", "fetched_at", F.lit("r1").alias("run_id"), F.lit("2024-01-31").alias("run_date")).write.partitionBy("run_id", "run_date").json(path)
+    base = frame(s, d, "prices_loaded").withColumnRenamed("ingested_at", "fetched_at")
+    base.select("symbol", "price_date", "open", "high", "low", "close", "volume", "source_name", "fetched_at", F.lit("r1").alias("run_id"), F.concat(F.year("price_date"), F.lit("-12-31")).alias("run_date")).write.partitionBy("run_id", "run_date").json(path)
+    return path, base
+
+
+def yahoo_rows(s, d):
+    path, base = yahoo(s, d)
     return rounded(rd.read_yahoo_jsonl(s, path, base.where("volume > 30")).select("symbol", "price_date", "close", "volume", "run_id", "run_date"))
 
 
+def yahoo_manifest(s, d):
+    return rd.yahoo_manifest(s, yahoo(s, d)[0]).groupBy("run_id", "run_date").agg(F.sum("rows_loaded").alias("rows_loaded"))
+
+
+def file_counts(s, d):
+    rows = short_volume(s, d)
+    old = rows.groupBy("source_file", "publication_date", "market_code").agg((-F.count("*")).alias("row_count"))
+    fresh = rd.load_only_new_files(rows, old.where("publication_date = date'2024-02-15'"))
+    return rd.refresh_file_counts(old, fresh).groupBy("publication_date", "market_code").agg(F.sum("row_count").alias("row_count"))
+
+
+def listing_audit(s, d):
+    snaps = frame(s, d, "snapshots").withColumnRenamed("exchange", "exchange_raw")
+    every = rd.snapshot_listing_observations(snaps, s.createDataFrame([], "listing_id string"))
+    return u.audit_append(u.audit_append(None, u.observation_audit(every.where("exchange_raw = 'NYSE'"))), u.observation_audit(every))
+
+
 def short_files(s, d):
     """One folder of each layout: 5 columns with header, 6 with either order, 6 without a header."""
     v = frame(s, d, "short_volume").groupBy("symbol", "trade_date").agg(*(F.sum(c).alias(c) for c in ("short_volume", "short_exempt_volume", "total_volume")))
@@ -198,9 +221,11 @@ QUERIES = {
     "S1_read_stooq_bars": stooq_rows,
     "S2_read_normalized_price_csv": lambda s, d: rounded(rd.read_normalized_price_csv(s, prices_csv(s, d))),
     "S3_read_price_any": price_any,
-    "S4_read_yahoo_jsonl": yahoo,
+    "S4_read_yahoo_jsonl": yahoo_rows,
+    "S4_yahoo_manifest": yahoo_manifest,
     "S5_read_daily_short_volume": lambda s, d: rounded(short_volume(s, d).drop("source_file")),
     "S6_load_only_new_files": lambda s, d: (lambda x: rd.load_only_new_files(x, x.where("publication_date = date'2024-02-15'")).groupBy("publication_date").agg(F.count("*").alias("n")))(short_volume(s, d)),
+    "S6_file_row_counts": file_counts,
     "S7_read_short_interest": short_interest,
     "S8_read_symbol_directory": directory,
     "S9_stage_symbol_snapshots": lambda s, d: (lambda x: rd.stage_symbol_snapshots(x.union(x), x.where("source_name = 'sec_tickers'")))(frame(s, d, "candidates").select(*rd.SNAPSHOT_KEY)),
@@ -211,9 +236,10 @@ QUERIES = {
     "S14_read_news_source": lambda s, d: news_csv(s, d).select("raw_id", "published_at", "title"),
     "S15_parse_daily_list_events": lambda s, d: daily_list(s, d).select("notes", "event_type", "symbol", "event_date", "confidence_level"),
     "S16_read_snapshot_listing_observations": listing_obs,
+    "S16_observation_audit": listing_audit,
     "S17_read_manual_overrides": overrides,
     "K1_replace_table": replaced,
-    "K2_append_dedup": lambda s, d: (lambda x: x.select(*KEYS).union(sk.append_dedup(x, frame(s, d, "prices_preferred"), KEYS).select(*KEYS)))(frame(s, d, "prices_preferred").where("volume > 20")),
+    "K2_append_dedup": lambda s, d: (lambda x: x.select(*KEYS).union(sk.append_dedup(x, frame(s, d, "prices_loaded"), KEYS).select(*KEYS)))(frame(s, d, "prices_loaded").where("volume > 20")),
     "K3_upsert_by_key": lambda s, d: rounded(sk.upsert_by_key(effective(s, d), frame(s, d, "prices_preferred").where("volume > 20").withColumn("close", F.lit(1.0)), KEYS).select(*KEYS, "close")),
     "K4_replace_window": lambda s, d: rounded(sk.replace_window(effective(s, d), effective(s, d).withColumn("close", F.lit(2.0)), "price_date", "2000-06-01").select(*KEYS, "close")),
     "K5_replace_months": months,
@@ -229,11 +255,13 @@ _SV = "sv AS (SELECT symbol, trade_date, sum(short_volume) AS a, sum(short_exemp
 _DIRTYPE = "CASE WHEN contains(' ' || upper(company_name) || ' ', ' ETF') THEN 'ETF' WHEN contains(' ' || upper(company_name) || ' ', ' ADR') THEN 'ADR' WHEN contains(upper(company_name), 'PREFERRED') THEN 'PREFERRED' WHEN contains(upper(company_name), 'WARRANT') THEN 'WARRANT' WHEN contains(' ' || upper(company_name), ' RIGHT') THEN 'RIGHT' WHEN contains(' ' || upper(company_name), ' UNIT') THEN 'UNIT' ELSE 'COMMON_STOCK' END"
 ORACLES = {
     "S1_read_stooq_bars": f"WITH {_ST} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, asset_class, venue_group FROM st",
-    "S2_read_normalized_price_csv": f"{ctes('prices_preferred')} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, source_name FROM prices_preferred",
+    "S2_read_normalized_price_csv": f"{ctes('prices_loaded')} SELECT symbol, price_date, {r('open', 'high', 'low', 'close')}, volume, source_name FROM prices_loaded",
     "S3_read_price_any": "SELECT concat('S', CAST(l_suppkey AS VARCHAR)) AS symbol, CAST(l_shipdate AS DATE) AS price_date, l_extendedprice AS open, round(l_extendedprice + l_quantity - 5, 6) + 0.0 AS high, l_extendedprice AS low, l_extendedprice AS close, CASE WHEN l_linenumber > 1 THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS volume FROM lineitem WHERE l_linenumber <> 3 AND l_quantity >= 5",
-    "S4_read_yahoo_jsonl": f"{ctes('prices_preferred')} SELECT symbol, price_date, round(close, 9) + 0.0 AS close, volume, 'r1' AS run_id, '2024-01-31' AS run_date FROM prices_preferred WHERE volume <= 30",
+    "S4_read_yahoo_jsonl": f"{ctes('prices_loaded')} SELECT symbol, price_date, round(close, 9) + 0.0 AS close, volume, 'r1' AS run_id, concat(CAST(year(price_date) AS VARCHAR), '-12-31') AS run_date FROM prices_loaded WHERE volume <= 30",
+    "S4_yahoo_manifest": f"{ctes('prices_loaded')} SELECT 'r1' AS run_id, concat(CAST(year(price_date) AS VARCHAR), '-12-31') AS run_date, count(*) AS rows_loaded FROM prices_loaded GROUP BY 2",
     "S5_read_daily_short_volume": f"{ctes('short_volume')}, {_SV} SELECT trade_date, symbol, a AS short_volume, CASE WHEN g > 0 THEN b END AS short_exempt_volume, t AS total_volume, 'Q' AS market_code, CASE g WHEN 0 THEN DATE '2024-01-15' WHEN 1 THEN DATE '2024-02-15' WHEN 2 THEN DATE '2024-03-15' ELSE DATE '2024-04-15' END AS publication_date FROM sv",
     "S6_load_only_new_files": f"{ctes('short_volume')}, {_SV} SELECT CASE g WHEN 0 THEN DATE '2024-01-15' WHEN 2 THEN DATE '2024-03-15' ELSE DATE '2024-04-15' END AS publication_date, count(*) AS n FROM sv WHERE g <> 1 GROUP BY 1",
+    "S6_file_row_counts": f"{ctes('short_volume')}, {_SV} SELECT CASE g WHEN 0 THEN DATE '2024-01-15' WHEN 1 THEN DATE '2024-02-15' WHEN 2 THEN DATE '2024-03-15' ELSE DATE '2024-04-15' END AS publication_date, 'Q' AS market_code, count(*) * CASE WHEN g = 1 THEN -1 ELSE 1 END AS row_count FROM sv GROUP BY g",
     "S7_read_short_interest": f"{ctes('short_interest')} SELECT symbol, settlement_date, CAST(short_interest AS DOUBLE) AS short_interest, avg_daily_volume, 'regular' AS source_market, DATE '2024-01-31' AS source_date FROM short_interest",
     "S8_read_symbol_directory": f"{ctes('candidates')}, x AS (SELECT *, upper(trim(symbol)) AS sy FROM candidates) SELECT sy AS symbol, company_name, CAST(NULL AS VARCHAR) AS cik, 'NASDAQ' AS exchange_raw, CASE WHEN s_suppkey % 3 = 0 THEN 'ETF' ELSE {_DIRTYPE} END AS security_type_raw, 'nasdaqlisted' AS source_name, DATE '2024-01-31' AS as_of_date FROM x UNION ALL SELECT sy, company_name, NULL, CASE WHEN s_suppkey % 2 = 0 THEN 'NYSE' ELSE 'Q' END, {_DIRTYPE}, 'otherlisted', DATE '2024-01-31' FROM x UNION ALL SELECT sy, company_name, lpad(CAST(s_suppkey AS VARCHAR), 10, '0'), NULL, NULL, 'sec', DATE '2024-01-31' FROM x",
     "S9_stage_symbol_snapshots": f"{ctes('candidates')} SELECT DISTINCT {', '.join(rd.SNAPSHOT_KEY)} FROM candidates WHERE source_name <> 'sec_tickers'",
@@ -244,9 +272,10 @@ ORACLES = {
     "S14_read_news_source": f"{ctes('articles')} SELECT raw_id, date_trunc('millisecond', published_at) AS published_at, title FROM articles WHERE CAST(published_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10'",
     "S15_parse_daily_list_events": f"{ctes('articles')} SELECT concat(CASE raw_id % 6 WHEN 0 THEN 'new listing ' WHEN 1 THEN 'removed ' WHEN 2 THEN 'symbol change ' WHEN 3 THEN 'halted ' ELSE 'Name Change ' END, symbol, ' on ', CAST(CAST(published_at AS DATE) AS VARCHAR), ' note ', CAST(raw_id AS VARCHAR)) AS notes, CASE raw_id % 6 WHEN 0 THEN 'LISTING_ADDED' WHEN 1 THEN 'LISTING_REMOVED' WHEN 2 THEN 'TICKER_CHANGED' WHEN 3 THEN 'SUSPENDED' ELSE 'RENAMED' END AS event_type, symbol, CAST(published_at AS DATE) AS event_date, 'LOW' AS confidence_level FROM articles WHERE raw_id % 6 <> 5",
     "S16_read_snapshot_listing_observations": f"{ctes('snapshots')} SELECT 'LST:' || md5(symbol || '|' || exchange || '|' || CAST(as_of_date AS VARCHAR)) AS listing_id, symbol, exchange AS exchange_raw, as_of_date AS effective_from, as_of_date AS effective_to FROM snapshots WHERE exchange <> 'NYSE'",
+    "S16_observation_audit": f"{ctes('snapshots')}, x AS (SELECT *, 'LST:' || md5(symbol || '|' || exchange || '|' || CAST(as_of_date AS VARCHAR)) AS listing_id FROM snapshots) SELECT 'AUDIT:' || md5(listing_id || '|' || symbol || '|' || exchange || '|' || CAST(as_of_date AS VARCHAR)) AS audit_id, 'market_universe_history' AS entity_type, listing_id AS entity_key, 'INSERT' AS action_type, 'nasdaq_symbol_directory_snapshot' AS source_name, 'DIRECT_SOURCE_FILE' AS evidence_type, 'HIGH' AS confidence_level, CAST(NULL AS VARCHAR) AS old_value, symbol AS new_value FROM x",
     "S17_read_manual_overrides": f"{ctes('universe')} SELECT symbol, include_in_universe AS include, 'r' AS reason FROM universe WHERE include_in_universe OR length(symbol) <> 2",
     "K1_replace_table": f"{ctes('prices_preferred')} SELECT symbol, price_date, close, source_name FROM prices_preferred",
-    "K2_append_dedup": f"{ctes('prices_preferred')} SELECT symbol, price_date FROM prices_preferred",
+    "K2_append_dedup": f"{ctes('prices_loaded')} SELECT symbol, price_date FROM prices_loaded",
     "K3_upsert_by_key": f"{EFFECTIVE} SELECT e.symbol, e.price_date, CASE WHEN p.symbol IS NULL THEN round(e.close, 9) + 0.0 ELSE 1.0::DOUBLE END AS close FROM eff e LEFT JOIN (SELECT * FROM prices_preferred WHERE volume > 20) p ON p.symbol = e.symbol AND p.price_date = e.price_date",
     "K4_replace_window": f"{EFFECTIVE} SELECT symbol, price_date, CASE WHEN price_date < DATE '2000-06-01' THEN round(close, 9) + 0.0 ELSE 2.0::DOUBLE END AS close FROM eff",
     "K5_replace_months": f"{EFFECTIVE} SELECT symbol, price_date, CASE WHEN price_date >= DATE '2001-01-01' THEN -1 ELSE volume END AS volume, CAST(date_trunc('month', price_date) AS DATE) AS month_start FROM eff",

@@ -36,7 +36,7 @@ INPUTS = {
       FROM {orders}""",
     "memberships": """
       SELECT concat('S', CAST(o_custkey % 100 AS STRING)) AS symbol, CAST(min(o_orderdate) AS DATE) AS effective_from,
-        CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS effective_to FROM {orders} WHERE o_custkey % 5 <> 0 GROUP BY o_custkey % 100, o_custkey % 3, o_orderpriority""",
+        CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS effective_to FROM {orders} GROUP BY o_custkey % 100, o_custkey % 3, o_orderpriority""",
     "articles": """
       SELECT event_id AS raw_id, ts AS published_at, concat('Story about S', CAST(user_id % 100 AS STRING), ' and value ', event_type) AS title, concat('http://news.example/', CAST(event_id AS STRING)) AS url,
         concat('S', CAST(user_id % 100 AS STRING)) AS symbol, event_type AS source_name, value FROM {events}""",
@@ -50,6 +50,10 @@ INPUTS = {
       SELECT concat('S', CAST(l_suppkey AS STRING)) AS symbol, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice) + 2 AS open, max(l_extendedprice) + 3 AS high,
         min(l_extendedprice) AS low, min(l_extendedprice) + 1 AS close, CAST(sum(l_quantity) AS BIGINT) AS volume, 'preferred' AS source_name, CAST(max(l_shipdate) AS TIMESTAMP) AS ingested_at
       FROM {lineitem} WHERE l_orderkey % 3 = 0 GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
+    "prices_loaded": """
+      SELECT concat('S', CAST(l_suppkey AS STRING)) AS symbol, CAST(l_shipdate AS DATE) AS price_date, max(l_extendedprice) + 2 AS open, max(l_extendedprice) + 3 AS high,
+        min(l_extendedprice) AS low, min(l_extendedprice) + 1 AS close, CAST(sum(l_quantity) AS BIGINT) AS volume, 'preferred' AS source_name, CAST(max(l_shipdate) AS TIMESTAMP) AS ingested_at
+      FROM {lineitem} GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
     "raw_bars": """
       SELECT CASE WHEN l_orderkey % 97 = 0 THEN '  ' ELSE concat(' s', CAST(l_suppkey AS STRING)) END AS symbol, l_orderkey * 10 + l_linenumber AS bar_id, CAST(l_shipdate AS DATE) AS price_date, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_extendedprice END AS open,
         CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice + l_quantity - 5 END AS high, l_extendedprice - l_tax * 100 AS low, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice - 1 END AS close,
@@ -67,7 +71,7 @@ INPUTS = {
       SELECT lpad(CAST(s_suppkey + 1 AS STRING), 10, '0') AS cik, concat('CO:', CAST(s_suppkey AS STRING)) AS company_id FROM {supplier} WHERE s_suppkey % 50 <> 7""",
     "facts": """
       SELECT concat('ACC-', CAST(o_orderkey - o_orderkey % 2 AS STRING)) AS accession_number, CAST(o_custkey + 1 AS STRING) AS cik, ' US-GAAP' AS taxonomy,
-        CASE o_orderkey % 8 WHEN 0 THEN 'Revenues' WHEN 1 THEN ' Assets ' WHEN 2 THEN 'StockholdersEquity' WHEN 3 THEN 'NetIncomeLoss' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'ProfitLoss' WHEN 6 THEN '' ELSE 'Other' END AS concept,
+        CASE o_orderkey % 10 WHEN 0 THEN 'Revenues' WHEN 1 THEN ' Assets ' WHEN 2 THEN 'StockholdersEquity' WHEN 3 THEN 'NetIncomeLoss' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'ProfitLoss' WHEN 6 THEN '' WHEN 7 THEN 'NetCashProvidedByUsedInOperatingActivities' WHEN 8 THEN 'EntityCommonStockSharesOutstanding' ELSE 'Other' END AS concept,
         'USD' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, CAST(NULL AS DATE) AS period_start_date, ' ' AS frame, o_totalprice AS value_numeric, CAST(o_orderdate AS TIMESTAMP) AS ingested_at, o_orderkey FROM {orders}""",
     "references": """
       SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN 'value click' WHEN s_suppkey % 3 = 1 THEN 'view' ELSE 'and' END AS phrase FROM {supplier}""",

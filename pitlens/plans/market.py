@@ -87,6 +87,7 @@ QUERIES = {
     "H4_short_interest_object_path": one(lambda x, u: h.short_interest_counts(x, u, "regular"), "short_interest", "universe"),
     "H5_short_rolling": one(lambda x: h.short_rolling(h.short_daily(x)).select("symbol", "as_of_date", "short_volume_ratio", "short_volume_20d_avg", "short_volume_ratio_20d_avg", "short_volume_ratio_20d_std"), "short_volume"),
     "H6_short_features_daily": lambda s, d: rounded(short_all(s, d).select("symbol", "as_of_date", "short_interest", *SHORT_OUT)),
+    "H7_refresh_features": lambda s, d: rounded(h.refresh_features(h.short_daily(frame(s, d, "short_volume")), h.short_interest_history(frame(s, d, "short_interest")), "1998-06-01").select("symbol", "as_of_date", "short_interest", *SHORT_OUT)),
     "H7_short_feature_window": lambda s, d: h.feature_window_start(h.short_daily(frame(s, d, "short_volume"))),
     "A2_short_daily_agg": one(lambda x: h.short_daily(x), "short_volume"),
     "C1_effective_prices": on_effective(lambda x: x.select(*PRICE_OUT)),
@@ -180,6 +181,7 @@ ORACLES = {
     "H4_short_interest_object_path": f"{SHORTS} SELECT source_file, count(*) AS total_rows, count(*) FILTER (WHERE source_market = 'regular') AS market_rows, count(*) FILTER (WHERE source_market = 'regular' AND symbol IN (SELECT symbol FROM universe WHERE include_in_universe)) AS accepted_rows FROM short_interest GROUP BY source_file",
     "H5_short_rolling": f"{SHORTS} SELECT symbol, as_of_date, {r('short_volume_ratio', 'short_volume_20d_avg', 'short_volume_ratio_20d_avg', 'short_volume_ratio_20d_std')} FROM roll",
     "H6_short_features_daily": f"{SHORTS} SELECT symbol, as_of_date, short_interest, {r(*SHORT_OUT)} FROM sf",
+    "H7_refresh_features": f"{SHORTS} SELECT symbol, as_of_date, short_interest, {r(*SHORT_OUT)} FROM sf WHERE as_of_date >= DATE '1998-06-01'",
     "H7_short_feature_window": f"{SHORTS} SELECT CAST(max(as_of_date) - INTERVAL '45' DAY AS DATE) AS window_start FROM daily",
     "A2_short_daily_agg": f"{SHORTS} SELECT * FROM daily",
     "C1_effective_prices": f"{EFFECTIVE} SELECT symbol, price_date, {r('close')}, volume, source_name FROM eff",

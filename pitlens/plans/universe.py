@@ -22,9 +22,28 @@ def listings(s, d):
     return u.listing_history(observed(s, d))
 
 
+def differences(s, d):
+    return u.snapshot_diff_events(observed(s, d)).select("symbol", "event_type", F.col("next_date").alias("event_date"), F.col("cik").alias("old_value"), F.lit(None).cast("string").alias("new_value"), F.lit("diff").alias("source_name"))
+
+
+GONE = "event_type = 'POSSIBLE_DISAPPEARANCE'"
+
+
 def events(s, d):
-    e = u.snapshot_diff_events(observed(s, d)).select("symbol", "event_type", F.col("next_date").alias("event_date"), F.col("cik").alias("old_value"), F.lit(None).cast("string").alias("new_value"))
-    return u.event_history_append(u.event_history_append(None, e.where("event_type = 'POSSIBLE_DISAPPEARANCE'")), e).select("event_id", "symbol", "event_type", "event_date")
+    e = differences(s, d)
+    return u.event_history_append(u.event_history_append(None, e.where(GONE)), e).select("event_id", "symbol", "event_type", "event_date")
+
+
+def event_audit(s, d):
+    e = differences(s, d)
+    return u.audit_append(u.audit_append(None, u.event_audit(e.where(GONE))), u.event_audit(e))
+
+
+def memberships(s, d):
+    mu = observed(s, d).withColumns({"eligible_reason": u.eligibility(), "effective_from": F.col("as_of_date"), "effective_to": F.col("as_of_date")}).withColumn("eligible_flag", F.col("eligible_reason").startswith("INCLUDED"))
+    refs = u.reference_history(observed(s, d)).withColumnRenamed("identity", "listing_id")
+    ls = listings(s, d).select("symbol", F.col("identity").alias("listing_id"), F.when(F.col("exchange") == "NYSE", F.concat(F.lit("COMP:"), "identity")).alias("company_id"), "effective_from", "effective_to")
+    return u.membership_history(mu, refs, ls)
 
 
 def filings(s, d):
@@ -51,9 +70,10 @@ QUERIES = {
     "U7_consecutive_missing_snapshots": lambda s, d: u.consecutive_missing(observed(s, d)),
     "U8_market_universe_history": lambda s, d: u.universe_history(listings(s, d)),
     "U9_symbol_reference_history": lambda s, d: u.reference_history(observed(s, d)),
-    "U10_universe_membership_history": lambda s, d: u.membership_history(observed(s, d), listings(s, d), frame(s, d, "universe")),
+    "U10_universe_membership_history": memberships,
     "U11_snapshot_diff_events": lambda s, d: u.snapshot_diff_events(observed(s, d)),
     "U12_event_history_append": events,
+    "U12_event_audit": event_audit,
     "U13_enrich_listing_from_filings": enriched(0),
     "U13_name_events": enriched(1),
     "U14_instrument_master": master,
@@ -82,6 +102,15 @@ li AS (SELECT nx.*, coalesce(nf, g.as_of_date) AS effective_to FROM nx LEFT JOIN
 _ELIG = "CASE WHEN exchange NOT IN ('NASDAQ', 'NYSE') THEN 'EXCLUDED_EXCHANGE' WHEN security_type = 'ADR' THEN 'EXCLUDED_ADR' ELSE 'INCLUDED_COMMON_STOCK' END"
 _DIFF = f"""{HISTORY}, pr AS (SELECT as_of_date, lead(as_of_date) OVER (ORDER BY as_of_date) AS next_date FROM dy), df AS (SELECT DISTINCT c.symbol, c.cik, c.as_of_date AS current_date, p.next_date, CASE WHEN n.cik IS NULL THEN 'POSSIBLE_DISAPPEARANCE' WHEN upper(c.company_name) <> upper(n.company_name) THEN 'POSSIBLE_COMPANY_NAME_CHANGE' WHEN c.exchange <> n.exchange THEN 'POSSIBLE_EXCHANGE_CHANGE' WHEN c.security_type <> n.security_type THEN 'POSSIBLE_SECURITY_TYPE_CHANGE' END AS event_type
   FROM snapshots c JOIN pr p ON p.as_of_date = c.as_of_date AND p.next_date IS NOT NULL LEFT JOIN snapshots n ON n.symbol = c.symbol AND n.as_of_date = p.next_date)"""
+_EVENT = "symbol || '|' || event_type || '|' || CAST(next_date AS VARCHAR) || '|' || coalesce(cik, '') || '||diff'"
+_REFS = f"""{HISTORY}, rl AS (SELECT identity, symbol, cik, exchange, {_NAME} AS name, as_of_date, row_number() OVER (PARTITION BY identity ORDER BY as_of_date, symbol, exchange, security_type) AS o FROM ob),
+rn AS (SELECT *, CASE WHEN o = 1 OR lag(symbol) OVER w IS DISTINCT FROM symbol OR lag(cik) OVER w IS DISTINCT FROM cik OR lag(name) OVER w IS DISTINCT FROM name OR lag(exchange) OVER w IS DISTINCT FROM exchange THEN 1 ELSE 0 END AS fr FROM rl WINDOW w AS (PARTITION BY identity ORDER BY o)),
+rv AS (SELECT *, CAST(sum(fr) OVER (PARTITION BY identity ORDER BY o) AS BIGINT) AS version FROM rn),
+rg AS (SELECT identity, version, min(symbol) AS symbol, min(cik) AS cik, min(name) AS company_name_clean, min(exchange) AS exchange, min(as_of_date) AS effective_from FROM rv GROUP BY identity, version),
+rf AS (SELECT *, lead(effective_from) OVER (PARTITION BY identity ORDER BY version) AS effective_to FROM rg)"""
+_MEMBERS = f"""m AS (SELECT symbol, cik, as_of_date AS f, {_ELIG} AS er FROM snapshots), lc AS (SELECT *, CASE WHEN exchange = 'NYSE' THEN 'COMP:' || identity END AS company_id FROM li),
+rb AS (SELECT m.symbol, m.f, r.cik, r.identity, row_number() OVER (PARTITION BY m.symbol, m.f ORDER BY CASE WHEN r.cik IS NULL THEN 1 ELSE 0 END, r.effective_from DESC, coalesce(r.effective_to, DATE '0001-01-01') DESC, r.cik NULLS LAST, r.identity) AS k FROM m JOIN rf r ON r.symbol = m.symbol AND r.effective_from <= m.f AND m.f <= coalesce(r.effective_to, DATE '9999-12-31')),
+lb AS (SELECT m.symbol, m.f, l.company_id, l.identity, row_number() OVER (PARTITION BY m.symbol, m.f ORDER BY CASE WHEN l.company_id IS NULL THEN 1 ELSE 0 END, l.effective_from DESC, coalesce(l.effective_to, DATE '0001-01-01') DESC, l.company_id NULLS LAST, l.identity) AS k FROM m JOIN lc l ON l.symbol = m.symbol AND l.effective_from <= m.f AND m.f <= coalesce(l.effective_to, DATE '9999-12-31'))"""
 _QUAL = f"{ctes('bars', 'instruments', 'memberships')}, {BASE}, {VOLATILITY}, qu AS (SELECT DISTINCT symbol, as_of_date FROM volatility WHERE adj_close >= 1000 AND adj_close * volume >= 20000 AND volume >= 5 AND volatility_20d <= 1.2)"
 _MASTER = f"{EFFECTIVE}, sp AS (SELECT symbol, min(price_date) AS first_date, max(price_date) AS last_date FROM eff GROUP BY symbol), im AS (SELECT sp.symbol, coalesce(i.instrument_id, 'INST:' || substr(md5(sp.symbol), 1, 16)) AS instrument_id, coalesce(i.company_id, 'COMP:' || substr(md5(sp.symbol), 1, 16)) AS company_id, 'UNKNOWN' AS exchange, 'COMMON_STOCK' AS security_type, 'ORDINARY' AS share_class, first_date, last_date, CASE WHEN last_date >= (SELECT max(last_date) FROM sp) - INTERVAL '30' DAY THEN true ELSE coalesce(i.is_active, false) END AS is_active FROM sp LEFT JOIN (SELECT *, instrument_id LIKE '%1' AS is_active FROM instruments) i ON i.symbol = sp.symbol)"
 ORACLES = {
@@ -94,10 +123,11 @@ ORACLES = {
     "U6_listing_history_scd2": f"{HISTORY} SELECT identity, version, symbol, exchange, security_type, effective_from, effective_to, effective_to IS NULL AS is_active FROM li",
     "U7_consecutive_missing_snapshots": f"{HISTORY} SELECT symbol, exchange, security_type, CAST((SELECT max(sn) FROM dy) - max(sn) AS INTEGER) AS missing_snapshots FROM ob GROUP BY symbol, exchange, security_type",
     "U8_market_universe_history": f"{HISTORY}, el AS (SELECT *, {_ELIG} AS er FROM li), e2 AS (SELECT *, CASE WHEN lag(er) OVER v IS DISTINCT FROM er OR lag(effective_to) OVER v IS DISTINCT FROM effective_from THEN 1 ELSE 0 END AS fr FROM el WINDOW v AS (PARTITION BY identity ORDER BY version)), e3 AS (SELECT *, sum(fr) OVER (PARTITION BY identity ORDER BY version) AS run FROM e2) SELECT identity, er LIKE 'INCLUDED%' AS eligible_flag, er AS eligible_reason, 'v1' AS rule_version, min(effective_from) AS effective_from, CASE WHEN bool_or(effective_to IS NULL) THEN NULL ELSE max(effective_to) END AS effective_to FROM e3 GROUP BY identity, run, er",
-    "U9_symbol_reference_history": f"{HISTORY}, nm AS (SELECT symbol, as_of_date, min({_NAME}) AS name FROM snapshots GROUP BY symbol, as_of_date), nf AS (SELECT *, CASE WHEN lag(name) OVER v IS DISTINCT FROM name THEN 1 ELSE 0 END AS fr FROM nm WINDOW v AS (PARTITION BY symbol ORDER BY as_of_date)), nv AS (SELECT *, CAST(sum(fr) OVER (PARTITION BY symbol ORDER BY as_of_date) AS BIGINT) AS version FROM nf), ng AS (SELECT symbol, version, name, min(as_of_date) AS effective_from FROM nv GROUP BY symbol, version, name) SELECT *, lead(effective_from) OVER (PARTITION BY symbol ORDER BY version) AS effective_to FROM ng",
-    "U10_universe_membership_history": f"{HISTORY}, mm AS (SELECT s.symbol, s.as_of_date, s.cik, l.identity, row_number() OVER (PARTITION BY s.symbol, s.as_of_date ORDER BY CASE WHEN l.effective_to IS NULL THEN 0 ELSE 1 END, l.effective_from DESC NULLS LAST, l.identity NULLS LAST) AS k FROM snapshots s LEFT JOIN li l ON l.symbol = s.symbol AND l.effective_from <= s.as_of_date AND s.as_of_date <= coalesce(l.effective_to, DATE '9999-12-31')) SELECT mm.symbol, coalesce(identity, 'CIK:' || cik, 'SYM:' || mm.symbol) AS company_id, as_of_date AS effective_from, as_of_date AS effective_to, CASE WHEN include_in_universe THEN 'ACTIVE' ELSE 'EXCLUDED' END AS membership_status, CASE WHEN include_in_universe IS NULL THEN 'not_in_universe' WHEN NOT include_in_universe THEN 'excluded_by_rule' ELSE 'included' END AS reason FROM mm LEFT JOIN universe u ON u.symbol = mm.symbol WHERE k = 1",
+    "U9_symbol_reference_history": f"{_REFS} SELECT *, 'SYMREF:' || sha1(identity || '|' || symbol || '|' || CAST(effective_from AS VARCHAR)) AS symbol_reference_id, '[\"' || company_name_clean || '\"]' AS aliases_json, effective_to IS NULL AS is_active FROM rf",
+    "U10_universe_membership_history": f"{_REFS}, {_MEMBERS} SELECT coalesce(lb.company_id, m.cik, rb.cik, rb.identity, lb.identity, m.symbol) AS instrument_id, lb.company_id, m.symbol, m.f AS effective_from, m.f AS effective_to, CASE WHEN er LIKE 'INCLUDED%' THEN 'ACTIVE' ELSE 'INACTIVE' END AS membership_status, er AS reason FROM m LEFT JOIN rb ON rb.symbol = m.symbol AND rb.f = m.f AND rb.k = 1 LEFT JOIN lb ON lb.symbol = m.symbol AND lb.f = m.f AND lb.k = 1",
     "U11_snapshot_diff_events": f"{_DIFF} SELECT * FROM df WHERE event_type IS NOT NULL",
-    "U12_event_history_append": f"{_DIFF} SELECT 'EVT:' || md5(symbol || '|' || event_type || '|' || CAST(next_date AS VARCHAR) || '|' || coalesce(cik, '') || '|') AS event_id, symbol, event_type, next_date AS event_date FROM df WHERE event_type IS NOT NULL",
+    "U12_event_history_append": f"{_DIFF} SELECT 'NASDAQ_DAILY_LIST:' || md5({_EVENT}) AS event_id, symbol, event_type, next_date AS event_date FROM df WHERE event_type IS NOT NULL",
+    "U12_event_audit": f"{_DIFF} SELECT 'AUDIT:' || md5({_EVENT}) AS audit_id, 'listing_event_history' AS entity_type, symbol || '|' || event_type || '|' || CAST(next_date AS VARCHAR) AS entity_key, 'INSERT' AS action_type, 'diff' AS source_name, 'DAILY_LIST' AS evidence_type, 'MEDIUM' AS confidence_level, cik AS old_value, CAST(NULL AS VARCHAR) AS new_value FROM df WHERE event_type IS NOT NULL",
     "U13_enrich_listing_from_filings": f"{HISTORY} SELECT DISTINCT s.symbol, coalesce(s.cik, substr(i.instrument_id, 6, 9)) AS cik, s.company_name FROM snapshots s LEFT JOIN instruments i ON i.symbol = s.symbol",
     "U13_name_events": f"{HISTORY}, x AS (SELECT DISTINCT s.symbol, s.company_name AS old_value, 'Company ' || substr(s.symbol, 2, 9) AS new_value FROM snapshots s JOIN instruments i ON i.symbol = s.symbol) SELECT symbol, 'NAME_DIFFERENCE' AS event_type, old_value, new_value FROM x WHERE trim(regexp_replace(regexp_replace(upper(old_value), '[^A-Z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')) <> upper(new_value)",
     "U14_instrument_master": f"{_MASTER} SELECT * FROM im",

@@ -90,13 +90,22 @@ def read_price_any(spark: SparkSession, path: str) -> DataFrame:
     return rows.dropna(subset=["symbol", "price_date", "open", "high", "low", "close"]).where("high >= low")
 
 
-def read_yahoo_jsonl(spark: SparkSession, path: str, existing: DataFrame) -> DataFrame:
-    """JSON lines of bars that `existing` lacks by (symbol, price_date, source_name), with run_id and run_date of the path; newest per key."""
+def _yahoo_rows(spark: SparkSession, path: str) -> DataFrame:
     schema = "symbol string, price_date string, open double, high double, low double, close double, volume double, source_name string, fetched_at timestamp"
     rows = spark.read.json(path, schema=schema, recursiveFileLookup=True).withColumn("_path", file_path())
-    rows = rows.select(F.upper(F.trim("symbol")).alias("symbol"), F.expr("try_to_date(price_date)").alias("price_date"), "open", "high", "low", "close", F.col("volume").cast("long").alias("volume"), "source_name", "fetched_at", F.regexp_extract("_path", "run_id=([^/]+)", 1).alias("run_id"), F.regexp_extract("_path", "run_date=([^/]+)", 1).alias("run_date"))
+    rows = rows.select(F.upper(F.trim("symbol")).alias("symbol"), F.expr("try_to_date(price_date)").alias("price_date"), "open", "high", "low", "close", F.col("volume").cast("long").alias("volume"), "source_name", "fetched_at", F.regexp_extract("_path", "run_id=([^/]+)", 1).alias("run_id"), F.regexp_extract("_path", "run_date=([^/]+)", 1).alias("run_date"), F.col("_path").alias("source_file"))
+    return rows.where("symbol != '' and price_date is not null")
+
+
+def read_yahoo_jsonl(spark: SparkSession, path: str, existing: DataFrame) -> DataFrame:
+    """JSON lines of bars that `existing` lacks by (symbol, price_date, source_name), with run_id and run_date of the path; newest per key."""
     key = ["symbol", "price_date", "source_name"]
-    return latest(not_exists_insert(existing, rows.where("symbol != '' and price_date is not null"), key), key, F.col("fetched_at").desc_nulls_last())
+    return latest(not_exists_insert(existing, _yahoo_rows(spark, path).drop("source_file"), key), key, F.col("fetched_at").desc_nulls_last())
+
+
+def yahoo_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Each file of bars with its run_id, run_date and number of usable rows."""
+    return _yahoo_rows(spark, path).groupBy("source_file", "run_id", "run_date").agg(F.count("*").alias("rows_loaded"))
 
 
 def read_daily_short_volume(spark: SparkSession, path: str, date_pattern: str = FILE_DATE) -> DataFrame:
@@ -121,6 +130,12 @@ def load_only_new_files(rows: DataFrame, loaded: DataFrame) -> DataFrame:
     return rows.join(loaded.select("source_file").distinct(), "source_file", "left_anti")
 
 
+def refresh_file_counts(counts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Row counts by (source_file, publication_date, market_code), those of the files of `rows` counted anew."""
+    new = rows.groupBy("source_file", "publication_date", "market_code").agg(F.count("*").alias("row_count"))
+    return load_only_new_files(counts, rows).select(*new.columns).union(new)
+
+
 def read_short_interest(spark: SparkSession, path: str, sep: str = "|", date_pattern: str = FILE_DATE) -> DataFrame:
     """Short interest under any of the known column names; numbers or null; a missing market comes from the file's token."""
     rows = harmonize(read_csv(spark, path, sep), SHORT_INTEREST_NAMES)
