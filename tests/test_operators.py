@@ -254,3 +254,54 @@ def test_daily_features_in_one_pass_equal_the_joined_groups(spark):
     one = features.research_features_daily(df, names).orderBy("as_of_date").collect()
     joined = features.research_features(*(f(df, names) for f in (features.momentum, features.trend, features.volatility))).orderBy("as_of_date").collect()
     assert [r.asDict() for r in one] == [r.asDict() for r in joined] and one[80].volatility_20d is None and one[81].volatility_20d is not None
+
+
+def test_bitemporal_join_equals_pairing(spark):
+    left = spark.range(400).selectExpr("case when id % 17 = 0 then null else concat('K', id % 3) end as k", "case when id % 19 = 0 then null else date_add(date'2024-01-01', cast(id * 7 % 60 as int)) end as day", "case when id % 23 = 0 then null else timestamp(date_add(date'2024-01-05', cast(id * 11 % 50 as int))) end as seen", "id % 5 as v")
+    left = left.union(left.limit(30))
+    right = spark.range(90).selectExpr("case when id % 13 = 0 then null else concat('K', id % 4) end as k", "case when id % 29 = 0 then null else date_add(date'2024-01-01', cast(id * 5 % 60 as int)) end as at", "case when id % 31 = 0 then null else timestamp(date_add(date'2024-01-01', cast(id * 13 % 60 as int))) end as known", "id % 7 as v")
+    got = sorted(map(tuple, joins.asof_bitemporal(left, right, "k", "day", "seen", "at", "known").collect()), key=str)
+    facts, want = [tuple(r) for r in right.collect()], []
+    for k, day, seen, v in map(tuple, left.collect()):
+        fits = [f for f in facts if None not in (k, day, seen, *f[:3]) and f[0] == k and f[1] <= day and f[2] <= seen]
+        best = max(fits, key=lambda f: f[1:], default=(None,) * 4)
+        want.append((k, day, seen, v, *best[1:]))
+    assert got == sorted(want, key=str) and sum(w[4] is not None for w in want) > 100
+
+
+def test_aliases_change_with_the_name(spark):
+    schema = "symbol string, cik string, company_name string, exchange string, security_type string, as_of_date date"
+    data = [("A", "1", "Acme Corp.", "NYSE", "C", D(2024, 1, 1)), ("A", "1", "ACME CORP", "NYSE", "C", D(2024, 2, 1)), ("A", "1", "Acme Tools Ltd", "NYSE", "C", D(2024, 3, 1)), ("B", None, None, "NYSE", "C", D(2024, 1, 1))]
+    got = universe.reference_history(spark.createDataFrame(data, schema)).orderBy("identity", "version").select("symbol", "aliases_json", "effective_from", "effective_to", "is_active").collect()
+    assert [tuple(g) for g in got] == [
+        ("A", '["ACME CORP","ACME"]', D(2024, 1, 1), D(2024, 3, 1), False),
+        ("A", '["ACME TOOLS LTD","ACME TOOLS"]', D(2024, 3, 1), None, True),
+        ("B", "[]", D(2024, 1, 1), None, True),
+    ]
+
+
+def test_memberships_take_the_first_identifier(spark):
+    base = "symbol string, effective_from date, effective_to date, "
+    d = D(2024, 2, 1)
+    mu = spark.createDataFrame([(x, d, d, x != "C", "ok" if x == "A" else None) for x in (" a", "A", "B", "C", "D", "E")] + [("", d, d, True, None), ("F", None, d, True, None)], base + "eligible_flag boolean, eligible_reason string")
+    refs = spark.createDataFrame([("B", None, None, "c2", " "), ("B", D(2024, 1, 1), None, None, "co2"), ("C", D(2024, 3, 1), None, "c3", "late"), ("D", D(2024, 1, 1), d, "c4", None)], base + "cik string, company_id string")
+    ls = spark.createDataFrame([("D", D(2024, 1, 1), None, "co4", "l4"), ("E", None, None, "", "l5")], base + "company_id string, listing_id string")
+    got = universe.membership_history(mu, refs, ls).orderBy("symbol", "reason").select("symbol", "instrument_id", "company_id", "membership_status", "reason").collect()
+    seen = "OBSERVED_IN_MARKET_UNIVERSE_HISTORY"
+    assert [tuple(g) for g in got] == [("A", "A", None, "ACTIVE", seen), ("A", "A", None, "ACTIVE", "ok"), ("B", "co2", "co2", "ACTIVE", seen), ("C", "C", None, "INACTIVE", "NOT_ELIGIBLE_IN_MARKET_UNIVERSE_HISTORY"), ("D", "co4", "co4", "ACTIVE", seen), ("E", "l5", None, "ACTIVE", seen)]
+
+
+def test_events_and_audit_rows_are_appended_once(spark):
+    schema = "symbol string, event_type string, event_date date, old_value string, new_value string, source_name string"
+    e = spark.createDataFrame([("A", "RENAMED", D(2024, 1, 1), "x", "y", "list"), ("A", "RENAMED", D(2024, 1, 1), "x", None, "list"), ("A", "RENAMED", None, "x", "y", "list")], schema)
+    first = universe.event_history_append(None, e.limit(1))
+    assert universe.event_history_append(first, e.union(e)).count() == 2
+    audit = universe.audit_append(universe.audit_append(None, universe.event_audit(e)), universe.event_audit(e.union(e)))
+    assert audit.count() == 2 and {r.entity_key for r in audit.collect()} == {"A|RENAMED|2024-01-01"}
+
+
+def test_counts_of_loaded_files_are_refreshed(spark):
+    schema = "source_file string, publication_date date, market_code string"
+    counts = spark.createDataFrame([("a", D(2024, 1, 1), "Q", 5), ("b", D(2024, 1, 2), "Q", 9)], schema + ", row_count long")
+    rows = spark.createDataFrame([("b", D(2024, 1, 2), "Q")] * 2 + [("c", None, None)], schema)
+    assert sorted((r[0], r[3]) for r in readers.refresh_file_counts(counts, rows).collect()) == [("a", 5), ("b", 2), ("c", 1)]
