@@ -25,21 +25,21 @@ INPUTS = {
         concat('file', CAST(max(l_linenumber) AS STRING)) AS source_file, CAST(CAST(l_shipdate AS DATE) + INTERVAL '1' DAY AS TIMESTAMP) AS available_at
       FROM {lineitem} GROUP BY l_suppkey, CAST(l_shipdate AS DATE), l_linenumber % 2""",
     "short_interest": """
-      SELECT concat('S', CAST(o_custkey % 100 AS STRING)) AS symbol, CAST(date_trunc('month', o_orderdate) AS DATE) AS settlement_date, CAST(floor(sum(o_totalprice)) AS BIGINT) AS short_interest,
+      SELECT concat('S', CAST(o_custkey AS STRING)) AS symbol, CAST(date_trunc('month', o_orderdate) AS DATE) AS settlement_date, CAST(floor(sum(o_totalprice)) AS BIGINT) AS short_interest,
         CAST(floor(sum(o_totalprice) * 0.9) AS BIGINT) AS previous_short_interest, CAST(count(*) * 1000 AS DOUBLE) AS avg_daily_volume, CAST(count(*) * 1000000 AS BIGINT) AS shares_float,
         CASE WHEN o_orderstatus = 'F' THEN 'regular' ELSE 'otc' END AS source_market, concat('si', o_orderstatus) AS source_file, CAST(max(o_orderdate) AS TIMESTAMP) AS ingested_at
-      FROM {orders} GROUP BY o_custkey % 100, CAST(date_trunc('month', o_orderdate) AS DATE), o_orderstatus""",
+      FROM {orders} GROUP BY o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE), o_orderstatus""",
     "fundamentals": """
       SELECT concat('CO:', CAST(o_custkey AS STRING)) AS company_id, CAST(o_orderdate AS DATE) AS effective_as_of_date, CAST(o_orderdate AS TIMESTAMP) AS available_at,
         CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, o_orderkey AS filing, o_totalprice AS revenue, o_totalprice * 0.1 AS net_income,
         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice * 3 END AS assets, o_totalprice * 1.5 AS equity
       FROM {orders}""",
     "memberships": """
-      SELECT concat('S', CAST(o_custkey % 100 AS STRING)) AS symbol, CAST(min(o_orderdate) AS DATE) AS effective_from,
-        CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS effective_to FROM {orders} GROUP BY o_custkey % 100, o_custkey % 3, o_orderpriority""",
+      SELECT concat('S', CAST(o_custkey AS STRING)) AS symbol, CAST(min(o_orderdate) AS DATE) AS effective_from,
+        CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE CAST(max(o_orderdate) AS DATE) END AS effective_to FROM {orders} GROUP BY o_custkey, o_orderpriority""",
     "articles": """
-      SELECT event_id AS raw_id, ts AS published_at, concat('Story about S', CAST(user_id % 100 AS STRING), ' and value ', event_type) AS title, concat('http://news.example/', CAST(event_id AS STRING)) AS url,
-        concat('S', CAST(user_id % 100 AS STRING)) AS symbol, event_type AS source_name, value FROM {events}""",
+      SELECT event_id AS raw_id, ts AS published_at, concat('Story about S', CAST(user_id AS STRING), ' and value ', event_type) AS title, concat('http://news.example/', CAST(event_id AS STRING)) AS url,
+        concat('S', CAST(user_id AS STRING)) AS symbol, event_type AS source_name, value FROM {events}""",
     "days": """
       SELECT DISTINCT CAST(ts AS DATE) AS bar_date FROM {events} WHERE dayofmonth(CAST(ts AS DATE)) % 7 NOT IN (6, 0)""",
     "prices_base": """
