@@ -6,6 +6,9 @@ non-space and the white space that follows, or between a letter and a following
 that is neither letter nor space. No token of the splitting pattern crosses them and none looks over
 them, so the ids equal those of the uncut text while memory per call stays bounded by CHUNK and the
 longest run without a boundary; a run of one kind of characters is one match of the pattern and can't be cut.
+
+White space is matched by looking ahead, which fails on runs of about a million. A run of RUN or more is therefore a piece of its own, without its
+last character where something follows, as the pattern leaves that to what follows; being one match, it is encoded without the pattern.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHUNK = 50_000
 #: Texts of one output batch hold about so many bytes, or ids.
 BATCH_CHARS = 1_000_000
+RUN = 100_000
+_SPACES = regex.compile(rf"\p{{White_Space}}{{{RUN},}}")
 _SAFE = regex.compile(r"(?<=\S)(?=[ \n\t\r])|(?<=\p{L})(?=[^\p{L}\s])")
 
 
@@ -40,18 +45,33 @@ def tokenizer(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(ranks, pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def pieces(text: str, chunk: int = CHUNK) -> Iterator[str]:
-    """`text` cut at the first safe boundary after each `chunk` characters; one piece where there is none."""
-    at = 0
-    while len(text) - at > chunk and (cut := _SAFE.search(text, at + chunk)):
+def _cut(text: str, at: int, stop: int, chunk: int) -> Iterator[str]:
+    while stop - at > chunk and (cut := _SAFE.search(text, at + chunk, stop)):
         yield text[at : cut.start()]
         at = cut.start()
-    yield text[at:]
+    yield text[at:stop]
+
+
+def pieces(text: str, chunk: int = CHUNK) -> Iterator[str]:
+    """`text` cut at the first safe boundary after each `chunk` characters, and around runs of RUN or more of white space; one piece where there is neither."""
+    at = 0
+    for run in _SPACES.finditer(text) if len(text) >= RUN else ():
+        end = run.end() - (run.end() < len(text))
+        yield from _cut(text, at, run.start(), chunk)
+        yield text[run.start() : end]
+        at = end
+    yield from _cut(text, at, len(text), chunk)
+
+
+def _encode_piece(enc: tiktoken.Encoding, piece: str) -> np.ndarray:
+    if len(piece) >= RUN - 1 and piece.isspace():
+        return np.array(enc._encode_single_piece(piece), np.uint32)
+    return enc.encode_to_numpy(piece, disallowed_special=())
 
 
 def encode_text(text: str | None, ranks: str = RANKS, pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK) -> np.ndarray:
     enc = tokenizer(ranks, pattern)
-    parts = [enc.encode_to_numpy(p, disallowed_special=()) for p in pieces(text or "", chunk) if p]
+    parts = [_encode_piece(enc, p) for p in pieces(text or "", chunk) if p]
     return np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
 
 

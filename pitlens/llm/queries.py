@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, minhash, mixing, mtree, oracles, ordinal, perplexity, secrets, sharding, substring
+from . import bpe, centroids, langid, minhash, mixing, mtree, oracles, ordinal, perplexity, secrets, sharding, substring, tokenfiles, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secrets.op1_secrets,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": substring.op8_substring,
     "op9_mixing": mixing.op9_mixing,
     "op10_ordinal": ordinal.op10_ordinal,
+    "op11_tokenfiles": tokenfiles.op11_tokenfiles,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op5_minhash": oracles.NEAR_DUPLICATES,
     "op8_substring": oracles.PASSAGES,
     "op9_mixing": mixing.ORACLE,
+    "op12_centroids": centroids.ORACLE,
 }
