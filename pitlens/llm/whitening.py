@@ -27,7 +27,8 @@ FAN = 32
 #: Values closer than this, relative to the larger, have their vectors found together.
 CLOSE = 1e-4
 _EPS = np.finfo(float).eps
-_TINY = np.finfo(float).tiny
+#: Stands for a pivot of 0.
+_TINY = 1e-150
 
 
 def triangle(blocks: Iterator[np.ndarray], dim: int) -> np.ndarray:
