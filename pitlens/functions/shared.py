@@ -26,7 +26,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder by Spark's own file systems."""
+def _at(spark: SparkSession, path: str):
+    """(file system, path) as the cluster's own objects."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file by Spark's own file systems."""
+    store, target = _at(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _at(spark, path)
+    return store.exists(target)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder or file a new path, whose parent is made."""
+    store, target = _at(spark, path)
+    goal = _at(spark, to)[1]
+    store.mkdirs(goal.getParent())
+    if not store.rename(target, goal):
+        raise OSError(f"{path} can't be renamed to {to}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it isn't there."""
+    store, target = _at(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    store, target = _at(spark, path)
+    store.create(target, True).close()

@@ -206,7 +206,7 @@ def stream(s, d):
     """Event files upserted by event (K3) as they come: rows of the second run replace those of the first, and a file is handed over once although the stream runs twice."""
     src, out, mark = scratch(s, "stream-in"), scratch(s, "stream-out"), scratch(s, "stream-mark")
     events = table(s, d, "events").select("event_id", "user_id", "value")
-    apply = lambda df, epoch: sk.upsert_batch(df, out, ["event_id"])
+    apply = lambda df, epoch: sk.upsert_batch(df, out, ["event_id"], stream="events", epoch=epoch)
     schema = "event_id long, user_id long, value double"
     events.where("event_id % 2 = 0").write.parquet(src)
     inc.new_files_stream(s, src, schema, mark, apply)

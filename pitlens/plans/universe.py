@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.shared import scratch
+from ..operators import listing_state as ls
 from ..operators import universe as u
 from .features import BASE, VOLATILITY, rounded
 from .inputs import ctes, frame
@@ -22,6 +24,17 @@ def listings(s, d):
     return u.listing_history(observed(s, d))
 
 
+def kept_up(s, d):
+    """The state after all snapshots, of which each year's first comes late, the newest of these first."""
+    seen, path = observed(s, d), scratch(s, "listing-state")
+    late = seen.where(F.month("as_of_date") == 1)
+    ls.build_state(seen.where(F.month("as_of_date") != 1), path)
+    # one row per snapshot
+    for r in late.select("as_of_date").distinct().orderBy(F.col("as_of_date").desc()).collect():
+        ls.update_state(late, r["as_of_date"], path)
+    return ls.read_state(s, path)[0]
+
+
 def differences(s, d):
     return u.snapshot_diff_events(observed(s, d)).select("symbol", "event_type", F.col("next_date").alias("event_date"), F.col("cik").alias("old_value"), F.lit(None).cast("string").alias("new_value"), F.lit("diff").alias("source_name"))
 
@@ -67,6 +80,8 @@ QUERIES = {
     "U4_symbol_reference": lambda s, d: u.symbol_reference(market(s, d)).select("symbol", "cik", "company_name_clean", "symbol_match_enabled", "name_match_enabled"),
     "U5_listing_observations": lambda s, d: observed(s, d),
     "U6_listing_history_scd2": lambda s, d: listings(s, d).select("identity", "version", "symbol", "exchange", "security_type", "effective_from", "effective_to", "is_active"),
+    "U6_apply_snapshots": lambda s, d: ls.listing_versions(kept_up(s, d)).select("identity", "version", "symbol", "exchange", "security_type", "effective_from", "effective_to", "is_active"),
+    "U9_apply_snapshots": lambda s, d: u.reference_history(ls.sightings_of(kept_up(s, d))),
     "U7_consecutive_missing_snapshots": lambda s, d: u.consecutive_missing(observed(s, d)),
     "U8_market_universe_history": lambda s, d: u.universe_history(listings(s, d)),
     "U9_symbol_reference_history": lambda s, d: u.reference_history(observed(s, d)),
@@ -138,3 +153,5 @@ ORACLES = {
     "U18_whitelist_20d_pit": f"{_QUAL} SELECT * FROM qu WHERE EXISTS (SELECT 1 FROM memberships m WHERE m.symbol = qu.symbol AND m.effective_from <= qu.as_of_date AND qu.as_of_date < coalesce(m.effective_to, DATE '9999-12-31'))",
     "U21_history_readiness": f"{EFFECTIVE.replace('WITH ', ctes('snapshots') + ', ', 1)}, o AS (SELECT count(*) AS overlap_symbols FROM (SELECT DISTINCT symbol FROM snapshots INTERSECT SELECT DISTINCT symbol FROM eff) q) SELECT (SELECT count(DISTINCT as_of_date) FROM snapshots) AS snapshot_dates, overlap_symbols, CASE WHEN (SELECT count(DISTINCT as_of_date) FROM snapshots) < 2 OR overlap_symbols = 0 THEN 0 WHEN (SELECT count(DISTINCT as_of_date) FROM snapshots) < 6 THEN 1 ELSE 2 END AS level FROM o",
 }
+ORACLES["U6_apply_snapshots"] = ORACLES["U6_listing_history_scd2"]
+ORACLES["U9_apply_snapshots"] = ORACLES["U9_symbol_reference_history"]
