@@ -46,9 +46,9 @@ LEVEL = 3
 #: A reading task takes whole runs of a file of so many ids, about so many in all.
 SPAN_IDS, TASK_IDS = 1 << 21, 1 << 24
 #: Words that a task remembers at most; then it starts anew.
-MEMO = 400_000
+MEMO = 800_000
 #: Bytes of text encoded at once.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 8_000_000
 
 # fixed values of zstandard's seekable format
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -57,7 +57,7 @@ FOOTER = struct.Struct("<IBI")
 _WHITE = r"\t-\r\x{85}\pZ"
 #: Between these a cut before a space might part one token.
 _ODD = rf"[{_WHITE}] ([{_WHITE}]|\z)"
-_WORD = re.compile(r" ?\S+")
+_SIGNED = re.compile(r"[A-Za-z][!-&(-/:-@\[-`{-~]\Z")
 
 
 class FrameWriter:
@@ -145,7 +145,8 @@ class Encoder:
         #: Only the byte-level pattern is known to end tokens before spaces.
         self.by_words = made["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
         self.specials = [t["content"] for t in made["added_tokens"]]
-        self.line = self._ids("\n")
+        #: A special token between texts parts them wholly, so many are encoded in one call.
+        self.between = next(((t["content"], t["id"]) for t in made["added_tokens"] if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])), None)
         self.memo = memo
         self._forget()
 
@@ -159,31 +160,51 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.uint32), *(self._ids(p) for p in pieces(text))])
 
     def _forget(self) -> None:
-        self.words, self.used = {"": 0}, 0
-        self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), [0], [0]
+        # numbers of words after a space and of words that start a text; ids of number i are ids[starts[i] : starts[i] + sizes[i]]
+        self.words, self.heads, self.count, self.used = {}, {"": 0}, 1, 0
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _add(self, known: dict[str, int], keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, count = self.count, self.count + len(keys)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while count > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
         self.ids[self.used : self.used + len(ids)] = ids
-        self.words.update(zip(keys, range(len(self.starts), len(self.starts) + len(keys))))
-        self.starts += (self.used + np.cumsum(sizes) - sizes).tolist()
-        self.sizes += sizes.tolist()
+        self.starts[first:count] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:count] = sizes
+        known.update(zip(keys, range(first, count)))
         self.used += len(ids)
-
-    def _learn(self, keys: list[str]) -> None:
-        """Clean words are encoded together, a line each: a line feed after a word is a token of its own."""
-        clean = [k for k in keys if len(k) < 1000 and _WORD.fullmatch(k) and not any(s in k for s in self.specials)]
-        for a in range(0, len(clean), 20_000):
-            part = clean[a : a + 20_000]
-            ids = self._ids("\n".join(part))
-            ends = np.flatnonzero(ids == self.line[0]) if len(self.line) == 1 else []
-            if len(ends) == len(part) - 1:
-                self._add(part, np.delete(ids, ends), np.diff(np.r_[-1, ends, len(ids)]) - 1)
-        for k in keys:
-            if k not in self.words:
-                ids = self.plain(k)
-                self._add([k], ids, np.array([len(ids)]))
+        self.count = count
+
+    def _encode(self, known: dict[str, int], keys: list[str], before: str) -> None:
+        """Learn new words, many in a call: a special token between them parts them wholly."""
+        many = [k for k in keys if len(k) < 1000] if self.between and not any(s in k for s in self.specials for k in keys) else []
+        for a in range(0, len(many), 20_000):
+            part = many[a : a + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([before + (self.between[0] + before).join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.between[1])
+            self._add(known, part, np.delete(ids, ends), np.diff(np.r_[-1, ends, len(ids)]) - 1)
+        if len(many) < len(keys):
+            for k in keys:
+                if k not in known:
+                    ids = self.plain(before + k)
+                    self._add(known, [k], ids, np.array([len(ids)]))
+
+    def _learn(self, words: set[str], heads: set[str]) -> None:
+        """Learn new words. One that ends in a letter and a sign is its two parts, as a token ends between these; there are fewer words without their signs."""
+        signed = [w for w in words if _SIGNED.search(w)]
+        self._encode(self.words, list(words.difference(signed).union(w[:-1] for w in signed).difference(self.words)), " ")
+        self._encode(self.heads, list(heads.union(w[-1] for w in signed).difference(self.heads)), "")
+        if signed:
+            pair = np.array([(self.words[w[:-1]], self.heads[w[-1]]) for w in signed]).ravel()
+            self._add(self.words, signed, self._gather(pair), self.sizes[pair].reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, number: np.ndarray) -> np.ndarray:
+        """The ids of words one after another."""
+        sizes, starts = self.sizes[number], self.starts[number]
+        total = np.cumsum(sizes)
+        return self.ids[np.repeat(starts - total + sizes, sizes) + np.arange(total[-1] if len(total) else 0)]
 
     def batch(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts, "")
@@ -196,16 +217,13 @@ class Encoder:
             lists = pc.split_pattern(texts.take(pa.array(even)), " ")
             first = np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py()
             coded = lists.flatten().dictionary_encode()
-            heads = lists.flatten().take(pa.array(first)).to_pylist()
-            keys = [" " + w for w in coded.dictionary.to_pylist()]
-            if len(self.words) > self.memo:
+            words, heads = coded.dictionary.to_pylist(), lists.flatten().take(pa.array(first)).to_pylist()
+            if self.count > self.memo:
                 self._forget()
-            self._learn(list({*keys, *heads}.difference(self.words)))
-            number = np.fromiter(map(self.words.__getitem__, keys), np.int64, len(keys))[np.asarray(coded.indices)]
-            number[first] = [self.words[w] for w in heads]
-            sizes, starts = np.asarray(self.sizes)[number], np.asarray(self.starts)[number]
-            total = np.cumsum(sizes)
-            ids = self.ids[np.repeat(starts - total + sizes, sizes) + np.arange(total[-1])]
+            self._learn({*words}.difference(self.words), {*heads}.difference(self.heads))
+            number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
+            number[first] = [self.heads[w] for w in heads]
+            ids, total = self._gather(number), np.cumsum(self.sizes[number])
             ends = np.r_[total[first[1:] - 1], total[-1]]
             for i, a, b in zip(even, np.r_[0, ends[:-1]], ends):
                 out[i] = ids[a:b]
