@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import latest, ratio
-from .joins import trailing_self
+from .joins import trailing_sums
 
 #: Concepts of each measure.
 CONCEPTS = {
@@ -85,12 +85,13 @@ def fundamental_base(facts: DataFrame) -> DataFrame:
 
 def fundamental_ttm(base: DataFrame, latest_only: bool = False) -> DataFrame:
     """Each row with the sums of flows and the last stocks of rows known by then in the 370 days up to its period. Restated periods
-    count again, unless `latest_only` takes the newest row of each period first."""
+    count again, unless `latest_only` takes the newest row of each period first.
+
+    Sums need no pairs (`trailing_sums`). The last row known by then is the row itself, or one of the same period and time of knowledge."""
     rows = latest(base, ["company_id", "period_end_date"], F.col("available_at").desc_nulls_last()) if latest_only else base
-    joined = trailing_self(rows, "company_id", "period_end_date", "available_at")
-    keys = [F.col(f"a.{k}").alias(k) for k in ("company_id", "cik", "period_end_date", "available_at")]
-    newest = F.struct("b.period_end_date", "b.available_at")
-    return joined.groupBy(*keys).agg(*(F.sum(f"b.{m}").alias(m) for m in FLOWS), *(F.max_by(f"b.{m}", newest).alias(m) for m in STOCKS))
+    summed = trailing_sums(rows, "company_id", "period_end_date", "available_at", list(FLOWS))
+    newest = F.struct("period_end_date", "available_at")
+    return summed.groupBy("company_id", "cik", "period_end_date", "available_at").agg(*(F.sum(f"sum_{m}").alias(m) for m in FLOWS), *(F.max_by(m, newest).alias(m) for m in STOCKS))
 
 
 def missing_fundamentals(symbols: DataFrame, fundamentals: DataFrame) -> DataFrame:

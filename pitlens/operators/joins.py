@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dominance import dominance
+
 
 def asof(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, order: list[str] = [], prefix: str = "") -> DataFrame:
     """Each left row with the latest right row of its key whose `right_time` is not later (J3). Ties go to the highest `order`, nulls lowest.
@@ -27,8 +29,8 @@ def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str,
     """The latest right row by (`right_time`, `right_known`), then its other columns in their order, with both times not later than the left
     row's. Left rows without a match stay.
 
-    Along the axis of knowledge the latest right row known by then is carried. It is the answer unless its own time is still to come; only such left
-    rows are paired with the key's right rows.
+    Along the axis of knowledge the latest right row known by then is carried. It is the answer unless its own time is still to come; for such left
+    rows the latest is found in blocks of right rows (`dominance`), so no left row meets all of its key's past.
     """
     payload = [c for c in right.columns if c != key]
     rank = F.struct(F.col(right_time).alias("_time"), F.col(right_known).alias("_since"), *(F.col(c).alias(f"_o{i}") for i, c in enumerate(payload)))
@@ -38,9 +40,9 @@ def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str,
     carried = rows.unionByName(facts, allowMissingColumns=True).withColumns({"_best": F.max("_right").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(w)}).where("_left is not null")
     ahead = F.coalesce(F.col("_best._time") > F.col("_at"), F.lit(False))
     ready = carried.where(~ahead).select("_left", F.when(F.col("_at").isNotNull() & F.col("_key").isNotNull(), F.col("_best")).alias("_best"))
-    a, b = carried.where(ahead).drop("_right", "_best").alias("a"), facts.alias("b")
-    cond = (F.col("a._key") == F.col("b._key")) & (F.col("b._known") <= F.col("a._known")) & (F.col("b._right._time") <= F.col("a._at"))
-    paired = a.join(b, cond, "left").groupBy("a._key", "a._n").agg(F.first("a._left").alias("_left"), F.max("b._right").alias("_best")).select("_left", "_best")
+    points = facts.select("_key", F.col("_known").alias("x"), F.col("_right._time").alias("y"), "_right")
+    late = carried.where(ahead).select("_key", F.col("_known").alias("x"), F.col("_at").alias("y"), "_left")
+    paired = dominance(points, late, ["_key"], {"_best": (F.max, "_right")}).select("_left", "_best")
     return ready.union(paired).select("_left.*", *(F.col(f"_best._o{i}").alias(f"r_{c}" if c in left.columns else c) for i, c in enumerate(payload)))
 
 
@@ -51,12 +53,42 @@ def interval_membership(left: DataFrame, intervals: DataFrame, key: str, date: s
 
 
 def trailing_self(rows: DataFrame, key: str, period: str, known: str, days: int = 370) -> DataFrame:
-    """Each row with the rows of its key known by then and of a period in the `days` days up to its own."""
-    a, b = rows.alias("a"), rows.alias("b")
-    cond = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"b.{known}") <= F.col(f"a.{known}")) & (F.col(f"b.{period}") <= F.col(f"a.{period}")) & (F.col(f"b.{period}") > F.date_sub(F.col(f"a.{period}"), days))
+    """Each row with the rows of its key known by then and of a period in the `days` days up to its own. Columns of the two are a.* and b.*.
+
+    Periods fall into spans of `days` days, and a row can only meet those of its own span and of the one before, so rows are joined by key and span. The pairs are the result; sums over
+    them need none (`trailing_sums`)."""
+    span = F.floor(F.unix_date(F.col(period).cast("date")) / days)
+    a = rows.withColumn("_span", span).alias("a")
+    b = rows.withColumn("_span", F.explode(F.array(span, span + 1))).alias("b")
+    near = (F.col("b._span") == F.col("a._span")) & (F.col(f"a.{key}") == F.col(f"b.{key}"))
+    cond = near & (F.col(f"b.{known}") <= F.col(f"a.{known}")) & (F.col(f"b.{period}") <= F.col(f"a.{period}")) & (F.col(f"b.{period}") > F.date_sub(F.col(f"a.{period}"), days))
     return a.join(b, cond)
 
 
+def trailing_sums(rows: DataFrame, key: str, period: str, known: str, measures: list[str], days: int = 370) -> DataFrame:
+    """The rows that have key, period and knowledge, with the sum_ of each measure over the rows that `trailing_self` pairs them with; null if all of them are.
+
+    The `days` days up to a row's period are the start of its own span of `days` days and the end of the one before. Each is a sum of what was known by then and lies on one side of
+    a period, which `dominance` finds without pairs; nothing is subtracted, so no large old value costs digits of a small new one.
+    """
+    day = F.unix_date(F.col(period).cast("date"))
+    span = F.floor(day / days)
+    named = rows.where(F.col(key).isNotNull() & F.col(period).isNotNull() & F.col(known).isNotNull()).withColumns({"_day": day, "_span": span})
+    # part 0 asks for periods up to the row's, part 1 for those from its first day on, counted backwards
+    first = F.col("_day") - (days - 1)
+    sides = lambda *parts: F.explode(F.array(*(F.struct(F.lit(i).alias("_part"), s.alias("_of"), y.alias("_y")) for i, (s, y) in enumerate(parts)))).alias("_side")
+    spread = lambda df, side, *more: df.select(*more, side).select(*more, "_side.*").withColumn("_x", F.col("_since"))
+    data = named.select(F.col(key).alias("_key"), F.col(known).alias("_since"), "_day", "_span", *measures)
+    points = spread(data, sides((F.col("_span"), F.col("_day")), (F.col("_span"), -F.col("_day"))), "_key", "_since", *measures)
+    # repeated rows ask once
+    asks = named.groupBy(*rows.columns, "_day", "_span").agg(F.count("*").alias("_times"))
+    asks = asks.select(F.col(key).alias("_key"), F.col(known).alias("_since"), "_day", "_span", F.struct(*rows.columns).alias("_whole"), "_times")
+    asks = spread(asks, sides((F.col("_span"), F.col("_day")), (F.col("_span") - 1, -first)), "_key", "_since", "_whole", "_times")
+    found = dominance(points, asks, ["_key", "_part", "_of"], {f"sum_{m}": (F.sum, m) for m in measures}, "_x", "_y")
+    summed = found.groupBy("_whole", "_times").agg(*(F.sum(f"sum_{m}").alias(f"sum_{m}") for m in measures))
+    return summed.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select("_whole.*", *(f"sum_{m}" for m in measures))
+
+
 def next_trading_day(rows: DataFrame, calendar: DataFrame, time: str, open_at: str = "09:30:00", out: str = "effective_date") -> DataFrame:
     """The first calendar day (bar_date) on or after the date if the time of day is before `open_at`, else after it; null beyond the calendar.
 
@@ -72,11 +104,21 @@ def next_trading_day(rows: DataFrame, calendar: DataFrame, time: str, open_at: s
 
 
 def best_identity(rows: DataFrame, history: DataFrame, key: str, date: str, preference: list[Column]) -> DataFrame:
-    """Per row the preferred history row of the key whose closed interval holds the date; rows without one stay. `preference` orders history columns (prefixed h_)."""
+    """Per row the preferred history row of the key whose closed interval holds the date; rows without one stay, and so do repeated rows. `preference` orders history
+    columns (prefixed h_); ties beyond it are broken by all of them. A null start holds nothing, a null end is open.
+
+    Within its key the history is ranked once. An interval holds a date if it starts no later and, counted backwards, ends no later either, so the least rank is found
+    by `dominance`, however many intervals of the key overlap.
+    """
     h = history.select(*(F.col(c).alias(f"h_{c}") for c in history.columns))
-    joined = rows.withColumn("_row", F.struct(*rows.columns)).join(h, (F.col(key) == F.col(f"h_{key}")) & (F.col("h_effective_from") <= F.col(date)) & (F.col(date) <= F.coalesce("h_effective_to", F.lit("9999-12-31").cast("date"))), "left")
-    ranked = joined.withColumn("_rank", F.row_number().over(Window.partitionBy("_row").orderBy(*preference)))
-    return ranked.where("_rank = 1").drop("_rank", "_row")
+    ties = [F.col(c).asc_nulls_last() for c in h.columns]
+    rank = F.row_number().over(Window.partitionBy(f"h_{key}").orderBy(*preference, *ties))
+    # days before the end of time, so that they fall as dates rise
+    left = lambda c: F.datediff(F.lit("9999-12-31").cast("date"), c)
+    points = h.withColumn("_rank", rank).select(F.col(f"h_{key}").alias("_key"), F.col("h_effective_from").cast("date").alias("x"), left(F.coalesce("h_effective_to", F.lit("9999-12-31").cast("date"))).alias("y"), F.struct("_rank", *h.columns).alias("_best"))
+    asked = rows.select(F.col(key).alias("_key"), F.col(date).cast("date").alias("x"), left(F.col(date)).alias("y"), F.struct(*rows.columns).alias("_whole"))
+    found = dominance(points, asked, ["_key"], {"_best": (F.min, "_best")})
+    return found.select("_whole.*", *(F.col(f"_best.{c}").alias(c) for c in h.columns))
 
 
 def anti_missing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
