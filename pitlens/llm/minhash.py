@@ -108,10 +108,17 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int
 
 
 def shingle_sets(docs: DataFrame, picks: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """set, text, items (sorted hashes), bits (bitmap of the items), for `picks` (set, k); repeated rows give repeated ones."""
+    """set, text, items (sorted hashes), bits (bitmap of the items), for `picks` (set, k); of repeated rows, one for each task that meets them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            fresh = []
+            for one in batch.column(0).to_pylist():
+                fresh.append(one not in seen)
+                seen.add(one)
+            if not all(fresh):
+                batch = batch.filter(pa.array(fresh))
             items = [shingles(data, words) for data in utf8_slices(batch.column(1))]
             ends = np.cumsum([0, *map(len, items)]).astype(np.int32)
             flat = signed(np.concatenate(items)) if items else np.zeros(0, np.int64)
@@ -126,6 +133,16 @@ def shingle_sets(docs: DataFrame, picks: DataFrame, id_col: str, text_col: str,
     return texts.join(picks, "k").select("set", "text").mapInArrow(run, "set long, text string, items array<long>, bits array<long>")
 
 
+def single(sets: DataFrame) -> DataFrame:
+    """`sets`, a stored table, with one row for each set, stored anew only if repeated rows have left more."""
+    more = keep(sets.groupBy("set").count().where("count > 1").select("set"), "repeated-sets")
+    if more.isEmpty():
+        return sets
+    once = keep(sets.join(more, "set", "left_anti").unionByName(sets.join(more, "set", "left_semi").dropDuplicates(["set"])), "sets")
+    discard(sets, more)
+    return once
+
+
 def verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """The distinct `pairs` (a, b) of classes that are similar enough, larger first, by their texts."""
 
@@ -199,7 +216,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     live = keep(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "buckets")
     bucketed = keep(members.join(live, "key"), "members")
     picks = bucketed.select("set").distinct().join(classes.select("set", "k"), "set")
-    sets = keep(shingle_sets(docs, picks, id_col, text_col, words), "sets")
+    sets = single(keep(shingle_sets(docs, picks, id_col, text_col, words), "sets"))
     # an item of one set only names that set by its largest owner
     owners = sets.select("set", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.max("set").alias("set"))
     lone = keep(owners.where("c = 1").groupBy("set").agg(F.count("*").alias("lone")), "lone-items")

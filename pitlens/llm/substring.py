@@ -11,7 +11,7 @@ anchor to both sides that its windows can reach. Documents are joined on anchors
   and windows with equal words are matched.
 
 No pairs are made, so a passage in a million documents costs a million rows. Overlapping repeated
-windows add up to the maximal repeats, whose words go.
+windows add up to the maximal repeats, whose words go. Of repeated rows, of equal id and text, one is searched; they lose all their words, if there are enough, as each repeats the others.
 """
 
 from __future__ import annotations
@@ -58,6 +58,13 @@ def _spans(rows, fields: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
         yield [np.asarray(row.values.field(f)) if row.is_valid else np.zeros(0, np.int32) for f in fields]
 
 
+def _fresh(keys: pa.Array, seen: set[int]) -> Iterator[bool]:
+    """Whether the task meets each key for the first time; `seen` holds 8 bytes or so for each distinct row of the task."""
+    for k in keys.to_pylist():
+        yield k not in seen
+        seen.add(k)
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """One row per document: `id_col`, n_words, n_removed, text (the kept words joined by one space).
 
@@ -68,16 +75,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        none = np.zeros(0, np.uint64)
         for batch in batches:
-            found = [blocks(word_hashes(data), length, anchor) for data in utf8_slices(batch.column(1))]
+            found = [blocks(word_hashes(data) if fresh else none, length, anchor) for data, fresh in zip(utf8_slices(batch.column(1)), _fresh(batch.column(0), seen))]
             ends = np.cumsum([0, *(len(f[0]) for f in found)])
             cols = [_flat([f[i] for f in found], np.uint64 if i < 2 else np.int32) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *_lists(ends, signed(cols[0]), signed(cols[1]), cols[2], cols[3])], ["k", "a", "b", "s", "l"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             a, w, k, s = [], [], [], []
-            for key, data, (anchors, first, more) in zip(batch.column(0).to_pylist(), utf8_slices(batch.column(1)), _spans(batch.column(2), ("a", "s", "l"))):
+            for key, data, (anchors, first, more), fresh in zip(batch.column(0).to_pylist(), utf8_slices(batch.column(1)), _spans(batch.column(2), ("a", "s", "l")), _fresh(batch.column(0), seen)):
+                if not fresh:
+                    continue
                 starts = np.repeat(first, more + 1) + np.concatenate([np.arange(m + 1) for m in more])
                 w.append(run_hashes(word_hashes(data), starts, np.full(len(starts), length)))
                 a.append(np.repeat(anchors, more + 1))
@@ -103,6 +115,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("k"), docs[text_col].alias("text"))
     found = keep(rows.select("k", "text").mapInArrow(find, "k long, a array<long>, b array<long>, s array<int>, l array<int>"), "blocks")
+    # blocks of a repeated row come from one task, or from as many as have seen it
+    repeated = keep(found.groupBy("k").count().where("count > 1").select("k"), "repeated-rows")
+    again = not repeated.isEmpty()
+    if again:
+        twins = keep(found.where(F.size("a") > 0).join(repeated, "k", "left_semi").dropDuplicates(["k"]), "twins")
+        single = keep(found.join(repeated, "k", "left_anti").unionByName(twins), "blocks")
+        discard(found)
+        found = single
     multi = keep(found.select(F.explode("a").alias("a")).groupBy("a").count().where("count > 1").select("a"), "anchors")
     flat = found.select("k", F.explode(F.arrays_zip("a", "b", "s", "l")).alias("z")).select("k", "z.*")
     seeds = keep(flat.join(multi, "a"), "seeds")
@@ -118,8 +138,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     listed = keep(rows.join(asked, "k").select("k", "text", "spans").mapInArrow(windows, "a long, w long, k long, s int"), "windows")
     twice = keep(listed.groupBy("a", "w").count().where("count > 1").select("a", "w"), "repeated")
     part = listed.join(twice, ["a", "w"]).select("k", "s", F.lit(0).alias("l"))
-    marks = keep(whole.union(part).groupBy("k").agg(spans.alias("spans")), "marks")
-    discard(seeds, kinds, several, open_kinds, listed, twice)
+    gone = whole.union(part)
+    if again:
+        all_of = twins.select("k", F.lit(0).alias("s"), F.array_max(F.zip_with("s", "l", lambda s, l: s + l)).alias("l"))
+        gone = gone.join(repeated, "k", "left_anti").union(all_of)
+    marks = keep(gone.groupBy("k").agg(spans.alias("spans")), "marks")
+    discard(seeds, kinds, several, open_kinds, listed, twice, repeated, *([twins] if again else []))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.join(marks, "k", "left").select("id", "text", "spans").mapInArrow(remove, f"id {kind}, n_words long, n_removed long, text string").withColumnRenamed("id", id_col)
 
