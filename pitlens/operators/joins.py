@@ -151,17 +151,55 @@ def overlap_floor(rows: DataFrame, watermark: DataFrame, time: str, days: int) -
     return rows.crossJoin(F.broadcast(watermark.limit(1))).where(F.col("watermark").isNull() | (F.to_date(time) >= floor)).drop("watermark")
 
 
+def plain_words(text: Column) -> Column:
+    """Upper case, with one space for everything but letters and digits."""
+    return F.trim(F.regexp_replace(F.upper(text), "[^A-Z0-9]+", " "))
+
+
+def phrase_trie(phrases: DataFrame) -> DataFrame:
+    """The nodes of the trie of `phrases` (gram: words parted by one space): prefix, depth (its words), ends (numbers of its first words that are a phrase, rising)."""
+    whole = phrases.select("gram").distinct()
+    words = whole.select("gram", F.split("gram", " ").alias("_w"))
+    chains = words.select("gram", F.explode(F.transform(F.sequence(F.lit(1), F.size("_w")), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice("_w", F.lit(1), n), " ").alias("prefix")))).alias("_p")).select("gram", "_p.*")
+    marked = chains.join(whole.select(F.col("gram").alias("prefix"), F.lit(True).alias("_end")), "prefix", "left")
+    w = Window.partitionBy("gram").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumn("ends", F.collect_list(F.when(F.col("_end"), F.col("depth"))).over(w))
+    return marked.dropDuplicates(["prefix"]).select("prefix", "depth", "ends")
+
+
+def phrase_hits(articles: DataFrame, phrases: DataFrame) -> DataFrame:
+    """raw_id, gram: the `phrases` (gram) that stand as whole words in the title of each of `articles` (raw_id, title); distinct.
+
+    A phrase has all its prefixes in the trie, so the longest one that starts at a word is found by bisection over its length: each step is a join by equality, as
+    many as the logarithm of the longest phrase. Only words that start some phrase take part, and the node found knows the phrases on its way. Rows grow with
+    titles' words and with matches, not with the length of the longest phrase.
+    """
+    grams = phrases.select("gram").where("gram != ''")
+    # one row
+    longest = grams.agg(F.max(F.size(F.split("gram", " ")))).first()[0]
+    titles = articles.select("raw_id", plain_words(F.col("title")).alias("_text")).where("_text != ''").withColumn("_h", F.xxhash64("_text"))
+    if longest is None:
+        return titles.select("raw_id", F.col("_text").alias("gram")).limit(0)
+    nodes = phrase_trie(grams)
+    first = nodes.where("depth = 1").select(F.col("prefix").alias("_word"))
+    spots = titles.select("raw_id", "_h", F.posexplode(F.split("_text", " ")).alias("_i", "_word")).join(first, "_word").groupBy("raw_id", "_h").agg(F.collect_set("_i").alias("_spots"))
+    rest = titles.join(spots, ["raw_id", "_h"]).select("raw_id", F.split("_text", " ").alias("_w"), F.explode("_spots").alias("_i")).select("raw_id", F.slice("_w", F.col("_i") + 1, longest).alias("_rest"), F.lit(1).alias("_n"))
+    at = lambda n: F.array_join(F.slice("_rest", F.lit(1), n), " ")
+    step = 1 << max((longest - 1).bit_length() - 1, 0)
+    while step and longest > 1:
+        further = F.col("_n") + step
+        # a title too short for the step looks for what no prefix is
+        rest = rest.withColumn("_try", F.when(further <= F.size("_rest"), at(further)).otherwise(F.concat(F.lit("-"), F.col("raw_id").cast("string"))))
+        rest = rest.join(nodes.select(F.col("prefix").alias("_try"), F.col("depth").alias("_d")), "_try", "left").select("raw_id", "_rest", F.coalesce("_d", "_n").alias("_n"))
+        step //= 2
+    found = rest.withColumn("prefix", at(F.col("_n"))).join(nodes.select("prefix", "ends"), "prefix").where(F.size("ends") > 0)
+    return found.select("raw_id", F.explode(F.transform("ends", at)).alias("gram")).distinct()
+
+
 def alias_text_match(articles: DataFrame, references: DataFrame) -> DataFrame:
-    """Articles (raw_id, title) with references (symbol, phrase) whose phrase stands in the title as whole words, however many.
-    The title's runs of words, up to the longest phrase, are joined by equality, so no title meets every phrase; titles are read once."""
-    clean = lambda c: F.trim(F.regexp_replace(F.upper(c), "[^A-Z0-9]+", " "))
-    phrases = references.select("symbol", clean("phrase").alias("gram")).where("gram != ''").distinct()
-    longest = phrases.agg(F.max(F.size(F.split("gram", " "))).alias("_most"))
-    words = articles.select("raw_id", F.filter(F.split(clean("title"), " "), lambda w: w != "").alias("w")).where(F.size("w") > 0)
-    words = words.crossJoin(F.broadcast(longest)).where("_most is not null")
-    run = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.col("_most"), F.size("w") - i + 1)), lambda n: F.array_join(F.slice("w", i, n), " "))
-    grams = words.select("raw_id", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.size("w")), run)))).alias("gram")).distinct()
-    return grams.join(phrases, "gram").select("raw_id", "symbol", F.col("gram").alias("matched_text"))
+    """Articles (raw_id, title) with references (symbol, phrase) whose phrase stands in the title as whole words, however many (`phrase_hits`)."""
+    phrases = references.select("symbol", plain_words(F.col("phrase")).alias("gram")).where("gram != ''").distinct()
+    return phrase_hits(articles, phrases).join(phrases, "gram").select("raw_id", "symbol", F.col("gram").alias("matched_text"))
 
 
 def merge_features_outer(technical: DataFrame, shorts: DataFrame, news: DataFrame, fundamentals: DataFrame) -> DataFrame:

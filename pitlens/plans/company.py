@@ -37,7 +37,8 @@ def ttm(s, d):
 
 
 def candidates(s, d):
-    refs = frame(s, d, "references").groupBy("symbol").agg(F.collect_set("phrase").alias("aliases"))
+    aliases = F.transform(F.array_sort(F.collect_list(F.struct("ord", "phrase"))), lambda a: a["phrase"])
+    refs = frame(s, d, "references").groupBy("symbol", "symbol_match_enabled", "name_match_enabled").agg(aliases.alias("aliases"))
     return n.news_candidates(frame(s, d, "articles"), refs)
 
 
@@ -107,8 +108,8 @@ pv AS (SELECT company_id, cik, period_end_date, available_at, max(CASE WHEN conc
 bs AS (SELECT * FROM (SELECT company_id, cik, period_end_date, available_at, revenue, net_income, assets, coalesce(liabilities, assets - equity) AS liabilities, equity, operating_cash_flow, shares_outstanding, row_number() OVER (PARTITION BY company_id, period_end_date ORDER BY available_at DESC NULLS LAST, cik) AS k FROM pv) q WHERE k = 1),
 tt AS (SELECT a.company_id, a.cik, a.period_end_date, a.available_at, sum(b.revenue) AS revenue, sum(b.net_income) AS net_income, max_by(coalesce(b.assets, -1), b.period_end_date) AS assets, max_by(coalesce(b.equity, -1), b.period_end_date) AS equity FROM bs a JOIN bs b ON a.company_id = b.company_id AND b.available_at <= a.available_at AND b.period_end_date <= a.period_end_date AND b.period_end_date > a.period_end_date - INTERVAL '370' DAY GROUP BY a.company_id, a.cik, a.period_end_date, a.available_at)"""
 NEWS = ctes("articles", "references", "instruments", "days").replace("references AS", "refs AS", 1) + """,
-ti AS (SELECT *, ' ' || trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) || ' ' AS t FROM articles), ph AS (SELECT symbol, symbol AS p, 'symbol' AS match_type, 1.0::DOUBLE AS match_score FROM refs UNION ALL SELECT symbol, upper(phrase), 'alias', CASE WHEN length(phrase) >= 8 THEN 0.9::DOUBLE ELSE 0.75::DOUBLE END FROM refs WHERE length(phrase) >= 4),
-ca AS (SELECT raw_id, symbol, match_type, match_score, p AS matched_text FROM (SELECT ti.raw_id, ph.*, row_number() OVER (PARTITION BY ti.raw_id, ph.symbol ORDER BY match_score DESC, length(p) DESC, p) AS k FROM ti JOIN ph ON contains(ti.t, ' ' || ph.p || ' ')) q WHERE k = 1),
+ti AS (SELECT *, ' ' || trim(regexp_replace(upper(title), '[^A-Z0-9]+', ' ', 'g')) || ' ' AS t FROM articles), ph AS (SELECT DISTINCT symbol, symbol AS p, 'symbol' AS match_type, 1.0::DOUBLE AS match_score, -1 AS ord FROM refs WHERE symbol_match_enabled UNION ALL SELECT symbol, upper(phrase), 'alias', CASE WHEN length(phrase) >= 8 THEN 0.9::DOUBLE ELSE 0.75::DOUBLE END, ord FROM refs WHERE name_match_enabled AND length(phrase) >= 4),
+ca AS (SELECT raw_id, symbol, match_type, match_score, p AS matched_text FROM (SELECT ti.raw_id, ph.*, row_number() OVER (PARTITION BY ti.raw_id, ph.symbol ORDER BY match_score DESC, ord) AS k FROM ti JOIN ph ON contains(ti.t, ' ' || ph.p || ' ')) q WHERE k = 1),
 id AS (SELECT raw_id, published_at, 'NEWS:' || substr(sha1(source_name || '|' || url || '|' || lower(trim(title))), 1, 20) AS article_id, 'CLUSTER:' || substr(sha1(regexp_replace(lower(trim(title)), '[^a-z0-9]+', ' ', 'g')), 1, 16) AS cluster_id FROM articles),
 li AS (SELECT id.*, ca.symbol, ca.match_score, i.instrument_id, CASE WHEN CAST(published_at AS TIME) < TIME '09:30:00' THEN CAST(published_at AS DATE) ELSE CAST(CAST(published_at AS DATE) + INTERVAL '1' DAY AS DATE) END AS d0 FROM id JOIN ca ON ca.raw_id = id.raw_id JOIN instruments i ON i.symbol = ca.symbol),
 ef AS (SELECT d, (SELECT min(bar_date) FROM days WHERE bar_date >= q.d) AS effective_date FROM (SELECT DISTINCT d0 AS d FROM li) q), nx AS (SELECT bar_date, lead(bar_date) OVER (ORDER BY bar_date) AS window_end FROM days),

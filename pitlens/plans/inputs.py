@@ -59,8 +59,8 @@ INPUTS = {
         CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice + l_quantity - 5 END AS high, l_extendedprice - l_tax * 100 AS low, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice - 1 END AS close,
         CASE WHEN l_linenumber = 4 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS volume FROM {lineitem}""",
     "candidates": """
-      SELECT s_suppkey, concat(' s', CAST(s_suppkey % 60 AS STRING)) AS symbol, concat(s_name, CASE s_suppkey % 9 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Holdings Corp' WHEN 2 THEN ' ETF Trust' WHEN 3 THEN ' Group Ltd ADR'
-        WHEN 4 THEN ' Warrant' WHEN 5 THEN ' Preferred' WHEN 6 THEN ' Units' WHEN 7 THEN ' Rights' ELSE ' Company' END) AS company_name, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE lpad(CAST(s_suppkey % 70 AS STRING), 10, '0') END AS cik,
+      SELECT s_suppkey, concat(' s', CAST(s_suppkey - s_suppkey % 3 AS STRING)) AS symbol, concat(s_name, CASE s_suppkey % 9 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' Holdings Corp' WHEN 2 THEN ' ETF Trust' WHEN 3 THEN ' Group Ltd ADR'
+        WHEN 4 THEN ' Warrant' WHEN 5 THEN ' Preferred' WHEN 6 THEN ' Units' WHEN 7 THEN ' Rights' ELSE ' Company' END) AS company_name, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE lpad(CAST(s_suppkey - s_suppkey % 2 AS STRING), 10, '0') END AS cik,
         CASE s_nationkey % 6 WHEN 0 THEN 'NasdaqGS' WHEN 1 THEN 'New York' WHEN 2 THEN 'OTCQX' WHEN 3 THEN ' nyse-american ' WHEN 4 THEN 'NYSE' ELSE NULL END AS exchange_raw,
         CASE s_suppkey % 5 WHEN 0 THEN 'Common Stock' WHEN 1 THEN 'ETF' WHEN 2 THEN NULL ELSE 'Common Stock' END AS security_type_raw,
         CASE WHEN s_suppkey % 2 = 0 THEN 'sec_tickers' ELSE 'nasdaq_listed' END AS source_name, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * (s_suppkey % 3) AS DATE) AS as_of_date, s_acctbal FROM {supplier}""",
@@ -74,7 +74,8 @@ INPUTS = {
         CASE o_orderkey % 10 WHEN 0 THEN 'Revenues' WHEN 1 THEN ' Assets ' WHEN 2 THEN 'StockholdersEquity' WHEN 3 THEN 'NetIncomeLoss' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'ProfitLoss' WHEN 6 THEN '' WHEN 7 THEN 'NetCashProvidedByUsedInOperatingActivities' WHEN 8 THEN 'EntityCommonStockSharesOutstanding' ELSE 'Other' END AS concept,
         'USD' AS unit, CAST(date_trunc('month', o_orderdate) AS DATE) AS period_end_date, CAST(NULL AS DATE) AS period_start_date, ' ' AS frame, o_totalprice AS value_numeric, CAST(o_orderdate AS TIMESTAMP) AS ingested_at, o_orderkey FROM {orders}""",
     "references": """
-      SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN 'value click' WHEN s_suppkey % 3 = 1 THEN 'view' ELSE 'and' END AS phrase FROM {supplier}""",
+      SELECT concat('S', CAST(s_suppkey AS STRING)) AS symbol, CASE ord WHEN 0 THEN concat('s', CAST(s_suppkey AS STRING), ' and') ELSE concat('Story about S', CAST(s_suppkey AS STRING), ' and value') END AS phrase, ord,
+        s_suppkey % 4 <> 0 AS symbol_match_enabled, s_suppkey % 5 <> 0 AS name_match_enabled FROM {supplier} CROSS JOIN (SELECT 0 AS ord UNION ALL SELECT 1 AS ord) o""",
     "snapshots": """
       SELECT concat('S', CAST(k AS STRING)) AS symbol, CASE WHEN k % 6 = 0 THEN NULL ELSE lpad(CAST(k - k % 2 AS STRING), 10, '0') END AS cik, concat('Company ', CAST(k - k % 2 AS STRING), CASE WHEN as_of_date >= DATE '2000-01-01' AND k % 4 = 0 THEN ' New' ELSE '' END) AS company_name,
         CASE WHEN k % 5 = 0 AND as_of_date >= DATE '1998-01-01' THEN 'NYSE' WHEN k % 13 = 0 THEN 'OTC' ELSE 'NASDAQ' END AS exchange, CASE WHEN k % 7 = 0 AND as_of_date >= DATE '1999-01-01' THEN 'ADR' ELSE 'COMMON_STOCK' END AS security_type, as_of_date, ingested_at

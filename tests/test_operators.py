@@ -305,3 +305,42 @@ def test_counts_of_loaded_files_are_refreshed(spark):
     counts = spark.createDataFrame([("a", D(2024, 1, 1), "Q", 5), ("b", D(2024, 1, 2), "Q", 9)], schema + ", row_count long")
     rows = spark.createDataFrame([("b", D(2024, 1, 2), "Q")] * 2 + [("c", None, None)], schema)
     assert sorted((r[0], r[3]) for r in readers.refresh_file_counts(counts, rows).collect()) == [("a", 5), ("b", 2), ("c", 1)]
+
+
+def test_titles_meet_phrases_of_any_length(spark):
+    """Phrases that are prefixes of others, one of 50 words, and titles that break off, against a scan of every title for every phrase."""
+    import random
+
+    draw = random.Random(7)
+    long = [f"W{i % 9}" for i in range(50)]
+    phrases = {" ".join(draw.choice("ABC") for _ in range(draw.randrange(1, 7))) for _ in range(60)} | {" ".join(long), " ".join(long[:17]), "W0 W1", "zz top"}
+    titles = [" ".join(draw.choice("ABCD") for _ in range(draw.randrange(0, 15))) for _ in range(120)] + ["x " + " ".join(long).lower() + "!", " ".join(long[:49]), " ".join(long[3:] + long), "ZZ-Top", None, "", "..."]
+    articles = spark.createDataFrame(list(enumerate(titles)), "raw_id long, title string")
+    refs = spark.createDataFrame([(f"S{i % 40}", p) for i, p in enumerate(sorted(phrases))], "symbol string, phrase string")
+    plain = lambda t: f" {' '.join(''.join(c if c.isalnum() else ' ' for c in t.upper()).split())} "
+    want = {(i, f"S{j % 40}", plain(p).strip()) for i, t in enumerate(titles) for j, p in enumerate(sorted(phrases)) if t and plain(p) in plain(t)}
+    got = [tuple(r) for r in joins.alias_text_match(articles, refs).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(len(m.split()) == 50 for *_, m in want)
+    assert joins.alias_text_match(articles, refs.limit(0)).count() == 0
+
+
+def test_longer_phrases_make_no_more_rows(spark):
+    """One phrase of 64 words beside 50 short ones: positions are tried a logarithm of times, not once a length."""
+    from pitlens.operators.joins import phrase_hits
+
+    articles = spark.range(50).select(F.col("id").alias("raw_id"), F.concat_ws(" ", *(F.lit(f"t{i}") for i in range(200))).alias("title"))
+    short = [(f"T{i}",) for i in range(50)]
+    long = " ".join(f"T{i}" for i in range(100, 164))
+    hits = phrase_hits(articles, spark.createDataFrame([*short, (long,)], "gram string"))
+    assert hits.count() == 50 * 51
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 20
+
+
+def test_first_of_equal_scores_and_flags_of_matches(spark):
+    articles = spark.createDataFrame([(1001, "Apple launches new enterprise AI tooling for developers"), (1002, "Microsoft Corporation expands: MSFT cloud"), (1003, "BRK.B and ab rise"), (1004, "ETF flows accelerate as broad market rally continues")], "raw_id long, title string")
+    data = [("AAPL", ["APPLE", "APPLE LAUNCHES", "APPLE LAUNCHES NEW"], True, True), ("MSFT", ["MICROSOFT", "MICROSOFT CORPORATION"], False, True), ("BRK.B", ["RISE"], True, False), ("AB", ["AND", "rise!"], True, True), ("B", ["b--"], True, None), ("ETF", None, None, True)]
+    refs = spark.createDataFrame(data, "symbol string, aliases array<string>, symbol_match_enabled boolean, name_match_enabled boolean")
+    got = {tuple(r) for r in news.news_candidates(articles, refs).collect()}
+    assert got == {(1001, "AAPL", "alias", 0.9, "APPLE LAUNCHES"), (1002, "MSFT", "alias", 0.9, "MICROSOFT"), (1003, "AB", "symbol", 1.0, "AB")}
+    everything = {tuple(r)[:3] for r in news.news_candidates(articles, refs.drop("symbol_match_enabled", "name_match_enabled")).collect()}
+    assert everything == {(1001, "AAPL", "alias"), (1002, "MSFT", "symbol"), (1003, "AB", "symbol"), (1003, "BRK.B", "alias"), (1004, "ETF", "symbol")}
