@@ -57,6 +57,7 @@ FOOTER = struct.Struct("<IBI")
 _WHITE = r"\t-\r\x{85}\pZ"
 #: Between these a cut before a space might part one token.
 _ODD = rf"[{_WHITE}] ([{_WHITE}]|\z)"
+_SIGNS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _SIGNED = re.compile(r"[A-Za-z][!-&(-/:-@\[-`{-~]\Z")
 
 
@@ -178,22 +179,24 @@ class Encoder:
         self.count = count
 
     def _encode(self, known: dict[str, int], keys: list[str], before: str) -> None:
-        """Learn new words, many in a call: a special token between them parts them wholly."""
-        many = [k for k in keys if len(k) < 1000] if self.between and not any(s in k for s in self.specials for k in keys) else []
+        """Learn new words, many in a call: a special token between them parts them wholly. Very long ones, and those beside a word that holds its string, go one by one."""
+        many = (keys if max(map(len, keys), default=0) < 1000 else [k for k in keys if len(k) < 1000]) if self.between else []
+        alone = [k for k in keys if len(k) >= 1000] if len(many) < len(keys) else []
         for a in range(0, len(many), 20_000):
             part = many[a : a + 20_000]
             ids = np.array(self.tokenizer.encode_batch_fast([before + (self.between[0] + before).join(part)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(ids == self.between[1])
-            self._add(known, part, np.delete(ids, ends), np.diff(np.r_[-1, ends, len(ids)]) - 1)
-        if len(many) < len(keys):
-            for k in keys:
-                if k not in known:
-                    ids = self.plain(before + k)
-                    self._add(known, [k], ids, np.array([len(ids)]))
+            if len(ends) == len(part) - 1:
+                self._add(known, part, np.delete(ids, ends), np.diff(np.r_[-1, ends, len(ids)]) - 1)
+            else:
+                alone += part
+        for k in alone if self.between else keys:
+            ids = self.plain(before + k)
+            self._add(known, [k], ids, np.array([len(ids)]))
 
     def _learn(self, words: set[str], heads: set[str]) -> None:
         """Learn new words. One that ends in a letter and a sign is its two parts, as a token ends between these; there are fewer words without their signs."""
-        signed = [w for w in words if _SIGNED.search(w)]
+        signed = [w for w in words if w[-1:] in _SIGNS and _SIGNED.search(w)]
         self._encode(self.words, list(words.difference(signed).union(w[:-1] for w in signed).difference(self.words)), " ")
         self._encode(self.heads, list(heads.union(w[-1] for w in signed).difference(self.heads)), "")
         if signed:
