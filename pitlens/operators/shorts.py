@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.windows import latest, ordered, ratio, trailing
 from .clean import clean_keys, market_selection
-from .joins import asof_bitemporal
+from .joins import asof, asof_bitemporal
 
 
 def short_volume_history(rows: DataFrame) -> DataFrame:
@@ -89,3 +89,38 @@ def refresh_features(daily: DataFrame, history: DataFrame, start: str, look_back
     first = F.lit(start).cast("date")
     needed = daily.withColumn("_last", F.max("as_of_date").over(w)).where((F.col("_last") >= first) | (F.col("as_of_date") >= F.date_sub(F.trunc(first, "month"), 31))).drop("_last")
     return short_features(short_rolling(needed), history).where(F.col("as_of_date") >= first)
+
+
+def late_ranges(daily: DataFrame, late_daily: DataFrame, late_interest: DataFrame, look_ahead: int = 19) -> DataFrame:
+    """H7: symbol, range_from, range_to: where features change after rows came late, ranges of a symbol that touch joined to one.
+
+    A late or changed row of `daily`, named by (symbol, as_of_date), changes its own day and the next `look_ahead` rows of its symbol, whose windows hold it. A late settlement
+    (symbol, settlement_date) may be the newest known on any later day."""
+    mine = daily.join(late_daily.select("symbol").distinct(), "symbol", "left_semi")
+    reach = mine.select("symbol", "as_of_date", F.max("as_of_date").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_ahead)).alias("range_to"))
+    rows = reach.join(late_daily.select("symbol", "as_of_date").distinct(), ["symbol", "as_of_date"], "left_semi").withColumnRenamed("as_of_date", "range_from")
+    facts = late_interest.groupBy("symbol").agg(F.min("settlement_date").alias("range_from")).select("symbol", "range_from", F.lit("9999-12-31").cast("date").alias("range_to"))
+    w = Window.partitionBy("symbol").orderBy("range_from", "range_to")
+    both = rows.unionByName(facts).withColumn("_before", F.max("range_to").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    both = both.withColumn("_n", F.sum((F.col("_before").isNull() | (F.col("range_from") > F.col("_before"))).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return both.groupBy("symbol", "_n").agg(F.min("range_from").alias("range_from"), F.max("range_to").alias("range_to")).drop("_n")
+
+
+def _in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """`rows` with _in: whether a range of their symbol holds their as_of_date. The last range that has begun is carried along the time."""
+    return asof(rows, ranges, ["symbol"], "as_of_date", "range_from").withColumn("_in", F.coalesce(F.col("as_of_date") <= F.col("range_to"), F.lit(False))).drop("range_from", "range_to")
+
+
+def refresh_late(features: DataFrame, daily: DataFrame, history: DataFrame, late_daily: DataFrame, late_interest: DataFrame, look_back: int = 19) -> tuple[DataFrame, DataFrame]:
+    """H7: (features of symbols with late rows, these symbols), equal to a full build of `daily` and `history`, which hold the late rows already (`late_ranges`).
+
+    Only rows in the ranges and the `look_back` rows before each are computed; the other rows of these symbols come from `features`, and other symbols are left
+    alone: `sinks.replace_groups` by symbol stores the result."""
+    ranges = late_ranges(daily, late_daily, late_interest, look_back)
+    symbols = ranges.select("symbol").distinct()
+    own = lambda df: df.join(symbols, "symbol", "left_semi")
+    marked = _in_ranges(own(daily), ranges)
+    needed = marked.withColumn("_near", F.max("_in").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_back))).where("_near").drop("_near")
+    new = short_features(short_rolling(needed), own(history)).where("_in").drop("_in")
+    old = _in_ranges(own(features), ranges).where("not _in").drop("_in")
+    return old.unionByName(new), symbols

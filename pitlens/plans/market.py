@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.shared import stored
 from ..operators import aggregates as a
 from ..operators import clean as c
 from ..operators import features as f
@@ -49,6 +50,15 @@ def short_all(s, d):
     return h.short_features(h.short_rolling(h.short_daily(frame(s, d, "short_volume"))), h.short_interest_history(frame(s, d, "short_interest")))
 
 
+def late_refreshed(s, d):
+    """Features of the days and settlements that were there first, refreshed for those that came late."""
+    daily, history = h.short_daily(frame(s, d, "short_volume")), h.short_interest_history(frame(s, d, "short_interest"))
+    day, fact = F.col("as_of_date").between("1998-07-01", "1998-07-10"), F.col("settlement_date") == F.lit("2000-05-01").cast("date")
+    old = stored(h.short_features(h.short_rolling(daily.where(~day)), history.where(~fact)), "features")
+    new, symbols = h.refresh_late(old, daily, history, daily.where(day), history.where(fact))
+    return old.join(symbols, "symbol", "left_anti").unionByName(new)
+
+
 def corrections(s):
     return s.range(1).select(F.explode(F.create_map(F.lit("RED/B"), F.lit("RED.B"), F.lit("BIG/B"), F.lit("BIG.B"))).alias("raw_symbol", "normalized_symbol"))
 
@@ -88,6 +98,7 @@ QUERIES = {
     "H5_short_rolling": one(lambda x: h.short_rolling(h.short_daily(x)).select("symbol", "as_of_date", "short_volume_ratio", "short_volume_20d_avg", "short_volume_ratio_20d_avg", "short_volume_ratio_20d_std"), "short_volume"),
     "H6_short_features_daily": lambda s, d: rounded(short_all(s, d).select("symbol", "as_of_date", "short_interest", *SHORT_OUT)),
     "H7_refresh_features": lambda s, d: rounded(h.refresh_features(h.short_daily(frame(s, d, "short_volume")), h.short_interest_history(frame(s, d, "short_interest")), "1998-06-01").select("symbol", "as_of_date", "short_interest", *SHORT_OUT)),
+    "H7_refresh_late": lambda s, d: rounded(late_refreshed(s, d).select("symbol", "as_of_date", "short_interest", *SHORT_OUT)),
     "H7_short_feature_window": lambda s, d: h.feature_window_start(h.short_daily(frame(s, d, "short_volume"))),
     "A2_short_daily_agg": one(lambda x: h.short_daily(x), "short_volume"),
     "C1_effective_prices": on_effective(lambda x: x.select(*PRICE_OUT)),
@@ -182,6 +193,7 @@ ORACLES = {
     "H5_short_rolling": f"{SHORTS} SELECT symbol, as_of_date, {r('short_volume_ratio', 'short_volume_20d_avg', 'short_volume_ratio_20d_avg', 'short_volume_ratio_20d_std')} FROM roll",
     "H6_short_features_daily": f"{SHORTS} SELECT symbol, as_of_date, short_interest, {r(*SHORT_OUT)} FROM sf",
     "H7_refresh_features": f"{SHORTS} SELECT symbol, as_of_date, short_interest, {r(*SHORT_OUT)} FROM sf WHERE as_of_date >= DATE '1998-06-01'",
+    "H7_refresh_late": f"{SHORTS} SELECT symbol, as_of_date, short_interest, {r(*SHORT_OUT)} FROM sf",
     "H7_short_feature_window": f"{SHORTS} SELECT CAST(max(as_of_date) - INTERVAL '45' DAY AS DATE) AS window_start FROM daily",
     "A2_short_daily_agg": f"{SHORTS} SELECT * FROM daily",
     "C1_effective_prices": f"{EFFECTIVE} SELECT symbol, price_date, {r('close')}, volume, source_name FROM eff",

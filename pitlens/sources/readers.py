@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.windows import latest
 from ..operators.clean import classify_security
@@ -169,29 +168,37 @@ def stage_symbol_snapshots(rows: DataFrame, existing: DataFrame) -> DataFrame:
     return not_exists_insert(existing, rows.where("as_of_date is not null").dropDuplicates(SNAPSHOT_KEY), SNAPSHOT_KEY)
 
 
-SUBMISSION = "cik string, name string, filings struct<recent: struct<accessionNumber: array<string>, form: array<string>, filingDate: array<string>, acceptanceDateTime: array<string>, primaryDocument: array<string>>>"
+def _field(v: str, path: str, kind: str = "string") -> Column:
+    """A field of a variant column as `kind`; null where there is none or it doesn't fit."""
+    return F.try_variant_get(F.col(v), f"$.{path}", kind)
+
+
+FILING = ("accessionNumber", "form", "filingDate", "acceptanceDateTime", "primaryDocument")
 
 
 def explode_submissions(raw: DataFrame) -> DataFrame:
-    """Rows of JSON text (value) to one row per filing, parallel arrays zipped, empty ones dropped, with the archive URL."""
-    parsed = raw.select(F.from_json("value", SUBMISSION).alias("j"))
-    rows = parsed.select(pad_cik(F.col("j.cik")).alias("cik"), F.col("j.name").alias("company_name"), F.explode(F.arrays_zip(*(F.col(f"j.filings.recent.{c}").alias(c) for c in ("accessionNumber", "form", "filingDate", "acceptanceDateTime", "primaryDocument")))).alias("f"))
+    """Rows of JSON text (value) to one row per filing, parallel arrays zipped, empty ones dropped, with the archive URL. An array that is none counts as empty; a line that isn't JSON gives no row."""
+    parsed = raw.select(F.try_parse_json("value").alias("j"))
+    arrays = [F.coalesce(_field("j", f"filings.recent.{c}", "array<string>"), F.array().cast("array<string>")).alias(c) for c in FILING]
+    rows = parsed.select(pad_cik(_field("j", "cik")).alias("cik"), _field("j", "name").alias("company_name"), *arrays).select("cik", "company_name", F.explode(F.arrays_zip(*FILING)).alias("f"))
     bare = F.replace(F.col("f.accessionNumber"), F.lit("-"), F.lit(""))
     url = F.concat_ws("/", F.lit("https://www.sec.gov/Archives/edgar/data"), F.regexp_replace("cik", "^0+", ""), bare, F.col("f.primaryDocument"))
     return rows.where("cik is not null and f.accessionNumber != ''").select("cik", "company_name", F.col("f.form").alias("form_type"), F.expr("try_to_date(f.filingDate)").alias("filing_date"), F.expr("try_to_timestamp(f.acceptanceDateTime)").alias("accepted_at"), F.col("f.accessionNumber").alias("accession_number"), url.alias("filing_url"))
 
 
-FACT = T.StructType([T.StructField(c, T.StringType()) for c in ("end", "start", "val", "accn", "fy", "fp", "form", "frame")])
-
-
 def explode_company_facts(raw: DataFrame) -> DataFrame:
-    """Rows of JSON text (value) with facts -> taxonomy -> concept -> units -> unit -> list, one row per fact. A number fills value_numeric, and every value value_text; a boolean is text only."""
-    units = T.StructType([T.StructField("units", T.MapType(T.StringType(), T.ArrayType(FACT)))])
-    schema = T.StructType([T.StructField("cik", T.StringType()), T.StructField("facts", T.MapType(T.StringType(), T.MapType(T.StringType(), units)))])
-    rows = raw.select(F.from_json("value", schema).alias("j")).select(pad_cik(F.col("j.cik")).alias("cik"), F.explode("j.facts").alias("taxonomy", "concepts"))
-    rows = rows.select("cik", "taxonomy", F.explode("concepts").alias("concept", "u")).select("cik", "taxonomy", "concept", F.explode("u.units").alias("unit", "facts"))
-    rows = rows.select("cik", "taxonomy", "concept", "unit", F.explode("facts").alias("f"))
-    return rows.select("cik", "taxonomy", "concept", "unit", F.col("f.accn").alias("accession_number"), F.expr("try_to_date(f.end)").alias("period_end_date"), F.col("f.val").alias("value_text"), F.expr("try_cast(f.val as double)").alias("value_numeric"))
+    """Rows of JSON text (value) with facts -> taxonomy -> concept -> units -> unit -> list, one row per fact. A number fills value_numeric, and every value value_text; a boolean is text only.
+
+    The document stays a variant that is opened level by level, so no maps of all its facts are built. What isn't an object or list where one belongs has no
+    facts, a fact that isn't an object has nulls, and the rest of the document counts; a line that isn't JSON gives no row."""
+    each = lambda df, v: df.lateralJoin(raw.sparkSession.tvf.variant_explode(F.col(v).outer()))
+    rows = raw.select(F.try_parse_json("value").alias("j")).select(pad_cik(_field("j", "cik")).alias("cik"), _field("j", "facts", "variant").alias("v"))
+    rows = each(rows, "v").where("key is not null").select("cik", F.col("key").alias("taxonomy"), F.col("value").alias("v"))
+    rows = each(rows, "v").where("key is not null").select("cik", "taxonomy", F.col("key").alias("concept"), _field("value", "units", "variant").alias("v"))
+    rows = each(rows, "v").where("key is not null").select("cik", "taxonomy", "concept", F.col("key").alias("unit"), F.col("value").alias("v"))
+    rows = each(rows, "v").where("key is null").select("cik", "taxonomy", "concept", "unit", F.col("value").alias("f"))
+    rows = rows.select("cik", "taxonomy", "concept", "unit", _field("f", "accn").alias("accession_number"), _field("f", "end").alias("_end"), _field("f", "val").alias("value_text"))
+    return rows.select("cik", "taxonomy", "concept", "unit", "accession_number", F.expr("try_to_date(_end)").alias("period_end_date"), "value_text", F.expr("try_cast(value_text as double)").alias("value_numeric"))
 
 
 def select_target_files(files: DataFrame, references: DataFrame) -> DataFrame:

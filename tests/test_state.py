@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from pitlens.functions import shared
 from pitlens.operators import listing_state as ls
-from pitlens.operators import universe
-from pitlens.sources import sinks
+from pitlens.operators import shorts, universe
+from pitlens.sources import readers, sinks
 
 D = dt.date
 SCHEMA = "symbol string, cik string, company_name string, exchange string, security_type string, as_of_date date"
@@ -156,3 +156,37 @@ def test_upserts_write_what_they_touch_and_survive_a_death(spark, tmp_path, monk
     # groups that go altogether
     sinks.replace_groups(batch().limit(0), path, ["k"], spark.createDataFrame([(5,), (None,)], "k long"))
     assert len(table(spark, path)) == 299
+
+
+def test_late_rows_refresh_what_they_change(spark):
+    draw = random.Random(11)
+    start = D(2024, 1, 1)
+    volume = [(f"S{i}", start + dt.timedelta(t), draw.choice([None, 5.0, 9.0]), 1.0, draw.choice([0.0, 10.0, 20.0]), dt.datetime(2024, 1, 2) + dt.timedelta(t)) for i in range(6) for t in range(120) if draw.random() < 0.8]
+    daily = shared.stored(spark.createDataFrame(volume, "symbol string, as_of_date date, short_volume double, short_exempt_volume double, total_volume double, max_source_available_at timestamp"), "daily")
+    facts = [(f"S{i}", start + dt.timedelta(15 * t), dt.datetime(2024, 1, 1) + dt.timedelta(15 * t + draw.randrange(40)), draw.randrange(50), 20, 3.0, float(draw.randrange(9)), 100, 0.5) for i in range(6) for t in range(8)]
+    history = shared.stored(spark.createDataFrame(facts, "symbol string, settlement_date date, ingested_at timestamp, short_interest int, previous_short_interest int, avg_daily_volume double, days_to_cover double, shares_float int, short_interest_pct_float double"), "history")
+    late = F.col("symbol").isin("S1", "S2") & F.col("as_of_date").isin(*(start + dt.timedelta(t) for t in (3, 4, 40, 41, 118)))
+    fact = (F.col("symbol") == "S3") & (F.col("settlement_date") == start + dt.timedelta(60))
+    full = lambda a, b: shorts.short_features(shorts.short_rolling(a), b)
+    old = shared.stored(full(daily.where(~late), history.where(~fact)), "old")
+    new, symbols = shorts.refresh_late(old, daily, history, daily.where(late), history.where(fact))
+    assert {r.symbol for r in symbols.collect()} == {"S1", "S2", "S3"} and {r.symbol for r in new.select("symbol").distinct().collect()} == {"S1", "S2", "S3"}
+    want = full(daily, history)
+    assert rows(old.join(symbols, "symbol", "left_anti").unionByName(new).select(*want.columns)) == rows(want)
+    assert rows(old.select(*want.columns)) != rows(want)
+    ranges = {(r.symbol, (r.range_from - start).days) for r in shorts.late_ranges(daily, daily.where(late), history.where(fact)).collect()}
+    assert len([s for s, _ in ranges if s == "S1"]) <= 3 and ("S3", 60) in ranges
+    nothing, none = shorts.refresh_late(old, daily, history, daily.limit(0), history.limit(0))
+    assert nothing.count() == 0 and none.count() == 0
+
+
+def test_one_bad_fact_costs_itself(spark):
+    good = '{"end":"2024-01-01","val":1.5,"accn":"a"}'
+    text = '{"cik":1,"facts":{"us-gaap":{"Rev":{"units":{"USD":[%s,{"val":true},{"val":"x"},7,{"end":"no","val":null}],"EUR":{"a":1},"JPY":5}},"Bad":7,"B2":{"units":[1]}},"dei":null}}' % good
+    df = spark.createDataFrame([(text,), ("{broken",), (None,), ("[]",), ("",), ('{"cik":2,"facts":{"t":{"C":{"units":{"U":[%s]}}}}}' % good,)], "value string")
+    got = sorted(map(tuple, readers.explode_company_facts(df).collect()), key=str)
+    one = ("0000000001", "us-gaap", "Rev", "USD")
+    assert got == sorted([(*one, "a", D(2024, 1, 1), "1.5", 1.5), (*one, None, None, "true", None), (*one, None, None, "x", None), (*one, None, None, None, None), (*one, None, None, None, None), ("0000000002", "t", "C", "U", "a", D(2024, 1, 1), "1.5", 1.5)], key=str)
+    filings = '{"cik":"5","name":"n","filings":{"recent":{"accessionNumber":["0-1","","0-2"],"form":["10-K"],"filingDate":"oops","primaryDocument":["d","d","d"]}}}'
+    rows_ = readers.explode_submissions(spark.createDataFrame([(filings,), ("{",), (None,), ('{"cik":"6"}',)], "value string")).collect()
+    assert {(r.cik, r.form_type, r.filing_date, r.accession_number) for r in rows_} == {("0000000005", "10-K", None, "0-1"), ("0000000005", None, None, "0-2")}
