@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, keep, read
-from .exact import SCHEMA, as_long, column_sums, dense, finite, partial_sums, total_sums
+from .exact import SCHEMA, as_long, column_sums, dense, finite, partial_sums, total_sums, whole
 
 #: Components up to this size give distances that a long holds, for up to SMALL_DIM components.
 SMALL, SMALL_DIM = 1 << 25, 1024
@@ -94,10 +94,7 @@ class Codebook:
 def whole_vectors(vectors: DataFrame, id_col: str, vec_col: str, dim: int, scale: float) -> DataFrame:
     """id, x array<double> of floor(scale * component) for the vectors of `dim` finite components."""
     v = vectors[vec_col]
-    scaled = lambda e: F.lit(scale) * e.cast("double")
-    # doubles from 2**52 on are whole, and floor() is a long
-    floor = lambda e: F.when(F.abs(scaled(e)) < 2.0**52, F.floor(scaled(e)).cast("double")).otherwise(scaled(e))
-    return vectors.where(finite(v) & (F.size(v) == dim)).select(vectors[id_col].alias("id"), F.transform(v, floor).alias("x"))
+    return vectors.where(finite(v) & (F.size(v) == dim)).select(vectors[id_col].alias("id"), whole(v, scale).alias("x"))
 
 
 def _sums(codebook: Codebook, dim: int):

@@ -20,6 +20,13 @@ def finite(v: Column) -> Column:
     return v.isNotNull() & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
 
 
+def whole(v: Column, scale: float) -> Column:
+    """floor(scale * component) of a finite array column as doubles, exact also beyond a long."""
+    scaled = lambda e: F.lit(scale) * e.cast("double")
+    # doubles from 2**52 on are whole, and floor() is a long
+    return F.transform(v, lambda e: F.when(F.abs(scaled(e)) < 2.0**52, F.floor(scaled(e)).cast("double")).otherwise(scaled(e)))
+
+
 def dense(lists: pa.Array, dim: int) -> np.ndarray:
     """Rows of an Arrow list column, filled up with zeros to `dim`."""
     sizes = np.asarray(lists.value_lengths())

@@ -13,7 +13,11 @@ A query prunes by the triangle inequality: a node by its radius, a leaf first by
 to its node, without computing its own, then by its radius, an entry by its stored distance to the leaf. Leaves are
 visited best first. A first pass over the page of the nearest leaf gives a lower bound of the query's k-th score, a second visits
 the other pages with leaves in reach of it, and pages answer with scores of at least the bound. Only pages that
-a query is routed to are read, each once for every BLOCK of its queries.
+a query is routed to are read, each once for every BLOCK of its queries. Products are made in tiles of QUERIES times ENTRIES, of which each query keeps its best, so a
+page takes some 200 MB at most, however many vectors are equal.
+
+Geometry is in floats with some slack; scores are exact: products of floats while these hold them, of 64-bit integers while these do, of Python's integers for
+vectors beyond.
 """
 
 from collections.abc import Iterator
@@ -25,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, keep, read
+from .exact import as_long, dense, finite, whole
 
 NODES = 32
 #: Routing objects of leaves at most, and entries of a leaf where there are fewer.
@@ -34,10 +39,43 @@ PAGE = BLOCK = 16384
 BEST_FIRST = 4
 #: Slack of bounds against rounding; scores are integers.
 EPS = 1e-6
+#: Distances are roots of differences, so a small one is off by this share of the vectors' norms at most.
+NEAR = 1e-7
+#: Sides of a tile of products.
+QUERIES, ENTRIES = 2048, 1024
+#: Norms up to which each kind of number holds all scores, and what stands for no score.
+KINDS = {"float": (2.0**52, -np.inf), "int": (2.0**62, -(2**62)), "object": (1e90, -(10**99))}
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int64).reshape(-1, dim).astype(float)
+    return np.frombuffer(b"".join(column), float).reshape(-1, dim)
+
+
+def _cast(x: np.ndarray, kind: str) -> np.ndarray:
+    """Whole floats as numbers of a kind of KINDS."""
+    if kind == "object":
+        return np.array([list(map(int, row)) for row in x.tolist()], object).reshape(x.shape)
+    return x if kind == "float" else x.astype(np.int64)
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int, kind: str) -> np.ndarray:
+    """Columns of the `k` highest scores of each row, in order, ties to the smaller id. `ids` is a row for all or one for each."""
+    if kind == "object":
+        each = np.broadcast_to(ids, scores.shape)
+        return np.array([sorted(range(len(s)), key=lambda j: (-s[j], i[j]))[:k] for s, i in zip(scores.tolist(), each.tolist())]).reshape(len(scores), -1)
+    return np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=-1)[:, :k]
+
+
+def _few(scores: np.ndarray, ids: np.ndarray, k: int, kind: str) -> np.ndarray:
+    """Columns of the `k` highest scores of each row of a tile, in any order; floats are told from each other and from ties by one partition."""
+    if scores.shape[1] <= k:
+        return np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
+    if kind != "float":
+        return _best(scores, ids, k, kind)
+    rank = np.empty(len(ids), np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))[::-1]
+    key = np.where(np.isfinite(scores), scores, -(2.0**52)).astype(np.int64) * ENTRIES + rank
+    return np.argpartition(key, key.shape[1] - k, axis=1)[:, -k:]
 
 
 def _lift(x: np.ndarray, most: float) -> np.ndarray:
@@ -62,7 +100,8 @@ class Tree:
     def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Leaf of each lifted vector, its distance to the leaf and to the node."""
         near = _distance(x, self.nodes)
-        node = near.argmin(axis=1)
+        # of equal nodes one has the leaves
+        node = np.where([len(c) > 0 for c in self.children], near, np.inf).argmin(axis=1)
         leaf, apart = np.zeros(len(x), np.int32), np.zeros(len(x))
         for i in np.unique(node):
             at = np.flatnonzero(node == i)
@@ -101,49 +140,61 @@ class Tree:
 
 def _reach(norm: np.ndarray, bound: np.ndarray) -> np.ndarray:
     """Distance that a score of `bound` means; inf where nothing bounds."""
-    return np.sqrt(np.maximum(norm - 2 * bound, 0)) * (1 + EPS) + EPS
+    return np.sqrt(np.maximum(norm - 2 * bound, 0)) * (1 + EPS) + EPS + NEAR * np.sqrt(norm)
 
 
 class Page:
     """The entries of a page by leaf and distance."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, apart: np.ndarray, tree: Tree):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, apart: np.ndarray, tree: Tree, kind: str = "float"):
         order = np.lexsort((apart, leaf))
-        self.ids, self.x, self.apart, self.tree = ids[order], x[order], apart[order], tree
+        self.ids, self.x, self.apart, self.tree, self.kind = ids[order], _cast(x[order], kind), apart[order], tree, kind
         self.leaf, self.first = np.unique(leaf[order], return_index=True)
         self.last = np.r_[self.first[1:], len(x)]
 
     def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """(row of the query, id, score) of the k best candidates of each query with a score of at least its `bound`, and the products computed."""
+        parts = [self._search(query_ids[a : a + QUERIES], q[a : a + QUERIES], k, bound[a : a + QUERIES]) for a in range(0, len(q), QUERIES)]
+        rows, ids, scores, products = zip(*parts) if parts else ([np.zeros(0, int)], [np.zeros(0, np.int64)], [np.zeros(0)], [0])
+        return np.concatenate([r + i * QUERIES for i, r in enumerate(rows)]), np.concatenate(ids), np.concatenate(scores), sum(products)
+
+    def _search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         norm = (q * q).sum(axis=1) + self.tree.most
-        bound, products = bound.copy(), 0
-        scores = np.full((len(q), k), -np.inf)
+        bound, products, none = bound.copy(), 0, KINDS[self.kind][1]
+        asked = _cast(q, self.kind)
+        scores = np.full((len(q), k), none, asked.dtype)
         ids = np.full((len(q), k), np.iinfo(np.int64).max)
         centre = _distance(np.column_stack([q, np.zeros(len(q))]), self.tree.leaves[self.leaf])
         least = centre - self.tree.radius[None, self.leaf]
 
         def visit(at: np.ndarray, leaf: int) -> None:
-            nonlocal products
             a, b = self.first[leaf], self.last[leaf]
             far = _reach(norm, bound)[at]
             lo = a + np.searchsorted(self.apart[a:b], (centre[at, leaf] - far).min(), side="left")
             hi = a + np.searchsorted(self.apart[a:b], (centre[at, leaf] + far).max(), side="right")
-            if lo >= hi:
-                return
+            for first in range(lo, hi, ENTRIES):
+                compute(at, first, min(first + ENTRIES, hi))
+
+        def compute(at: np.ndarray, lo: int, hi: int) -> None:
+            nonlocal products
             products += len(at) * (hi - lo)
-            found = q[at] @ self.x[lo:hi].T
-            found[query_ids[at][:, None] == self.ids[None, lo:hi]] = -np.inf
-            found[found < bound[at][:, None]] = -np.inf
-            better = np.flatnonzero(np.isfinite(found).any(axis=1))
+            found = asked[at] @ self.x[lo:hi].T
+            # a bound may be rounded up where scores aren't floats
+            low = bound[at] - (0 if self.kind == "float" else np.abs(np.where(np.isfinite(bound[at]), bound[at], 0)) * EPS)
+            out = (query_ids[at][:, None] == self.ids[None, lo:hi]) | (found.astype(float) < low[:, None])
+            better = np.flatnonzero(~out.all(axis=1))
             if not len(better):
                 return
-            at = at[better]
-            both = np.concatenate([scores[at], found[better]], axis=1)
-            names = np.concatenate([ids[at], np.broadcast_to(self.ids[lo:hi], (len(at), hi - lo))], axis=1)
-            names[~np.isfinite(both)] = np.iinfo(np.int64).max
-            best = np.lexsort((names, -both), axis=-1)[:, :k]
+            found[out] = none
+            at, found = at[better], found[better]
+            few = _few(found, self.ids[lo:hi], k, self.kind)
+            found = np.take_along_axis(found, few, axis=1)
+            names = np.where(found == none, np.iinfo(np.int64).max, self.ids[lo:hi][few])
+            both, names = np.concatenate([scores[at], found], axis=1), np.concatenate([ids[at], names], axis=1)
+            best = _best(both, names, k, self.kind)
             scores[at], ids[at] = np.take_along_axis(both, best, axis=1), np.take_along_axis(names, best, axis=1)
-            bound[at] = np.maximum(bound[at], scores[at, -1])
+            last = scores[at, -1]
+            bound[at] = np.maximum(bound[at], np.where(last == none, -np.inf, last.astype(float)))
 
         order = np.argsort(least, axis=1, kind="stable")
         every = np.arange(len(q))
@@ -158,15 +209,19 @@ class Page:
             at = np.flatnonzero((least[:, one] <= _reach(norm, bound)) & ~done[:, one])
             if len(at):
                 visit(at, one)
-        row, col = np.nonzero(np.isfinite(scores))
+        row, col = np.nonzero(scores != none)
         return row, ids[row, col], scores[row, col], products
 
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """id, x array<long> of floor(scale * component); vectors that are null or hold null or non-finite components, and null ids, are left out."""
+    """id, x array<double> of floor(scale * component); vectors that are null or hold null or non-finite components, and null ids, are left out."""
     v = vectors[vec_col]
-    finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
-    return vectors.where(vectors[id_col].isNotNull() & v.isNotNull() & finite).select(vectors[id_col].cast("long").alias("id"), F.transform(v, lambda e: F.floor(F.lit(scale) * e.cast("double"))).alias("x"))
+    return vectors.where(vectors[id_col].isNotNull() & finite(v)).select(vectors[id_col].cast("long").alias("id"), whole(v, scale).alias("x"))
+
+
+def _sortable(score: int) -> str:
+    """Text that sorts like the number, of up to 99 digits."""
+    return f"{int(score >= 0)}{score if score >= 0 else 10**99 + score:099d}"
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 64.0, page: int = PAGE, block: int = BLOCK) -> DataFrame:
@@ -175,33 +230,29 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
 
     A candidate with the query's id is the query itself and never counts. Rows with a null id, vector or component and those with a
     non-finite component take no part. Shorter vectors are filled up with zeros. Repeated candidates count each; repeated queries
-    count once, with their smallest vector. An empty table gives an empty one; other columns are left out.
+    count once, with their smallest vector. An empty table gives an empty one; other columns are left out. Scores that a long can't hold are null, and
+    ranked by their value still; squared norms beyond 1e90 are an error.
     """
     spark = vectors.sparkSession
     schema = f"query_id long, rank int, {id_col} long, score long"
     rows = quantized(vectors, id_col, vec_col, scale)
     asked = quantized(queries, id_col, vec_col, scale).groupBy("id").agg(F.min("x").alias("x"))
-    size = lambda df: df.agg(F.max(F.size("x")).alias("dim"), F.max(F.aggregate("x", F.lit(0).cast("long"), lambda a, b: a + b * b)).alias("most"), F.count("*").alias("n")).first()
+    size = lambda df: df.agg(F.max(F.size("x")).alias("dim"), F.max(F.aggregate("x", F.lit(0.0), lambda a, b: a + b * b)).alias("most"), F.count("*").alias("n")).first()
     have, ask = size(rows), size(asked)
     if not have["n"] or not ask["n"]:
         return spark.createDataFrame([], schema)
     dim, most = max(1, have["dim"], ask["dim"]), float(have["most"])
-    if max(most, float(ask["most"])) >= 2**52:
-        raise ValueError("scores of these vectors aren't exact in 64-bit floats")
+    kind = next((name for name, (bound, _) in KINDS.items() if max(most, float(ask["most"])) < bound), None)
+    if kind is None:
+        raise ValueError("the squared norms of these vectors are beyond 1e90")
     # at most LEAVES rows
     drawn = rows.orderBy(F.xxhash64("id"), "id", "x").limit(min(LEAVES, max(NODES, have["n"] // LEAF))).collect()
     tree = Tree(_lift(np.array([np.pad(r["x"], (0, dim - len(r["x"]))) for r in drawn], float), most), most)
 
-    def dense(lists) -> np.ndarray:
-        sizes = np.asarray(lists.value_lengths())
-        out = np.zeros((len(sizes), dim), np.int64)
-        out[np.arange(dim)[None, :] < sizes[:, None]] = np.asarray(lists.flatten())
-        return out
-
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = dense(batch.column(1))
-            leaf, apart, up = tree.place(_lift(x.astype(float), most))
+            x = dense(batch.column(1), dim)
+            leaf, apart, up = tree.place(_lift(x, most))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(leaf, pa.int32()), pa.array(apart), pa.array(up)], ["id", "x", "leaf", "apart", "up"])
 
     placed = keep(rows.mapInArrow(assign, "id long, x binary, leaf int, apart double, up double"), "vectors")
@@ -224,8 +275,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
             for whole in batches:
                 for start in range(0, whole.num_rows, 2048):
                     batch = whole.slice(start, 2048)
-                    x = dense(batch.column(1)) if first else np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(-1, dim)
-                    q = np.column_stack([x.astype(float), np.zeros(len(x))])
+                    x = dense(batch.column(1), dim) if first else _matrix(batch.column(1).to_pylist(), dim)
+                    q = np.column_stack([x, np.zeros(len(x))])
                     if first:
                         bound = np.full(len(x), -np.inf)
                         far = tree.reachable(q, np.full(len(x), np.inf))[1]
@@ -245,12 +296,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
 
         return run
 
+    # with numbers of any size, `score` is text that sorts like them
+    answers = f"query_id long, id long, score {'string' if kind == 'object' else 'long'}, value long, near double"
+
     def answer(key: tuple, entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(entries) or not len(asked):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype("int64")
-        held = Page(entries["id"].to_numpy(), _matrix(entries["x"], dim), entries["leaf"].to_numpy(), entries["apart"].to_numpy(), tree)
+            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="object" if kind == "object" else "int64"), "value": pd.Series(dtype="Int64"), "near": pd.Series(dtype=float)})
+        held = Page(entries["id"].to_numpy(), _matrix(entries["x"], dim), entries["leaf"].to_numpy(), entries["apart"].to_numpy(), tree, kind)
         row, ids, scores, _ = held.search(asked["id"].to_numpy(), _matrix(asked["x"], dim), k, asked["bound"].to_numpy())
-        return pd.DataFrame({"query_id": asked["id"].to_numpy()[row], "id": ids, "score": scores.astype(np.int64)})
+        near = scores.astype(float)
+        if kind == "object":
+            shown, value = [_sortable(v) for v in scores.tolist()], pd.array([as_long(v) for v in scores.tolist()], "Int64")
+        else:
+            shown = value = scores.astype(np.int64)
+        return pd.DataFrame({"query_id": asked["id"].to_numpy()[row], "id": ids, "score": shown, "value": value, "near": near})
 
     def visit(routed: DataFrame) -> DataFrame:
         """Answers of the pages, each joined with its blocks of queries only."""
@@ -259,16 +318,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
         dealt = routed.join(blocks, "page").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
         held = stored.join(blocks, "page").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         key = ["page", "block"]
-        return held.drop("blocks").groupBy(*key).cogroup(dealt.drop("blocks").groupBy(*key)).applyInPandas(answer, "query_id long, id long, score long")
+        return held.drop("blocks").groupBy(*key).cogroup(dealt.drop("blocks").groupBy(*key)).applyInPandas(answer, answers)
 
     routed = "id long, x binary, bound double, home int, page int"
     first = keep(asked.mapInArrow(route(True), routed), "queries")
     near = keep(visit(first), "near")
-    bounds = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
-    second = first.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "x", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))).alias("bound"), "home")
+    bounds = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("near").alias("least")).where(F.col("n") >= k)
+    second = first.join(bounds, F.col("id") == F.col("query_id"), "left").select("id", "x", F.coalesce("least", F.lit(float("-inf"))).alias("bound"), "home")
     found = near.union(visit(keep(second.mapInArrow(route(False), routed), "routed")))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), F.col("value").alias("score"))
 
 
 def op4_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:

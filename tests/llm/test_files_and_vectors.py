@@ -331,3 +331,50 @@ def test_small_values_are_found_to_relative_accuracy():
     """A bidiagonal matrix determines even its smallest singular values; the product of all is that of the diagonal."""
     a, b = 10.0 ** -np.arange(0, 24, 2.0), np.ones(11) * 10.0 ** -np.arange(1, 23, 2.0)
     assert np.prod(whitening.squared_values(a, b) * 1e24) == pytest.approx(np.prod(a**2 * 1e24), rel=1e-12)
+
+
+def brute_search(rows, k, scale=64):
+    kept = [(i, whole(v, scale)) for i, v in rows]
+    out = []
+    for i, q in kept:
+        if i % 5 == 0:
+            scored = sorted(((-sum(a * b for a, b in zip(q, c)), j) for j, c in kept if j != i))[:k]
+            out += [(i, r + 1, j, exact.as_long(-s)) for r, (s, j) in enumerate(scored)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [1.0, 1e6, 1e7, 1e12, 3e38])
+def test_tree_search_of_large_components(spark, size):
+    from pitlens.llm import mtree
+
+    draw = np.random.default_rng(1)
+    rows = [(i, (draw.standard_normal(8).clip(-1, 1) * (size if i % 3 else 1.0)).astype(np.float32).tolist()) for i in range(150)]
+    rows += [(150 + i, rows[7][1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = mtree.search(df, df.where("vec_id % 5 = 0"), k=9, page=32, block=16)
+    assert sorted(map(tuple, got.collect())) == brute_search(rows, 9)
+
+
+def test_a_leaf_of_equal_vectors_stays_small():
+    """16,384 queries against a page of 16,384 entries of one leaf take under 500 MB, and ties go to the smaller ids."""
+    import tracemalloc
+
+    from pitlens.llm import mtree
+
+    n, dim = 16_384, 8
+    draw = np.random.default_rng(0)
+    x = np.repeat(draw.integers(-50, 50, (64, dim)), n // 64, axis=0).astype(float)
+    most = float((x * x).sum(axis=1).max())
+    tree = mtree.Tree(mtree._lift(x[:1], most), most)
+    leaf, apart, up = tree.place(mtree._lift(x, most))
+    tree.close(np.array([n]), np.array([apart.max()]), np.array([up.max()]), n)
+    ids = draw.permutation(n)
+    tracemalloc.start()
+    row, found, scores, _ = mtree.Page(ids, x, leaf, apart, tree).search(np.arange(n), x, 20, np.full(n, -np.inf))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 500 and len(row) == 20 * n
+    for q in range(0, n, 1111):
+        s = x @ x[q]
+        want = sorted((-s[j], ids[j]) for j in range(n) if ids[j] != q)[:20]
+        assert [(-v, i) for v, i in zip(scores[row == q], found[row == q])] == want
