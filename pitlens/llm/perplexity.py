@@ -133,45 +133,6 @@ class Model:
 
 def kneser_ney(gram: np.ndarray, count: np.ndarray) -> Model:
     """Interpolated modified Kneser-Ney from trigram counts, down to the uniform distribution."""
-    low = _MASK
-    tri = np.bincount(gram, count, minlength=1 << 3 * _BITS)
-    seen3 = tri > 0
-    bi = seen3.reshape(SYMBOLS, -1).sum(axis=0).astype(float)  # distinct symbols before each pair
-    uni = (bi > 0).reshape(SYMBOLS, -1).sum(axis=0).astype(float)
-
-    def discounts(c: np.ndarray) -> np.ndarray:
-        n = [max(1, int((c == i).sum())) for i in range(1, 5)]
-        y = n[0] / (n[0] + 2 * n[1])
-        d = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.05), i - 0.05) for i in (1, 2, 3)]
-        return np.array([0, *d])
-
-    def level(c: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities and back-off weights by context; `lower` by last symbols."""
-        d = discounts(c)[np.minimum(c, 3).astype(int)]
-        c, d = c.reshape(-1, SYMBOLS), d.reshape(-1, SYMBOLS)
-        total = np.maximum(c.sum(axis=1, keepdims=True), 1)
-        weight = np.where(c.sum(axis=1, keepdims=True) > 0, d.sum(axis=1, keepdims=True) / total, 1.0)
-        lower = np.tile(lower.reshape(-1, SYMBOLS), (len(c) // lower.reshape(-1, SYMBOLS).shape[0], 1))
-        return (np.maximum(c - d, 0) / total + weight * lower).ravel(), weight.ravel()
-
-    p1, w0 = level(uni, np.full(SYMBOLS, 1 / SYMBOLS))
-    p2, w1 = level(bi, p1)
-    p3, w2 = level(tri, p2)
-    keys, logp, back = [], [], []
-    for order, c, p in ((1, uni, p1), (2, bi, p2), (3, tri, p3)):
-        at = np.flatnonzero((c > 0) | (order == 1))
-        keys.append(Model.hashed(at, order)), logp.append(np.log(p[at])), back.append(np.zeros(len(at)))
-    for order, w in ((11, w1), (12, w2)):
-        at = np.flatnonzero(w < 1)
-        keys.append(Model.hashed(at, order)), logp.append(np.zeros(len(at))), back.append(np.log(np.maximum(w[at], 1e-12)))
-    keys, logp, back = map(np.concatenate, (keys, logp, back))
-    order = np.argsort(keys)
-    return Model(keys[order], logp[order].astype(np.float32), back[order].astype(np.float32))
-
-
-def kneser_ney(gram: np.ndarray, count: np.ndarray) -> Model:
-    """Interpolated modified Kneser-Ney from trigram counts, down to the uniform distribution."""
-    low = (1 << _BITS) - 1
     tri = np.bincount(gram, count, minlength=1 << 3 * _BITS)
     seen3 = tri > 0
     bi = seen3.reshape(SYMBOLS, -1).sum(axis=0).astype(float)  # distinct symbols before each pair
@@ -328,15 +289,20 @@ def gains(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def add(table: pa.Table) -> pa.Table:
         if not table.num_rows or table.column("p")[0].as_py() < 0:
             return table
-        blocks = [_unpack(x.as_py()) for x in table.column("data")]
-        pair = np.concatenate([b[0] for b in blocks])
-        count = np.concatenate([np.add.reduceat(b[4], np.r_[0, np.cumsum(b[2])[:-1]]) for b in blocks])
+
+        def sums_of(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+            pair, _, texts, _, times = _unpack(data.as_py())
+            return pair, np.add.reduceat(times, np.r_[0, np.cumsum(texts)[:-1]])
+
+        # one block is unpacked at a time, so texts that share a pair stay packed
+        pair, count = map(np.concatenate, zip(*map(sums_of, table.column("data"))))
         order = np.argsort(pair)
         new = np.r_[True, np.diff(pair[order]) != 0]
         total = np.empty(len(pair), np.int64)
         total[order] = np.add.reduceat(count[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         out, at = [], 0
-        for _, base, texts, doc, times in blocks:
+        for data in table.column("data"):
+            _, base, texts, doc, times = _unpack(data.as_py())
             others = np.repeat(total[at : at + len(base)], texts) - times
             with np.errstate(divide="ignore"):
                 gain = times * (np.logaddexp(np.log(others) + np.repeat(base, texts) * STEP, smooth) - whole)
