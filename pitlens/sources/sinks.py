@@ -129,7 +129,7 @@ def last_epoch(spark: SparkSession, path: str, stream: str) -> int:
 
 def replace_groups(rows: DataFrame, path: str, keys: list[str], touched: DataFrame | None = None, buckets: int = BUCKETS, stream: str | None = None, epoch: int | None = None) -> None:
     """Put `rows` into a table in hash buckets of its keys: rows of equal key, nulls equal, go, also those of the keys in `touched`. Only the buckets of these keys are read and
-    rewritten. With `stream` and `epoch`, a batch that the table has taken already changes nothing.
+    rewritten. With `stream` and `epoch`, a batch that the table has taken already changes nothing; a stream that starts over with a new checkpoint needs a new name.
 
     New buckets are written whole under _pending and then renamed into place, so a writer that dies at any point loses nothing and mixes nothing for the next
     one; readers should follow a writer, not run beside it. `buckets` belongs to the table and must stay. The driver handles names of buckets only.
