@@ -605,4 +605,4 @@ def test_pipeline_stages_on_odd_rows(spark, edge):
 
 
 def test_every_query_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
