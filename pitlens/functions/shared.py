@@ -26,6 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `stored` that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            remove(table.sparkSession, folder)
+
+
 def _at(spark: SparkSession, path: str):
     """(file system, path) as the cluster's own objects."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

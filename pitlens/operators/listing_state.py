@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.shared import exists, stored
+from ..functions.shared import exists
 from ..sources.sinks import BUCKETS, recover, recover_keyed, replace_groups, replace_table
 from .universe import listing_identity
 
@@ -124,7 +124,5 @@ def update_state(snapshot: DataFrame, date, path: str, grace: int = 2, buckets:
         return
     stretches, dates = read_state(spark, path)
     new, touched, dates = apply_snapshot(stretches, dates, snapshot, date, grace)
-    # both are read twice and come from the table that is rewritten
-    new, touched = stored(new, "stretches"), stored(touched, "touched")
     replace_groups(new, f"{path}/stretches", ["identity"], touched, buckets)
     replace_table(dates, f"{path}/dates")

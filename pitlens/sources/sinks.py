@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.shared import exists, names, remove, rename, touch
+from ..functions.shared import discard, exists, names, remove, rename, stored, touch
 from ..functions.windows import latest
 from .readers import read_stooq_bars
 
@@ -90,7 +90,7 @@ def _bucket(name: str) -> int:
 
 
 def _parts(spark: SparkSession, path: str) -> list[str]:
-    """Names of a keyed table's files: b<bucket>-<change>-<number>.parquet."""
+    """Names of a keyed table's files: b<bucket>-<change>-<name of the written file>."""
     return [n for n in names(spark, path) if n.startswith("b") and n.endswith(".parquet")]
 
 
@@ -108,7 +108,7 @@ def recover_keyed(spark: SparkSession, path: str) -> None:
             for n in touched:
                 for part in names(spark, f"{folder}/{n}"):
                     if part.endswith(".parquet"):
-                        rename(spark, f"{folder}/{n}/{part}", f"{path}/b{int(n.split('=')[1]):05d}-{change}-{part.split('-')[1]}.parquet")
+                        rename(spark, f"{folder}/{n}/{part}", f"{path}/b{int(n.split('=')[1]):05d}-{change}-{part}")
             if "@" in change:
                 _remember(spark, path, change.split("@")[1])
         remove(spark, folder)
@@ -139,14 +139,21 @@ def replace_groups(rows: DataFrame, path: str, keys: list[str], touched: DataFra
     if stream is not None and epoch is not None and epoch <= last_epoch(spark, path, stream):
         return
     at = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    rows = rows.withColumn("_bucket", at)
+    have = _parts(spark, path)
+    if have:
+        # hashes differ between types, so keys take the table's
+        kinds = spark.read.parquet(f"{path}/{have[0]}").schema
+        alike = lambda df: df.withColumns({k: F.col(k).cast(kinds[k].dataType) for k in keys})
+        rows, touched = alike(rows), None if touched is None else alike(touched)
+    # both are read more than once, and may come from the table itself
+    rows = batch = stored(rows.withColumn("_bucket", at), "batch")
     gone = rows.select("_bucket", *keys)
     if touched is not None:
         gone = gone.union(touched.select(at.alias("_bucket"), *keys))
-    gone = gone.distinct()
+    gone = stored(gone.distinct(), "keys")
     # as many rows as buckets at most
     now = {r["_bucket"] for r in gone.select("_bucket").distinct().collect()}
-    old = [f"{path}/{n}" for n in _parts(spark, path) if _bucket(n) in now]
+    old = [f"{path}/{n}" for n in have if _bucket(n) in now]
     if old:
         same = F.lit(True)
         for k in ["_bucket", *keys]:
@@ -161,6 +168,7 @@ def replace_groups(rows: DataFrame, path: str, keys: list[str], touched: DataFra
             touch(spark, f"{path}/_pending/{change}/_bucket={b}/_none")
     elif "@" in change:
         _remember(spark, path, change.split("@")[1])
+    discard(batch, gone)
     recover_keyed(spark, path)
 
 

@@ -153,6 +153,10 @@ def test_upserts_write_what_they_touch_and_survive_a_death(spark, tmp_path, monk
         sinks.upsert_batch(batch((1, "e"), (2, "e")).withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("died"))).otherwise(F.col("v"))), path, ["k"])
     sinks.recover_keyed(spark, path)
     assert dict(table(spark, path)) == got
+    # keys of another type meet their rows
+    sinks.upsert_batch(spark.createDataFrame([(3, "i")], "k int, v string"), path, ["k"])
+    got[3] = "i"
+    assert dict(table(spark, path)) == got and len(table(spark, path)) == 301
     # groups that go altogether
     sinks.replace_groups(batch().limit(0), path, ["k"], spark.createDataFrame([(5,), (None,)], "k long"))
     assert len(table(spark, path)) == 299
