@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import bound_batches, read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters after which a long text is cut at the next safe boundary.
@@ -102,6 +102,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), tokens], ["id", "token_ids"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, token_ids array<int>").withColumnRenamed("id", id_col)

@@ -13,6 +13,9 @@ from ..functions.shared import remove, scratch
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_BATCH_SIZE = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it again: cuts lineage, survives lost executors and gives
     the planner true sizes."""
@@ -29,6 +32,12 @@ def discard(*tables: DataFrame) -> None:
             remove(table.sparkSession, folder)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of 8 MB at most from now on in a session that leaves the size at Spark's own, so that tasks and the workers kept between stages stay small."""
+    if spark.conf.get(_BATCH_SIZE) == f"{64 << 20}b":
+        spark.conf.set(_BATCH_SIZE, "8m")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

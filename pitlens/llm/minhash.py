@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, gram_hashes, keep, lower_ascii, mix, read, signed, utf8_slices, word_hashes
+from .common import bound_batches, discard, gram_hashes, keep, lower_ascii, mix, read, signed, utf8_slices, word_hashes
 from .graph import components
 
 BANDS, ROWS = 42, 6
@@ -209,6 +209,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     is their own id. Null ids never are the smallest, unless all are. Repeated rows share a class and
     get a row each. Equal sets are told by 64-bit hashes, links by the words. Other columns are left out.
     """
+    bound_batches(docs.sparkSession)
     made = keep(sketched(docs, id_col, text_col, words, bands, rows), "sketches")
     full = made.where("n > 0")
     classes = keep(full.groupBy("set").agg(F.min("id").alias("first_id"), F.min("k").alias("k"), F.first("n").alias("n")), "classes")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, lower_ascii, read, utf8_slices, word_hashes
+from .common import bound_batches, gram_hashes, lower_ascii, read, utf8_slices, word_hashes
 
 BITS = 18
 #: At most so many labelled documents are fitted, those of smallest hash.
@@ -133,6 +133,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", select_grade: i
     Null and empty texts are scored as texts without words. Rows stay as they are, repeated or
     not; an empty table gives an empty one. Columns of these three names are replaced.
     """
+    bound_batches(docs.sparkSession)
     weights = model.weights
 
     @F.pandas_udf("struct<_expected: double, _tail: double>")

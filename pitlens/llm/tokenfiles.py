@@ -37,7 +37,7 @@ from tokenizers import Tokenizer
 
 from .bpe import pieces
 from ..functions.shared import scratch
-from .common import read
+from .common import bound_batches, read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
@@ -285,6 +285,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             writer.close()
             out.close()
 
+    bound_batches(spark)
     # the last key deals equal rows out, should there be very many
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).withColumns({"_tie": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
     order = [F.col("id").asc_nulls_last(), F.col("_tie").asc(), F.col("_row").asc()]
