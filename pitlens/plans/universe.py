@@ -28,10 +28,10 @@ def kept_up(s, d):
     """The state after all snapshots, of which each year's first comes late, the newest of these first."""
     seen, path = observed(s, d), scratch(s, "listing-state")
     late = seen.where(F.month("as_of_date") == 1)
-    ls.build_state(seen.where(F.month("as_of_date") != 1), path)
+    ls.build_state(seen.where(F.month("as_of_date") != 1), path, buckets=8)
     # one row per snapshot
     for r in late.select("as_of_date").distinct().orderBy(F.col("as_of_date").desc()).collect():
-        ls.update_state(late, r["as_of_date"], path)
+        ls.update_state(late, r["as_of_date"], path, buckets=8)
     return ls.read_state(s, path)[0]
 
 
