@@ -32,7 +32,7 @@ def _numbered(dates: DataFrame) -> DataFrame:
 
 def _joined(rows: DataFrame, dates: DataFrame, grace: int) -> DataFrame:
     """Stretches of `rows` (identity, VALUES, first_date, last_date), neighbours joined; next_date: where the identity's next stretch starts, missing:
-    snapshots between, gone_date: the `grace`-th of them."""
+    snapshots between, `grace` at most, as more change nothing, gone_date: the `grace`-th of them."""
     days = _numbered(dates)
     day = lambda d, n: days.select(F.col("as_of_date").alias(d), F.col("snapshot").alias(n))
     rows = rows.select("identity", *VALUES, "first_date", "last_date").join(day("first_date", "_first"), "first_date").join(day("last_date", "_last"), "last_date")
@@ -44,7 +44,7 @@ def _joined(rows: DataFrame, dates: DataFrame, grace: int) -> DataFrame:
     runs = rows.groupBy("identity", "_run", *VALUES).agg(*(f(c).alias(c) for f, c in ((F.min, "first_date"), (F.max, "last_date"), (F.min, "_first"), (F.max, "_last"))))
     v = Window.partitionBy("identity").orderBy("_run")
     runs = runs.crossJoin(F.broadcast(days.agg(F.max("snapshot").alias("_all")))).withColumns({"next_date": F.lead("first_date").over(v), "_next": F.coalesce(F.lead("_first").over(v), F.col("_all") + 1)})
-    runs = runs.withColumn("missing", F.greatest(F.col("_next") - F.col("_last") - 1, F.lit(0)).cast("int"))
+    runs = runs.withColumn("missing", F.least(F.greatest(F.col("_next") - F.col("_last") - 1, F.lit(0)), F.lit(grace)).cast("int"))
     runs = runs.withColumn("_gone", F.when(F.col("missing") >= grace, F.col("_last") + grace))
     return runs.join(day("gone_date", "_gone"), "_gone", "left").select("identity", *VALUES, "first_date", "last_date", "next_date", "missing", "gone_date")
 

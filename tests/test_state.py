@@ -29,12 +29,12 @@ def snapshots(seed, n_dates, n_names):
     for i in range(n_names):
         cik = None if i % 5 == 0 else str(i - i % 3)
         for t in range(n_dates):
-            if draw.random() < 0.7:
+            if draw.random() < (0.4 if i % 5 == 0 else 0.7):
                 out.append((f"S{i}", cik, f"Name {i}{'!' if draw.random() < 0.3 else ''}", draw.choice(["NYSE", "NYSE", "NYSE", "OTC", None]), "COMMON", D(2024, 1, 1) + dt.timedelta(7 * t)))
     return out
 
 
-@pytest.mark.parametrize("seed,grace", [(1, 2), (2, 1), (3, 3)])
+@pytest.mark.parametrize("seed,grace", [(1, 2), (2, 1), (3, 2)])
 def test_snapshots_one_by_one_in_any_order_equal_the_whole(spark, seed, grace):
     data = snapshots(seed, 7, 9)
     seen = spark.createDataFrame(data, SCHEMA)
@@ -62,7 +62,7 @@ def test_late_snapshot_splits_and_closes(spark):
     new, touched, days = ls.apply_snapshot(state, days, seen, "2024-01-02")
     assert [r.identity for r in touched.orderBy("identity").collect()] == ["CIK:1", "CIK:2", "CIK:3"]
     got = sorted((r.identity, r.first_date.day, r.last_date.day, r.missing, r.gone_date and r.gone_date.day) for r in new.collect())
-    assert got == [("CIK:1", 1, 1, 1, None), ("CIK:1", 3, 9, 0, None), ("CIK:2", 1, 9, 0, None), ("CIK:3", 1, 1, 3, 3)]
+    assert got == [("CIK:1", 1, 1, 1, None), ("CIK:1", 3, 9, 0, None), ("CIK:2", 1, 9, 0, None), ("CIK:3", 1, 1, 2, 3)]
     # C is closed by now, so a date after that doesn't concern it
     assert {r.identity for r in ls.apply_snapshot(new, days, seen, "2024-01-05")[1].collect()} == {"CIK:1", "CIK:2"}
 
