@@ -1,5 +1,7 @@
 """News over every symbol and alias, shared ones included, against a scan of each title for each phrase."""
 
+from collections import Counter
+
 import pytest
 
 from pitlens.plans import catalog
@@ -26,3 +28,22 @@ def matches(spark):
 def test_candidates_of_every_symbol_and_alias(spark, matches):
     got = {(r.raw_id, r.symbol): r.match_score for r in catalog.QUERIES["N1_news_candidates"](spark, SF).collect()}
     assert got == matches and len(got) > spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+@pytest.fixture(scope="module")
+def linked(spark, matches):
+    """(raw_id, instrument_id, effective_date, window_end, score, title) of each match with an instrument."""
+    days = sorted({r[0] for r in spark.read.parquet(f"{SF}/events.parquet").selectExpr("date(ts)").collect() if r[0].day % 7 not in (6, 0)})
+    events = {r[0]: (r[1], (r[2], r[3])) for r in spark.read.parquet(f"{SF}/events.parquet").selectExpr("event_id", "date_add(date(ts), if(date_format(ts, 'HH:mm:ss') < '09:30:00', 0, 1))", "user_id", "event_type").collect()}
+    out = []
+    for (raw_id, symbol), score in matches.items():
+        if int(symbol[1:]) % 11:
+            day, title = events[raw_id]
+            later = [d for d in days if d >= day][:2] + [None, None]
+            out.append((raw_id, f"INST:{symbol[1:]}", later[0], later[1], score, title))
+    return out
+
+
+def test_links_of_every_effective_date(spark, linked):
+    got = {r.effective_date: r.n for r in catalog.QUERIES["N4_news_effective_date"](spark, SF).collect()}
+    assert got == Counter(x[2] for x in linked)
