@@ -47,3 +47,8 @@ def linked(spark, matches):
 def test_links_of_every_effective_date(spark, linked):
     got = {r.effective_date: r.n for r in catalog.QUERIES["N4_news_effective_date"](spark, SF).collect()}
     assert got == Counter(x[2] for x in linked)
+
+
+def test_links_of_every_window(spark, linked):
+    got = {(r.effective_date, r.window_end): r.n for r in catalog.QUERIES["N5_news_event_windows"](spark, SF).collect()}
+    assert got == Counter(x[2:4] for x in linked)
