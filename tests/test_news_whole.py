@@ -1,6 +1,6 @@
 """News over every symbol and alias, shared ones included, against a scan of each title for each phrase."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -52,3 +52,14 @@ def test_links_of_every_effective_date(spark, linked):
 def test_links_of_every_window(spark, linked):
     got = {(r.effective_date, r.window_end): r.n for r in catalog.QUERIES["N5_news_event_windows"](spark, SF).collect()}
     assert got == Counter(x[2:4] for x in linked)
+
+
+def test_features_of_every_instrument_and_date(spark, linked):
+    want = defaultdict(list)
+    for x in linked:
+        if x[2]:
+            want[x[1], x[2]].append(x)
+    got = {(r.instrument_id, r.effective_date): (r.article_count, r.cluster_count, r.avg_confidence) for r in catalog.QUERIES["N6_news_features_daily"](spark, SF).collect()}
+    assert got.keys() == want.keys()
+    for k, rows in want.items():
+        assert got[k] == (len(rows), len({x[5] for x in rows}), pytest.approx(sum(x[4] for x in rows) / len(rows), abs=1e-6))
