@@ -63,3 +63,11 @@ def test_features_of_every_instrument_and_date(spark, linked):
     assert got.keys() == want.keys()
     for k, rows in want.items():
         assert got[k] == (len(rows), len({x[5] for x in rows}), pytest.approx(sum(x[4] for x in rows) / len(rows), abs=1e-6))
+
+
+def test_articles_and_clusters_of_every_date(spark, linked):
+    articles, clusters = Counter(x[2] for x in linked if x[2]), defaultdict(set)
+    for x in linked:
+        clusters[x[2], x[1]].add(x[5])
+    got = {r.effective_date: (r.articles, r.clusters) for r in catalog.QUERIES["A6_news_daily"](spark, SF).collect()}
+    assert got == {d: (n, max(len(c) for (e, _), c in clusters.items() if e == d)) for d, n in articles.items()}
