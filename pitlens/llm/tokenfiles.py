@@ -17,6 +17,7 @@ there, its distinct words are looked up, and only new ones go to the tokenizer.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import struct
@@ -57,8 +58,15 @@ FOOTER = struct.Struct("<IBI")
 _WHITE = r"\t-\r\x{85}\pZ"
 #: Between these a cut before a space might part one token.
 _ODD = rf"[{_WHITE}] ([{_WHITE}]|\z)"
-_SIGNS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-_SIGNED = re.compile(r"[A-Za-z][!-&(-/:-@\[-`{-~]\Z")
+#: Letters of old, so that any version of Unicode knows them, and signs but for the apostrophe, which letters may follow within a token.
+_LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+_WORD = re.compile(rf"[{_LETTER}]{{1,999}}\Z")
+#: Runs of letters and of signs, also parted by single line ends: tokens end between them.
+_RUNS = re.compile(rf"[{_LETTER}{_SIGN}](?:\n?[{_LETTER}{_SIGN}])+\Z")
+_RUN = re.compile(rf"[{_LETTER}]+|[{_SIGN}]+|\n")
+#: The characters by which byte-level vocabularies write bytes.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 class FrameWriter:
@@ -148,6 +156,8 @@ class Encoder:
         self.specials = [t["content"] for t in made["added_tokens"]]
         #: A special token between texts parts them wholly, so many are encoded in one call.
         self.between = next(((t["content"], t["id"]) for t in made["added_tokens"] if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])), None)
+        #: A word of letters is one piece of the byte-level pattern, so the model alone encodes it.
+        self.model = self.tokenizer.model if self.by_words and not any(_WORD.match(s.strip()) for s in self.specials) else None
         self.memo = memo
         self._forget()
 
@@ -164,13 +174,27 @@ class Encoder:
         # numbers of words after a space and of words that start a text; ids of number i are ids[starts[i] : starts[i] + sizes[i]]
         self.words, self.heads, self.count, self.used = {}, {"": 0}, 1, 0
         self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        #: Batches that held a word.
+        self.uses = np.zeros(1 << 16, np.int64)
+
+    def _trim(self) -> None:
+        """Forget words that one batch alone held; all of them, should many be left."""
+        number = np.fromiter(self.words.values(), np.int64, len(self.words))
+        again = self.uses[number] > 1
+        if again.sum() > self.memo // 2:
+            again[:] = False
+        keys, number = [*itertools.compress(self.words, again.tolist())], number[again]
+        ids, sizes = self._gather(number), self.sizes[number]
+        self._forget()
+        self._add(self.words, keys, ids, sizes)
+        self.uses[1 : self.count] = 1
 
     def _add(self, known: dict[str, int], keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         first, count = self.count, self.count + len(keys)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while count > len(self.sizes):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+            self.starts, self.sizes, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.uses))
         self.ids[self.used : self.used + len(ids)] = ids
         self.starts[first:count] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first:count] = sizes
@@ -179,7 +203,14 @@ class Encoder:
         self.count = count
 
     def _encode(self, known: dict[str, int], keys: list[str], before: str) -> None:
-        """Learn new words, many in a call: a special token between them parts them wholly. Very long ones, and those beside a word that holds its string, go one by one."""
+        """Learn new words: those of letters by the model, others many in a call, as a special token between them parts them wholly. Very long ones, and those beside
+        a word that holds its string, go one by one."""
+        if self.model:
+            letters, keys = [k for k in keys if _WORD.match(k)], [k for k in keys if not _WORD.match(k)]
+            space, tokens = _BYTES[32] if before else "", self.model.tokenize
+            found = [[t.id for t in tokens(space + (k if k.isascii() else k.encode().decode("latin-1").translate(_BYTES)))] for k in letters]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self._add(known, letters, np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
         many = (keys if max(map(len, keys), default=0) < 1000 else [k for k in keys if len(k) < 1000]) if self.between else []
         alone = [k for k in keys if len(k) >= 1000] if len(many) < len(keys) else []
         for a in range(0, len(many), 20_000):
@@ -194,14 +225,17 @@ class Encoder:
             ids = self.plain(before + k)
             self._add(known, [k], ids, np.array([len(ids)]))
 
-    def _learn(self, words: set[str], heads: set[str]) -> None:
-        """Learn new words. One that ends in a letter and a sign is its two parts, as a token ends between these; there are fewer words without their signs."""
-        signed = [w for w in words if w[-1:] in _SIGNS and _SIGNED.search(w)]
-        self._encode(self.words, list(words.difference(signed).union(w[:-1] for w in signed).difference(self.words)), " ")
-        self._encode(self.heads, list(heads.union(w[-1] for w in signed).difference(self.heads)), "")
-        if signed:
-            pair = np.array([(self.words[w[:-1]], self.heads[w[-1]]) for w in signed]).ravel()
-            self._add(self.words, signed, self._gather(pair), self.sizes[pair].reshape(-1, 2).sum(axis=1))
+    def _learn(self, words: list[str], heads: list[str]) -> None:
+        """Learn new words. One that is runs of letters and of signs is put together of these; there are fewer runs than words."""
+        runs = {w: _RUN.findall(w) for w in words if not w.isalpha() and _RUNS.match(w) and not any(s in w for s in self.specials)}
+        runs = {w: r for w, r in runs.items() if len(r) > 1}
+        firsts, rest = {r[0] for r in runs.values()}, set(itertools.chain.from_iterable(r[1:] for r in runs.values()))
+        self._encode(self.words, [*firsts.union(w for w in words if w not in runs).difference(self.words)], " ")
+        self._encode(self.heads, [*rest.union(heads).difference(self.heads)], "")
+        if runs:
+            counts = np.fromiter(map(len, runs.values()), np.int64, len(runs))
+            parts = np.fromiter(itertools.chain.from_iterable((self.words[r[0]], *map(self.heads.__getitem__, r[1:])) for r in runs.values()), np.int64, int(counts.sum()))
+            self._add(self.words, [*runs], self._gather(parts), np.add.reduceat(self.sizes[parts], np.cumsum(counts) - counts))
 
     def _gather(self, number: np.ndarray) -> np.ndarray:
         """The ids of words one after another."""
@@ -220,11 +254,13 @@ class Encoder:
             lists = pc.split_pattern(texts.take(pa.array(even)), " ")
             first = np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py()
             coded = lists.flatten().dictionary_encode()
-            words, heads = coded.dictionary.to_pylist(), lists.flatten().take(pa.array(first)).to_pylist()
+            words, heads = (x.to_numpy(zero_copy_only=False).tolist() for x in (coded.dictionary, lists.flatten().take(pa.array(first))))
             if self.count > self.memo:
-                self._forget()
-            self._learn({*words}.difference(self.words), {*heads}.difference(self.heads))
-            number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
+                self._trim()
+            self._learn([*itertools.filterfalse(self.words.__contains__, words)], [*itertools.filterfalse(self.heads.__contains__, heads)])
+            number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            self.uses[number] += 1
+            number = number[np.asarray(coded.indices)]
             number[first] = [self.heads[w] for w in heads]
             ids, total = self._gather(number), np.cumsum(self.sizes[number])
             ends = np.r_[total[first[1:] - 1], total[-1]]
