@@ -46,7 +46,8 @@ def prices_csv(s, d):
 
 
 def price_any(s, d):
-    li = table(s, d, "lineitem").select(F.concat(F.lit(" s"), F.col("l_suppkey").cast("string")).alias("Symbol"), F.to_date("l_shipdate").alias("Date"), F.col("l_extendedprice").alias("Open"), (F.col("l_extendedprice") + F.col("l_quantity") - 5).alias("High"), F.col("l_extendedprice").alias("Low"), F.when(F.col("l_linenumber") == 3, "n/a").otherwise(F.col("l_extendedprice").cast("string")).alias("Adj Close"), F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).alias("Volume"))
+    # quantities are whole, so that 5 of them add nothing: with the price first, sums beyond a power of two are rounded, and the high fell under the low
+    li = table(s, d, "lineitem").select(F.concat(F.lit(" s"), F.col("l_suppkey").cast("string")).alias("Symbol"), F.to_date("l_shipdate").alias("Date"), F.col("l_extendedprice").alias("Open"), (F.col("l_extendedprice") + (F.col("l_quantity") - 5)).alias("High"), F.col("l_extendedprice").alias("Low"), F.when(F.col("l_linenumber") == 3, "n/a").otherwise(F.col("l_extendedprice").cast("string")).alias("Adj Close"), F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).alias("Volume"))
     return rounded(rd.read_price_any(s, written(s, li, "any", True)))
 
 
