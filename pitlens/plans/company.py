@@ -55,11 +55,6 @@ def windows(s, d):
     return n.news_event_windows(links(s, d), frame(s, d, "days"))
 
 
-def whole_windows(s, d):
-    linked = n.news_links(n.news_identity(frame(s, d, "articles").drop("symbol")), n.news_candidates(frame(s, d, "articles"), aliases(s, d)), frame(s, d, "instruments"))
-    return n.news_event_windows(linked, frame(s, d, "days"))
-
-
 def daily(s, d):
     return n.news_daily_by_class(n.news_identity(frame(s, d, "articles")), aliases(s, d), frame(s, d, "instruments"), frame(s, d, "days"))
 
@@ -103,7 +98,7 @@ QUERIES = {
     "N3_news_links": lambda s, d: rounded(links(s, d).groupBy("instrument_id").agg(F.count("*").alias("n"), F.sum("match_score").alias("total"))),
     "N4_news_effective_date": lambda s, d: daily(s, d).groupBy("effective_date").agg(F.sum("article_count").alias("n")),
     "N5_news_event_windows": lambda s, d: daily(s, d).groupBy("effective_date", "window_end").agg(F.sum("article_count").alias("n")),
-    "N6_news_features_daily": lambda s, d: rounded(n.news_features_daily(whole_windows(s, d))),
+    "N6_news_features_daily": lambda s, d: rounded(daily(s, d).where("effective_date is not null").drop("window_end")),
     "A6_news_daily": lambda s, d: rounded(daily(s, d).where("effective_date is not null").groupBy("effective_date").agg(F.sum("article_count").alias("articles"), F.max("cluster_count").alias("clusters"))),
     "N7_news_enrichment_placeholder": lambda s, d: n.news_enrichment_placeholder(n.news_identity(frame(s, d, "articles"))),
     "N8_news_links_calendar_day": lambda s, d: n.news_links_calendar_day(links(s, d)),

@@ -41,7 +41,7 @@ def shared_aliases(spark, tmp_path_factory):
     return str(path), 5000 * 200
 
 
-@pytest.mark.parametrize("name", ["N1_news_candidates"])
+@pytest.mark.parametrize("name", ["N1_news_candidates", "N6_news_features_daily"])
 def test_links_are_not_shuffled(spark, shared_aliases, name):
     path, links = shared_aliases
     context = spark.sparkContext._jsc.sc()
