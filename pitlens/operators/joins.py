@@ -26,25 +26,30 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, rig
     return found.select("_left.*", *(F.when(matched, F.col("_right").getField(c)).alias(prefix + c) for c in payload))
 
 
-def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str, left_known: str, right_time: str, right_known: str) -> DataFrame:
+def asof_bitemporal(left: DataFrame, right: DataFrame, key: str, left_time: str, left_known: str, right_time: str, right_known: str, placed: bool = False) -> DataFrame:
     """The latest right row by (`right_time`, `right_known`), then its other columns in their order, with both times not later than the left
     row's. Left rows without a match stay.
 
     Along the axis of knowledge the latest right row known by then is carried. It is the answer unless its own time is still to come; for such left
     rows the latest is found in blocks of right rows (`dominance`), so no left row meets all of its key's past.
+
+    `placed`: left rows lie by `key` already, as after a window over it. Then right rows are brought to them, left rows aren't shuffled, and the result lies by `key` too.
     """
     payload = [c for c in right.columns if c != key]
     rank = F.struct(F.col(right_time).alias("_time"), F.col(right_known).alias("_since"), *(F.col(c).alias(f"_o{i}") for i, c in enumerate(payload)))
-    facts = right.where(F.col(right_time).isNotNull() & F.col(right_known).isNotNull()).select(F.col(key).alias("_key"), F.col(right_known).cast("timestamp").alias("_known"), rank.alias("_right"))
-    rows = left.select(F.col(key).alias("_key"), F.col(left_known).cast("timestamp").alias("_known"), F.col(left_time).alias("_at"), F.struct(*left.columns).alias("_left"))
+    facts = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull() & F.col(right_known).isNotNull()).select(F.col(key).alias("_key"), F.col(right_known).cast("timestamp").alias("_known"), rank.alias("_right"))
+    facts = facts.repartition("_key") if placed else facts
+    others = [c for c in left.columns if c != key]
+    rows = left.select(F.col(key).alias("_key"), F.col(left_known).cast("timestamp").alias("_known"), F.col(left_time).alias("_at"), F.struct(*others).alias("_left"))
     w = Window.partitionBy("_key").orderBy(F.col("_known").asc_nulls_first(), F.col("_left").isNotNull().asc())
     carried = rows.unionByName(facts, allowMissingColumns=True).withColumns({"_best": F.max("_right").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(w)}).where("_left is not null")
     ahead = F.coalesce(F.col("_best._time") > F.col("_at"), F.lit(False))
-    ready = carried.where(~ahead).select("_left", F.when(F.col("_at").isNotNull() & F.col("_key").isNotNull(), F.col("_best")).alias("_best"))
+    ready = carried.where(~ahead).select("_key", "_left", F.when(F.col("_at").isNotNull() & F.col("_key").isNotNull(), F.col("_best")).alias("_best"))
     points = facts.select("_key", F.col("_known").alias("x"), F.col("_right._time").alias("y"), "_right")
     late = carried.where(ahead).select("_key", F.col("_known").alias("x"), F.col("_at").alias("y"), "_left")
-    paired = dominance(points, late, ["_key"], {"_best": (F.max, "_right")}).select("_left", "_best")
-    return ready.union(paired).select("_left.*", *(F.col(f"_best._o{i}").alias(f"r_{c}" if c in left.columns else c) for i, c in enumerate(payload)))
+    paired = dominance(points, late, ["_key"], {"_best": (F.max, "_right")}).select("_key", "_left", "_best")
+    found = ready.union(paired.repartition("_key") if placed else paired)
+    return found.select(*(F.col("_key").alias(c) if c == key else F.col("_left").getField(c).alias(c) for c in left.columns), *(F.col(f"_best._o{i}").alias(f"r_{c}" if c in left.columns else c) for i, c in enumerate(payload)))
 
 
 def interval_membership(left: DataFrame, intervals: DataFrame, key: str, date: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.windows import latest, ordered, ratio, trailing
 from .clean import clean_keys, market_selection
-from .joins import asof, asof_bitemporal
+from .joins import asof_bitemporal
 
 
 def short_volume_history(rows: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def short_features(rolling: DataFrame, history: DataFrame, full_history: bool =
     The window of days_to_cover_zscore restarts each month, unless `full_history`.
     """
     facts = history.select("symbol", "settlement_date", "ingested_at", "short_interest", "previous_short_interest", "avg_daily_volume", "days_to_cover", "shares_float", "short_interest_pct_float")
-    rows = asof_bitemporal(rolling, facts, "symbol", "as_of_date", "max_source_available_at", "settlement_date", "ingested_at").drop("settlement_date", "ingested_at")
+    rows = asof_bitemporal(rolling, facts, "symbol", "as_of_date", "max_source_available_at", "settlement_date", "ingested_at", placed=True).drop("settlement_date", "ingested_at")
     keys = [F.col("symbol")] if full_history else [F.col("symbol"), F.trunc("as_of_date", "month")]
     w = Window.partitionBy(*keys).orderBy("as_of_date").rowsBetween(-19, 0)
     change = F.col("short_interest") - F.col("previous_short_interest")
@@ -96,9 +96,12 @@ def late_ranges(daily: DataFrame, late_daily: DataFrame, late_interest: DataFram
 
     A late or changed row of `daily`, named by (symbol, as_of_date), changes its own day and the next `look_ahead` rows of its symbol, whose windows hold it. A late settlement
     (symbol, settlement_date) may be the newest known on any later day."""
-    mine = daily.join(late_daily.select("symbol").distinct(), "symbol", "left_semi")
-    reach = mine.select("symbol", "as_of_date", F.max("as_of_date").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_ahead)).alias("range_to"))
-    rows = reach.join(late_daily.select("symbol", "as_of_date").distinct(), ["symbol", "as_of_date"], "left_semi").withColumnRenamed("as_of_date", "range_from")
+    marks = late_daily.select("symbol", "as_of_date", F.lit(True).alias("_late")).distinct()
+    both = daily.select("symbol", "as_of_date", F.lit(False).alias("_late")).union(marks)
+    here = Window.partitionBy("symbol").orderBy("as_of_date").rangeBetween(Window.currentRow, Window.currentRow)
+    marked = both.withColumn("_hit", F.max("_late").over(here)).where("not _late")
+    reach = marked.withColumn("range_to", F.max("as_of_date").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_ahead)))
+    rows = reach.where("_hit").select("symbol", F.col("as_of_date").alias("range_from"), "range_to")
     facts = late_interest.groupBy("symbol").agg(F.min("settlement_date").alias("range_from")).select("symbol", "range_from", F.lit("9999-12-31").cast("date").alias("range_to"))
     w = Window.partitionBy("symbol").orderBy("range_from", "range_to")
     both = rows.unionByName(facts).withColumn("_before", F.max("range_to").over(w.rowsBetween(Window.unboundedPreceding, -1)))
@@ -107,20 +110,23 @@ def late_ranges(daily: DataFrame, late_daily: DataFrame, late_interest: DataFram
 
 
 def _in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """`rows` with _in: whether a range of their symbol holds their as_of_date. The last range that has begun is carried along the time."""
-    return asof(rows, ranges, ["symbol"], "as_of_date", "range_from").withColumn("_in", F.coalesce(F.col("as_of_date") <= F.col("range_to"), F.lit(False))).drop("range_from", "range_to")
+    """`rows` with _in, whether a range of their symbol holds their as_of_date, and _touched, whether it has a range. The latest end of those that have begun is carried along the time."""
+    axis = rows.withColumn("_row", F.lit(True)).unionByName(ranges.select("symbol", F.col("range_from").alias("as_of_date"), F.col("range_to").alias("_end")), allowMissingColumns=True)
+    w = Window.partitionBy("symbol").orderBy(F.col("as_of_date").asc_nulls_first(), F.col("_row").asc_nulls_first())
+    held = F.coalesce(F.col("as_of_date") <= F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(False))
+    return axis.withColumns({"_in": held, "_touched": F.max("_end").over(Window.partitionBy("symbol")).isNotNull()}).where("_row").drop("_row", "_end")
 
 
-def refresh_late(features: DataFrame, daily: DataFrame, history: DataFrame, late_daily: DataFrame, late_interest: DataFrame, look_back: int = 19) -> tuple[DataFrame, DataFrame]:
+def refresh_late(features: DataFrame, daily: DataFrame, history: DataFrame, late_daily: DataFrame, late_interest: DataFrame, look_back: int = 19, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """H7: (features of symbols with late rows, these symbols), equal to a full build of `daily` and `history`, which hold the late rows already (`late_ranges`).
 
     Only rows in the ranges and the `look_back` rows before each are computed; the other rows of these symbols come from `features`, and other symbols are left
-    alone: `sinks.replace_groups` by symbol stores the result."""
+    alone: `sinks.replace_groups` by symbol stores the result. `whole` gives the features of the other symbols with them.
+
+    Every step lies by symbol, so `daily` is shuffled once for the ranges, by its dates alone, and once for the rest, and `features` only if they don't lie by symbol."""
     ranges = late_ranges(daily, late_daily, late_interest, look_back)
-    symbols = ranges.select("symbol").distinct()
-    own = lambda df: df.join(symbols, "symbol", "left_semi")
-    marked = _in_ranges(own(daily), ranges)
-    needed = marked.withColumn("_near", F.max("_in").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_back))).where("_near").drop("_near")
-    new = short_features(short_rolling(needed), own(history)).where("_in").drop("_in")
-    old = _in_ranges(own(features), ranges).where("not _in").drop("_in")
-    return old.unionByName(new), symbols
+    near = F.max("_in").over(ordered(["symbol"], "as_of_date").rowsBetween(0, look_back))
+    needed = _in_ranges(daily, ranges).where("_touched").drop("_touched").withColumn("_near", near).where("_near").drop("_near")
+    new = short_features(short_rolling(needed), history).where("_in").drop("_in")
+    old = _in_ranges(features, ranges).where("not _in" if whole else "_touched and not _in").drop("_in", "_touched")
+    return old.unionByName(new), ranges.select("symbol").distinct()

@@ -52,11 +52,10 @@ def short_all(s, d):
 
 def late_refreshed(s, d):
     """Features of the days and settlements that were there first, refreshed for those that came late."""
-    daily, history = h.short_daily(frame(s, d, "short_volume")), h.short_interest_history(frame(s, d, "short_interest"))
+    daily, history = stored(h.short_daily(frame(s, d, "short_volume")), "daily"), stored(h.short_interest_history(frame(s, d, "short_interest")), "history")
     day, fact = F.col("as_of_date").between("1998-07-01", "1998-07-10"), F.col("settlement_date") == F.lit("2000-05-01").cast("date")
-    old = stored(h.short_features(h.short_rolling(daily.where(~day)), history.where(~fact)), "features")
-    new, symbols = h.refresh_late(old, daily, history, daily.where(day), history.where(fact))
-    return old.join(symbols, "symbol", "left_anti").unionByName(new)
+    old = h.short_features(h.short_rolling(daily.where(~day)), history.where(~fact))
+    return h.refresh_late(old, daily, history, daily.where(day), history.where(fact), whole=True)[0]
 
 
 def corrections(s):
